@@ -9,4 +9,5 @@ from homestats.functions.coerce import (  # noqa: F401
     month_key,
     pct,
     round4,
+    round_half_even,
 )

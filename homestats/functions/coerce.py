@@ -89,11 +89,21 @@ def flag(predicate: Column) -> Column:
     return F.coalesce(predicate, F.lit(False)).cast("int")
 
 
+def round_half_even(c: Column, decimals: int) -> Column:
+    """Round like numpy / pandas ``round``: scale, round the binary value half-to-even, unscale.
+
+    (``bround`` rounds the shortest decimal text instead, which differs on
+    values such as 45.19875.) ``+ 0.0`` turns a rounded ``-0.0`` into ``0.0``.
+    """
+    scale = F.lit(float(10 ** decimals))
+    return F.rint(c.cast("double") * scale) / scale + F.lit(0.0)
+
+
 def pct(part: Column, whole: Column, decimals: int = 4) -> Column:
     """Percentage, half-even rounded; a zero or null denominator gives null."""
-    return F.bround(F.try_divide(part.cast("double") * F.lit(100.0), whole.cast("double")), decimals)
+    return round_half_even(F.try_divide(part.cast("double") * F.lit(100.0), whole.cast("double")), decimals)
 
 
 def round4(c: Column) -> Column:
     """Measures are reported half-even rounded to 4 decimals."""
-    return F.bround(c.cast("double"), 4)
+    return round_half_even(c, 4)

@@ -13,6 +13,8 @@ from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+
+from homestats.functions.coerce import round_half_even
 from pyspark.sql import types as T
 
 from homestats.functions import fields as FD
@@ -42,7 +44,7 @@ def drop_high_null(df: DataFrame, threshold: float = FD.HIGH_NULL_FRACTION) -> t
     spark = df.sparkSession
     dropped_df = spark.createDataFrame(
         [(c, fr[c] * 100.0) for c in dropped], "column_name string, null_pct double"
-    ).select("column_name", F.bround("null_pct", 2).alias("null_pct"))
+    ).select("column_name", round_half_even(F.col("null_pct"), 2).alias("null_pct"))
     return kept, dropped_df
 
 
@@ -163,7 +165,7 @@ def geo_nulls(df: DataFrame, dataset: str, fields: Sequence[str] = FD.GEO_AUDIT_
     nulls = F.col("_rows") - F.col("non_null")
     return agg.select("_rows", F.inline(entries)).select(
         F.lit(dataset).alias("dataset"), "column_name", nulls.alias("null_count"),
-        F.bround(F.try_divide(nulls * F.lit(100.0), F.col("_rows").cast("double")), 2).alias("null_pct"),
+        round_half_even(F.try_divide(nulls * F.lit(100.0), F.col("_rows").cast("double")), 2).alias("null_pct"),
     )
 
 

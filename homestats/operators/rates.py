@@ -11,6 +11,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from homestats.functions.coerce import round_half_even
+
 from homestats.functions import fields as FD
 from homestats.functions.coerce import as_date, as_number, month_key
 
@@ -27,7 +29,7 @@ def rates_monthly(rates: DataFrame) -> DataFrame:
     return (
         rates.where(F.col("date").isNotNull())
         .groupBy(month_key(F.col("date")).alias(FD.MONTH_COLUMN))
-        .agg(F.bround(F.avg(FD.RATE_COLUMN), 4).alias(FD.RATE_COLUMN))
+        .agg(round_half_even(F.avg(FD.RATE_COLUMN), 4).alias(FD.RATE_COLUMN))
     )
 
 

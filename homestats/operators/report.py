@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from homestats.functions.coerce import round_half_even
+
 from homestats.functions import fields as FD
 from homestats.operators.clean import Cleaned, geo_counts, geo_nulls
 
@@ -57,7 +59,7 @@ def flag_rates(sold: Cleaned, listed: Cleaned) -> DataFrame:
     out = rows[0]
     for r in rows[1:]:
         out = out.unionByName(r)
-    p = F.coalesce(F.bround(F.try_divide(F.col("flagged") * F.lit(100.0), F.col("total").cast("double")), 4), F.lit(0.0))
+    p = F.coalesce(round_half_even(F.try_divide(F.col("flagged") * F.lit(100.0), F.col("total").cast("double")), 4), F.lit(0.0))
     return out.select("*", p.alias("pct")).withColumn("bar_pct", F.least(F.col("pct"), F.lit(100.0)))
 
 
@@ -83,7 +85,7 @@ def rule_rates(sold: Cleaned, listed: Cleaned) -> DataFrame:
         total = c.data.agg(F.count(F.lit(1))).scalar()
         out.append(c.flag_log.select(
             "dataset", "column", "rule", "flagged",
-            F.coalesce(F.bround(F.try_divide(F.col("flagged") * F.lit(100.0), total.cast("double")), 4),
+            F.coalesce(round_half_even(F.try_divide(F.col("flagged") * F.lit(100.0), total.cast("double")), 4),
                        F.lit(0.0)).alias("pct")))
     return out[0].unionByName(out[1])
 
@@ -109,7 +111,7 @@ def geo_validity(sold: Cleaned, listed: Cleaned) -> DataFrame:
         entries = F.array(*[F.struct(F.lit(k).alias("check"), F.col(k).alias("n"))
                             for k in ("null_geo", "zero_lat", "zero_lon", "pos_lon")])
         parts.append(g.select("dataset", F.inline(entries)).withColumn(
-            "pct", F.coalesce(F.bround(F.try_divide(F.col("n") * F.lit(100.0), total.cast("double")), 4), F.lit(0.0))))
+            "pct", F.coalesce(round_half_even(F.try_divide(F.col("n") * F.lit(100.0), total.cast("double")), 4), F.lit(0.0))))
     out = parts[0].unionByName(parts[1])
     return out.withColumn("status", F.when(F.col("n") == 0, "None").otherwise("Flagged"))
 
@@ -122,9 +124,9 @@ def date_consistency(sold: Cleaned) -> DataFrame:
         hits.cast("long").alias("date_flag_hits"),
         F.col("rows_with_date_flag"),
         (F.col("clean_rows") - F.col("rows_with_date_flag")).alias("consistent_rows"),
-        F.bround(F.try_divide((F.col("clean_rows") - F.col("rows_with_date_flag")) * F.lit(100.0),
+        round_half_even(F.try_divide((F.col("clean_rows") - F.col("rows_with_date_flag")) * F.lit(100.0),
                               F.col("clean_rows").cast("double")), 4).alias("consistent_pct"),
-        *[F.bround(F.try_divide(F.col(f) * F.lit(100.0), F.col("clean_rows").cast("double")), 4).alias(f"{f}_pct")
+        *[round_half_even(F.try_divide(F.col(f) * F.lit(100.0), F.col("clean_rows").cast("double")), 4).alias(f"{f}_pct")
           for f in sold.date_flags],
     )
 

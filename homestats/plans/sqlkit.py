@@ -30,12 +30,18 @@ def TS(c: str) -> str:
     return f"TRY_CAST({c} AS TIMESTAMP)"
 
 
+def RND(x: str, d: int) -> str:
+    """numpy-style rounding: scale, round half-even, unscale (matches ``round_half_even``)."""
+    scale = f"{float(10 ** d)!r}E0" if "e" not in repr(float(10 ** d)) else repr(float(10 ** d))
+    return f"(round_even(CAST({x} AS DOUBLE) * {scale}, 0) / {scale} + 0.0E0)"
+
+
 def R4(x: str) -> str:
-    return f"round_even({x}, 4)"
+    return RND(x, 4)
 
 
 def PCT(a: str, b: str, d: int = 4) -> str:
-    return f"round_even(CAST({a} AS DOUBLE) * 100.0E0 / CAST({b} AS DOUBLE), {d})"
+    return RND(f"CAST({a} AS DOUBLE) * 100.0E0 / CAST({b} AS DOUBLE)", d)
 
 
 def FLAG(p: str) -> str:
@@ -106,7 +112,7 @@ sold_r AS (SELECT * FROM sold WHERE PropertyType = 'Residential'),
 listed_r AS (SELECT * FROM listed WHERE PropertyType = 'Residential'),
 rates_c AS (SELECT {D('observation_date')} AS date, {N('MORTGAGE30US')} AS rate_30yr_fixed FROM rates
             WHERE {N('MORTGAGE30US')} IS NOT NULL),
-monthly AS (SELECT {YM('date')} AS year_month, round_even(avg(rate_30yr_fixed), 4) AS rate_30yr_fixed
+monthly AS (SELECT {YM('date')} AS year_month, {R4('avg(rate_30yr_fixed)')} AS rate_30yr_fixed
             FROM rates_c WHERE date IS NOT NULL GROUP BY 1),
 sold_e AS (SELECT s.*, m.rate_30yr_fixed FROM (SELECT *, {YM(D('CloseDate'))} AS year_month FROM sold_r) s
            LEFT JOIN monthly m ON s.year_month = m.year_month),

@@ -9,6 +9,8 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from homestats.functions.coerce import round_half_even
+
 from homestats.functions import fields as FD
 from homestats.sources.tables import BOMS
 
@@ -87,7 +89,7 @@ def file_overview(spark: SparkSession, path: str, pattern: str = "*.csv", recurs
     heads = file_headers(spark, path, pattern, recursive, encoding).select("path", F.size("header").alias("columns"))
     per = files.join(sizes, "path").join(lines, "path", "left").join(heads, "path", "left")
     per = per.select(
-        "class", "name", F.bround(F.col("length") / (1024 * 1024), 1).alias("size_mb"),
+        "class", "name", round_half_even(F.col("length") / (1024 * 1024), 1).alias("size_mb"),
         (F.coalesce(F.col("lines"), F.lit(0)) - 1).alias("rows"), "columns",
     )
     return per.rollup("class", "name").agg(
@@ -121,6 +123,6 @@ def source_check(spark: SparkSession, path: str, pattern: str = "*.csv", recursi
     files = list_sources(spark, path, pattern, recursive)
     return files.agg(
         F.count(F.lit(1)).alias("files"),
-        F.bround(F.coalesce(F.sum("length"), F.lit(0)) / (1024 * 1024), 3).alias("size_mb"),
+        round_half_even(F.coalesce(F.sum("length"), F.lit(0)) / (1024 * 1024), 3).alias("size_mb"),
     ).select(F.lit(path).alias("path"), "files", "size_mb",
              F.when(F.col("files") > 0, "PASS").otherwise("FAIL").alias("status"))
