@@ -829,10 +829,12 @@ def q_union_monthly(r):
 
 
 @register("preview", sql("""
-SELECT CloseDate, year_month, ClosePrice, rate_30yr_fixed FROM sold_e ORDER BY ListingKey ASC NULLS LAST LIMIT 5"""))
+SELECT ListingKey, CloseDate, year_month, ClosePrice, rate_30yr_fixed FROM sold_e
+ORDER BY ListingKey NULLS LAST, CloseDate NULLS LAST, year_month NULLS LAST, ClosePrice NULLS LAST,
+         rate_30yr_fixed NULLS LAST LIMIT 5"""))
 def q_preview(r):
-    return PR.preview(r.sold_e, ["ListingKey", "CloseDate", "year_month", "ClosePrice", "rate_30yr_fixed"],
-                      5, order_by=["ListingKey"]).drop("ListingKey")
+    """First five enriched rows; the order covers every shown column (keys repeat)."""
+    return PR.preview(r.sold_e, ["ListingKey", "CloseDate", "year_month", "ClosePrice", "rate_30yr_fixed"], 5)
 
 
 @register("schema_overview")
