@@ -88,6 +88,8 @@ DATE_ORDER_FLAGS = [
     ("negative_timeline_flag", "ListingContractDate", "PurchaseContractDate"),
 ]
 
+DATE_ORDER_FLAG_NAMES = [name for name, _a, _b in DATE_ORDER_FLAGS]
+
 # Location columns audited for nulls.
 GEO_AUDIT_FIELDS = [
     "Latitude", "Longitude", "latfilled", "lonfilled",

@@ -38,6 +38,11 @@ def null_fractions(df: DataFrame) -> dict[str, float]:
 def drop_high_null(df: DataFrame, threshold: float = FD.HIGH_NULL_FRACTION) -> tuple[DataFrame, DataFrame]:
     """``(kept, dropped)``: ``df`` without columns whose null fraction exceeds
     ``threshold`` (column order kept), and ``(column_name, null_pct)`` of the dropped ones."""
+    kept, dropped_df, _names = _drop_high_null(df, threshold)
+    return kept, dropped_df
+
+
+def _drop_high_null(df: DataFrame, threshold: float):
     fr = null_fractions(df)
     dropped = [c for c in df.columns if fr[c] > threshold]
     kept = df.select(*[F.col(f"`{c}`") for c in df.columns if c not in dropped])
@@ -45,7 +50,7 @@ def drop_high_null(df: DataFrame, threshold: float = FD.HIGH_NULL_FRACTION) -> t
     dropped_df = spark.createDataFrame(
         [(c, fr[c] * 100.0) for c in dropped], "column_name string, null_pct double"
     ).select("column_name", round_half_even(F.col("null_pct"), 2).alias("null_pct"))
-    return kept, dropped_df
+    return kept, dropped_df, dropped
 
 
 # -- dates -------------------------------------------------------------------
@@ -169,15 +174,16 @@ def geo_nulls(df: DataFrame, dataset: str, fields: Sequence[str] = FD.GEO_AUDIT_
     )
 
 
-def geo_counts(df: DataFrame, dataset: str) -> DataFrame:
+def geo_counts(df: DataFrame, dataset: str, with_rows: bool = False) -> DataFrame:
     """One row: null lat-or-lon, lat == 0, lon == 0, lon > 0 (absent columns count 0)."""
     lat, lon = as_number(df, "Latitude"), as_number(df, "Longitude")
+    rows = [F.count(F.lit(1)).alias("rows")] if with_rows else []
     if not (has(df, "Latitude") and has(df, "Longitude")):
         zero = F.lit(0).cast("long")
-        return df.sparkSession.range(1).select(
-            F.lit(dataset).alias("dataset"), zero.alias("null_geo"), zero.alias("zero_lat"),
-            zero.alias("zero_lon"), zero.alias("pos_lon"))
+        return df.agg(*rows, zero.alias("null_geo"), zero.alias("zero_lat"), zero.alias("zero_lon"),
+                      zero.alias("pos_lon")).select(F.lit(dataset).alias("dataset"), "*")
     return df.agg(
+        *rows,
         F.count_if(lat.isNull() | lon.isNull()).alias("null_geo"),
         F.count_if(lat == 0).alias("zero_lat"),
         F.count_if(lon == 0).alias("zero_lon"),
@@ -216,6 +222,8 @@ class Cleaned:
     flag_log: DataFrame
     numeric_flags: list[str]
     date_flags: list[str]
+    dropped_names: list[str]
+    rules: list
 
 
 SOLD_PROFILE = dict(dataset="SOLD", date_fields=FD.SOLD_DATE_FIELDS, rules=FD.SOLD_FLAG_RULES, date_flags=True)
@@ -232,7 +240,7 @@ def clean(
     combine: str = "any",
 ) -> Cleaned:
     """prune -> parse dates -> date flags -> numeric flags -> any flag -> geo flags."""
-    kept, dropped = drop_high_null(df, threshold)
+    kept, dropped, dropped_names = _drop_high_null(df, threshold)
     report = date_parse_report(kept, date_fields)
     out = parse_dates(kept, date_fields)
     dflags: list[str] = []
@@ -244,7 +252,8 @@ def clean(
     out = out.withColumns(ncols)
     out = any_flag(out, list(ncols) + dflags)
     out = out.withColumns(geo_flag_columns(out))
-    return Cleaned(dataset, df, out, dropped, report, flag_log(kept, rules, dataset), list(ncols), dflags)
+    return Cleaned(dataset, df, out, dropped, report, flag_log(kept, rules, dataset), list(ncols), dflags,
+                   dropped_names, list(rules))
 
 
 def clean_sold(df: DataFrame, **kw) -> Cleaned:
@@ -285,7 +294,7 @@ def cleaning_summary(sold: Cleaned, listed: Cleaned, geo: DataFrame | None = Non
         agg = c.data.agg(F.count(F.lit(1)).alias("clean_rows"),
                          F.sum("any_invalid_flag").cast("long").alias("any_invalid_flag"), *sums)
         raw_rows = c.raw.agg(F.count(F.lit(1))).scalar()
-        dropped = c.dropped.agg(F.sort_array(F.collect_list("column_name"))).scalar()
+        dropped = F.array(*[F.lit(n) for n in c.dropped_names]).cast("array<string>")
         parse = c.parse_report.agg(F.map_from_entries(F.collect_list(F.struct(
             "column_name", F.struct("before_null", "after_null"))))).scalar()
         fields = [
@@ -293,8 +302,8 @@ def cleaning_summary(sold: Cleaned, listed: Cleaned, geo: DataFrame | None = Non
             F.lit(len(c.raw.columns)).alias("raw_cols"),
             F.col("clean_rows"),
             F.lit(len(c.data.columns)).alias("clean_cols"),
-            F.lit(len(c.raw.columns) - (len(c.data.columns) - _added(c))).alias("cols_dropped"),
-            F.coalesce(dropped, F.array().cast("array<string>")).alias("dropped_col_names"),
+            F.lit(len(c.dropped_names)).alias("cols_dropped"),
+            dropped.alias("dropped_col_names"),
             F.col("any_invalid_flag"),
             *[F.col(f) for f in c.date_flags],
             parse.alias("date_parse_results"),
@@ -307,7 +316,3 @@ def cleaning_summary(sold: Cleaned, listed: Cleaned, geo: DataFrame | None = Non
         out = out.select("*", geo.select(F.struct(*geo.columns)).scalar().alias("geo_stats"))
     return out
 
-
-def _added(c: Cleaned) -> int:
-    """Columns a cleaning run appended (flags), to recover the dropped count."""
-    return len(c.date_flags) + len(c.numeric_flags) + len(FLAG_COLUMNS_ORDER)

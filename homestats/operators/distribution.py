@@ -26,12 +26,20 @@ def clip_upper(df: DataFrame, col: str, q: float = FD.CLIP_QUANTILE) -> DataFram
     return df.withColumn(col, F.when(v.isNotNull(), F.least(v, bound)))
 
 
+def _per_field(table: DataFrame, value) -> "Column":
+    """One-row scalar subquery: map field -> ``value`` over a per-field table.
+
+    The map holds one entry per declared field (a fixed, tiny bound); looking
+    it up replaces a join, so the row-level side is never shuffled or joined.
+    """
+    return table.agg(F.map_from_entries(F.collect_list(F.struct(F.col("field"), value)))).scalar()
+
+
 def _clipped_long(df: DataFrame, fields: Sequence[str], q: float) -> DataFrame:
     """``(field, v)`` of non-null values, each field capped at its own ``q`` quantile."""
     longf = numeric_long(df, fields).where(F.col("v").isNotNull())
-    bounds = exact_quantiles(longf, "v", [q], ["field"]).select("field", F.col("q").alias("_cap"))
-    # bounds: one row per declared field -> a proven size bound, so broadcast.
-    return longf.join(F.broadcast(bounds), "field").select("field", F.least("v", "_cap").alias("v"))
+    caps = _per_field(exact_quantiles(longf, "v", [q], ["field"]), F.col("q"))
+    return longf.select("field", F.least(F.col("v"), F.element_at(caps, F.col("field"))).alias("v"))
 
 
 def histogram(df: DataFrame, col: str, bins: int = FD.HISTOGRAM_BINS, clip_q: float = FD.CLIP_QUANTILE) -> DataFrame:
@@ -70,21 +78,17 @@ def boxplot_stats(df: DataFrame, fields: Sequence[str], clip_q: float = FD.CLIP_
     """Per field, on values clipped at ``clip_q``: quartiles, 1.5*IQR whiskers, outliers."""
     c = _clipped_long(df, fields, clip_q)
     quart = quantile_columns(c, "v", {"q1": 0.25, "median": 0.5, "q3": 0.75}, ["field"])
-    fences = quart.select(
-        "field", "q1", "median", "q3",
-        (F.col("q3") - F.col("q1")).alias("iqr"),
-        (F.col("q1") - 1.5 * (F.col("q3") - F.col("q1"))).alias("_lo"),
-        (F.col("q3") + 1.5 * (F.col("q3") - F.col("q1"))).alias("_hi"),
-    )
-    # one row per declared field -> broadcast; the value side is never shuffled by the join
-    j = c.join(F.broadcast(fences), "field")
+    fences = _per_field(quart, F.struct("q1", "median", "q3"))
+    f = F.element_at(fences, F.col("field"))
+    iqr = f["q3"] - f["q1"]
+    j = c.select("field", "v", f["q1"].alias("q1"), f["median"].alias("median"), f["q3"].alias("q3"),
+                 (f["q1"] - 1.5 * iqr).alias("_lo"), (f["q3"] + 1.5 * iqr).alias("_hi"))
     agg = j.groupBy("field").agg(
         F.first("q1").alias("q1"), F.first("median").alias("median"), F.first("q3").alias("q3"),
-        F.first("iqr").alias("iqr"),
         F.min(F.when(F.col("v") >= F.col("_lo"), F.col("v"))).alias("whisker_low"),
         F.max(F.when(F.col("v") <= F.col("_hi"), F.col("v"))).alias("whisker_high"),
         F.count_if((F.col("v") < F.col("_lo")) | (F.col("v") > F.col("_hi"))).alias("n_outliers"),
-    )
+    ).withColumn("iqr", F.col("q3") - F.col("q1"))
     return agg.select(
         "field", round4(F.col("q1")).alias("q1"), round4(F.col("median")).alias("median"),
         round4(F.col("q3")).alias("q3"), round4(F.col("iqr")).alias("iqr"),

@@ -19,6 +19,12 @@ task's memory grows with the data. This operator keeps every step bounded:
    holds more than one chunk of rows — and interpolate.
 
 Null values are ignored; groups with no values produce no rows.
+
+Small inputs take a fast path: when Catalyst's size estimate of the input is
+at most ``IN_TASK_MAX_BYTES`` (the same kind of checked bound Spark uses to
+decide a broadcast), every distinct value of even the largest group provably
+fits one task, and the built-in ``percentile`` aggregate is used directly.
+Unknown or large estimates always take the distributed path.
 """
 
 from __future__ import annotations
@@ -33,6 +39,38 @@ from homestats.session import scratch_path
 
 _V, _N, _PID, _PCUM = "_q_v", "_q_n", "_q_pid", "_q_pcum"
 
+# Largest estimated input (bytes) whose quantiles may be computed inside one task.
+IN_TASK_MAX_BYTES = 16 * 1024 * 1024
+_CONF_KEY = "homestats.quantile.inTaskMaxBytes"
+
+
+def estimated_bytes(df: DataFrame) -> int | None:
+    """Catalyst's size estimate of ``df`` (planning only, no job); None if unavailable."""
+    try:
+        return int(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes())
+    except Exception:  # noqa: BLE001 - e.g. Spark Connect has no JVM handle
+        return None
+
+
+def _in_task_is_safe(df: DataFrame) -> bool:
+    limit = int(df.sparkSession.conf.get(_CONF_KEY, str(IN_TASK_MAX_BYTES)))
+    size = estimated_bytes(df)
+    return size is not None and size <= limit
+
+
+def _in_task_quantiles(df: DataFrame, value: str, probs: list[float], by: list[str],
+                       prob_col: str, out_col: str) -> DataFrame:
+    """Built-in ``percentile`` per group (only for inputs proven small)."""
+    qs = (
+        df.where(F.col(value).isNotNull())
+        .groupBy(*by)
+        .agg(F.percentile(F.col(value).cast("double"), F.array(*[F.lit(p) for p in probs])).alias("_qs"))
+    )
+    plist = F.array(*[F.lit(p) for p in probs])
+    return qs.select(*by, F.posexplode("_qs").alias("_pos", out_col)).select(
+        *by, F.element_at(plist, F.col("_pos") + 1).alias(prob_col), F.col(out_col)
+    )
+
 
 def _running_count(batches):
     """Chunk id and running row count over one range-partitioned, sorted chunk."""
@@ -55,15 +93,21 @@ def exact_quantiles(
     prob_col: str = "p",
     out_col: str = "q",
     num_chunks: int | None = None,
+    method: str = "auto",
 ) -> DataFrame:
     """Long result ``(*by, p, q)``: the exact quantile ``q`` of ``value`` per group.
 
     ``value`` must already be numeric (use ``as_number``); ``by`` may be empty.
     Matches pandas / numpy ``quantile(interpolation='linear')``.
+    ``method``: ``auto`` (size-checked choice), ``distributed`` or ``in_task``.
     """
     spark = df.sparkSession
     by = list(by)
     probs = [float(p) for p in probs]
+    if method not in ("auto", "distributed", "in_task"):
+        raise ValueError("method must be auto, distributed or in_task")
+    if method == "in_task" or (method == "auto" and _in_task_is_safe(df)):
+        return _in_task_quantiles(df, value, probs, by, prob_col, out_col)
     chunks = num_chunks or int(spark.conf.get("spark.sql.shuffle.partitions"))
 
     pairs = (
@@ -136,11 +180,12 @@ def quantile_columns(
     value: str,
     named_probs: dict[str, float],
     by: Sequence[str] = (),
+    method: str = "auto",
 ) -> DataFrame:
     """Wide result: one row per group, one column per named quantile."""
     by = list(by)
     probs = sorted(set(named_probs.values()))
-    longq = exact_quantiles(df, value, probs, by)
+    longq = exact_quantiles(df, value, probs, by, method=method)
     aggs = [
         F.max(F.when(F.col("p") == F.lit(p), F.col("q"))).alias(name)
         for name, p in named_probs.items()

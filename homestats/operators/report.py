@@ -8,85 +8,101 @@ from pyspark.sql import functions as F
 from homestats.functions.coerce import round_half_even
 
 from homestats.functions import fields as FD
+from homestats.functions.coerce import as_number, pct
 from homestats.operators.clean import Cleaned, geo_counts, geo_nulls
+from homestats.operators.profile import _rule_predicate
 
 
 def _totals(c: Cleaned) -> DataFrame:
-    """One row of a cleaning run: raw / clean rows and columns, flag sums, date-flag rows."""
-    sums = [F.sum(F.col(f)).cast("long").alias(f) for f in c.date_flags]
-    any_date = F.greatest(*[F.col(f) for f in c.date_flags]) if len(c.date_flags) > 1 else (
-        F.col(c.date_flags[0]) if c.date_flags else F.lit(0))
+    """One row of a cleaning run from one aggregate pass over the cleaned rows:
+    raw / clean shape, composite and date-flag sums, rows with any date flag.
+
+    Cleaning never drops rows, yet raw rows are counted on the raw input
+    (a separate scan) rather than assumed.
+    """
+    date_sums = {f: F.sum(F.col(f)).cast("long") for f in FD.DATE_ORDER_FLAG_NAMES if f in c.date_flags}
+    if c.date_flags:
+        any_date = F.greatest(*[F.col(f) for f in c.date_flags]) if len(c.date_flags) > 1 else F.col(c.date_flags[0])
+        with_date = F.sum(any_date).cast("long")
+    else:
+        with_date = F.lit(0).cast("long")
     agg = c.data.agg(
         F.count(F.lit(1)).alias("clean_rows"),
         F.sum("any_invalid_flag").cast("long").alias("any_invalid_flag"),
-        F.sum(any_date).cast("long").alias("rows_with_date_flag"),
-        *sums,
+        with_date.alias("rows_with_date_flag"),
+        *[e.alias(f) for f, e in date_sums.items()],
     )
     raw_rows = c.raw.agg(F.count(F.lit(1))).scalar()
-    dropped = c.dropped.agg(F.count(F.lit(1))).scalar()
     return agg.select(
         F.lit(c.dataset).alias("dataset"), raw_rows.alias("raw_rows"),
-        F.lit(len(c.raw.columns)).alias("raw_cols"), F.lit(len(c.data.columns)).alias("clean_cols"),
-        dropped.alias("cols_dropped"), "*",
+        F.lit(len(c.raw.columns)).cast("long").alias("raw_cols"),
+        F.lit(len(c.data.columns)).cast("long").alias("clean_cols"),
+        F.lit(len(c.dropped_names)).cast("long").alias("cols_dropped"), "*",
     )
 
 
+def totals(sold: Cleaned, listed: Cleaned) -> DataFrame:
+    """Two rows (one per dataset) of cleaning-run totals; absent date flags are null."""
+    return _totals(sold).unionByName(_totals(listed), allowMissingColumns=True)
+
+
+# The scorecard's metrics (dataset, total column), in display order.
+SCORECARD = [
+    ("SOLD", "raw_rows"), ("LISTED", "raw_rows"),
+    ("SOLD", "cols_dropped"), ("LISTED", "cols_dropped"),
+    ("SOLD", "listing_after_close_flag"), ("SOLD", "purchase_after_close_flag"), ("SOLD", "negative_timeline_flag"),
+    ("SOLD", "any_invalid_flag"), ("LISTED", "any_invalid_flag"),
+    ("SOLD", "clean_cols"), ("LISTED", "clean_cols"),
+]
+
+
 def scorecard(sold: Cleaned, listed: Cleaned) -> DataFrame:
     """``(metric, value)``: the headline numbers of a cleaning run."""
-    s, l = _totals(sold), _totals(listed)
-    pairs = [
-        ("sold_raw_rows", s, "raw_rows"), ("listed_raw_rows", l, "raw_rows"),
-        ("sold_cols_dropped", s, "cols_dropped"), ("listed_cols_dropped", l, "cols_dropped"),
-        *[(f"sold_{f}", s, f) for f in sold.date_flags],
-        ("sold_any_invalid_flag", s, "any_invalid_flag"), ("listed_any_invalid_flag", l, "any_invalid_flag"),
-        ("sold_clean_cols", s, "clean_cols"), ("listed_clean_cols", l, "clean_cols"),
-    ]
-    entries = F.array(*[
-        F.struct(F.lit(name).alias("metric"), t.select(F.col(col).cast("long")).scalar().alias("value"))
-        for name, t, col in pairs
-    ])
-    return sold.data.sparkSession.range(1).select(F.inline(entries))
+    t = totals(sold, listed)
+    cols = sorted({col for _d, col in SCORECARD if col in t.columns})
+    entries = F.array(*[F.struct(F.lit(col).alias("_m"), F.col(col).cast("long").alias("value")) for col in cols])
+    wanted = F.array(*[F.lit(f"{d.lower()}_{col}") for d, col in SCORECARD])
+    longf = t.select(F.lower("dataset").alias("_d"), F.inline(entries))
+    return longf.select(F.concat_ws("_", "_d", "_m").alias("metric"), "value").where(
+        F.array_contains(wanted, F.col("metric")))
 
 
 def flag_rates(sold: Cleaned, listed: Cleaned) -> DataFrame:
     """``(dataset, flag, flagged, total, pct, bar_pct)``; pct is 0 when total is 0."""
-    rows = []
-    for c in (sold, listed):
-        t = _totals(c)
-        for f in ["any_invalid_flag"] + c.date_flags:
-            rows.append(t.select(F.col("dataset"), F.lit(f).alias("flag"), F.col(f).alias("flagged"),
-                                 F.col("clean_rows").alias("total")))
-    out = rows[0]
-    for r in rows[1:]:
-        out = out.unionByName(r)
-    p = F.coalesce(round_half_even(F.try_divide(F.col("flagged") * F.lit(100.0), F.col("total").cast("double")), 4), F.lit(0.0))
-    return out.select("*", p.alias("pct")).withColumn("bar_pct", F.least(F.col("pct"), F.lit(100.0)))
+    t = totals(sold, listed)
+    flags = ["any_invalid_flag"] + [f for f in FD.DATE_ORDER_FLAG_NAMES if f in t.columns]
+    entries = F.array(*[F.struct(F.lit(f).alias("flag"), F.col(f).alias("flagged")) for f in flags])
+    out = t.select("dataset", F.col("clean_rows").alias("total"), F.inline(entries)).where(
+        F.col("flagged").isNotNull())
+    p = F.coalesce(pct(F.col("flagged"), F.col("total")), F.lit(0.0))
+    return out.select("dataset", "flag", "flagged", "total", p.alias("pct")).withColumn(
+        "bar_pct", F.least(F.col("pct"), F.lit(100.0)))
 
 
 def before_after(sold: Cleaned, listed: Cleaned) -> DataFrame:
     """``(dataset, measure, before, after, delta)`` for rows and columns."""
-    parts = []
-    for c in (sold, listed):
-        t = _totals(c)
-        parts.append(t.select("dataset", F.lit("rows").alias("measure"), F.col("raw_rows").alias("before"),
-                              F.col("clean_rows").alias("after")))
-        parts.append(t.select("dataset", F.lit("columns").alias("measure"), F.col("raw_cols").cast("long").alias("before"),
-                              F.col("clean_cols").cast("long").alias("after")))
-    out = parts[0]
-    for p in parts[1:]:
-        out = out.unionByName(p)
-    return out.withColumn("delta", F.col("after") - F.col("before"))
+    t = totals(sold, listed)
+    entries = F.array(
+        F.struct(F.lit("rows").alias("measure"), F.col("raw_rows").alias("before"), F.col("clean_rows").alias("after")),
+        F.struct(F.lit("columns").alias("measure"), F.col("raw_cols").alias("before"), F.col("clean_cols").alias("after")),
+    )
+    return t.select("dataset", F.inline(entries)).withColumn("delta", F.col("after") - F.col("before"))
 
 
 def rule_rates(sold: Cleaned, listed: Cleaned) -> DataFrame:
-    """Per-rule flagged rows and their share of the dataset's rows."""
+    """Per-rule flagged rows and their share of the dataset's rows (one pass per dataset)."""
     out = []
     for c in (sold, listed):
-        total = c.data.agg(F.count(F.lit(1))).scalar()
-        out.append(c.flag_log.select(
+        present = [r for r in c.rules if r[0] in c.data.columns]
+        agg = c.data.agg(F.count(F.lit(1)).alias("_rows"), *[
+            F.count_if(_rule_predicate(as_number(c.data, col), k, b)).alias(f"_r{i}")
+            for i, (col, _l, k, b) in enumerate(present)])
+        entries = F.array(*[F.struct(F.lit(col).alias("column"), F.lit(label).alias("rule"),
+                                     F.col(f"_r{i}").alias("flagged"))
+                            for i, (col, label, _k, _b) in enumerate(present)])
+        out.append(agg.select(F.lit(c.dataset).alias("dataset"), "_rows", F.inline(entries)).select(
             "dataset", "column", "rule", "flagged",
-            F.coalesce(round_half_even(F.try_divide(F.col("flagged") * F.lit(100.0), total.cast("double")), 4),
-                       F.lit(0.0)).alias("pct")))
+            F.coalesce(pct(F.col("flagged"), F.col("_rows")), F.lit(0.0)).alias("pct")))
     return out[0].unionByName(out[1])
 
 
@@ -106,12 +122,11 @@ def geo_validity(sold: Cleaned, listed: Cleaned) -> DataFrame:
     """``(dataset, check, n, pct, status)``: coordinate checks, None when 0 else Flagged."""
     parts = []
     for c in (sold, listed):
-        g = geo_counts(c.data, c.dataset)
-        total = c.data.agg(F.count(F.lit(1))).scalar()
+        g = geo_counts(c.data, c.dataset, with_rows=True)
         entries = F.array(*[F.struct(F.lit(k).alias("check"), F.col(k).alias("n"))
                             for k in ("null_geo", "zero_lat", "zero_lon", "pos_lon")])
-        parts.append(g.select("dataset", F.inline(entries)).withColumn(
-            "pct", F.coalesce(round_half_even(F.try_divide(F.col("n") * F.lit(100.0), total.cast("double")), 4), F.lit(0.0))))
+        parts.append(g.select("dataset", "rows", F.inline(entries)).select(
+            "dataset", "check", "n", F.coalesce(pct(F.col("n"), F.col("rows")), F.lit(0.0)).alias("pct")))
     out = parts[0].unionByName(parts[1])
     return out.withColumn("status", F.when(F.col("n") == 0, "None").otherwise("Flagged"))
 
@@ -119,15 +134,15 @@ def geo_validity(sold: Cleaned, listed: Cleaned) -> DataFrame:
 def date_consistency(sold: Cleaned) -> DataFrame:
     """Date-flag hits (sum over flags) and distinct flagged rows; consistent rows use the latter."""
     t = _totals(sold)
-    hits = sum([F.col(f) for f in sold.date_flags[1:]], F.col(sold.date_flags[0])) if sold.date_flags else F.lit(0)
+    flags = sold.date_flags
+    hits = sum([F.col(f) for f in flags[1:]], F.col(flags[0])) if flags else F.lit(0)
+    consistent = F.col("clean_rows") - F.col("rows_with_date_flag")
     return t.select(
         hits.cast("long").alias("date_flag_hits"),
         F.col("rows_with_date_flag"),
-        (F.col("clean_rows") - F.col("rows_with_date_flag")).alias("consistent_rows"),
-        round_half_even(F.try_divide((F.col("clean_rows") - F.col("rows_with_date_flag")) * F.lit(100.0),
-                              F.col("clean_rows").cast("double")), 4).alias("consistent_pct"),
-        *[round_half_even(F.try_divide(F.col(f) * F.lit(100.0), F.col("clean_rows").cast("double")), 4).alias(f"{f}_pct")
-          for f in sold.date_flags],
+        consistent.alias("consistent_rows"),
+        pct(consistent, F.col("clean_rows")).alias("consistent_pct"),
+        *[pct(F.col(f), F.col("clean_rows")).alias(f"{f}_pct") for f in flags],
     )
 
 

@@ -8,9 +8,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from homestats.functions import fields as FD
-from homestats.functions.coerce import as_date, as_number, has, month_key
-from homestats.operators.calendar import date_coverage, missing_months
-from homestats.operators.profile import critical_nulls, null_profile, outlier_counts
+from homestats.functions.coerce import as_date, has, month_key, pct, as_number
+from homestats.operators.profile import _rule_predicate
 
 
 def duplicate_check(df: DataFrame, key: str = FD.KEY_COLUMN) -> DataFrame:
@@ -29,11 +28,22 @@ def duplicate_check(df: DataFrame, key: str = FD.KEY_COLUMN) -> DataFrame:
     )
 
 
-def _row(df: DataFrame, check: str, field: str | None, status, value) -> DataFrame:
-    return df.select(
-        F.lit(check).alias("check"),
+def _month_list(start: str, end: str) -> list[str]:
+    """Every ``yyyy-MM`` from ``start`` to ``end`` (a calendar literal, bounded by the range)."""
+    (sy, sm), (ey, em) = ((int(x) for x in v.split("-")) for v in (start, end))
+    out = []
+    y, m = sy, sm
+    while (y, m) <= (ey, em):
+        out.append(f"{y:04d}-{m:02d}")
+        y, m = (y + 1, 1) if m == 12 else (y, m + 1)
+    return out
+
+
+def _check(name: str, field, status, value):
+    return F.struct(
+        F.lit(name).alias("check"),
         F.lit(field).cast("string").alias("field"),
-        (status if not isinstance(status, str) else F.lit(status)).alias("status"),
+        (F.lit(status) if isinstance(status, str) else status).alias("status"),
         value.cast("double").alias("value"),
     )
 
@@ -47,56 +57,78 @@ def validate_dataset(
     start: str = "2024-01",
     end: str = "2026-02",
     expected_end: str = "2026-03",
+    critical=FD.CRITICAL_FIELDS,
+    rules=FD.OUTLIER_RULES,
+    limit_pct: float = FD.CRITICAL_NULL_PCT,
+    threshold: float = FD.HIGH_NULL_FRACTION,
 ) -> DataFrame:
-    """All checks of a combined dataset as rows ``(check, field, status, value)``."""
-    parts: list[DataFrame] = []
-    shape = df.agg(F.count(F.lit(1)).alias("rows"))
-    parts.append(_row(shape, "rows", None, "INFO", F.col("rows")))
-    parts.append(_row(shape, "columns", None, "INFO", F.lit(len(df.columns))))
+    """All checks of a combined dataset as rows ``(check, field, status, value)``.
 
+    One aggregate pass computes every counter (row and column counts, category
+    mismatches, date range, the set of months present — at most one entry per
+    calendar month —, distinct keys, per-column non-null counts, outlier hits);
+    the check rows are then unpacked from that single row.
+    """
+    cols = df.columns
+    d = as_date(df, date_col)
+    aggs = [F.count(F.lit(1)).alias("_rows")]
+    aggs += [F.count(F.col(f"`{c}`")).alias(f"_nn{i}") for i, c in enumerate(cols)]
+    if has(df, category_col):
+        aggs.append(F.count_if(~F.col(category_col).eqNullSafe(F.lit(category))).alias("_other"))
+    if has(df, date_col):
+        aggs += [F.count(d).alias("_valid"), F.min(d).alias("_first"), F.max(d).alias("_last"),
+                 F.collect_set(month_key(d)).alias("_months")]
+    if has(df, key):
+        aggs.append(F.count_distinct(F.col(key)).alias("_uniq"))
+    present_rules = [r for r in rules if has(df, r[0])]
+    aggs += [F.count_if(_rule_predicate(as_number(df, f), k, b)).alias(f"_o{i}")
+             for i, (f, _l, k, b) in enumerate(present_rules)]
+    one = df.agg(*aggs)
+
+    rows = F.col("_rows")
+    checks = [_check("rows", None, "INFO", rows), _check("columns", None, "INFO", F.lit(len(cols)))]
     if has(df, category_col):
-        cat = df.agg(F.count_if(~F.col(category_col).eqNullSafe(F.lit(category))).alias("other"))
-        parts.append(_row(cat, "category", category_col,
-                          F.when(F.col("other") == 0, "PASS").otherwise("FAIL"), F.col("other")))
+        checks.append(_check("category", category_col,
+                             F.when(F.col("_other") == 0, "PASS").otherwise("FAIL"), F.col("_other")))
     else:
-        parts.append(_row(shape, "category", category_col, "FAIL", F.lit(None)))
-
+        checks.append(_check("category", category_col, "FAIL", F.lit(None)))
     if has(df, date_col):
-        cov = date_coverage(df, date_col, start, end)
-        parts.append(_row(cov, "date_valid", date_col, "INFO", F.col("valid")))
-        parts.append(_row(cov, "date_invalid", date_col, "INFO", F.col("invalid")))
-        parts.append(_row(cov, "date_start", date_col, F.col("start_status"),
-                          F.year("earliest") * 100 + F.month("earliest")))
-        parts.append(_row(cov, "date_end", date_col, F.col("end_status"),
-                          F.year("latest") * 100 + F.month("latest")))
-        gaps = missing_months(df, date_col, start, expected_end).agg(F.count(F.lit(1)).alias("n"))
-        parts.append(_row(gaps, "missing_months", date_col,
-                          F.when(F.col("n") == 0, "PASS").otherwise("WARNING"), F.col("n")))
+        sy, sm = (int(x) for x in start.split("-"))
+        ey, em = (int(x) for x in end.split("-"))
+        first, last = F.col("_first"), F.col("_last")
+        start_ok = F.coalesce((F.year(first) == sy) & (F.month(first) == sm), F.lit(False))
+        end_ok = F.coalesce((F.year(last) == ey) & (F.month(last) >= em), F.lit(False))
+        expected = F.array(*[F.lit(m) for m in _month_list(start, expected_end)])
+        gaps = F.size(F.array_except(expected, F.col("_months")))
+        checks += [
+            _check("date_valid", date_col, "INFO", F.col("_valid")),
+            _check("date_invalid", date_col, "INFO", rows - F.col("_valid")),
+            _check("date_start", date_col, F.when(start_ok, "PASS").otherwise("WARNING"),
+                   F.year(first) * 100 + F.month(first)),
+            _check("date_end", date_col, F.when(end_ok, "PASS").otherwise("WARNING"),
+                   F.year(last) * 100 + F.month(last)),
+            _check("missing_months", date_col, F.when(gaps == 0, "PASS").otherwise("WARNING"), gaps),
+        ]
     else:
-        parts.append(_row(shape, "date_valid", date_col, "FAIL", F.lit(None)))
-
+        checks.append(_check("date_valid", date_col, "FAIL", F.lit(None)))
     if has(df, key):
-        dup = duplicate_check(df, key)
-        parts.append(_row(dup, "duplicates", key, F.col("status"), F.col("duplicates")))
-
-    prof = null_profile(df, decimals=1)
-    nulls = prof.agg(F.count_if("drop_candidate").alias("high"), F.count_if(F.col("null_count") == 0).alias("complete"))
-    parts.append(_row(nulls, "high_null_columns", None, "INFO", F.col("high")))
-    parts.append(_row(nulls, "complete_columns", None, "INFO", F.col("complete")))
-
-    crit = critical_nulls(df)
-    parts.append(crit.select(F.lit("critical_null").alias("check"), F.col("field"), F.col("status"),
-                             F.col("null_pct").cast("double").alias("value")))
-
-    out = outlier_counts(df)
-    parts.append(out.select(F.lit("outlier").alias("check"), F.col("rule").alias("field"),
-                            F.when(F.col("n") == 0, "PASS").otherwise("WARNING").alias("status"),
-                            F.col("n").cast("double").alias("value")))
-
-    result = parts[0]
-    for p in parts[1:]:
-        result = result.unionByName(p)
-    return result
+        checks.append(_check("duplicates", key, F.when(rows == F.col("_uniq"), "PASS").otherwise("WARNING"),
+                             rows - F.col("_uniq")))
+    nulls = [rows - F.col(f"_nn{i}") for i in range(len(cols))]
+    frac = [F.try_divide(n.cast("double"), rows.cast("double")) for n in nulls]
+    high = sum((F.when(f > threshold, 1).otherwise(0) for f in frac), F.lit(0))
+    complete = sum((F.when(n == 0, 1).otherwise(0) for n in nulls), F.lit(0))
+    checks += [_check("high_null_columns", None, "INFO", high), _check("complete_columns", None, "INFO", complete)]
+    for c in critical:
+        if has(df, c):
+            n = nulls[cols.index(c)]
+            raw = F.try_divide(n * F.lit(100.0), rows.cast("double"))
+            checks.append(_check("critical_null", c, F.when(raw < limit_pct, "PASS").otherwise("WARNING"),
+                                 pct(n, rows, 4)))
+    for i, (_f, label, _k, _b) in enumerate(present_rules):
+        o = F.col(f"_o{i}")
+        checks.append(_check("outlier", label, F.when(o == 0, "PASS").otherwise("WARNING"), o))
+    return one.select(F.inline(F.array(*checks)))
 
 
 def per_source_profile(
@@ -135,6 +167,3 @@ def dataset_summary(df: DataFrame, source_col: str, date_col: str) -> DataFrame:
         F.count_distinct(month_key(d)).alias("months"),
     )
 
-
-def numeric_or_null(df: DataFrame, name: str):
-    return as_number(df, name)

@@ -33,6 +33,8 @@ from homestats.plans.sqlkit import (
 QueryFn = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, QueryFn] = {}
 ORACLES: dict[str, str] = {}
+# The query bodies, taking a ``Relations`` (lets the benchmark run them on materialised tables).
+BODIES: dict[str, Callable[[Relations], DataFrame]] = {}
 
 
 def as_text_dates(df: DataFrame) -> DataFrame:
@@ -54,6 +56,7 @@ def register(name: str, oracle: str | None = None):
         run.__name__ = name
         run.__doc__ = fn.__doc__
         QUERIES[name] = run
+        BODIES[name] = fn
         if oracle is not None:
             ORACLES[name] = oracle
         return fn

@@ -38,19 +38,19 @@ def q_source_files(r: Relations) -> DataFrame:
 @register("source_classes")
 def q_source_classes(r: Relations) -> DataFrame:
     root = export_monthly(r)
-    return FI.classify_sources(FI.list_sources(r.spark, root, recursive=True), on="path")
+    return FI.classify_sources(FI.list_sources(r.spark, root, recursive=True))
 
 
 @register("file_overview")
 def q_file_overview(r: Relations) -> DataFrame:
     root = export_monthly(r)
-    return FI.file_overview(r.spark, root, recursive=True, on="path")
+    return FI.file_overview(r.spark, root, recursive=True)
 
 
 @register("header_consistency")
 def q_header_consistency(r: Relations) -> DataFrame:
     root = export_monthly(r)
-    return FI.header_consistency(r.spark, root, recursive=True, on="path")
+    return FI.header_consistency(r.spark, root, recursive=True)
 
 
 @register("source_check")

@@ -17,19 +17,31 @@ from homestats.sources.testrel import relation
 class Relations:
     """sold / listed / rates derived from the driver tables, and the stages after them."""
 
-    def __init__(self, spark: SparkSession, sf_dir: str):
+    def __init__(self, spark: SparkSession, sf_dir: str, tables: dict[str, DataFrame] | None = None):
         self.spark, self.sf_dir = spark, sf_dir
+        self._tables = tables or {}
+
+    @classmethod
+    def from_tables(cls, spark: SparkSession, sold: DataFrame, listed: DataFrame, rates: DataFrame) -> "Relations":
+        """Start from already materialised sold / listed / rate tables (e.g. a silver layer)."""
+        return cls(spark, "", {"sold": sold, "listed": listed, "rates": rates})
 
     @cached_property
     def sold(self) -> DataFrame:
+        if "sold" in self._tables:
+            return self._tables["sold"]
         return relation(self.spark, self.sf_dir, "sold")
 
     @cached_property
     def listed(self) -> DataFrame:
+        if "listed" in self._tables:
+            return self._tables["listed"]
         return relation(self.spark, self.sf_dir, "listed")
 
     @cached_property
     def rates_raw(self) -> DataFrame:
+        if "rates" in self._tables:
+            return self._tables["rates"]
         return relation(self.spark, self.sf_dir, "rates")
 
     @cached_property

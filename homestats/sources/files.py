@@ -14,7 +14,15 @@ from homestats.functions.coerce import round_half_even
 from homestats.functions import fields as FD
 from homestats.sources.tables import BOMS
 
-_FILES_SCHEMA = "path string, name string, length long"
+_FILES_SCHEMA = "path string, name string, source string, length long"
+
+
+def source_name(path):
+    """The monthly source a file stands for: its name without extension, or — for a
+    Spark part file — the folder holding it (e.g. ``source=CRMLSSold202401``)."""
+    name = F.element_at(F.split(path, "/"), -1)
+    parent = F.element_at(F.split(path, "/"), -2)
+    return F.when(name.startswith("part-"), parent).otherwise(F.regexp_replace(name, r"\.[^.]*$", ""))
 
 
 def list_sources(spark: SparkSession, path: str, pattern: str = "*.csv", recursive: bool = False) -> DataFrame:
@@ -30,17 +38,21 @@ def list_sources(spark: SparkSession, path: str, pattern: str = "*.csv", recursi
         if "PATH_NOT_FOUND" in str(exc) or "does not exist" in str(exc) or "UNABLE_TO_INFER" in str(exc):
             return spark.createDataFrame([], _FILES_SCHEMA)
         raise
-    return df.select("path", F.element_at(F.split("path", "/"), -1).alias("name"), "length")
+    return df.select(
+        "path", F.element_at(F.split("path", "/"), -1).alias("name"), source_name(F.col("path")).alias("source"), "length"
+    )
 
 
-def classify_sources(files: DataFrame, rules: Sequence[tuple[str, str]] = FD.SOURCE_CLASSES, on: str = "name") -> DataFrame:
-    """One row per (file, class): a file may fall in several classes, or in ``other``."""
+def classify_sources(files: DataFrame, rules: Sequence[tuple[str, str]] = FD.SOURCE_CLASSES, on: str = "source") -> DataFrame:
+    """One row per (file, class): a file may fall in several classes, or in ``other``.
+
+    Matching is a substring test on the source name (``on``)."""
     hits = F.filter(
         F.array(*[F.when(F.col(on).contains(sub), F.lit(label)) for sub, label in rules]),
         lambda x: x.isNotNull(),
     )
     return files.select(
-        "path", "name",
+        "path", "name", "source",
         F.explode(F.when(F.size(hits) > 0, hits).otherwise(F.array(F.lit("other")))).alias("class"),
     )
 
@@ -79,36 +91,45 @@ def file_headers(spark: SparkSession, path: str, pattern: str = "*.csv", recursi
 
 
 def file_overview(spark: SparkSession, path: str, pattern: str = "*.csv", recursive: bool = False,
-                  encoding: str = "UTF-8", rules: Sequence[tuple[str, str]] = FD.SOURCE_CLASSES, on: str = "name") -> DataFrame:
-    """Per file and class: size in MB, physical data lines (lines - 1), column count;
-    plus one ``TOTAL`` row per class (a rollup)."""
+                  encoding: str = "UTF-8", rules: Sequence[tuple[str, str]] = FD.SOURCE_CLASSES, on: str = "source") -> DataFrame:
+    """Per file and class: size in MB, physical data lines (lines - 1, as a line
+    count reports them), parsed records (quoted newlines and blank lines handled),
+    column count; plus one ``TOTAL`` row per class (a rollup)."""
     files = classify_sources(list_sources(spark, path, pattern, recursive), rules, on)
     sizes = list_sources(spark, path, pattern, recursive).select("path", "length")
-    lines = _lines(spark, path, pattern, recursive, encoding).where(F.col("value") != "") \
-        .groupBy("path").agg(F.count(F.lit(1)).alias("lines"))
+    lines = _lines(spark, path, pattern, recursive, encoding).groupBy("path").agg(F.count(F.lit(1)).alias("lines"))
     heads = file_headers(spark, path, pattern, recursive, encoding).select("path", F.size("header").alias("columns"))
-    per = files.join(sizes, "path").join(lines, "path", "left").join(heads, "path", "left")
+    parsed = (
+        spark.read.option("header", True).option("multiLine", True).option("encoding", encoding)
+        .option("pathGlobFilter", pattern).option("recursiveFileLookup", str(bool(recursive)).lower())
+        .csv(path).groupBy(F.col("_metadata.file_path").alias("path")).agg(F.count(F.lit(1)).alias("parsed"))
+    )
+    per = files.join(sizes, "path").join(lines, "path", "left").join(heads, "path", "left").join(parsed, "path", "left")
     per = per.select(
-        "class", "name", round_half_even(F.col("length") / (1024 * 1024), 1).alias("size_mb"),
-        (F.coalesce(F.col("lines"), F.lit(0)) - 1).alias("rows"), "columns",
+        "class", "path", "source", F.col("length").alias("bytes"),
+        (F.coalesce(F.col("lines"), F.lit(0)) - 1).alias("rows"),
+        F.coalesce(F.col("parsed"), F.lit(0)).alias("parsed_rows"), "columns",
     )
-    return per.rollup("class", "name").agg(
-        F.sum("size_mb").alias("size_mb"), F.sum("rows").alias("rows"), F.max("columns").alias("columns"),
+    # per file plus one TOTAL line per class (rollup); grouping sets keep a single pass
+    return per.rollup("class", "path").agg(
+        F.first("source").alias("source"), F.sum("bytes").alias("bytes"), F.sum("rows").alias("rows"),
+        F.sum("parsed_rows").alias("parsed_rows"), F.max("columns").alias("columns"),
     ).where(F.col("class").isNotNull()).select(
-        "class", F.coalesce(F.col("name"), F.lit("TOTAL")).alias("name"), "size_mb", "rows",
-        F.when(F.col("name").isNotNull(), F.col("columns")).alias("columns"),
+        "class", "path",
+        F.when(F.col("path").isNull(), F.lit("TOTAL")).otherwise(F.col("source")).alias("source"),
+        round_half_even(F.col("bytes") / (1024 * 1024), 1).alias("size_mb"), "rows", "parsed_rows",
+        F.when(F.col("path").isNotNull(), F.col("columns")).alias("columns"),
     )
 
 
 def header_consistency(spark: SparkSession, path: str, pattern: str = "*.csv", recursive: bool = False,
-                       encoding: str = "UTF-8", rules: Sequence[tuple[str, str]] = FD.SOURCE_CLASSES, on: str = "name") -> DataFrame:
+                       encoding: str = "UTF-8", rules: Sequence[tuple[str, str]] = FD.SOURCE_CLASSES, on: str = "source") -> DataFrame:
     """Per class: distinct column *sets*, files per set, extra / missing columns
     versus the set of the class's first file (by path)."""
     heads = file_headers(spark, path, pattern, recursive, encoding)
     files = classify_sources(list_sources(spark, path, pattern, recursive), rules, on)
-    per = files.join(heads, "path").select("class", "path", "name", F.array_sort(F.array_distinct("header")).alias("cols"))
-    sets = per.groupBy("class", "cols").agg(
-        F.sort_array(F.collect_list("name")).alias("files"), F.min("path").alias("_first"))
+    per = files.join(heads, "path").select("class", "path", F.array_sort(F.array_distinct("header")).alias("cols"))
+    sets = per.groupBy("class", "cols").agg(F.sort_array(F.collect_list("path")).alias("files"))
     base = per.groupBy("class").agg(F.min_by("cols", "path").alias("_base"))
     # per-class tables: one row per distinct header set, bounded by the number of files
     return sets.join(base, "class").select(

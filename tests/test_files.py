@@ -65,10 +65,12 @@ def test_latin1(spark):
 
 
 def test_file_overview(spark, export_dir):
-    ov = {(r["class"], r["name"]): r for r in FI.file_overview(spark, export_dir).collect()}
-    assert ov[("Sold", "CRMLSSold202402.csv")]["rows"] == 2
-    assert ov[("Sold", "CRMLSSold202402.csv")]["columns"] == 3
-    assert ov[("Sold", "TOTAL")]["rows"] == ov[("Sold", "CRMLSSold202401.csv")]["rows"] + 2
+    ov = {(r["class"], r["source"]): r for r in FI.file_overview(spark, export_dir).collect()}
+    assert ov[("Sold", "CRMLSSold202402")]["rows"] == 2
+    assert ov[("Sold", "CRMLSSold202402")]["columns"] == 3
+    assert ov[("Sold", "CRMLSSold202401")]["rows"] == 6  # physical lines minus the header
+    assert ov[("Sold", "CRMLSSold202401")]["parsed_rows"] == 4  # quoted newline and blank line handled
+    assert ov[("Sold", "TOTAL")]["rows"] == 8 and ov[("Sold", "TOTAL")]["parsed_rows"] == 6
 
 
 def test_empty_and_missing(spark):

@@ -48,16 +48,18 @@ def test_half_even_rounding(spark):
     assert df.select(round_half_even(F.col("x"), 4)).collect()[4][0] == float(np.round(45.19875, 4))
 
 
-def test_quantile_goldens(spark):
+@pytest.mark.parametrize("method", ["distributed", "in_task"])
+def test_quantile_goldens(spark, method):
     df = spark.createDataFrame([(1.0,), (2.0,), (3.0,), (4.0,), (10.0,), (None,)], "v double")
     probs = [0.05, 0.25, 0.5, 0.75, 0.95, 0.99]
-    got = {r["p"]: r["q"] for r in exact_quantiles(df, "v", probs).collect()}
+    got = {r["p"]: r["q"] for r in exact_quantiles(df, "v", probs, method=method).collect()}
     assert [got[p] for p in probs] == pytest.approx([1.2, 2, 3, 4, 8.8, 9.76])
     std = df.agg(F.stddev_samp("v")).first()[0]
     assert std == pytest.approx(3.5355339059)
 
 
-def test_quantiles_match_numpy_with_hot_group(spark):
+@pytest.mark.parametrize("method", ["distributed", "in_task", "auto"])
+def test_quantiles_match_numpy_with_hot_group(spark, method):
     rng = np.random.default_rng(7)
     # one group holds a third of the rows and spans many range chunks
     groups = np.concatenate([np.full(3000, "hot"), rng.choice(list("abcdefgh"), 6000)])
@@ -66,18 +68,34 @@ def test_quantiles_match_numpy_with_hot_group(spark):
     pdf = pd.DataFrame({"g": groups, "v": values})
     df = spark.createDataFrame(pdf).withColumn("v", F.nanvl("v", F.lit(None).cast("double")))
     probs = [0.0, 0.05, 0.25, 0.5, 0.9, 0.99, 1.0]
-    got = {(r["g"], r["p"]): r["q"] for r in exact_quantiles(df, "v", probs, ["g"], num_chunks=16).collect()}
+    got = {(r["g"], r["p"]): r["q"]
+           for r in exact_quantiles(df, "v", probs, ["g"], num_chunks=16, method=method).collect()}
     for g, sub in pdf.dropna().groupby("g"):
         for p in probs:
             assert got[(g, p)] == pytest.approx(float(sub["v"].quantile(p)), rel=1e-12), (g, p)
 
 
-def test_quantile_single_value_and_empty_group(spark):
+@pytest.mark.parametrize("method", ["distributed", "in_task"])
+def test_quantile_single_value_and_empty_group(spark, method):
     df = spark.createDataFrame([("a", 5.0), ("b", None)], "g string, v double")
-    out = {r["g"]: r["med"] for r in quantile_columns(df, "v", {"med": 0.5}, ["g"]).collect()}
+    out = {r["g"]: r["med"] for r in quantile_columns(df, "v", {"med": 0.5}, ["g"], method=method).collect()}
     assert out == {"a": 5.0}
 
 
+def test_auto_picks_by_estimate(spark):
+    from homestats.operators import quantiles as Q
+
+    small = spark.range(100).selectExpr("CAST(id AS DOUBLE) AS v")
+    assert Q._in_task_is_safe(small)
+    # local Python data has no size statistics -> never assumed small
+    assert not Q._in_task_is_safe(spark.createDataFrame([(1.0,)], "v double"))
+    spark.conf.set(Q._CONF_KEY, "0")
+    try:
+        assert not Q._in_task_is_safe(small)
+    finally:
+        spark.conf.unset(Q._CONF_KEY)
+
+
 def test_histogram_golden(spark):
     df = spark.createDataFrame([(float(x),) for x in range(5)], "v double")
     rows = histogram(df, "v", bins=4, clip_q=1.0).orderBy("bin").collect()
