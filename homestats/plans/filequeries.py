@@ -13,6 +13,10 @@ from pyspark.sql import functions as F
 from homestats.operators.clean import cleaning_summary
 from homestats.operators.clean import geo_counts
 from homestats.plans.catalog import register
+from homestats.plans.sqlkit import GEO_FLAGS_SQL, SOLD_FLAGS_SQL, sql
+
+# Flags produced by the streaming ingest (date + numeric + composite + geo).
+_STREAM_FLAGS = list(SOLD_FLAGS_SQL) + ["any_invalid_flag"] + list(GEO_FLAGS_SQL)
 from homestats.plans.relations import Relations
 from homestats.session import scratch_path
 from homestats.sources import files as FI
@@ -84,3 +88,17 @@ def q_summary_roundtrip(r: Relations) -> DataFrame:
     path = scratch_path(r.spark, "summary")
     TB.write_summary(q_cleaning_summary(r), path)
     return TB.read_summary(r.spark, path)
+
+
+@register("stream_flags_sold", sql(f"SELECT ListingKey, {', '.join(_STREAM_FLAGS)} FROM clean_s"))
+def q_stream_flags_sold(r: Relations) -> DataFrame:
+    """Monthly sold exports ingested incrementally (Structured Streaming, availableNow),
+    flagged row by row, then read back from the streaming sink."""
+    from homestats.plans.sqlkit import SOLD_COLUMNS
+    from homestats.streaming.ingest import ingest_once
+
+    root = export_monthly(r)
+    sink, ckpt = scratch_path(r.spark, "stream-sink"), scratch_path(r.spark, "stream-ckpt")
+    ingest_once(r.spark, f"{root}/sold", SOLD_COLUMNS, sink, ckpt)
+    out = r.spark.read.parquet(sink)
+    return out.select(F.col("ListingKey").cast("long").alias("ListingKey"), *_STREAM_FLAGS)
