@@ -283,6 +283,17 @@ def export_dates(df: DataFrame, fmt: str = "yyyy-MM-dd") -> DataFrame:
     return df.withColumns(conv) if conv else df
 
 
+def geo_stats(sold: Cleaned, listed: Cleaned) -> DataFrame:
+    """One row: per dataset, location-column null pct and coordinate counts (two aggregates)."""
+    counts = geo_counts(sold.data, sold.dataset).unionByName(geo_counts(listed.data, listed.dataset))
+    nulls = geo_nulls(sold.data, sold.dataset).unionByName(geo_nulls(listed.data, listed.dataset))
+    by_ds = nulls.groupBy("dataset").agg(
+        F.map_from_entries(F.collect_list(F.struct("column_name", "null_pct"))).alias("null_pct"))
+    rows = counts.join(by_ds, "dataset")  # two one-row-per-dataset tables
+    return rows.agg(F.map_from_entries(F.collect_list(F.struct(
+        F.lower("dataset"), F.struct("null_pct", "null_geo", "zero_lat", "zero_lon", "pos_lon")))).alias("by_dataset"))
+
+
 def cleaning_summary(sold: Cleaned, listed: Cleaned, geo: DataFrame | None = None) -> DataFrame:
     """One nested row: per dataset raw/clean shape, dropped columns, flag totals,
     date-parse results; plus the geographic statistics.

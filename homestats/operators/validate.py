@@ -155,6 +155,24 @@ def per_source_profile(
     )
 
 
+def per_source_type_mix(df: DataFrame, source_col: str, col: str = FD.PROPERTY_TYPE_COLUMN) -> DataFrame:
+    """Per source: value counts of ``col`` (nulls left out) with pct of the source's rows.
+
+    Both aggregates are grouped (map-side combined); the per-source totals table
+    has one row per source file, and the join runs between the two small
+    aggregated tables, never on row-level data.
+    """
+    if not has(df, col):
+        return df.sparkSession.createDataFrame([], f"{source_col} string, value string, n long, pct double")
+    totals = df.groupBy(source_col).agg(F.count(F.lit(1)).alias("_rows"))
+    counts = (
+        df.where(F.col(col).isNotNull())
+        .groupBy(source_col, F.col(col).alias("value"))
+        .agg(F.count(F.lit(1)).alias("n"))
+    )
+    return counts.join(totals, source_col).select(source_col, "value", "n", pct(F.col("n"), F.col("_rows")).alias("pct"))
+
+
 def dataset_summary(df: DataFrame, source_col: str, date_col: str) -> DataFrame:
     """One row: sources, rows, columns, date range and distinct months of the union."""
     d = as_date(df, date_col)

@@ -384,6 +384,15 @@ def q_per_source_profile(r):
     return VA.per_source_profile(r.sold_by_source(), "source", "CloseDate")
 
 
+@register("per_source_type_mix", sql(f"""
+SELECT source, PropertyType AS value, count(*) AS n,
+       {PCT('count(*)', 'max(t.rows)')} AS pct
+FROM {_SRC} s JOIN (SELECT source AS src, count(*) AS rows FROM {_SRC} x GROUP BY source) t ON s.source = t.src
+WHERE PropertyType IS NOT NULL GROUP BY source, PropertyType"""))
+def q_per_source_type_mix(r):
+    return VA.per_source_type_mix(r.sold_by_source(), "source")
+
+
 @register("dataset_summary", sql(f"""
 SELECT count(DISTINCT source) AS sources, count(*) AS rows, {len(SOLD_COLUMNS) + 1} AS columns,
        {DSTR(f"min({D('CloseDate')})")} AS min_date, {DSTR(f"max({D('CloseDate')})")} AS max_date,

@@ -10,8 +10,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from homestats.operators.clean import cleaning_summary
-from homestats.operators.clean import geo_counts
+from homestats.operators.clean import cleaning_summary, geo_stats
 from homestats.plans.catalog import register
 from homestats.plans.sqlkit import GEO_FLAGS_SQL, SOLD_FLAGS_SQL, sql
 
@@ -78,9 +77,7 @@ def q_write_roundtrip(r: Relations) -> DataFrame:
 
 @register("cleaning_summary")
 def q_cleaning_summary(r: Relations) -> DataFrame:
-    geo = geo_counts(r.clean_sold.data, "SOLD").unionByName(geo_counts(r.clean_listed.data, "LISTED"))
-    geo_row = geo.agg(F.map_from_entries(F.collect_list(F.struct("dataset", F.struct("null_geo", "zero_lat", "zero_lon", "pos_lon")))).alias("by_dataset"))
-    return cleaning_summary(r.clean_sold, r.clean_listed, geo_row)
+    return cleaning_summary(r.clean_sold, r.clean_listed, geo_stats(r.clean_sold, r.clean_listed))
 
 
 @register("summary_roundtrip")
