@@ -78,12 +78,14 @@ def validate_dataset(
     if has(df, date_col):
         aggs += [F.count(d).alias("_valid"), F.min(d).alias("_first"), F.max(d).alias("_last"),
                  F.collect_set(month_key(d)).alias("_months")]
-    if has(df, key):
-        aggs.append(F.count_distinct(F.col(key)).alias("_uniq"))
     present_rules = [r for r in rules if has(df, r[0])]
     aggs += [F.count_if(_rule_predicate(as_number(df, f), k, b)).alias(f"_o{i}")
              for i, (f, _l, k, b) in enumerate(present_rules)]
     one = df.agg(*aggs)
+    if has(df, key):
+        # distinct keys in their own aggregate (a scalar subquery): mixed with the
+        # counters above, Spark would carry every counter's buffer per distinct key
+        one = one.withColumn("_uniq", df.agg(F.count_distinct(F.col(key))).scalar())
 
     rows = F.col("_rows")
     checks = [_check("rows", None, "INFO", rows), _check("columns", None, "INFO", F.lit(len(cols)))]
