@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from homestats.functions import fields as FD
-from homestats.functions.coerce import as_date, has, month_key, round4
+from homestats.functions.coerce import as_date, month_key, round4
 
 
 def month_keys(df: DataFrame, date_col: str, out: str = FD.MONTH_COLUMN) -> DataFrame:
@@ -83,6 +83,3 @@ def missing_months(df: DataFrame, date_col: str, start: str = "2024-01", end: st
     )
     return expected_months(df.sparkSession, start, end).join(present, "year_month", "left_anti")
 
-
-def has_column(df: DataFrame, name: str) -> bool:
-    return has(df, name)

@@ -5,7 +5,6 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from homestats.functions.coerce import round_half_even
 
 from homestats.functions import fields as FD
 from homestats.functions.coerce import as_number, pct

@@ -57,15 +57,15 @@ def classify_sources(files: DataFrame, rules: Sequence[tuple[str, str]] = FD.SOU
     )
 
 
-def _lines(spark: SparkSession, path: str, pattern: str, recursive: bool, encoding: str) -> DataFrame:
+def _lines(spark: SparkSession, path: str, pattern: str, recursive: bool) -> DataFrame:
+    """Physical lines of every file, with the split they came from and a row id.
+
+    Line splitting and header names are byte-level (ASCII names, newline
+    bytes), so the text source serves any ASCII-compatible encoding; values are
+    decoded with the right charset by ``read_table``. Files are read in splits,
+    never as one in-memory row per file.
+    """
     reader = spark.read.option("pathGlobFilter", pattern).option("recursiveFileLookup", str(bool(recursive)).lower())
-    if encoding.upper().replace("-", "") not in ("UTF8",):
-        # the text source is UTF-8 only; decode other encodings from the raw bytes
-        return (
-            reader.format("binaryFile").load(path)
-            .select("path", F.explode(F.split(F.decode("content", encoding), "\r?\n")).alias("value"))
-            .select("path", "value", F.lit(0).alias("_start"), F.monotonically_increasing_id().alias("_seq"))
-        )
     return reader.text(path).select(
         F.col("_metadata.file_path").alias("path"), "value",
         F.col("_metadata.file_block_start").alias("_start"), F.monotonically_increasing_id().alias("_seq"),
@@ -85,7 +85,7 @@ def file_headers(spark: SparkSession, path: str, pattern: str = "*.csv", recursi
     The first line is the lowest row id within the split starting at byte 0;
     each file's rows are contiguous and ordered inside its partition.
     """
-    lines = _lines(spark, path, pattern, recursive, encoding)
+    lines = _lines(spark, path, pattern, recursive)
     first = lines.where(F.col("_start") == 0).groupBy("path").agg(F.min_by("value", "_seq").alias("line"))
     return first.select("path", _clean_header(F.col("line")).alias("header"))
 
@@ -97,7 +97,7 @@ def file_overview(spark: SparkSession, path: str, pattern: str = "*.csv", recurs
     column count; plus one ``TOTAL`` row per class (a rollup)."""
     files = classify_sources(list_sources(spark, path, pattern, recursive), rules, on)
     sizes = list_sources(spark, path, pattern, recursive).select("path", "length")
-    lines = _lines(spark, path, pattern, recursive, encoding).groupBy("path").agg(F.count(F.lit(1)).alias("lines"))
+    lines = _lines(spark, path, pattern, recursive).groupBy("path").agg(F.count(F.lit(1)).alias("lines"))
     heads = file_headers(spark, path, pattern, recursive, encoding).select("path", F.size("header").alias("columns"))
     parsed = (
         spark.read.option("header", True).option("multiLine", True).option("encoding", encoding)
