@@ -135,7 +135,9 @@ def numeric_long(df: DataFrame, fields: Sequence[str], extra: Sequence[str] = ()
     """Unpivot present numeric fields to ``(*extra, field, v)`` with coercion."""
     present = [f for f in fields if has(df, f)]
     if not present:
-        return df.sparkSession.createDataFrame([], "field string, v double")
+        # same schema, no rows (extra columns kept for the caller's grouping)
+        return df.select(*extra, F.lit(None).cast("string").alias("field"), F.lit(None).cast("double").alias("v")) \
+            .where(F.lit(False))
     return df.select(*extra, _long([(f, as_number(df, f)) for f in present], "field", "v"))
 
 

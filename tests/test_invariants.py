@@ -69,3 +69,38 @@ def test_absent_columns(spark):
     assert VA.duplicate_check(df).first()["status"] == "SKIPPED"
     out = CL.clean_listed(df)
     assert out.data.count() == 1 and out.data.first()["any_invalid_flag"] == 0
+
+
+def test_absent_columns_more_operators(spark):
+    from homestats.operators import features as FE
+    from homestats.sources import tables as TB
+
+    df = spark.range(3).selectExpr("CAST(id AS STRING) AS ListingKey")
+    assert CAL.monthly_counts(df, "CloseDate").count() == 0
+    cov = CAL.date_coverage(df, "CloseDate").first()
+    assert (cov["valid"], cov["invalid"], cov["start_status"]) == (0, 3, "WARNING")
+    assert CAL.missing_months(df, "CloseDate", "2024-01", "2024-03").count() == 3
+    assert DI.histogram(df, "OriginalListPrice").count() == 0
+    assert DI.boxplot_stats(df, ["LivingArea"]).count() == 0
+    assert PR.numeric_distribution(df).count() == 0
+    assert PR.compact_stats(df.withColumn("source", F.lit("x")), "source").count() == 0
+    assert MK.top_groups_by_median(df.withColumn("CountyOrParish", F.lit("A"))).count() == 0
+    assert MK.price_vs_list(df).first()["base"] == 0
+    v = VA.validate_dataset(df, "CloseDate")
+    checks = {r["check"]: r["status"] for r in v.collect()}
+    assert checks["category"] == "FAIL" and checks["date_valid"] == "FAIL" and checks["duplicates"] == "PASS"
+    feats = FE.features_price(FE.features_time(df)).first()
+    assert feats["price_per_sqft"] is None and feats["days_to_contract"] is None
+    assert RT.rates_clean(df).count() == 0
+    monthly = RT.rates_monthly(RT.rates_clean(df))
+    enriched = RT.enrich_with_rates(df, monthly, "CloseDate")
+    assert enriched.count() == 3 and enriched.where("rate_30yr_fixed IS NOT NULL").count() == 0
+    assert TB.union_by_name([df, df.withColumn("extra", F.lit(1))]).columns == ["ListingKey", "extra"]
+
+
+def test_numeric_rules_combine_modes_share_log(spark, golden):
+    any_log = CL.flag_log(golden, FD.SOLD_FLAG_RULES, "SOLD").collect()
+    assert {(r["column"], r["rule"]): r["flagged"] for r in any_log} == {
+        ("ClosePrice", "ClosePrice <= 0"): 2, ("ClosePrice", "ClosePrice > $50M"): 1,
+        ("ListPrice", "ListPrice <= 0"): 1,
+    }
