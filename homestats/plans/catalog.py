@@ -284,7 +284,7 @@ def q_monthly_counts(r):
 
 
 @register("monthly_summary", _with(_MC, f"""
-SELECT sum(n) AS total, count(*) AS months, {R4('avg(n)')} AS mean, min(n) AS min_n,
+SELECT CAST(sum(n) AS BIGINT) AS total, count(*) AS months, {R4('avg(n)')} AS mean, min(n) AS min_n,
        (SELECT year_month FROM mc ORDER BY n, year_month LIMIT 1) AS min_month, max(n) AS max_n,
        (SELECT year_month FROM mc ORDER BY n DESC, year_month LIMIT 1) AS max_month FROM mc"""))
 def q_monthly_summary(r):
@@ -799,15 +799,16 @@ def q_features_price(r):
 
 
 @register("features_time", sql(f"""
-SELECT ListingKey, date_diff('day', {D('ListingContractDate')}, {D('PurchaseContractDate')}) AS days_to_contract,
-       date_diff('day', {D('PurchaseContractDate')}, {D('CloseDate')}) AS contract_to_close FROM sold_r"""))
+SELECT ListingKey, CAST(date_diff('day', {D('ListingContractDate')}, {D('PurchaseContractDate')}) AS INTEGER) AS days_to_contract,
+       CAST(date_diff('day', {D('PurchaseContractDate')}, {D('CloseDate')}) AS INTEGER) AS contract_to_close FROM sold_r"""))
 def q_features_time(r):
     return FE.features_time(r.sold_r).select("ListingKey", "days_to_contract", "contract_to_close")
 
 
 @register("features_calendar", sql(f"""
-SELECT ListingKey, month({D('ListingContractDate')}) AS listing_month, quarter({D('ListingContractDate')}) AS listing_quarter,
-       year({D('ListingContractDate')}) AS listing_year FROM sold_r"""))
+SELECT ListingKey, CAST(month({D('ListingContractDate')}) AS INTEGER) AS listing_month,
+       CAST(quarter({D('ListingContractDate')}) AS INTEGER) AS listing_quarter,
+       CAST(year({D('ListingContractDate')}) AS INTEGER) AS listing_year FROM sold_r"""))
 def q_features_calendar(r):
     return FE.features_calendar(r.sold_r).select("ListingKey", "listing_month", "listing_quarter", "listing_year")
 

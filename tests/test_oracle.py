@@ -25,6 +25,9 @@ def _norm(v):
     return repr(v)
 
 
+_TYPES = {"bigint": "BIGINT", "int": "INTEGER", "double": "DOUBLE", "string": "VARCHAR", "boolean": "BOOLEAN"}
+
+
 @pytest.fixture(scope="module")
 def con():
     c = duckdb.connect()
@@ -57,6 +60,9 @@ def test_matches_oracle(spark, con, name):
     ocols = [d[0] for d in res.description]
     orows = res.fetchall()
     assert sorted(cols) == sorted(ocols)
+    spark_types = {f.name: _TYPES.get(f.dataType.simpleString(), f.dataType.simpleString()) for f in df.schema.fields}
+    oracle_types = {d[0]: str(d[1]) for d in res.description}
+    assert spark_types == oracle_types
     si = [cols.index(c) for c in sorted(cols)]
     oi = [ocols.index(c) for c in sorted(ocols)]
     a = sorted(tuple(_norm(r[i]) for i in si) for r in rows)
