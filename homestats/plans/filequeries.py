@@ -23,10 +23,10 @@ from homestats.sources import tables as TB
 
 
 def export_monthly(r: Relations) -> str:
-    """Write sold and listed as monthly CSV exports named like ``CRMLSSold199601``."""
+    """Write sold and listed as monthly CSV exports named like ``ExportSold199601``."""
     root = scratch_path(r.spark, "exports")
-    sold = r.sold.withColumn("source", F.concat(F.lit("CRMLSSold"), F.regexp_replace(F.substring("ListingContractDate", 1, 7), "-", "")))
-    listed = r.listed.withColumn("source", F.concat(F.lit("CRMLSListing"), F.regexp_replace(F.substring("ListingContractDate", 1, 7), "-", "")))
+    sold = r.sold.withColumn("source", F.concat(F.lit("ExportSold"), F.regexp_replace(F.substring("ListingContractDate", 1, 7), "-", "")))
+    listed = r.listed.withColumn("source", F.concat(F.lit("ExportListing"), F.regexp_replace(F.substring("ListingContractDate", 1, 7), "-", "")))
     TB.write_table(sold, f"{root}/sold", "csv", partition_by=["source"])
     TB.write_table(listed, f"{root}/listed", "csv", partition_by=["source"])
     return root

@@ -19,7 +19,7 @@ _FILES_SCHEMA = "path string, name string, source string, length long"
 
 def source_name(path):
     """The monthly source a file stands for: its name without extension, or — for a
-    Spark part file — the folder holding it (e.g. ``source=CRMLSSold202401``)."""
+    Spark part file — the folder holding it (e.g. ``source=ExportSold202401``)."""
     name = F.element_at(F.split(path, "/"), -1)
     parent = F.element_at(F.split(path, "/"), -2)
     return F.when(name.startswith("part-"), parent).otherwise(F.regexp_replace(name, r"\.[^.]*$", ""))

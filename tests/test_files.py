@@ -13,11 +13,11 @@ from homestats.sources import tables as TB
 @pytest.fixture(scope="module")
 def export_dir():
     d = tempfile.mkdtemp(prefix="homestats-files-")
-    with open(os.path.join(d, "CRMLSSold202401.csv"), "w", encoding="utf-8") as f:
+    with open(os.path.join(d, "ExportSold202401.csv"), "w", encoding="utf-8") as f:
         f.write('ListingKey,City,ClosePrice\n1,La Cañada,100\n2,"Multi\nLine City",NA\n3,Pasadena,$5\n\n4,Glendale,NaN\n')
-    with open(os.path.join(d, "CRMLSSold202402.csv"), "w", encoding="utf-8-sig") as f:
+    with open(os.path.join(d, "ExportSold202402.csv"), "w", encoding="utf-8-sig") as f:
         f.write("ClosePrice,ListingKey,Extra\n250,5,x\n,6,y\n")
-    with open(os.path.join(d, "CRMLSListing202401.csv"), "w", encoding="utf-8") as f:
+    with open(os.path.join(d, "ExportListing202401.csv"), "w", encoding="utf-8") as f:
         f.write("ListingKey,ListPrice\n10,500\n")
     with open(os.path.join(d, "notes.csv"), "w", encoding="utf-8") as f:
         f.write("a,b\n1,2\n")
@@ -28,13 +28,13 @@ def test_list_and_classify(spark, export_dir):
     files = FI.list_sources(spark, export_dir)
     assert files.count() == 4
     cls = {(r["name"], r["class"]) for r in FI.classify_sources(files).collect()}
-    assert ("CRMLSSold202401.csv", "Sold") in cls and ("CRMLSListing202401.csv", "Listing") in cls
+    assert ("ExportSold202401.csv", "Sold") in cls and ("ExportListing202401.csv", "Listing") in cls
     assert ("notes.csv", "other") in cls
 
 
 def test_headers_strip_bom(spark, export_dir):
     heads = {os.path.basename(r["path"]): r["header"] for r in FI.file_headers(spark, export_dir).collect()}
-    assert heads["CRMLSSold202402.csv"] == ["ClosePrice", "ListingKey", "Extra"]
+    assert heads["ExportSold202402.csv"] == ["ClosePrice", "ListingKey", "Extra"]
 
 
 def test_header_consistency(spark, export_dir):
@@ -45,7 +45,7 @@ def test_header_consistency(spark, export_dir):
 
 
 def test_read_table_aligns_by_name(spark, export_dir):
-    df = TB.read_table(spark, export_dir, pattern="CRMLSSold*.csv")
+    df = TB.read_table(spark, export_dir, pattern="ExportSold*.csv")
     rows = {r["ListingKey"]: r for r in df.collect()}
     assert set(rows) == {"1", "2", "3", "4", "5", "6"}
     assert rows["5"]["ClosePrice"] == "250" and rows["5"]["City"] is None and rows["5"]["Extra"] == "x"
@@ -53,12 +53,12 @@ def test_read_table_aligns_by_name(spark, export_dir):
     assert rows["2"]["City"] == "Multi\nLine City"  # quoted newline is one record
     assert rows["2"]["ClosePrice"] is None and rows["4"]["ClosePrice"] is None  # NA, NaN tokens
     assert rows["6"]["ClosePrice"] is None
-    assert rows["1"]["source_file"] == "CRMLSSold202401.csv"
+    assert rows["1"]["source_file"] == "ExportSold202401.csv"
 
 
 def test_latin1(spark):
     d = tempfile.mkdtemp(prefix="homestats-latin1-")
-    with open(os.path.join(d, "CRMLSSold202403.csv"), "w", encoding="latin-1") as f:
+    with open(os.path.join(d, "ExportSold202403.csv"), "w", encoding="latin-1") as f:
         f.write("ListingKey,City\n1,La Cañada\n")
     df = TB.read_table(spark, d, encoding="ISO-8859-1")
     assert df.first()["City"] == "La Cañada"
@@ -66,10 +66,10 @@ def test_latin1(spark):
 
 def test_file_overview(spark, export_dir):
     ov = {(r["class"], r["source"]): r for r in FI.file_overview(spark, export_dir).collect()}
-    assert ov[("Sold", "CRMLSSold202402")]["rows"] == 2
-    assert ov[("Sold", "CRMLSSold202402")]["columns"] == 3
-    assert ov[("Sold", "CRMLSSold202401")]["rows"] == 6  # physical lines minus the header
-    assert ov[("Sold", "CRMLSSold202401")]["parsed_rows"] == 4  # quoted newline and blank line handled
+    assert ov[("Sold", "ExportSold202402")]["rows"] == 2
+    assert ov[("Sold", "ExportSold202402")]["columns"] == 3
+    assert ov[("Sold", "ExportSold202401")]["rows"] == 6  # physical lines minus the header
+    assert ov[("Sold", "ExportSold202401")]["parsed_rows"] == 4  # quoted newline and blank line handled
     assert ov[("Sold", "TOTAL")]["rows"] == 8 and ov[("Sold", "TOTAL")]["parsed_rows"] == 6
 
 

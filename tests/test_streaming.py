@@ -20,7 +20,7 @@ def test_ingest_is_incremental(spark):
     base = tempfile.mkdtemp(prefix="homestats-stream-")
     src, sink, ckpt = (os.path.join(base, x) for x in ("src", "sink", "ckpt"))
     os.makedirs(src)
-    _write(src, "CRMLSSold202401.csv", [
+    _write(src, "ExportSold202401.csv", [
         ("1", "Residential", "100", "90", "2024-01-05", "2024-02-01", "34", "-118"),
         ("2", "Residential", "0", "90", "2024-02-10", "2024-02-01", "0", "0"),
         ("3", "Land", "5", "5", "2024-01-01", "2024-01-02", "34", "-118"),
@@ -31,10 +31,10 @@ def test_ingest_is_incremental(spark):
     assert first["2"]["ClosePrice_invalid_flag"] == 1 and first["2"]["listing_after_close_flag"] == 1
     assert first["2"]["geo_sentinel_flag"] == 1 and first["1"]["any_invalid_flag"] == 0
 
-    _write(src, "CRMLSSold202402.csv", [("4", "Residential", "70000000", "90", "2024-02-01", "2024-03-01", "", "")])
+    _write(src, "ExportSold202402.csv", [("4", "Residential", "70000000", "90", "2024-02-01", "2024-03-01", "", "")])
     ingest_once(spark, src, COLS, sink, ckpt)
     rows = spark.read.parquet(sink).collect()
     assert sorted(r["ListingKey"] for r in rows) == ["1", "2", "4"]  # no file processed twice
     new = [r for r in rows if r["ListingKey"] == "4"][0]
     assert new["ClosePrice_invalid_flag"] == 1 and new["geo_null_flag"] == 1
-    assert new["source_file"] == "CRMLSSold202402.csv"
+    assert new["source_file"] == "ExportSold202402.csv"
