@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 from homestats.functions.coerce import round_half_even
 
 from homestats.functions import fields as FD
-from homestats.sources.tables import BOMS
+from homestats.sources.tables import BOMS, MULTILINE_MAX_BYTES
 
 _FILES_SCHEMA = "path string, name string, source string, length long"
 
@@ -99,8 +99,11 @@ def file_overview(spark: SparkSession, path: str, pattern: str = "*.csv", recurs
     sizes = list_sources(spark, path, pattern, recursive).select("path", "length")
     lines = _lines(spark, path, pattern, recursive).groupBy("path").agg(F.count(F.lit(1)).alias("lines"))
     heads = file_headers(spark, path, pattern, recursive, encoding).select("path", F.size("header").alias("columns"))
+    # record-aware parse only while every file is small enough to be one task
+    largest = sizes.agg(F.max("length")).first()[0] or 0
     parsed = (
-        spark.read.option("header", True).option("multiLine", True).option("encoding", encoding)
+        spark.read.option("header", True).option("multiLine", largest <= MULTILINE_MAX_BYTES)
+        .option("encoding", encoding)
         .option("pathGlobFilter", pattern).option("recursiveFileLookup", str(bool(recursive)).lower())
         .csv(path).groupBy(F.col("_metadata.file_path").alias("path")).agg(F.count(F.lit(1)).alias("parsed"))
     )

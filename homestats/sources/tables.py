@@ -15,6 +15,9 @@ from homestats.functions import fields as FD
 # (UTF-8 decoded, and UTF-8 bytes decoded as Latin-1).
 BOMS = ["﻿", "ï»¿"]
 
+# Largest file parsed record-aware (``multiLine``): such a file is one task.
+MULTILINE_MAX_BYTES = 1 << 30
+
 
 def union_by_name(dfs: Sequence[DataFrame]) -> DataFrame:
     """Union aligning columns by name; columns missing on one side become null."""
@@ -39,11 +42,11 @@ def normalise_nulls(df: DataFrame, tokens: Sequence[str] = FD.NULL_TOKENS) -> Da
     return df.withColumns(conv) if conv else df
 
 
-def read_csv_group(spark: SparkSession, paths: Sequence[str], encoding: str = "UTF-8") -> DataFrame:
+def read_csv_group(spark: SparkSession, paths: Sequence[str], encoding: str = "UTF-8", multi_line: bool = True) -> DataFrame:
     """All-text read of files sharing one header; the source file name is kept."""
     df = (
         spark.read.option("header", True)
-        .option("multiLine", True)
+        .option("multiLine", multi_line)
         .option("encoding", encoding)
         .option("inferSchema", False)
         .option("mode", "PERMISSIVE")
@@ -60,25 +63,39 @@ def read_table(
     recursive: bool = False,
     encoding: str = "UTF-8",
     null_tokens: Sequence[str] = FD.NULL_TOKENS,
+    multi_line: bool | None = None,
+    multi_line_max_bytes: int = MULTILINE_MAX_BYTES,
 ) -> DataFrame:
     """Read a folder of CSV exports as one text table.
 
     Files are grouped by their *ordered* header (a small scan of first lines,
     one row per file), each group is read on its own and the groups are unioned
     by name — a positional multi-file read would scramble reordered headers.
+
+    ``multi_line``: record-aware parsing keeps quoted line breaks inside one
+    record but reads each file as one task. ``None`` (auto) uses it for a
+    header group whose largest file is at most ``multi_line_max_bytes`` and
+    otherwise splits files by line so a huge file is parsed in parallel (a
+    quoted line break inside such a file would then split its record).
     """
-    from homestats.sources.files import file_headers
+    from homestats.sources.files import file_headers, list_sources
 
+    sizes = list_sources(spark, path, pattern, recursive).select("path", "length")
     groups = (
         file_headers(spark, path, pattern, recursive, encoding)
+        .join(sizes, "path")
         .groupBy("header")
-        .agg(F.sort_array(F.collect_list("path")).alias("paths"))
+        .agg(F.sort_array(F.collect_list("path")).alias("paths"), F.max("length").alias("largest"))
         .orderBy(F.element_at("paths", 1))
         .collect()  # one row per distinct header: bounded by the number of files
     )
     if not groups:
         return spark.createDataFrame([], "source_file string")
-    parts = [read_csv_group(spark, g["paths"], encoding) for g in groups]
+    parts = [
+        read_csv_group(spark, g["paths"], encoding,
+                       multi_line if multi_line is not None else g["largest"] <= multi_line_max_bytes)
+        for g in groups
+    ]
     return normalise_nulls(union_by_name(parts), null_tokens)
 
 
