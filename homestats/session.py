@@ -36,7 +36,13 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     The cluster names it in ``spark.checkpoint.dir``; we only invent one when
     it is unset *and* Spark runs in local mode (tests, laptop runs).
     """
-    sc = spark.sparkContext
+    try:
+        sc = spark.sparkContext
+    except Exception:  # noqa: BLE001 - Spark Connect: no SparkContext, the conf must name the folder
+        configured = spark.conf.get("spark.checkpoint.dir", None)
+        if not configured:
+            raise RuntimeError("spark.checkpoint.dir is not set; point it at a folder shared by all executors")
+        return configured
     current = sc.getCheckpointDir()
     if current:
         return current

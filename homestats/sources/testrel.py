@@ -79,8 +79,12 @@ def spread(df: DataFrame) -> DataFrame:
     Inputs large enough to matter arrive in many splits and pass unchanged.
     Counting splits only plans the scan; no job runs.
     """
-    want = df.sparkSession.sparkContext.defaultParallelism
-    return df.repartition(want) if df.rdd.getNumPartitions() < want else df
+    try:
+        want = df.sparkSession.sparkContext.defaultParallelism
+        have = df.rdd.getNumPartitions()
+    except Exception:  # noqa: BLE001 - no RDD view (e.g. Spark Connect): leave the scan as is
+        return df
+    return df.repartition(want) if have < want else df
 
 
 # Fact tables whose scans feed the derivation joins (spread when under-split).
