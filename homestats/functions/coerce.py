@@ -107,3 +107,19 @@ def pct(part: Column, whole: Column, decimals: int = 4) -> Column:
 def round4(c: Column) -> Column:
     """Measures are reported half-even rounded to 4 decimals."""
     return round_half_even(c, 4)
+
+
+def typed_table(df: DataFrame, numeric=(), dates=(), timestamps=()) -> DataFrame:
+    """One projection coercing the declared, present fields (numbers, dates,
+    timestamps); everything else is left as read. For a silver layer typed once."""
+    conv = {}
+    for name in numeric:
+        if has(df, name):
+            conv[name] = as_number(df, name)
+    for name in dates:
+        if has(df, name):
+            conv[name] = as_date(df, name)
+    for name in timestamps:
+        if has(df, name):
+            conv[name] = as_timestamp(df, name)
+    return df.withColumns(conv) if conv else df

@@ -175,3 +175,14 @@ def flag_dictionary(sold: Cleaned, listed: Cleaned) -> DataFrame:
     hits = parts[0].unionByName(parts[1])
     # meanings: a fixed dozen rows -> broadcast
     return hits.join(F.broadcast(meanings), "flag").select("flag", "datasets", "meaning", "dataset", "flagged")
+
+
+def output_catalogue(outputs: dict[str, DataFrame]) -> DataFrame:
+    """``(output, rows, columns)`` of the tables a run writes (one count per table)."""
+    parts = [df.agg(F.count(F.lit(1)).alias("rows")).select(
+        F.lit(name).alias("output"), "rows", F.lit(len(df.columns)).alias("columns"))
+        for name, df in outputs.items()]
+    out = parts[0]
+    for p in parts[1:]:
+        out = out.unionByName(p)
+    return out

@@ -787,6 +787,20 @@ def q_flag_dictionary(r):
     return RP.flag_dictionary(r.clean_sold, r.clean_listed)
 
 
+@register("output_catalogue", sql(f"""
+SELECT 'sold_clean_flagged' AS output, count(*) AS rows, {len(_CLEAN_S_COLS) + len(_ALL_SOLD_FLAGS)} AS columns FROM clean_s
+UNION ALL SELECT 'listed_clean_flagged', count(*), {len(_CLEAN_L_COLS) + len(_ALL_LISTED_FLAGS)} FROM clean_l
+UNION ALL SELECT 'numeric_flag_log', count(*), 4 FROM (
+  {_flag_log_sql("SOLD", "sold_e", FD.SOLD_FLAG_RULES, _SOLD_E_COLS)}
+  UNION ALL {_flag_log_sql("LISTED", "listed_e", FD.LISTED_FLAG_RULES, _LISTED_E_COLS)}) lg"""))
+def q_output_catalogue(r):
+    return RP.output_catalogue({
+        "sold_clean_flagged": r.clean_sold.data,
+        "listed_clean_flagged": r.clean_listed.data,
+        "numeric_flag_log": r.clean_sold.flag_log.unionByName(r.clean_listed.flag_log),
+    })
+
+
 # ---------------------------------------------------------------- features
 
 @register("features_price", sql(f"""

@@ -121,3 +121,12 @@ def test_boxplot_matches_numpy(spark):
     assert r["whisker_high"] == pytest.approx(x[x <= q3 + 1.5 * iqr].max())
     assert r["n_outliers"] == int(((x < q1 - 1.5 * iqr) | (x > q3 + 1.5 * iqr)).sum())
     assert not math.isnan(r["median"])
+
+
+def test_typed_table(spark):
+    from homestats.functions.coerce import typed_table
+
+    df = spark.createDataFrame([("5", "2024-01-02", "2024-01-02 10:00:00", "x")], "a string, d string, t string, s string")
+    out = typed_table(df, numeric=["a", "zz"], dates=["d"], timestamps=["t"])
+    assert [f.dataType.simpleString() for f in out.schema.fields] == ["double", "date", "timestamp", "string"]
+    assert out.first()["a"] == 5.0
