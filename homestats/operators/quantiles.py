@@ -85,6 +85,27 @@ def _running_count(batches):
         yield pdf.assign(**{_PID: pid, _PCUM: run.astype("int64")})
 
 
+def chunk_table(df: DataFrame, value: str, by: Sequence[str], chunks: int) -> DataFrame:
+    """Steps 1-3: distinct ``(group, value, n)`` rows in ordered chunks with the chunk
+    id and the running count, written to the shared checkpoint folder and read back."""
+    spark = df.sparkSession
+    by = list(by)
+    pairs = (
+        df.select(*by, F.col(value).cast("double").alias(_V))
+        .where(F.col(_V).isNotNull())
+        .groupBy(*by, _V)
+        .agg(F.count(F.lit(1)).alias(_N))
+    )
+    ordered = pairs.repartitionByRange(chunks, *by, _V).sortWithinPartitions(*by, _V)
+    out_schema = T.StructType(
+        list(pairs.schema.fields)
+        + [T.StructField(_PID, T.IntegerType(), False), T.StructField(_PCUM, T.LongType(), False)]
+    )
+    path = scratch_path(spark, "quantile")
+    ordered.mapInPandas(_running_count, out_schema).write.parquet(path)
+    return spark.read.parquet(path)
+
+
 def exact_quantiles(
     df: DataFrame,
     value: str,
@@ -110,20 +131,7 @@ def exact_quantiles(
         return _in_task_quantiles(df, value, probs, by, prob_col, out_col)
     chunks = num_chunks or int(spark.conf.get("spark.sql.shuffle.partitions"))
 
-    pairs = (
-        df.select(*by, F.col(value).cast("double").alias(_V))
-        .where(F.col(_V).isNotNull())
-        .groupBy(*by, _V)
-        .agg(F.count(F.lit(1)).alias(_N))
-    )
-    ordered = pairs.repartitionByRange(chunks, *by, _V).sortWithinPartitions(*by, _V)
-    out_schema = T.StructType(
-        list(pairs.schema.fields)
-        + [T.StructField(_PID, T.IntegerType(), False), T.StructField(_PCUM, T.LongType(), False)]
-    )
-    path = scratch_path(spark, "quantile")
-    ordered.mapInPandas(_running_count, out_schema).write.parquet(path)
-    ranked = spark.read.parquet(path)
+    ranked = chunk_table(df, value, by, chunks)
 
     # Per (chunk, group): rows in the chunk and the running count where it starts.
     seg = ranked.groupBy(_PID, *by).agg(

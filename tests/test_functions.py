@@ -130,3 +130,17 @@ def test_typed_table(spark):
     out = typed_table(df, numeric=["a", "zz"], dates=["d"], timestamps=["t"])
     assert [f.dataType.simpleString() for f in out.schema.fields] == ["double", "date", "timestamp", "string"]
     assert out.first()["a"] == 5.0
+
+
+def test_hot_group_is_spread_over_chunks(spark):
+    """A group with a third of all rows spans many chunks; no chunk exceeds ~2x its share."""
+    from homestats.operators.quantiles import chunk_table
+
+    df = spark.range(30000).selectExpr(
+        "CASE WHEN id % 3 = 0 THEN 'hot' ELSE concat('g', CAST(id % 50 AS STRING)) END AS g",
+        "CAST(id AS DOUBLE) AS v")
+    ranked = chunk_table(df, "v", ["g"], 16)
+    per_chunk = {r["_q_pid"]: r["n"] for r in ranked.groupBy("_q_pid").count().withColumnRenamed("count", "n").collect()}
+    hot_chunks = ranked.where("g = 'hot'").select("_q_pid").distinct().count()
+    assert hot_chunks >= 4
+    assert max(per_chunk.values()) <= 2 * 30000 / 16
