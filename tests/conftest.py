@@ -13,7 +13,7 @@ def spark():
 
     ckpt = tempfile.mkdtemp(prefix="homestats-test-ckpt-")
     s = (
-        SparkSession.builder.master("local[4]")
+        SparkSession.builder.master("local[4,2]")  # one retry per task
         .appName("homestats-tests")
         .config("spark.sql.shuffle.partitions", "4")
         .config("spark.sql.adaptive.enabled", "true")

@@ -144,3 +144,26 @@ def test_hot_group_is_spread_over_chunks(spark):
     hot_chunks = ranked.where("g = 'hot'").select("_q_pid").distinct().count()
     assert hot_chunks >= 4
     assert max(per_chunk.values()) <= 2 * 30000 / 16
+
+
+def test_quantiles_survive_a_failed_task(spark, monkeypatch):
+    """A chunk task that dies on its first attempt is retried; results are unchanged."""
+    import homestats.operators.quantiles as Q
+
+    original = Q._running_count
+
+    def flaky(batches):
+        from pyspark import TaskContext
+
+        ctx = TaskContext.get()
+        if ctx.partitionId() == 1 and ctx.attemptNumber() == 0:
+            raise RuntimeError("injected task failure")
+        yield from original(batches)
+
+    monkeypatch.setattr(Q, "_running_count", flaky)
+    rng = np.random.default_rng(11)
+    vals = rng.integers(0, 1000, 5000).astype(float)
+    df = spark.createDataFrame([(float(v),) for v in vals], "v double")
+    got = {r["p"]: r["q"] for r in Q.exact_quantiles(df, "v", [0.1, 0.5, 0.9], num_chunks=8, method="distributed").collect()}
+    for p in (0.1, 0.5, 0.9):
+        assert got[p] == pytest.approx(float(np.quantile(vals, p)))
