@@ -99,3 +99,12 @@ def q_stream_flags_sold(r: Relations) -> DataFrame:
     ingest_once(r.spark, f"{root}/sold", SOLD_COLUMNS, sink, ckpt)
     out = r.spark.read.parquet(sink)
     return out.select(F.col("ListingKey").cast("long").alias("ListingKey"), *_STREAM_FLAGS)
+
+
+@register("per_file_profile")
+def q_per_file_profile(r: Relations) -> DataFrame:
+    """Per-file quality profile of the monthly sold exports, grouped by the file captured at the scan."""
+    from homestats.operators.validate import per_source_profile
+
+    root = export_monthly(r)
+    return per_source_profile(TB.read_table(r.spark, f"{root}/sold", recursive=True), "source_path", "CloseDate")

@@ -53,7 +53,7 @@ def read_csv_group(spark: SparkSession, paths: Sequence[str], encoding: str = "U
         .csv(list(paths))
     )
     df = df.toDF(*[_strip_bom(c) for c in df.columns])
-    return df.withColumn("source_file", F.col("_metadata.file_name"))
+    return df.withColumns({"source_file": F.col("_metadata.file_name"), "source_path": F.col("_metadata.file_path")})
 
 
 def read_table(

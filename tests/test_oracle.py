@@ -42,7 +42,7 @@ def test_every_query_has_oracle_or_is_file_side():
     rows_only = set(q) - set(o)
     assert rows_only <= {
         "schema_overview", "source_files", "source_classes", "file_overview", "header_consistency",
-        "source_check", "read_table", "write_roundtrip", "cleaning_summary", "summary_roundtrip",
+        "source_check", "read_table", "write_roundtrip", "cleaning_summary", "summary_roundtrip", "per_file_profile",
     }
 
 
