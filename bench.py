@@ -61,6 +61,8 @@ def main() -> None:
         .config("spark.sql.session.timeZone", "UTC")
         .config("spark.ui.enabled", "false")
         .config("spark.ui.showConsoleProgress", "false")
+        # per-Column call-site capture costs several JVM round trips per expression
+        .config("spark.python.sql.dataFrameDebugging.enabled", "false")
         .config("spark.driver.memory", "16g")
         .config("spark.checkpoint.dir", os.path.join(scratch, "ckpt"))
         .getOrCreate()
