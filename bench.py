@@ -1,7 +1,7 @@
 """Benchmark: headline queries at $BENCH_SF_DIR on local[$BENCH_CPUS].
 
 Step 1 (timed as ``build_silver``) derives the sold / listed / rate tables
-from the driver's parquet tables and writes them as Parquet to a scratch
+from the driver's parquet tables and writes them as Parquet under the shared
 folder — the hand-over table between pipeline stages. Each headline query
 then runs from those tables with a fresh plan and is executed in full
 (``noop`` sink, no driver collect). Prints one JSON line.
@@ -12,7 +12,6 @@ from __future__ import annotations
 import json
 import os
 import sys
-import tempfile
 import time
 
 sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
@@ -48,7 +47,6 @@ HEADLINE = [
 def main() -> None:
     sf_dir = os.environ.get("BENCH_SF_DIR", "/root/testdata/sf0.1")
     cpus = os.environ.get("BENCH_CPUS", "8")
-    scratch = tempfile.mkdtemp(prefix="homestats-bench-")
     from pyspark.sql import SparkSession
 
     spark = (
@@ -64,11 +62,14 @@ def main() -> None:
         # per-Column call-site capture costs several JVM round trips per expression
         .config("spark.python.sql.dataFrameDebugging.enabled", "false")
         .config("spark.driver.memory", "16g")
-        .config("spark.checkpoint.dir", os.path.join(scratch, "ckpt"))
         .getOrCreate()
     )
     spark.sparkContext.setLogLevel("ERROR")
 
+    from homestats.session import ensure_checkpoint_dir, scratch_path
+
+    ensure_checkpoint_dir(spark)  # the session's spark.checkpoint.dir; a local temp folder only if unset
+    silver_root = scratch_path(spark, "silver")  # shared folder, not a machine-local temp dir
     from homestats.plans.catalog import BODIES, as_text_dates
     from homestats.plans.relations import Relations
     from homestats.sources.testrel import relation
@@ -78,7 +79,7 @@ def main() -> None:
     t0 = time.perf_counter()
     silver = {}
     for name in ("sold", "listed", "rates"):
-        path = os.path.join(scratch, "silver", name)
+        path = f"{silver_root}/{name}"
         w = relation(spark, sf_dir, name).write.mode("overwrite")
         if name != "rates":
             w = w.partitionBy("PropertyType")  # the Residential filter then prunes files

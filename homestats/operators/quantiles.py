@@ -72,17 +72,27 @@ def _in_task_quantiles(df: DataFrame, value: str, probs: list[float], by: list[s
     )
 
 
-def _running_count(batches):
-    """Chunk id and running row count over one range-partitioned, sorted chunk."""
-    from pyspark import TaskContext
+def _running_count():
+    """The per-chunk batch function: chunk id and running row count over one
+    range-partitioned, sorted chunk.
 
-    pid = TaskContext.get().partitionId()
-    carry = 0
-    for pdf in batches:
-        run = pdf[_N].cumsum() + carry
-        if len(run):
-            carry = int(run.iloc[-1])
-        yield pdf.assign(**{_PID: pid, _PCUM: run.astype("int64")})
+    Built as a closure so it is shipped to the Python workers by value: the
+    executors need no copy of this package.
+    """
+    n_col, pid_col, pcum_col = _N, _PID, _PCUM
+
+    def run_chunk(batches):
+        from pyspark import TaskContext
+
+        pid = TaskContext.get().partitionId()
+        carry = 0
+        for pdf in batches:
+            run = pdf[n_col].cumsum() + carry
+            if len(run):
+                carry = int(run.iloc[-1])
+            yield pdf.assign(**{pid_col: pid, pcum_col: run.astype("int64")})
+
+    return run_chunk
 
 
 def chunk_table(df: DataFrame, value: str, by: Sequence[str], chunks: int) -> DataFrame:
@@ -102,7 +112,7 @@ def chunk_table(df: DataFrame, value: str, by: Sequence[str], chunks: int) -> Da
         + [T.StructField(_PID, T.IntegerType(), False), T.StructField(_PCUM, T.LongType(), False)]
     )
     path = scratch_path(spark, "quantile")
-    ordered.mapInPandas(_running_count, out_schema).write.parquet(path)
+    ordered.mapInPandas(_running_count(), out_schema).write.parquet(path)
     return spark.read.parquet(path)
 
 

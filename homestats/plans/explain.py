@@ -13,7 +13,6 @@ import io
 import os
 import re
 import sys
-import tempfile
 
 
 def plan_text(df) -> str:
@@ -42,11 +41,11 @@ def main(sf_dir: str = "/root/testdata/sf0.01", out: str = "PLANS.md") -> None:
     sys.path.insert(0, os.getcwd())
     from homestats.plans.catalog import BODIES
     from homestats.plans.relations import Relations
-    from homestats.session import local_session
+    from homestats.session import local_session, scratch_path
     from homestats.sources.testrel import relation
 
     spark = local_session(shuffle_partitions=16)
-    d = tempfile.mkdtemp(prefix="homestats-plans-")
+    d = scratch_path(spark, "plans-silver")
     for n in ("sold", "listed", "rates"):
         w = relation(spark, sf_dir, n).write.mode("overwrite")
         (w.partitionBy("PropertyType") if n != "rates" else w).parquet(f"{d}/{n}")

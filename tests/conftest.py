@@ -1,6 +1,5 @@
 import os
 import sys
-import tempfile
 
 import pytest
 
@@ -11,7 +10,6 @@ sys.path.insert(0, os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
 def spark():
     from pyspark.sql import SparkSession
 
-    ckpt = tempfile.mkdtemp(prefix="homestats-test-ckpt-")
     s = (
         SparkSession.builder.master("local[4,2]")  # one retry per task
         .appName("homestats-tests")
@@ -20,10 +18,12 @@ def spark():
         .config("spark.sql.session.timeZone", "UTC")
         .config("spark.ui.enabled", "false")
         .config("spark.ui.showConsoleProgress", "false")
-        .config("spark.checkpoint.dir", ckpt)
         .getOrCreate()
     )
     s.sparkContext.setLogLevel("ERROR")
+    from homestats.session import ensure_checkpoint_dir
+
+    ensure_checkpoint_dir(s)  # keeps a configured spark.checkpoint.dir; a temp folder only when unset
     yield s
     s.stop()
 

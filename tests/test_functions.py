@@ -150,7 +150,7 @@ def test_quantiles_survive_a_failed_task(spark, monkeypatch):
     """A chunk task that dies on its first attempt is retried; results are unchanged."""
     import homestats.operators.quantiles as Q
 
-    original = Q._running_count
+    original = Q._running_count()
 
     def flaky(batches):
         from pyspark import TaskContext
@@ -160,7 +160,7 @@ def test_quantiles_survive_a_failed_task(spark, monkeypatch):
             raise RuntimeError("injected task failure")
         yield from original(batches)
 
-    monkeypatch.setattr(Q, "_running_count", flaky)
+    monkeypatch.setattr(Q, "_running_count", lambda: flaky)
     rng = np.random.default_rng(11)
     vals = rng.integers(0, 1000, 5000).astype(float)
     df = spark.createDataFrame([(float(v),) for v in vals], "v double")
