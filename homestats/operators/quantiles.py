@@ -125,18 +125,27 @@ def exact_quantiles(
     out_col: str = "q",
     num_chunks: int | None = None,
     method: str = "auto",
+    accuracy: int = 10000,
 ) -> DataFrame:
     """Long result ``(*by, p, q)``: the exact quantile ``q`` of ``value`` per group.
 
     ``value`` must already be numeric (use ``as_number``); ``by`` may be empty.
     Matches pandas / numpy ``quantile(interpolation='linear')``.
-    ``method``: ``auto`` (size-checked choice), ``distributed`` or ``in_task``.
+    ``method``: ``auto`` (size-checked choice), ``distributed`` or ``in_task``;
+    ``approx`` opts out of exactness for a mergeable ``percentile_approx`` sketch
+    (bounded memory per group, rank error about n / ``accuracy``, no interpolation).
     """
     spark = df.sparkSession
     by = list(by)
     probs = [float(p) for p in probs]
-    if method not in ("auto", "distributed", "in_task"):
-        raise ValueError("method must be auto, distributed or in_task")
+    if method not in ("auto", "distributed", "in_task", "approx"):
+        raise ValueError("method must be auto, distributed, in_task or approx")
+    if method == "approx":
+        qs = df.where(F.col(value).isNotNull()).groupBy(*by).agg(
+            F.percentile_approx(F.col(value).cast("double"), [float(p) for p in probs], accuracy).alias("_qs"))
+        plist = F.array(*[F.lit(float(p)) for p in probs])
+        return qs.select(*by, F.posexplode("_qs").alias("_pos", out_col)).select(
+            *by, F.element_at(plist, F.col("_pos") + 1).alias(prob_col), F.col(out_col))
     if method == "in_task" or (method == "auto" and _in_task_is_safe(df)):
         return _in_task_quantiles(df, value, probs, by, prob_col, out_col)
     chunks = num_chunks or int(spark.conf.get("spark.sql.shuffle.partitions"))

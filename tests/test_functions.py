@@ -167,3 +167,14 @@ def test_quantiles_survive_a_failed_task(spark, monkeypatch):
     got = {r["p"]: r["q"] for r in Q.exact_quantiles(df, "v", [0.1, 0.5, 0.9], num_chunks=8, method="distributed").collect()}
     for p in (0.1, 0.5, 0.9):
         assert got[p] == pytest.approx(float(np.quantile(vals, p)))
+
+
+def test_approx_quantiles_within_rank_error(spark):
+    rng = np.random.default_rng(5)
+    vals = rng.normal(0, 1, 20000)
+    df = spark.createDataFrame([(float(v),) for v in vals], "v double")
+    got = {r["p"]: r["q"] for r in exact_quantiles(df, "v", [0.1, 0.5, 0.9], method="approx").collect()}
+    ordered = np.sort(vals)
+    for p, q in got.items():
+        rank = np.searchsorted(ordered, q) / len(vals)
+        assert abs(rank - p) <= 0.002
