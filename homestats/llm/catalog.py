@@ -9,10 +9,11 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from homestats.llm import linededup, mixing
+from homestats.llm import linededup, mixing, quality, secret_scan, tokencount
 from homestats.llm.common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -94,3 +95,42 @@ def op4_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Drop lines whose key is in at least 10 documents, from all documents."""
     out = linededup.drop_frequent_lines(table(spark, sf_dir, "documents").select("doc_id", "text"))
     return out.select("doc_id", "n_lines", "n_dropped", F.sha2(F.col("text"), 256).alias("kept_sha256"))
+
+
+@query("op3_secret_scan")
+def op3_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Spans of secrets in all documents: the base patterns, and runs of at most 2 characters per token."""
+    docs = table(spark, sf_dir, "documents")
+    spans = secret_scan.secret_spans(F.col("text"), public_tokenizers.path("byte_bpe_50k.tiktoken"), public_tokenizers.PATTERN)
+    found = docs.select("doc_id", spans.alias("found"))
+    base = F.filter("found", lambda s: s["kind"] != "random")
+
+    def number(kind: str):
+        return F.size(F.filter("found", lambda s: s["kind"] == kind)).cast("long").alias(f"n_{kind}")
+
+    return found.select(
+        "doc_id", number("assign"), number("access"), number("hex"), number("random"),
+        F.sha2(secret_scan.listed(base), 256).alias("base_sha256"), secret_scan.listed(F.col("found")).alias("spans"),
+    )
+
+
+@query("op5_quality_rules")
+def op5_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Measures of all documents, and the verdict of rules weighed by expectation-maximisation."""
+    out = quality.assess(table(spark, sf_dir, "documents").select("doc_id", "text"))
+    return out.select(
+        "doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept",
+        F.round("p_good", 6).alias("p_good"),
+    )
+
+
+@query("op9_token_counts")
+def op9_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Tokens of all documents, and whether they exceed 4096."""
+    docs = table(spark, sf_dir, "documents")
+    counted = docs.select(
+        "doc_id",
+        F.coalesce(F.octet_length("text"), F.lit(0)).cast("long").alias("n_bytes"),
+        tokencount.token_count(F.col("text"), public_tokenizers.path("piece_bpe_32k.model")).alias("n_tokens"),
+    )
+    return counted.withColumn("over_limit", F.col("n_tokens") > 4096)
