@@ -13,7 +13,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from homestats.llm import linededup, mixing, quality, secret_scan, tokencount
+from homestats.llm import linededup, mixing, packing, quality, secret_scan, tokencount
 from homestats.llm.common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -124,6 +124,12 @@ def op5_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+@query("op6_pack_sequences")
+def op6_pack_sequences(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Pack all documents into sequences of at most 2048 tokens."""
+    return packing.pack(table(spark, sf_dir, "documents"), public_tokenizers.path("word_bpe_49k.json"))
+
+
 @query("op9_token_counts")
 def op9_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Tokens of all documents, and whether they exceed 4096."""
