@@ -13,8 +13,8 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from homestats.llm import linededup, mixing, packing, quality, secret_scan, tokencount
-from homestats.llm.common import table
+from homestats.llm import linededup, mixing, packing, quality, secret_scan, tokencount, warc
+from homestats.llm.common import scratch_path, table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -130,6 +130,31 @@ def op6_pack_sequences(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(table(spark, sf_dir, "documents"), public_tokenizers.path("word_bpe_49k.json"))
 
 
+_WARC_SQL = r"""
+WITH payloads AS (
+  SELECT page_id, strlen(coalesce(html, ''))::BIGINT AS payload_bytes, sha1(coalesce(html, '')) AS hex FROM pages
+), kept AS (
+  SELECT hex, max(page_id) AS kept FROM payloads GROUP BY hex
+)
+SELECT page_id, payload_bytes,
+  array_to_string(list_transform(range(0, 32), lambda i: substr('ABCDEFGHIJKLMNOPQRSTUVWXYZ234567',
+    ((('0x' || substr(hex, (i // 4 * 5 + 1)::INT, 5))::BIGINT >> (15 - 5 * (i % 4))::INT) & 31)::INT + 1, 1)), '') AS payload_digest,
+  CASE WHEN page_id IS DISTINCT FROM kept AND kept IS NOT NULL THEN 'revisit' ELSE 'response' END AS record_type,
+  CASE WHEN page_id IS DISTINCT FROM kept THEN kept END AS refers_to
+FROM payloads JOIN kept USING (hex)
+"""
+
+
+@query("op7_warc_pages", _WARC_SQL)
+def op7_warc_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Write all pages to WARC archives, equal payloads once, and read the archives back by their headers."""
+    path = scratch_path(spark, "warc")
+    warc.write_pages(table(spark, sf_dir, "pages"), path)
+    return warc.read_pages(spark, path, payload=False).select(
+        "page_id", "payload_bytes", "payload_digest", "record_type", "refers_to"
+    )
+
+
 @query("op9_token_counts")
 def op9_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Tokens of all documents, and whether they exceed 4096."""
