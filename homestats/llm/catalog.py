@@ -13,7 +13,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from homestats.llm import linededup, mixing, packing, quality, secret_scan, tokencount, warc
+from homestats.llm import ann, linededup, mixing, packing, quality, secret_scan, tokencount, warc
 from homestats.llm.common import scratch_path, table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -97,6 +97,12 @@ def op4_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.select("doc_id", "n_lines", "n_dropped", F.sha2(F.col("text"), 256).alias("kept_sha256"))
 
 
+@query("op2_nearest_neighbours")
+def op2_nearest_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The 20 nearest of all vectors to each vector whose id is divisible by 20, by learned partitions."""
+    return ann.search(table(spark, sf_dir, "embeddings"), lambda i: i % 20 == 0)
+
+
 @query("op3_secret_scan")
 def op3_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Spans of secrets in all documents: the base patterns, and runs of at most 2 characters per token."""
