@@ -13,7 +13,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from homestats.llm import ann, linededup, mixing, packing, quality, secret_scan, tokencount, warc
+from homestats.llm import ann, linededup, mixing, neardup, packing, quality, secret_scan, tokencount, warc
 from homestats.llm.common import scratch_path, table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -171,3 +171,9 @@ def op9_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
         tokencount.token_count(F.col("text"), public_tokenizers.path("piece_bpe_32k.model")).alias("n_tokens"),
     )
     return counted.withColumn("over_limit", F.col("n_tokens") > 4096)
+
+
+@query("op10_near_duplicates")
+def op10_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The near-duplicate class of all documents, at a similarity of 0.8 or more."""
+    return neardup.near_duplicate_classes(table(spark, sf_dir, "documents"), 0.8)
