@@ -13,16 +13,24 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from homestats.llm import ann, linededup, mixing, neardup, packing, quality, secret_scan, tokencount, warc
+from homestats.llm import ann, linededup, mixing, neardup, packing, passages, quality, secret_scan, tokencount, warc
 from homestats.llm.common import scratch_path, table
 
+#: Bytes of a batch that goes to a Python worker: texts can be long.
+BATCH_BYTES = 32 << 20
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
 
 
 def query(name: str, oracle: str | None = None):
     def register(fn):
-        QUERIES[name] = fn
+        def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+            spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(BATCH_BYTES))
+            return fn(spark, sf_dir)
+
+        run.__name__, run.__doc__ = fn.__name__, fn.__doc__
+        QUERIES[name] = run
         if oracle is not None:
             ORACLES[name] = oracle
         return fn
@@ -161,6 +169,12 @@ def op7_warc_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+@query("op8_repeated_passages")
+def op8_repeated_passages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Passages of 50 words or more that documents repeat from others, at a similarity of 0.8 or more."""
+    return passages.repeated_passages(table(spark, sf_dir, "documents"))
+
+
 @query("op9_token_counts")
 def op9_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Tokens of all documents, and whether they exceed 4096."""
