@@ -167,16 +167,17 @@ class LabelModel:
 
     def posterior(self, ballots: list[Column]) -> Column:
         """Probability that a text is good."""
-        joint = []
-        for share, rules in zip(self.shares, self.votes, strict=True):
-            total = F.lit(share)
-            for ballot, (against, silent, in_favour) in zip(ballots, rules, strict=True):
-                total = total + F.when(ballot < 0, F.lit(against)).when(ballot > 0, F.lit(in_favour)).otherwise(F.lit(silent))
-            joint.append(total)
-        # as odds against, which can't overflow where the good class is impossible
-        top = F.greatest(*joint) if len(joint) > 1 else joint[0]
-        scaled = [F.exp(x - top) for x in joint]
-        return scaled[0] / sum(scaled[1:], scaled[0])
+        shares, log_votes = np.array(self.shares), np.array(self.votes)
+
+        @F.arrow_udf(T.DoubleType())
+        def p_good(cast: pa.Array) -> pa.Array:
+            joint = np.repeat(shares[None, :], len(cast), 0)
+            for rule, vote in enumerate(cast.flatten()):
+                joint += log_votes[:, rule, vote.to_numpy(zero_copy_only=False) + 1].T
+            odds = np.exp(joint - joint.max(1, keepdims=True))
+            return pa.array(odds[:, 0] / odds.sum(1), pa.float64())
+
+        return p_good(F.struct(*[b.alias(f"v{i}") for i, b in enumerate(ballots)]))
 
 
 def fit_label_model(patterns: np.ndarray, counts: np.ndarray, rounds: int = 200, smoothing: float = 0.5) -> LabelModel:
