@@ -231,7 +231,7 @@ class WarcWriter(DataSourceArrowWriter):
     """Writes rows ``(record_type, record_id, refers_to, target_uri, payload_sha1, payload_bytes, payload)``.
 
     ``payload_sha1`` is hexadecimal; a revisit's payload is null, its size and digest those of the
-    record it refers to. Each attempt of a task has a file of its own in ``_temporary``; only those
+    record it refers to. Each attempt of a task has a file of its own in a folder ``_temporary-...``; only those
     of the attempts that Spark accepts are moved to the folder.
     """
 
@@ -252,14 +252,14 @@ class WarcWriter(DataSourceArrowWriter):
 
     def write(self, iterator: Iterator[pa.RecordBatch]) -> Written:
         system, root = _file_system(self.path)
-        folder = f"{root}/_temporary/{self.job}"
+        folder = f"{root}/_temporary-{self.job}"
         path, out = f"{folder}/{uuid.uuid4().hex}.warc{'.gz' if self.zipped else ''}", None
         pack = gzip.compress if self.zipped else bytes
         for batch in iterator:
             for i in range(batch.num_rows):
                 if out is None:
                     system.create_dir(folder, recursive=True)
-                    out = system.open_output_stream(path)
+                    out = system.open_output_stream(path, compression=None)  # records are gzip members one by one
                     about = {"WARC-Record-ID": f"<urn:uuid:{uuid.uuid4()}>", "WARC-Date": self.date, "Content-Type": "application/warc-fields"}
                     out.write(pack(record_bytes("warcinfo", about, b"", b"format: WARC File Format 1.1\r\n")))
                 row = {n: batch.column(k)[i].as_py() for k, n in enumerate(batch.schema.names)}
@@ -290,8 +290,8 @@ class WarcWriter(DataSourceArrowWriter):
     def _clean(self, system, root: str) -> None:
         from pyarrow import fs
 
-        if system.get_file_info(f"{root}/_temporary/{self.job}").type == fs.FileType.Directory:
-            system.delete_dir(f"{root}/_temporary/{self.job}")
+        if system.get_file_info(f"{root}/_temporary-{self.job}").type == fs.FileType.Directory:
+            system.delete_dir(f"{root}/_temporary-{self.job}")
 
 
 class WarcDataSource(DataSource):
@@ -348,10 +348,10 @@ def page_records(pages: DataFrame, min_bytes: int = 0, page_id: str = "page_id",
     )
 
 
-def write_pages(pages: DataFrame, path: str, min_bytes: int = 0, **columns: str) -> None:
-    """Write a record per page to archives in the folder ``path``."""
+def write_pages(pages: DataFrame, path: str, min_bytes: int = 0, compression: str = "gzip", **columns: str) -> None:
+    """Write a record per page to archives in the folder ``path``, each record a gzip member unless ``compression`` is ``none``."""
     register(pages.sparkSession)
-    page_records(pages, min_bytes, **columns).write.format("warc").mode("append").save(path)
+    page_records(pages, min_bytes, **columns).write.format("warc").option("compression", compression).mode("append").save(path)
 
 
 def read_pages(spark: SparkSession, path: str, payload: bool = True) -> DataFrame:
