@@ -3,9 +3,10 @@
 Raw monthly exports arrive as text. Every operator coerces the columns it
 uses through these helpers, so that junk never raises under ANSI mode:
 
-* numbers: a regex guard, then ``try_cast``; NaN becomes null, so ``'1d'``,
-  ``'$5'`` and ``'NaN'`` are all null (pandas ``to_numeric(errors='coerce')``).
-* dates / timestamps: ``try_cast`` on ISO text; anything else is null.
+* numbers: a regex guard, then ``try_cast``; NaN and infinities become null, so
+  ``'1d'``, ``'$5'``, ``'NaN'`` and ``'1e400'`` are all null.
+* dates / timestamps: whole ISO text (a pattern guards against trailing junk), and
+  text in the ``formats`` the caller names; anything else is null.
 * flags: a predicate on missing data is 0, never null.
 """
 
@@ -19,6 +20,10 @@ from pyspark.sql import types as T
 # an optional fraction, optional exponent; surrounding blanks allowed).
 NUMBER_PATTERN = r"^\s*[+-]?(\d+\.?\d*|\.\d+)([eE][+-]?\d+)?\s*$"
 
+# Fixed value: the shape of ISO text, a date with an optional time of day and zone.
+ISO_PATTERN = r"^\d{4}-\d{1,2}(-\d{1,2}([T ]\d{1,2}:\d{1,2}(:\d{1,2}(\.\d+)?)?(\s*(Z|[+-]\d{1,2}(:?\d{2})?))?)?)?$"
+
+
 def _null_double() -> Column:
     return F.lit(None).cast("double")
 
@@ -46,11 +51,22 @@ def as_number(df: DataFrame, name: str) -> Column:
         c = c.cast("int").cast("double")
     else:
         return _null_double()
-    return F.nanvl(c, _null_double())
+    return F.when(F.abs(c) < F.lit(float("inf")), c)  # NaN is larger than any number
+
 
+def _parsed(c: Column, kind: str, formats) -> Column:
+    """Trimmed text as ``date`` or ``timestamp``: ISO, then each of ``formats`` in turn."""
+    text = F.trim(c)
+    parsed = [F.when(text.rlike(ISO_PATTERN), text.try_cast(kind))]
+    parsed += [F.try_to_timestamp(text, F.lit(f)).cast(kind) for f in formats]
+    return F.coalesce(*parsed)
 
-def as_date(df: DataFrame, name: str) -> Column:
-    """``name`` as DATE (ISO text, dates, timestamps); otherwise null."""
+
+def as_date(df: DataFrame, name: str, formats=()) -> Column:
+    """``name`` as DATE (ISO text or ``formats``, dates, timestamps); otherwise null.
+
+    ``formats`` are Spark datetime patterns (such as ``MM/dd/yyyy``), tried in order.
+    """
     if not has(df, name):
         return F.lit(None).cast("date")
     dt = _dtype(df, name)
@@ -60,12 +76,12 @@ def as_date(df: DataFrame, name: str) -> Column:
     if isinstance(dt, (T.TimestampType, T.TimestampNTZType)):
         return c.cast("date")
     if isinstance(dt, T.StringType):
-        return F.trim(c).try_cast("date")
+        return _parsed(c, "date", formats)
     return F.lit(None).cast("date")
 
 
-def as_timestamp(df: DataFrame, name: str) -> Column:
-    """``name`` as TIMESTAMP (session time zone); otherwise null."""
+def as_timestamp(df: DataFrame, name: str, formats=()) -> Column:
+    """``name`` as TIMESTAMP (session time zone; ISO text or ``formats``); otherwise null."""
     if not has(df, name):
         return F.lit(None).cast("timestamp")
     dt = _dtype(df, name)
@@ -75,7 +91,7 @@ def as_timestamp(df: DataFrame, name: str) -> Column:
     if isinstance(dt, (T.DateType, T.TimestampNTZType)):
         return c.cast("timestamp")
     if isinstance(dt, T.StringType):
-        return F.trim(c).try_cast("timestamp")
+        return _parsed(c, "timestamp", formats)
     return F.lit(None).cast("timestamp")
 
 
@@ -109,7 +125,7 @@ def round4(c: Column) -> Column:
     return round_half_even(c, 4)
 
 
-def typed_table(df: DataFrame, numeric=(), dates=(), timestamps=()) -> DataFrame:
+def typed_table(df: DataFrame, numeric=(), dates=(), timestamps=(), formats=()) -> DataFrame:
     """One projection coercing the declared, present fields (numbers, dates,
     timestamps); everything else is left as read. For a silver layer typed once."""
     conv = {}
@@ -118,8 +134,8 @@ def typed_table(df: DataFrame, numeric=(), dates=(), timestamps=()) -> DataFrame
             conv[name] = as_number(df, name)
     for name in dates:
         if has(df, name):
-            conv[name] = as_date(df, name)
+            conv[name] = as_date(df, name, formats)
     for name in timestamps:
         if has(df, name):
-            conv[name] = as_timestamp(df, name)
+            conv[name] = as_timestamp(df, name, formats)
     return df.withColumns(conv) if conv else df

@@ -60,13 +60,13 @@ def _parser(name: str):
     return as_timestamp if name in FD.TIMESTAMP_FIELDS else as_date
 
 
-def parse_dates(df: DataFrame, fields: Sequence[str]) -> DataFrame:
-    """Present date fields parsed in place (timestamps keep their time of day)."""
+def parse_dates(df: DataFrame, fields: Sequence[str], formats: Sequence[str] = ()) -> DataFrame:
+    """Present date fields parsed in place (timestamps keep their time of day); ``formats`` besides ISO text."""
     present = [f for f in fields if has(df, f)]
-    return df.withColumns({f: _parser(f)(df, f) for f in present})
+    return df.withColumns({f: _parser(f)(df, f, formats) for f in present})
 
 
-def date_parse_report(df: DataFrame, fields: Sequence[str]) -> DataFrame:
+def date_parse_report(df: DataFrame, fields: Sequence[str], formats: Sequence[str] = ()) -> DataFrame:
     """``(column_name, before_null, after_null, new_nulls)`` of parsing ``fields`` (one pass)."""
     present = [f for f in fields if has(df, f)]
     if not present:
@@ -75,7 +75,7 @@ def date_parse_report(df: DataFrame, fields: Sequence[str]) -> DataFrame:
     agg = df.agg(*[
         e for i, f in enumerate(present) for e in (
             F.count_if(F.col(f).isNull()).alias(f"_b{i}"),
-            F.count_if(_parser(f)(df, f).isNull()).alias(f"_a{i}"),
+            F.count_if(_parser(f)(df, f, formats).isNull()).alias(f"_a{i}"),
         )
     ])
     entries = F.array(*[
@@ -239,11 +239,12 @@ def clean(
     date_flags: bool,
     threshold: float = FD.HIGH_NULL_FRACTION,
     combine: str = "any",
+    formats: Sequence[str] = (),
 ) -> Cleaned:
     """prune -> parse dates -> date flags -> numeric flags -> any flag -> geo flags."""
     kept, dropped, dropped_names = _drop_high_null(df, threshold)
-    report = date_parse_report(kept, date_fields)
-    out = parse_dates(kept, date_fields)
+    report = date_parse_report(kept, date_fields, formats)
+    out = parse_dates(kept, date_fields, formats)
     dflags: list[str] = []
     if date_flags:
         cols = date_flag_columns(out)

@@ -20,11 +20,8 @@ task's memory grows with the data. This operator keeps every step bounded:
 
 Null values are ignored; groups with no values produce no rows.
 
-Small inputs take a fast path: when Catalyst's size estimate of the input is
-at most ``IN_TASK_MAX_BYTES`` (the same kind of checked bound Spark uses to
-decide a broadcast), every distinct value of even the largest group provably
-fits one task, and the built-in ``percentile`` aggregate is used directly.
-Unknown or large estimates always take the distributed path.
+No size estimate chooses the path: every query takes the distributed one. A
+caller who knows its groups to be small may ask for ``method="in_task"``.
 """
 
 from __future__ import annotations
@@ -39,28 +36,13 @@ from homestats.session import scratch_path
 
 _V, _N, _PID, _PCUM = "_q_v", "_q_n", "_q_pid", "_q_pcum"
 
-# Largest estimated input (bytes) whose quantiles may be computed inside one task.
-IN_TASK_MAX_BYTES = 16 * 1024 * 1024
-_CONF_KEY = "homestats.quantile.inTaskMaxBytes"
-
-
-def estimated_bytes(df: DataFrame) -> int | None:
-    """Catalyst's size estimate of ``df`` (planning only, no job); None if unavailable."""
-    try:
-        return int(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes())
-    except Exception:  # noqa: BLE001 - e.g. Spark Connect has no JVM handle
-        return None
-
-
-def _in_task_is_safe(df: DataFrame) -> bool:
-    limit = int(df.sparkSession.conf.get(_CONF_KEY, str(IN_TASK_MAX_BYTES)))
-    size = estimated_bytes(df)
-    return size is not None and size <= limit
+# Distinct (group, value) rows of one chunk: what a task sorts and counts at a time.
+CHUNK_ROWS = 1_000_000
 
 
 def _in_task_quantiles(df: DataFrame, value: str, probs: list[float], by: list[str],
                        prob_col: str, out_col: str) -> DataFrame:
-    """Built-in ``percentile`` per group (only for inputs proven small)."""
+    """Built-in ``percentile`` per group: a task holds all distinct values of a group."""
     qs = (
         df.where(F.col(value).isNotNull())
         .groupBy(*by)
@@ -95,9 +77,16 @@ def _running_count():
     return run_chunk
 
 
-def chunk_table(df: DataFrame, value: str, by: Sequence[str], chunks: int) -> DataFrame:
+def chunk_table(df: DataFrame, value: str, by: Sequence[str], chunks: int | None = None,
+                chunk_rows: int = CHUNK_ROWS) -> DataFrame:
     """Steps 1-3: distinct ``(group, value, n)`` rows in ordered chunks with the chunk
-    id and the running count, written to the shared checkpoint folder and read back."""
+    id and the running count, written to the shared checkpoint folder and read back.
+
+    The pairs are written first, so that finding the ranges and dealing rows out to
+    them doesn't compute the input twice. There is a chunk per ``chunk_rows`` pairs,
+    or a chunk per shuffle partition if those are more; both only set the number
+    of tasks. Two jobs run here.
+    """
     spark = df.sparkSession
     by = list(by)
     pairs = (
@@ -106,14 +95,19 @@ def chunk_table(df: DataFrame, value: str, by: Sequence[str], chunks: int) -> Da
         .groupBy(*by, _V)
         .agg(F.count(F.lit(1)).alias(_N))
     )
-    ordered = pairs.repartitionByRange(chunks, *by, _V).sortWithinPartitions(*by, _V)
+    stored_path = scratch_path(spark, "quantile-pairs")
+    pairs.write.parquet(stored_path)
+    stored = spark.read.schema(pairs.schema).parquet(stored_path)
+    if chunks is None:
+        chunks = max(int(spark.conf.get("spark.sql.shuffle.partitions")), -(-stored.count() // chunk_rows))
+    ordered = stored.repartitionByRange(chunks, *by, _V).sortWithinPartitions(*by, _V)
     out_schema = T.StructType(
         list(pairs.schema.fields)
         + [T.StructField(_PID, T.IntegerType(), False), T.StructField(_PCUM, T.LongType(), False)]
     )
     path = scratch_path(spark, "quantile")
     ordered.mapInPandas(_running_count(), out_schema).write.parquet(path)
-    return spark.read.parquet(path)
+    return spark.read.schema(out_schema).parquet(path)
 
 
 def exact_quantiles(
@@ -124,33 +118,30 @@ def exact_quantiles(
     prob_col: str = "p",
     out_col: str = "q",
     num_chunks: int | None = None,
-    method: str = "auto",
+    method: str = "distributed",
     accuracy: int = 10000,
 ) -> DataFrame:
     """Long result ``(*by, p, q)``: the exact quantile ``q`` of ``value`` per group.
 
     ``value`` must already be numeric (use ``as_number``); ``by`` may be empty.
     Matches pandas / numpy ``quantile(interpolation='linear')``.
-    ``method``: ``auto`` (size-checked choice), ``distributed`` or ``in_task``;
+    ``method``: ``distributed`` or, for groups known to be small, ``in_task``;
     ``approx`` opts out of exactness for a mergeable ``percentile_approx`` sketch
     (bounded memory per group, rank error about n / ``accuracy``, no interpolation).
     """
-    spark = df.sparkSession
     by = list(by)
     probs = [float(p) for p in probs]
-    if method not in ("auto", "distributed", "in_task", "approx"):
-        raise ValueError("method must be auto, distributed, in_task or approx")
+    if method not in ("distributed", "in_task", "approx"):
+        raise ValueError("method must be distributed, in_task or approx")
     if method == "approx":
         qs = df.where(F.col(value).isNotNull()).groupBy(*by).agg(
             F.percentile_approx(F.col(value).cast("double"), [float(p) for p in probs], accuracy).alias("_qs"))
         plist = F.array(*[F.lit(float(p)) for p in probs])
         return qs.select(*by, F.posexplode("_qs").alias("_pos", out_col)).select(
             *by, F.element_at(plist, F.col("_pos") + 1).alias(prob_col), F.col(out_col))
-    if method == "in_task" or (method == "auto" and _in_task_is_safe(df)):
+    if method == "in_task":
         return _in_task_quantiles(df, value, probs, by, prob_col, out_col)
-    chunks = num_chunks or int(spark.conf.get("spark.sql.shuffle.partitions"))
-
-    ranked = chunk_table(df, value, by, chunks)
+    ranked = chunk_table(df, value, by, num_chunks)
 
     # Per (chunk, group): rows in the chunk and the running count where it starts.
     seg = ranked.groupBy(_PID, *by).agg(
@@ -207,7 +198,7 @@ def quantile_columns(
     value: str,
     named_probs: dict[str, float],
     by: Sequence[str] = (),
-    method: str = "auto",
+    method: str = "distributed",
 ) -> DataFrame:
     """Wide result: one row per group, one column per named quantile."""
     by = list(by)

@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 from homestats.functions.coerce import round_half_even
 
 from homestats.functions import fields as FD
-from homestats.sources.tables import BOMS, MULTILINE_MAX_BYTES
+from homestats.sources.tables import BOMS, csv_reader
 
 _FILES_SCHEMA = "path string, name string, source string, length long"
 
@@ -57,57 +57,64 @@ def classify_sources(files: DataFrame, rules: Sequence[tuple[str, str]] = FD.SOU
     )
 
 
-def _lines(spark: SparkSession, path: str, pattern: str, recursive: bool) -> DataFrame:
-    """Physical lines of every file, with the split they came from and a row id.
+def _lines(spark: SparkSession, path, pattern: str, recursive: bool, encoding: str) -> DataFrame:
+    """Physical lines of every file, decoded, with the split they came from and a row id.
 
-    Line splitting and header names are byte-level (ASCII names, newline
-    bytes), so the text source serves any ASCII-compatible encoding; values are
-    decoded with the right charset by ``read_table``. Files are read in splits,
-    never as one in-memory row per file.
+    Lines are split at newline bytes, so any ASCII-compatible encoding does. Files
+    are read in splits, never as one in-memory row per file.
     """
     reader = spark.read.option("pathGlobFilter", pattern).option("recursiveFileLookup", str(bool(recursive)).lower())
     return reader.text(path).select(
-        F.col("_metadata.file_path").alias("path"), "value",
+        F.col("_metadata.file_path").alias("path"), F.decode(F.col("value").cast("binary"), encoding).alias("value"),
         F.col("_metadata.file_block_start").alias("_start"), F.monotonically_increasing_id().alias("_seq"),
     )
 
 
+# Fixed value: a CSV cell, quoted (quotes inside doubled) or plain, and what ends it.
+_CELL = r'("(?:[^"]|"")*"|[^,]*)(?:,|$)'
+
+
 def _clean_header(line):
+    """Cells of a header line: quoted names may hold commas and doubled quotes."""
     for b in BOMS:
         line = F.regexp_replace(line, "^" + b, "")
-    cells = F.split(line, ",")
-    return F.transform(cells, lambda c: F.regexp_replace(F.trim(c), '^"|"$', ""))
+    # a closing comma keeps the last cell's end apart from the empty match after it
+    cells = F.regexp_extract_all(F.concat(F.rtrim(line, F.lit("\r")), F.lit(",")), F.lit(_CELL), 1)
+    cells = F.slice(cells, F.lit(1), F.size(cells) - 1)
+    quoted = lambda c: F.replace(F.substring(c, F.lit(2), F.length(c) - 2), F.lit('""'), F.lit('"'))
+    return F.transform(cells, lambda c: F.trim(F.when(c.rlike('^".*"$'), quoted(c)).otherwise(c)))
 
 
-def file_headers(spark: SparkSession, path: str, pattern: str = "*.csv", recursive: bool = False, encoding: str = "UTF-8") -> DataFrame:
-    """``(path, header)``: the first line of every file split into column names.
+def file_headers(spark: SparkSession, path, pattern: str = "*.csv", recursive: bool = False, encoding: str = "UTF-8") -> DataFrame:
+    """``(path, header)``: the first line of every file as column names.
 
     The first line is the lowest row id within the split starting at byte 0;
     each file's rows are contiguous and ordered inside its partition.
     """
-    lines = _lines(spark, path, pattern, recursive)
+    lines = _lines(spark, path, pattern, recursive, encoding)
     first = lines.where(F.col("_start") == 0).groupBy("path").agg(F.min_by("value", "_seq").alias("line"))
     return first.select("path", _clean_header(F.col("line")).alias("header"))
 
 
 def file_overview(spark: SparkSession, path: str, pattern: str = "*.csv", recursive: bool = False,
-                  encoding: str = "UTF-8", rules: Sequence[tuple[str, str]] = FD.SOURCE_CLASSES, on: str = "source") -> DataFrame:
+                  encoding: str = "UTF-8", rules: Sequence[tuple[str, str]] = FD.SOURCE_CLASSES, on: str = "source",
+                  multi_line: bool = True) -> DataFrame:
     """Per file and class: size in MB, physical data lines (lines - 1, as a line
     count reports them), parsed records (quoted newlines and blank lines handled),
-    column count; plus one ``TOTAL`` row per class (a rollup)."""
-    files = classify_sources(list_sources(spark, path, pattern, recursive), rules, on)
-    sizes = list_sources(spark, path, pattern, recursive).select("path", "length")
-    lines = _lines(spark, path, pattern, recursive).groupBy("path").agg(F.count(F.lit(1)).alias("lines"))
-    heads = file_headers(spark, path, pattern, recursive, encoding).select("path", F.size("header").alias("columns"))
-    # record-aware parse only while every file is small enough to be one task
-    largest = sizes.agg(F.max("length")).first()[0] or 0
+    column count; plus one ``TOTAL`` row per class (a rollup).
+
+    Lines and header come from one scan of the files, records from one parse."""
+    listed = list_sources(spark, path, pattern, recursive)
+    files = classify_sources(listed, rules, on)
+    lines = _lines(spark, path, pattern, recursive, encoding).groupBy("path").agg(
+        F.count(F.lit(1)).alias("lines"), F.min_by("value", F.struct("_start", "_seq")).alias("line")
+    ).select("path", "lines", F.size(_clean_header(F.col("line"))).alias("columns"))
     parsed = (
-        spark.read.option("header", True).option("multiLine", largest <= MULTILINE_MAX_BYTES)
-        .option("encoding", encoding)
+        csv_reader(spark, encoding, multi_line)
         .option("pathGlobFilter", pattern).option("recursiveFileLookup", str(bool(recursive)).lower())
         .csv(path).groupBy(F.col("_metadata.file_path").alias("path")).agg(F.count(F.lit(1)).alias("parsed"))
     )
-    per = files.join(sizes, "path").join(lines, "path", "left").join(heads, "path", "left").join(parsed, "path", "left")
+    per = files.join(listed.select("path", "length"), "path").join(lines, "path", "left").join(parsed, "path", "left")
     per = per.select(
         "class", "path", "source", F.col("length").alias("bytes"),
         (F.coalesce(F.col("lines"), F.lit(0)) - 1).alias("rows"),
@@ -127,16 +134,17 @@ def file_overview(spark: SparkSession, path: str, pattern: str = "*.csv", recurs
 
 def header_consistency(spark: SparkSession, path: str, pattern: str = "*.csv", recursive: bool = False,
                        encoding: str = "UTF-8", rules: Sequence[tuple[str, str]] = FD.SOURCE_CLASSES, on: str = "source") -> DataFrame:
-    """Per class: distinct column *sets*, files per set, extra / missing columns
-    versus the set of the class's first file (by path)."""
+    """Per class: distinct column *sets*, files per set, the set's first file, extra /
+    missing columns versus the set of the class's first file (by path).
+
+    Files are counted, not listed: a row stays small however many files share a set."""
     heads = file_headers(spark, path, pattern, recursive, encoding)
     files = classify_sources(list_sources(spark, path, pattern, recursive), rules, on)
     per = files.join(heads, "path").select("class", "path", F.array_sort(F.array_distinct("header")).alias("cols"))
-    sets = per.groupBy("class", "cols").agg(F.sort_array(F.collect_list("path")).alias("files"))
-    base = per.groupBy("class").agg(F.min_by("cols", "path").alias("_base"))
-    # per-class tables: one row per distinct header set, bounded by the number of files
+    sets = per.groupBy("class", "cols").agg(F.count(F.lit(1)).alias("n_files"), F.min("path").alias("first_file"))
+    base = sets.groupBy("class").agg(F.min_by("cols", "first_file").alias("_base"))
     return sets.join(base, "class").select(
-        "class", F.size("cols").alias("n_columns"), F.size("files").alias("n_files"), "files",
+        "class", F.size("cols").alias("n_columns"), "n_files", "first_file",
         F.array_except("cols", "_base").alias("extra"), F.array_except("_base", "cols").alias("missing"),
         (F.col("cols") == F.col("_base")).alias("is_base"),
     )

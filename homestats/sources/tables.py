@@ -15,9 +15,6 @@ from homestats.functions import fields as FD
 # (UTF-8 decoded, and UTF-8 bytes decoded as Latin-1).
 BOMS = ["﻿", "ï»¿"]
 
-# Largest file parsed record-aware (``multiLine``): such a file is one task.
-MULTILINE_MAX_BYTES = 1 << 30
-
 
 def union_by_name(dfs: Sequence[DataFrame]) -> DataFrame:
     """Union aligning columns by name; columns missing on one side become null."""
@@ -42,70 +39,63 @@ def normalise_nulls(df: DataFrame, tokens: Sequence[str] = FD.NULL_TOKENS) -> Da
     return df.withColumns(conv) if conv else df
 
 
-def read_csv_group(spark: SparkSession, paths: Sequence[str], encoding: str = "UTF-8", multi_line: bool = True) -> DataFrame:
-    """All-text read of files sharing one header; the source file name is kept."""
-    df = (
+def csv_reader(spark: SparkSession, encoding: str, multi_line: bool):
+    """A text-typed CSV reader with a header; quotes inside a quoted cell are doubled (``"a ""b"" c"``)."""
+    return (
         spark.read.option("header", True)
         .option("multiLine", multi_line)
         .option("encoding", encoding)
+        .option("quote", '"').option("escape", '"')
         .option("inferSchema", False)
         .option("mode", "PERMISSIVE")
-        .csv(list(paths))
     )
+
+
+def read_csv_group(spark: SparkSession, paths: Sequence[str], encoding: str = "UTF-8", multi_line: bool = True) -> DataFrame:
+    """All-text read of files sharing one header; the source file name is kept."""
+    df = csv_reader(spark, encoding, multi_line).csv(list(paths))
     df = df.toDF(*[_strip_bom(c) for c in df.columns])
     return df.withColumns({"source_file": F.col("_metadata.file_name"), "source_path": F.col("_metadata.file_path")})
 
 
 def read_table(
     spark: SparkSession,
-    path: str,
+    path: str | Sequence[str],
     pattern: str = "*.csv",
     recursive: bool = False,
     encoding: str = "UTF-8",
     null_tokens: Sequence[str] = FD.NULL_TOKENS,
-    multi_line: bool | None = None,
-    multi_line_max_bytes: int = MULTILINE_MAX_BYTES,
+    multi_line: bool = True,
 ) -> DataFrame:
-    """Read a folder of CSV exports as one text table.
+    """Read a folder (or a list of files) of CSV exports as one text table.
 
-    Files are grouped by their *ordered* header (a small scan of first lines,
-    one row per file), each group is read on its own and the groups are unioned
-    by name — a positional multi-file read would scramble reordered headers.
+    Files are grouped by their *ordered* header, each group is read on its own and
+    the groups are unioned by name: a positional multi-file read would scramble
+    reordered headers. One job scans the headers; its result, a path per file, is
+    what Spark's own reader keeps on the driver as well.
 
-    ``multi_line``: record-aware parsing keeps quoted line breaks inside one
-    record but reads each file as one task. ``None`` (auto) uses it for a
-    header group whose largest file is at most ``multi_line_max_bytes`` and
-    otherwise splits files by line so a huge file is parsed in parallel (a
-    quoted line break inside such a file would then split its record).
+    ``multi_line`` (default): a quoted line break stays inside its record, and a file
+    is one task. With ``False`` files are split by line, for exports known to hold no
+    quoted line break; the choice is the caller's and never follows from a file's size.
     """
-    from homestats.sources.files import file_headers, list_sources
-
-    sizes = list_sources(spark, path, pattern, recursive).select("path", "length")
-    groups = (
-        file_headers(spark, path, pattern, recursive, encoding)
-        .join(sizes, "path")
-        .groupBy("header")
-        .agg(F.sort_array(F.collect_list("path")).alias("paths"), F.max("length").alias("largest"))
-        .orderBy(F.element_at("paths", 1))
-        .collect()  # one row per distinct header: bounded by the number of files
-    )
+    from homestats.sources.files import file_headers
+
+    groups: dict[tuple, list[str]] = {}
+    for r in file_headers(spark, path, pattern, recursive, encoding).orderBy("path").toLocalIterator():
+        groups.setdefault(tuple(r["header"]), []).append(r["path"])
     if not groups:
         return spark.createDataFrame([], "source_file string")
-    parts = [
-        read_csv_group(spark, g["paths"], encoding,
-                       multi_line if multi_line is not None else g["largest"] <= multi_line_max_bytes)
-        for g in groups
-    ]
+    parts = [read_csv_group(spark, paths, encoding, multi_line) for paths in groups.values()]
     return normalise_nulls(union_by_name(parts), null_tokens)
 
 
 def write_table(df: DataFrame, path: str, fmt: str = "csv", mode: str = "overwrite", partition_by: Sequence[str] = ()) -> str:
-    """Write a dataset (CSV with header, or Parquet); returns the path."""
+    """Write a dataset (CSV with header, quotes doubled, or Parquet); returns the path."""
     w = df.write.mode(mode)
     if partition_by:
         w = w.partitionBy(*partition_by)
     if fmt == "csv":
-        w.option("header", True).csv(path)
+        w.option("header", True).option("quote", '"').option("escape", '"').csv(path)
     elif fmt == "parquet":
         w.parquet(path)
     else:

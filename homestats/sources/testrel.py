@@ -71,35 +71,15 @@ GROUP BY CAST(o_orderdate AS DATE)
 RELATION_SQL = {"sold": SOLD_SQL, "listed": LISTED_SQL, "rates": RATES_SQL}
 
 
-def spread(df: DataFrame) -> DataFrame:
-    """Round-robin a scan that has fewer splits than the cluster has cores.
-
-    A file written as one row group scans as one task, and every narrow
-    operator above it (here five broadcast joins) would run in that task.
-    Inputs large enough to matter arrive in many splits and pass unchanged.
-    Counting splits only plans the scan; no job runs.
-    """
-    try:
-        want = df.sparkSession.sparkContext.defaultParallelism
-        have = df.rdd.getNumPartitions()
-    except Exception:  # noqa: BLE001 - no RDD view (e.g. Spark Connect): leave the scan as is
-        return df
-    return df.repartition(want) if have < want else df
-
-
-# Fact tables whose scans feed the derivation joins (spread when under-split).
-_SPREAD = {"lineitem", "orders"}
-
-
-def base_tables(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
-    """Lazy parquet scans of the driver tables (pruning/pushdown left to Catalyst)."""
-    tables = {t: spark.read.parquet(f"{sf_dir.rstrip('/')}/{t}.parquet") for t in BASE_TABLES}
-    return {t: (spread(df) if t in _SPREAD else df) for t, df in tables.items()}
+def base_tables(spark: SparkSession, sf_dir: str, names=tuple(BASE_TABLES)) -> dict[str, DataFrame]:
+    """Lazy parquet scans of the named driver tables (pruning/pushdown left to Catalyst)."""
+    return {t: spark.read.parquet(f"{sf_dir.rstrip('/')}/{t}.parquet") for t in names}
 
 
 def relation(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     """One derived relation (``sold``, ``listed`` or ``rates``) as a lazy DataFrame."""
-    tables = base_tables(spark, sf_dir)
+    used = [t for t in BASE_TABLES if f"{{{t}}}" in RELATION_SQL[name]]  # only these are opened
+    tables = base_tables(spark, sf_dir, used)
     return spark.sql(RELATION_SQL[name], **tables)
 
 

@@ -15,16 +15,11 @@ from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from homestats.functions import fields as FD
 from homestats.operators.clean import any_flag, date_flag_columns, geo_flag_columns, parse_dates, rule_columns
 from homestats.operators.profile import filter_category
-
-
-def text_schema(columns: Sequence[str]) -> T.StructType:
-    """All-text schema for CSV exports (file streams need a declared schema)."""
-    return T.StructType([T.StructField(c, T.StringType(), True) for c in columns])
+from homestats.sources.tables import read_table
 
 
 def flag_stream(
@@ -57,25 +52,43 @@ def ingest_once(
     checkpoint_dir: str,
     pattern: str = "*.csv",
     max_files_per_trigger: int | None = None,
+    encoding: str = "UTF-8",
+    null_tokens: Sequence[str] = FD.NULL_TOKENS,
+    multi_line: bool = True,
     **flag_kw,
 ) -> None:
-    """Process every file not yet seen under ``source_dir``, then stop (``availableNow``)."""
+    """Process every file not yet seen under ``source_dir``, then stop (``availableNow``).
+
+    The stream carries the new files' paths only (contents aren't read by it). Each
+    micro-batch reads its files as ``read_table`` does: by their own headers, aligned
+    by name, with the given encoding, byte-order marks and null tokens handled. Of a
+    file's columns the declared ``columns`` are kept, absent ones are null. A batch is
+    written to its own ``batch_id=`` folder and overwrites it when it is run again, so a
+    restart neither loses nor repeats rows.
+    """
     reader = (
-        spark.readStream.schema(text_schema(columns))
-        .option("header", True)
-        .option("multiLine", True)
+        spark.readStream.format("binaryFile")
+        .schema("path string, modificationTime timestamp, length long, content binary")
         .option("pathGlobFilter", pattern)
         .option("recursiveFileLookup", "true")
     )
     if max_files_per_trigger:
         reader = reader.option("maxFilesPerTrigger", max_files_per_trigger)
-    stream = reader.csv(source_dir).withColumn("source_file", F.col("_metadata.file_name"))
-    flagged = flag_stream(stream, **flag_kw)
+
+    def write_batch(batch: DataFrame, batch_id: int) -> None:
+        paths = [r["path"] for r in batch.toLocalIterator()]  # new file names, bounded by max_files_per_trigger
+        if not paths:
+            return
+        rows = read_table(batch.sparkSession, paths, "*", False, encoding, null_tokens, multi_line)
+        aligned = rows.select(
+            *[F.col(f"`{c}`") if c in rows.columns else F.lit(None).cast("string").alias(c) for c in columns], "source_file"
+        )
+        flag_stream(aligned, **flag_kw).write.mode("overwrite").parquet(f"{sink_dir}/batch_id={batch_id}")
+
     query = (
-        flagged.writeStream.format("parquet")
-        .option("path", sink_dir)
+        reader.load(source_dir).select("path")
+        .writeStream.foreachBatch(write_batch)
         .option("checkpointLocation", checkpoint_dir)
-        .outputMode("append")
         .trigger(availableNow=True)
         .start()
     )

@@ -56,12 +56,32 @@ def test_read_table_aligns_by_name(spark, export_dir):
     assert rows["1"]["source_file"] == "ExportSold202401.csv"
 
 
-def test_read_table_line_split_for_large_files(spark, export_dir):
-    # forcing the size bound to 0 makes every group line-split: parallel, but a quoted
-    # line break then splits its record (documented trade-off)
-    df = TB.read_table(spark, export_dir, pattern="ExportSold*.csv", multi_line_max_bytes=0)
-    keys = [r["ListingKey"] for r in df.collect()]
-    assert "1" in keys and "5" in keys and len(keys) > 6
+def test_doubled_quotes_and_quoted_names(spark):
+    d = tempfile.mkdtemp(prefix="homestats-quotes-")
+    with open(os.path.join(d, "ExportSold202401.csv"), "w", encoding="utf-8") as f:
+        f.write('ListingKey,"City, State","The ""Addr""",ClosePrice\n1,"Pasadena, CA","The ""Oaks"", Unit 2",100\n')
+    heads = FI.file_headers(spark, d).first()["header"]
+    assert heads == ["ListingKey", "City, State", 'The "Addr"', "ClosePrice"]
+    row = TB.read_table(spark, d).first()
+    assert (row["City, State"], row['The "Addr"'], row["ClosePrice"]) == ("Pasadena, CA", 'The "Oaks", Unit 2', "100")
+    back = TB.write_table(spark.createDataFrame([('a "b", c', 'x\ny')], "s string, t string"), d + "/out", "csv")
+    again = TB.read_table(spark, back).first()
+    assert (again["s"], again["t"]) == ('a "b", c', "x\ny")
+
+
+def test_line_split_is_the_callers_choice(spark, export_dir):
+    # without quoted line breaks both ways give the same rows
+    whole = TB.read_table(spark, export_dir, pattern="ExportSold202402.csv")
+    split = TB.read_table(spark, export_dir, pattern="ExportSold202402.csv", multi_line=False)
+    assert sorted(map(str, whole.collect())) == sorted(map(str, split.collect()))
+
+
+def test_latin1_headers(spark):
+    d = tempfile.mkdtemp(prefix="homestats-latin1h-")
+    with open(os.path.join(d, "ExportSold202404.csv"), "w", encoding="latin-1") as f:
+        f.write("ListingKey,Cañada\r\n1,ñ\r\n")
+    assert FI.file_headers(spark, d, encoding="ISO-8859-1").first()["header"] == ["ListingKey", "Cañada"]
+    assert TB.read_table(spark, d, encoding="ISO-8859-1").first()["Cañada"] == "ñ"
 
 
 def test_latin1(spark):

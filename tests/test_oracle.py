@@ -68,19 +68,3 @@ def test_matches_oracle(spark, con, name):
     a = sorted(tuple(_norm(r[i]) for i in si) for r in rows)
     b = sorted(tuple(_norm(r[i]) for i in oi) for r in orows)
     assert a == b
-
-
-QUANTILE_QUERIES = ["top_counties_by_price", "numeric_stats", "numeric_distribution", "compact_stats",
-                    "close_price_summary", "dom_summary", "histogram_original_list_price", "boxplot_stats", "clip_p99"]
-
-
-@pytest.mark.parametrize("name", QUANTILE_QUERIES)
-def test_in_task_path_matches_oracle(spark, con, name):
-    """The same queries with the size-checked fast path forced on (the default run takes the distributed path)."""
-    from homestats.operators.quantiles import _CONF_KEY
-
-    spark.conf.set(_CONF_KEY, str(2 ** 62))
-    try:
-        test_matches_oracle(spark, con, name)
-    finally:
-        spark.conf.unset(_CONF_KEY)

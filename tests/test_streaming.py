@@ -38,3 +38,18 @@ def test_ingest_is_incremental(spark):
     new = [r for r in rows if r["ListingKey"] == "4"][0]
     assert new["ClosePrice_invalid_flag"] == 1 and new["geo_null_flag"] == 1
     assert new["source_file"] == "ExportSold202402.csv"
+
+
+def test_headers_are_aligned_by_name(spark):
+    base = tempfile.mkdtemp(prefix="homestats-stream-order-")
+    src, sink, ckpt = (os.path.join(base, x) for x in ("src", "sink", "ckpt"))
+    os.makedirs(src)
+    with open(os.path.join(src, "ExportSold202401.csv"), "w", encoding="utf-8-sig") as f:
+        f.write("ListingKey,PropertyType,ClosePrice,ListPrice\n1,Residential,100,90\n")
+    with open(os.path.join(src, "ExportSold202402.csv"), "w", encoding="utf-8") as f:
+        f.write('ListPrice,Extra,ClosePrice,PropertyType,ListingKey\n91,"a ""b"", c",NA,Residential,2\n')
+    ingest_once(spark, src, COLS, sink, ckpt)
+    rows = {r["ListingKey"]: r for r in spark.read.parquet(sink).collect()}
+    assert (rows["1"]["ClosePrice"], rows["1"]["ListPrice"]) == ("100", "90")
+    assert (rows["2"]["ClosePrice"], rows["2"]["ListPrice"]) == (None, "91")  # NA is a null token
+    assert rows["2"]["ListingContractDate"] is None
