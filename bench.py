@@ -41,6 +41,10 @@ HEADLINE = [
     "scorecard",
     "geo_validity",
     "features_price",
+    "file_overview",
+    "header_consistency",
+    "read_table",
+    "per_file_profile",
 ]
 
 
@@ -66,10 +70,11 @@ def main() -> None:
     )
     spark.sparkContext.setLogLevel("ERROR")
 
-    from homestats.session import ensure_checkpoint_dir, scratch_path
+    from homestats.session import ensure_checkpoint_dir, release_scratch, scratch_path
 
     ensure_checkpoint_dir(spark)  # the session's spark.checkpoint.dir; a local temp folder only if unset
     silver_root = scratch_path(spark, "silver")  # shared folder, not a machine-local temp dir
+    from homestats.plans import filequeries  # noqa: F401  (registers the file-side queries)
     from homestats.plans.catalog import BODIES, as_text_dates
     from homestats.plans.relations import Relations
     from homestats.sources.testrel import relation
@@ -99,16 +104,6 @@ def main() -> None:
         run(name)
         times[name] = time.perf_counter() - t
 
-    # the flagship once more with the range-partitioned quantile forced (the path
-    # inputs beyond the in-task size bound take); reported apart from the total
-    from homestats.operators.quantiles import _CONF_KEY
-
-    spark.conf.set(_CONF_KEY, "0")
-    t = time.perf_counter()
-    run("top_counties_by_price")
-    distributed = time.perf_counter() - t
-    spark.conf.unset(_CONF_KEY)
-
     total = sum(times.values())
     print(json.dumps({
         "metric": "total_seconds_headline_queries",
@@ -116,9 +111,9 @@ def main() -> None:
         "unit": "sec",
         "queries": {k: round(v, 3) for k, v in times.items()},
         "sf": os.path.basename(sf_dir.rstrip("/")).replace("sf", ""),
-        "top_counties_by_price_distributed_path": round(distributed, 3),
         "cpus": int(cpus),
     }))
+    release_scratch(spark)
     spark.stop()
 
 

@@ -182,7 +182,9 @@ def compact_stats(df: DataFrame, source_col: str, fields: Sequence[str] = FD.COM
         (F.count(F.lit(1)) - F.count("v")).alias("nulls"), F.count("v").alias("_n"),
     ).where(F.col("_n") > 0)
     med = quantile_columns(longf, "v", {"median": 0.5}, by)
-    return base.join(med, by, "inner").select(*by, "min", round4(F.col("median")).alias("median"), "max", "nulls")
+    med = med.withColumnsRenamed({source_col: "_source", "field": "_field"})  # a null source is a source
+    same = F.col(source_col).eqNullSafe(F.col("_source")) & (F.col("field") == F.col("_field"))
+    return base.join(med, same, "inner").select(*by, "min", round4(F.col("median")).alias("median"), "max", "nulls")
 
 
 def _rule_predicate(v: Column, kind: str, bound: float) -> Column:

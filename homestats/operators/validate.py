@@ -157,6 +157,23 @@ def per_source_profile(
     )
 
 
+def per_source_critical(
+    df: DataFrame, source_col: str, critical=FD.FILE_CRITICAL_FIELDS, limit_pct: float = FD.CRITICAL_NULL_PCT
+) -> DataFrame:
+    """``(source, field, null_pct)`` of the present critical fields over the null limit, per source."""
+    present = [c for c in critical if has(df, c)]
+    if not present:
+        return df.select(source_col, F.lit("").alias("field"), F.lit(0.0).alias("null_pct")).limit(0)
+    n = F.count(F.lit(1))
+    share = [F.try_divide(F.count_if(F.col(c).isNull()) * F.lit(100.0), n.cast("double")) for c in present]
+    counted = df.groupBy(source_col).agg(*[
+        F.struct(F.lit(c).alias("field"), x.alias("raw"), pct(F.count_if(F.col(c).isNull()), n).alias("null_pct")).alias(f"_f{i}")
+        for i, (c, x) in enumerate(zip(present, share, strict=True))
+    ])
+    long = counted.select(source_col, F.inline(F.array(*[F.col(f"_f{i}") for i in range(len(present))])))
+    return long.where(F.col("raw") > limit_pct).select(source_col, "field", "null_pct")
+
+
 def per_source_type_mix(df: DataFrame, source_col: str, col: str = FD.PROPERTY_TYPE_COLUMN) -> DataFrame:
     """Per source: value counts of ``col`` (nulls left out) with pct of the source's rows.
 
@@ -172,7 +189,9 @@ def per_source_type_mix(df: DataFrame, source_col: str, col: str = FD.PROPERTY_T
         .groupBy(source_col, F.col(col).alias("value"))
         .agg(F.count(F.lit(1)).alias("n"))
     )
-    return counts.join(totals, source_col).select(source_col, "value", "n", pct(F.col("n"), F.col("_rows")).alias("pct"))
+    totals = totals.withColumnRenamed(source_col, "_source")  # a null source is a source
+    joined = counts.join(totals, F.col(source_col).eqNullSafe(F.col("_source")))
+    return joined.select(source_col, "value", "n", pct(F.col("n"), F.col("_rows")).alias("pct"))
 
 
 def dataset_summary(df: DataFrame, source_col: str, date_col: str) -> DataFrame:

@@ -64,7 +64,25 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     return sc.getCheckpointDir() or configured
 
 
+_SCRATCH: list[str] = []
+
+
 def scratch_path(spark: SparkSession, name: str) -> str:
-    """A fresh path under the shared checkpoint folder for an intermediate table."""
+    """A fresh path under the shared checkpoint folder for an intermediate table.
+
+    Results may read such tables until they are written out; ``release_scratch``
+    removes them all when the application is done with its results.
+    """
     base = ensure_checkpoint_dir(spark).rstrip("/")
-    return f"{base}/homestats-{name}-{uuid.uuid4().hex}"
+    path = f"{base}/homestats-{name}-{uuid.uuid4().hex}"
+    _SCRATCH.append(path)
+    return path
+
+
+def release_scratch(spark: SparkSession) -> None:
+    """Delete the intermediate tables this application wrote (results that read them end, too)."""
+    jvm = spark.sparkContext._jvm
+    conf = spark.sparkContext._jsc.hadoopConfiguration()
+    while _SCRATCH:
+        path = jvm.org.apache.hadoop.fs.Path(_SCRATCH.pop())
+        path.getFileSystem(conf).delete(path, True)

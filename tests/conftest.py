@@ -21,10 +21,11 @@ def spark():
         .getOrCreate()
     )
     s.sparkContext.setLogLevel("ERROR")
-    from homestats.session import ensure_checkpoint_dir
+    from homestats.session import ensure_checkpoint_dir, release_scratch
 
     ensure_checkpoint_dir(s)  # keeps a configured spark.checkpoint.dir; a temp folder only when unset
     yield s
+    release_scratch(s)
     s.stop()
 
 
