@@ -35,59 +35,76 @@ def _per_field(table: DataFrame, value) -> "Column":
     return table.agg(F.map_from_entries(F.collect_list(F.struct(F.col("field"), value)))).scalar()
 
 
-def _clipped_long(df: DataFrame, fields: Sequence[str], q: float) -> DataFrame:
-    """``(field, v)`` of non-null values, each field capped at its own ``q`` quantile."""
-    longf = numeric_long(df, fields).where(F.col("v").isNotNull())
-    caps = _per_field(exact_quantiles(longf, "v", [q], ["field"]), F.col("q"))
-    return longf.select("field", F.least(F.col("v"), F.element_at(caps, F.col("field"))).alias("v"))
+def _marks(longf: DataFrame, probs: Sequence[float], clip_q: float) -> DataFrame:
+    """Per field: its cap (the ``clip_q`` quantile) and the quantiles ``probs`` of the capped values.
 
+    One quantile run. Capping keeps the order of values, so a quantile of the
+    capped values lies between the two order statistics of the raw ones, capped.
+    """
+    wanted = sorted({*probs, clip_q})
+    q = exact_quantiles(longf, "v", wanted, ["field"], bounds=True).where(F.col("q").isNotNull())
+    entries = F.map_from_entries(F.collect_list(F.struct("p", F.struct("q", "lo", "hi", "frac"))))  # len(wanted) entries
+    per = q.groupBy("field").agg(entries.alias("at"))
+    per = per.withColumn("cap", F.element_at("at", F.lit(float(clip_q)))["q"])
 
-def histogram(df: DataFrame, col: str, bins: int = FD.HISTOGRAM_BINS, clip_q: float = FD.CLIP_QUANTILE) -> DataFrame:
-    """``(bin, lower, upper, n)`` for ``bins`` equal-width bins over the clipped values.
+    def capped(p: float):
+        at = F.element_at("at", F.lit(float(p)))
+        low, high = F.least(at["lo"], F.col("cap")), F.least(at["hi"], F.col("cap"))
+        return low + (high - low) * at["frac"]
+
+    return per.select("field", "cap", *[capped(p).alias(f"p{i}") for i, p in enumerate(probs)])
+
+
+def histograms(df: DataFrame, fields: Sequence[str] = FD.DISTRIBUTION_FIELDS, bins: int = FD.HISTOGRAM_BINS,
+               clip_q: float = FD.CLIP_QUANTILE) -> DataFrame:
+    """``(field, bin, lower, upper, n)``: equal-width bins over each field's clipped values.
 
     The last bin is closed on the right; all bins are present, empty ones with 0.
-    A constant column is widened by 0.5 on each side.
+    A constant field is widened by 0.5 on each side. Caps and ends of all fields come from
+    one quantile run (the smallest and largest values are its quantiles 0 and 1).
     """
-    spark = df.sparkSession
-    if not has(df, col):
-        return spark.createDataFrame([], "bin int, lower double, upper double, n long")
-    c = _clipped_long(df, [col], clip_q)
-    ends = c.agg(F.min("v").alias("lo"), F.max("v").alias("hi"))
-    same = F.col("lo") == F.col("hi")
+    longf = numeric_long(df, fields).where(F.col("v").isNotNull())
+    ends = _marks(longf, [0.0, 1.0], clip_q)
+    same = F.col("p0") == F.col("p1")
     ends = ends.select(
-        F.when(same, F.col("lo") - 0.5).otherwise(F.col("lo")).alias("lo"),
-        F.when(same, F.col("hi") + 0.5).otherwise(F.col("hi")).alias("hi"),
+        "field", "cap", (F.col("p0") - F.when(same, 0.5).otherwise(0.0)).alias("lo"), (F.col("p1") + F.when(same, 0.5).otherwise(0.0)).alias("hi")
     )
-    lo, hi = ends.select("lo").scalar(), ends.select("hi").scalar()
+    by_field = F.element_at(_per_field(ends, F.struct("cap", "lo", "hi")), F.col("field"))
+    c = longf.select("field", by_field.alias("e"), "v").select("field", "e", F.least(F.col("v"), F.col("e.cap")).alias("v"))
+    lo, hi = F.col("e.lo"), F.col("e.hi")
     idx = F.least(F.floor((F.col("v") - lo) * F.lit(bins) / (hi - lo)), F.lit(bins - 1)).cast("int")
-    counts = c.groupBy(idx.alias("bin")).agg(F.count(F.lit(1)).alias("n"))
-    width = (hi - lo) / F.lit(bins)
-    return (
-        spark.range(bins).select(F.col("id").cast("int").alias("bin"))
-        .join(counts, "bin", "left")
-        .select(
-            "bin",
-            round4(lo + F.col("bin") * width).alias("lower"),
-            round4(lo + (F.col("bin") + 1) * width).alias("upper"),
-            F.coalesce(F.col("n"), F.lit(0)).cast("long").alias("n"),
-        )
+    counts = c.groupBy("field", idx.alias("bin")).agg(F.count(F.lit(1)).alias("n"))
+    width = (F.col("hi") - F.col("lo")) / F.lit(bins)
+    grid = ends.withColumn("bin", F.explode(F.sequence(F.lit(0), F.lit(bins - 1))))
+    return grid.join(counts, ["field", "bin"], "left").select(
+        "field", F.col("bin").cast("int").alias("bin"),
+        round4(F.col("lo") + F.col("bin") * width).alias("lower"),
+        round4(F.col("lo") + (F.col("bin") + 1) * width).alias("upper"),
+        F.coalesce(F.col("n"), F.lit(0)).cast("long").alias("n"),
     )
 
 
-def boxplot_stats(df: DataFrame, fields: Sequence[str], clip_q: float = FD.CLIP_QUANTILE) -> DataFrame:
-    """Per field, on values clipped at ``clip_q``: quartiles, 1.5*IQR whiskers, outliers."""
-    c = _clipped_long(df, fields, clip_q)
-    quart = quantile_columns(c, "v", {"q1": 0.25, "median": 0.5, "q3": 0.75}, ["field"])
-    fences = _per_field(quart, F.struct("q1", "median", "q3"))
-    f = F.element_at(fences, F.col("field"))
-    iqr = f["q3"] - f["q1"]
-    j = c.select("field", "v", f["q1"].alias("q1"), f["median"].alias("median"), f["q3"].alias("q3"),
-                 (f["q1"] - 1.5 * iqr).alias("_lo"), (f["q3"] + 1.5 * iqr).alias("_hi"))
+def histogram(df: DataFrame, col: str, bins: int = FD.HISTOGRAM_BINS, clip_q: float = FD.CLIP_QUANTILE) -> DataFrame:
+    """``(bin, lower, upper, n)`` of one column; no rows if it is absent or empty (see ``histograms``)."""
+    return histograms(df, [col], bins, clip_q).drop("field")
+
+
+def boxplot_stats(df: DataFrame, fields: Sequence[str] = FD.DISTRIBUTION_FIELDS, clip_q: float = FD.CLIP_QUANTILE) -> DataFrame:
+    """Per field, on values clipped at ``clip_q``: quartiles, 1.5*IQR whiskers, outliers.
+
+    Cap and quartiles come from one quantile run; whiskers and outliers from one pass
+    over the values."""
+    longf = numeric_long(df, fields).where(F.col("v").isNotNull())
+    marks = _marks(longf, [0.25, 0.5, 0.75], clip_q).withColumnsRenamed({"p0": "q1", "p1": "median", "p2": "q3"})
+    e = F.element_at(_per_field(marks, F.struct("cap", "q1", "median", "q3")), F.col("field"))
+    j = longf.select("field", e.alias("e"), "v").select("field", F.least(F.col("v"), F.col("e.cap")).alias("v"), "e.q1", "e.median", "e.q3")
+    iqr = F.col("q3") - F.col("q1")
+    low, high = F.col("q1") - 1.5 * iqr, F.col("q3") + 1.5 * iqr
     agg = j.groupBy("field").agg(
         F.first("q1").alias("q1"), F.first("median").alias("median"), F.first("q3").alias("q3"),
-        F.min(F.when(F.col("v") >= F.col("_lo"), F.col("v"))).alias("whisker_low"),
-        F.max(F.when(F.col("v") <= F.col("_hi"), F.col("v"))).alias("whisker_high"),
-        F.count_if((F.col("v") < F.col("_lo")) | (F.col("v") > F.col("_hi"))).alias("n_outliers"),
+        F.min(F.when(F.col("v") >= low, F.col("v"))).alias("whisker_low"),
+        F.max(F.when(F.col("v") <= high, F.col("v"))).alias("whisker_high"),
+        F.count_if((F.col("v") < low) | (F.col("v") > high)).alias("n_outliers"),
     ).withColumn("iqr", F.col("q3") - F.col("q1"))
     return agg.select(
         "field", round4(F.col("q1")).alias("q1"), round4(F.col("median")).alias("median"),

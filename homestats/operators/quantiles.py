@@ -120,11 +120,15 @@ def exact_quantiles(
     num_chunks: int | None = None,
     method: str = "distributed",
     accuracy: int = 10000,
+    bounds: bool = False,
 ) -> DataFrame:
     """Long result ``(*by, p, q)``: the exact quantile ``q`` of ``value`` per group.
 
     ``value`` must already be numeric (use ``as_number``); ``by`` may be empty.
-    Matches pandas / numpy ``quantile(interpolation='linear')``.
+    Matches pandas / numpy ``quantile(interpolation='linear')``. With ``bounds``
+    (distributed only) the two order statistics and the weight of the upper one
+    are given too, as ``lo, hi, frac``: what a monotone function of the values
+    needs to have its own quantiles without another run.
     ``method``: ``distributed`` or, for groups known to be small, ``in_task``;
     ``approx`` opts out of exactness for a mergeable ``percentile_approx`` sketch
     (bounded memory per group, rank error about n / ``accuracy``, no interpolation).
@@ -188,9 +192,8 @@ def exact_quantiles(
     )
     lo_v = F.max(F.when(F.col("_side") == 0, F.col(_V)))
     hi_v = F.max(F.when(F.col("_side") == 1, F.col(_V)))
-    return hits.groupBy(*by, prob_col).agg(
-        (lo_v + (hi_v - lo_v) * F.max("_frac")).alias(out_col)
-    )
+    parts = [lo_v.alias("lo"), hi_v.alias("hi"), F.max("_frac").alias("frac")] if bounds else []
+    return hits.groupBy(*by, prob_col).agg((lo_v + (hi_v - lo_v) * F.max("_frac")).alias(out_col), *parts)
 
 
 def quantile_columns(

