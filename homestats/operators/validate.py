@@ -4,12 +4,15 @@ their union in one schema ``(check, field, status, value)``."""
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from homestats.functions import fields as FD
 from homestats.functions.coerce import as_date, has, month_key, pct, as_number
-from homestats.operators.profile import _rule_predicate
+from homestats.operators.calendar import monthly_counts, monthly_summary
+from homestats.operators.profile import _rule_predicate, numeric_stats, top_k, value_counts
 
 
 def duplicate_check(df: DataFrame, key: str = FD.KEY_COLUMN) -> DataFrame:
@@ -39,13 +42,52 @@ def _month_list(start: str, end: str) -> list[str]:
     return out
 
 
-def _check(name: str, field, status, value):
+def _check(name: str, field, status, value, detail=None):
     return F.struct(
         F.lit(name).alias("check"),
         F.lit(field).cast("string").alias("field"),
         (F.lit(status) if isinstance(status, str) else status).alias("status"),
         value.cast("double").alias("value"),
+        (F.lit(None) if detail is None else detail).cast("string").alias("detail"),
+    )
+
+
+def _rows(df: DataFrame, *structs) -> DataFrame:
+    """Check rows made of each row of a (small) table."""
+    return df.select(F.inline(F.array(*structs)))
+
+
+def _source_checks(files: DataFrame) -> DataFrame:
+    """Check 1: files found and their size, from a source listing (``list_sources``)."""
+    found = files.agg(F.count(F.lit(1)).alias("n"), F.sum("length").alias("bytes"))
+    status = F.when(F.col("n") > 0, "PASS").otherwise("FAIL")
+    return _rows(found, _check("source_files", None, status, F.col("n")), _check("source_bytes", None, "INFO", F.col("bytes")))
+
+
+def _monthly_checks(df: DataFrame, date_col: str) -> DataFrame:
+    """Check 5: rows per month, their total, mean, and the months with fewest and most rows."""
+    months = monthly_counts(df, date_col)
+    each = months.select(F.inline(F.array(_check("month_rows", None, "INFO", F.col("n"), F.col("year_month")))))
+    m = monthly_summary(months).where(F.col("months") > 0)
+    summary = _rows(
+        m, _check("month_total", date_col, "INFO", F.col("total")), _check("month_mean", date_col, "INFO", F.col("mean")),
+        _check("month_min", date_col, "INFO", F.col("min_n"), F.col("min_month")),
+        _check("month_max", date_col, "INFO", F.col("max_n"), F.col("max_month")),
     )
+    return each.withColumn("field", F.lit(date_col)).unionByName(summary)
+
+
+def _numeric_checks(df: DataFrame) -> DataFrame:
+    """Check 7: statistics of each key numeric field, a row per statistic."""
+    stats = numeric_stats(df)
+    names = ["count", "min", "p25", "median", "p75", "max", "mean", "std"]
+    long = stats.select("field", F.inline(F.array(*[_check(f"numeric_{n}", None, "INFO", F.col(n)) for n in names])).alias("check", "f", "status", "value", "detail"))
+    return long.select("check", "field", "status", "value", "detail")
+
+
+def _count_checks(name: str, counts: DataFrame, col: str) -> DataFrame:
+    """Counts of a column's values and their share of all rows; the value is the detail."""
+    return _rows(counts, _check(name, col, "INFO", F.col("n"), F.col("value")), _check(f"{name}_pct", col, "INFO", F.col("pct"), F.col("value")))
 
 
 def validate_dataset(
@@ -61,10 +103,19 @@ def validate_dataset(
     rules=FD.OUTLIER_RULES,
     limit_pct: float = FD.CRITICAL_NULL_PCT,
     threshold: float = FD.HIGH_NULL_FRACTION,
+    files: DataFrame | None = None,
+    subtype_col: str = "PropertySubType",
+    top_cols=("City", "CountyOrParish"),
+    k: int = FD.TOP_K,
 ) -> DataFrame:
-    """All checks of a combined dataset as rows ``(check, field, status, value)``.
+    """All nine checks of a combined dataset as rows ``(check, field, status, value, detail)``.
+
+    1 source files (from ``files``, a listing of them, if given), 2 category, 3 date
+    coverage, 4 duplicate keys, 5 monthly rows, 6 nulls and critical fields, 7 numeric
+    statistics and outliers, 8 subtype breakdown, 9 top values of ``top_cols``. ``detail``
+    is what a check's number is about: a month, a category value, a date, a null count.
 
-    One aggregate pass computes every counter (row and column counts, category
+    For checks 2 to 4 and 6 one aggregate pass computes every counter (row and column counts, category
     mismatches, date range, the set of months present — at most one entry per
     calendar month —, distinct keys, per-column non-null counts, outlier hits);
     the check rows are then unpacked from that single row.
@@ -106,9 +157,9 @@ def validate_dataset(
             _check("date_valid", date_col, "INFO", F.col("_valid")),
             _check("date_invalid", date_col, "INFO", rows - F.col("_valid")),
             _check("date_start", date_col, F.when(start_ok, "PASS").otherwise("WARNING"),
-                   F.year(first) * 100 + F.month(first)),
+                   F.year(first) * 100 + F.month(first), F.date_format(first, "yyyy-MM-dd")),
             _check("date_end", date_col, F.when(end_ok, "PASS").otherwise("WARNING"),
-                   F.year(last) * 100 + F.month(last)),
+                   F.year(last) * 100 + F.month(last), F.date_format(last, "yyyy-MM-dd")),
             _check("missing_months", date_col, F.when(gaps == 0, "PASS").otherwise("WARNING"), gaps),
         ]
     else:
@@ -126,11 +177,19 @@ def validate_dataset(
             n = nulls[cols.index(c)]
             raw = F.try_divide(n * F.lit(100.0), rows.cast("double"))
             checks.append(_check("critical_null", c, F.when(raw < limit_pct, "PASS").otherwise("WARNING"),
-                                 pct(n, rows, 4)))
+                                 pct(n, rows, 4), n))
     for i, (_f, label, _k, _b) in enumerate(present_rules):
         o = F.col(f"_o{i}")
         checks.append(_check("outlier", label, F.when(o == 0, "PASS").otherwise("WARNING"), o))
-    return one.select(F.inline(F.array(*checks)))
+    parts = [one.select(F.inline(F.array(*checks))), _numeric_checks(df)]
+    if files is not None:
+        parts.append(_source_checks(files))
+    if has(df, date_col):
+        parts.append(_monthly_checks(df, date_col))
+    if has(df, subtype_col):
+        parts.append(_count_checks("subtype", value_counts(df, subtype_col), subtype_col))
+    parts += [_count_checks("top", top_k(df, c, k), c) for c in top_cols if has(df, c)]
+    return reduce(DataFrame.unionByName, parts)
 
 
 def per_source_profile(

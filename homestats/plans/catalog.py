@@ -323,43 +323,74 @@ def q_duplicate_keys(r):
     return VA.duplicate_check(r.sold_r)
 
 
+# What the validation checks, with its limits, as the check list states them.
+_CHECKED_CRITICAL = ["PropertyType", "City", "PostalCode", "CountyOrParish", "UnparsedAddress", "ListPrice", "LivingArea",
+                     "BedroomsTotal", "BathroomsTotalInteger", "YearBuilt"]
+_CHECKED_NUMBERS = ["ClosePrice", "ListPrice", "OriginalListPrice", "LivingArea", "DaysOnMarket", "BedroomsTotal",
+                    "BathroomsTotalInteger", "YearBuilt", "LotSizeSquareFeet", "TaxAnnualAmount"]
+_CHECKED_OUTLIERS = [
+    ("ClosePrice", "ClosePrice <= 0", "<= 0"), ("ClosePrice", "ClosePrice > $50M", "> 50000000"), ("ListPrice", "ListPrice <= 0", "<= 0"),
+    ("ListPrice", "ListPrice > $50M", "> 50000000"), ("OriginalListPrice", "OriginalListPrice <= 0", "<= 0"),
+    ("OriginalListPrice", "OriginalListPrice > $50M", "> 50000000"), ("DaysOnMarket", "DaysOnMarket < 0", "< 0"), ("LivingArea", "LivingArea <= 0", "<= 0"),
+]
+
+
 def _validate_sql(table: str, cols: list[str], date_col: str) -> str:
+    """All nine checks (the first, of files, apart) as ``check, field, status, value, detail``."""
     d = D(date_col)
     nulls = null_counts_sql(table, cols)
-    crit = [c for c in FD.CRITICAL_FIELDS if c in cols]
-    crit_sql = "\nUNION ALL ".join(
-        f"SELECT 'critical_null', '{c}', CASE WHEN CAST(count(*) - count({c}) AS DOUBLE) * 100.0E0 / count(*) < 5.0 "
-        f"THEN 'PASS' ELSE 'WARNING' END, {PCT(f'count(*) - count({c})', 'count(*)', 4)} FROM {table}" for c in crit)
-    out_sql = "\nUNION ALL ".join(
-        f"SELECT 'outlier', '{label}', CASE WHEN count(*) FILTER (WHERE {N(f)} {_rule_sql(k, b)}) = 0 THEN 'PASS' "
-        f"ELSE 'WARNING' END, CAST(count(*) FILTER (WHERE {N(f)} {_rule_sql(k, b)}) AS DOUBLE) FROM {table}"
-        for f, label, k, b in FD.OUTLIER_RULES if f in cols)
-    return f"""
-SELECT "check", field, status, CAST(value AS DOUBLE) AS value FROM (
-SELECT 'rows' AS "check", CAST(NULL AS VARCHAR) AS field, 'INFO' AS status, CAST(count(*) AS DOUBLE) AS value FROM {table}
-UNION ALL SELECT 'columns', NULL, 'INFO', {len(cols)} FROM (SELECT 1) x
-UNION ALL SELECT 'category', 'PropertyType',
-  CASE WHEN count(*) FILTER (WHERE PropertyType IS DISTINCT FROM 'Residential') = 0 THEN 'PASS' ELSE 'FAIL' END,
-  count(*) FILTER (WHERE PropertyType IS DISTINCT FROM 'Residential') FROM {table}
-UNION ALL SELECT 'date_valid', '{date_col}', 'INFO', count({d}) FROM {table}
-UNION ALL SELECT 'date_invalid', '{date_col}', 'INFO', count(*) - count({d}) FROM {table}
-UNION ALL SELECT 'date_start', '{date_col}',
-  CASE WHEN year(min({d})) = 2024 AND month(min({d})) = 1 THEN 'PASS' ELSE 'WARNING' END,
-  year(min({d})) * 100 + month(min({d})) FROM {table}
-UNION ALL SELECT 'date_end', '{date_col}',
-  CASE WHEN year(max({d})) = 2026 AND month(max({d})) >= 2 THEN 'PASS' ELSE 'WARNING' END,
-  year(max({d})) * 100 + month(max({d})) FROM {table}
-UNION ALL SELECT 'missing_months', '{date_col}', CASE WHEN count(*) = 0 THEN 'PASS' ELSE 'WARNING' END, count(*)
-  FROM (SELECT unnest(generate_series(DATE '2024-01-01', DATE '2026-03-01', INTERVAL 1 MONTH)) AS m) g
-  WHERE {YM('m')} NOT IN (SELECT {YM(d)} FROM {table} WHERE {d} IS NOT NULL)
-UNION ALL SELECT 'duplicates', 'ListingKey',
-  CASE WHEN count(*) = count(DISTINCT ListingKey) THEN 'PASS' ELSE 'WARNING' END,
-  count(*) - count(DISTINCT ListingKey) FROM {table}
-UNION ALL SELECT 'high_null_columns', NULL, 'INFO', count(*) FILTER (WHERE CAST(null_count AS DOUBLE) / rows > 0.9)
-  FROM ({nulls}) np
-UNION ALL SELECT 'complete_columns', NULL, 'INFO', count(*) FILTER (WHERE null_count = 0) FROM ({nulls}) np2
-UNION ALL {crit_sql}
-UNION ALL {out_sql}) v"""
+    rows: list[str] = []
+
+    def add(check: str, field: str | None, status: str, value: str, detail: str = "NULL", source: str = table) -> None:
+        name = "NULL" if field is None else f"'{field}'"
+        rows.append(f"SELECT '{check}' AS \"check\", CAST({name} AS VARCHAR) AS field, {status} AS status, "
+                    f"CAST({value} AS DOUBLE) AS value, CAST({detail} AS VARCHAR) AS detail FROM {source}")
+
+    def when(condition: str, bad: str = "WARNING") -> str:
+        return f"CASE WHEN {condition} THEN 'PASS' ELSE '{bad}' END"
+
+    other = "count(*) FILTER (WHERE PropertyType IS DISTINCT FROM 'Residential')"
+    add("rows", None, "'INFO'", "count(*)")
+    add("columns", None, "'INFO'", str(len(cols)), source="(SELECT 1) x")
+    add("category", "PropertyType", when(f"{other} = 0", "FAIL"), other)
+    add("date_valid", date_col, "'INFO'", f"count({d})")
+    add("date_invalid", date_col, "'INFO'", f"count(*) - count({d})")
+    add("date_start", date_col, when(f"year(min({d})) = 2024 AND month(min({d})) = 1"), f"year(min({d})) * 100 + month(min({d}))", f"min({d})")
+    add("date_end", date_col, when(f"year(max({d})) = 2026 AND month(max({d})) >= 2"), f"year(max({d})) * 100 + month(max({d}))", f"max({d})")
+    gaps = f"""(SELECT unnest(generate_series(DATE '2024-01-01', DATE '2026-03-01', INTERVAL 1 MONTH)) AS m) g
+  WHERE {YM('m')} NOT IN (SELECT {YM(d)} FROM {table} WHERE {d} IS NOT NULL)"""
+    add("missing_months", date_col, when("count(*) = 0"), "count(*)", source=gaps)
+    add("duplicates", "ListingKey", when("count(*) = count(DISTINCT ListingKey)"), "count(*) - count(DISTINCT ListingKey)")
+    months = f"(SELECT {YM(d)} AS ym, count(*) AS n FROM {table} WHERE {d} IS NOT NULL GROUP BY 1)"
+    add("month_rows", date_col, "'INFO'", "n", "ym", f"{months} m")
+    add("month_total", date_col, "'INFO'", "sum(n)", source=f"{months} m")
+    add("month_mean", date_col, "'INFO'", R4("avg(n)"), source=f"{months} m")
+    for check, order in (("month_min", "n"), ("month_max", "n DESC")):
+        add(check, date_col, "'INFO'", "n", "ym", f"(SELECT * FROM {months} m ORDER BY {order}, ym LIMIT 1) o")
+    add("high_null_columns", None, "'INFO'", "count(*) FILTER (WHERE CAST(null_count AS DOUBLE) / rows > 0.9)", source=f"({nulls}) np")
+    add("complete_columns", None, "'INFO'", "count(*) FILTER (WHERE null_count = 0)", source=f"({nulls}) np")
+    for c in _CHECKED_CRITICAL:
+        if c in cols:
+            missing = f"count(*) - count({c})"
+            add("critical_null", c, when(f"CAST({missing} AS DOUBLE) * 100.0E0 / count(*) < 5.0"), PCT(missing, "count(*)"), missing)
+    for f in _CHECKED_NUMBERS:
+        if f in cols:
+            v = f"(SELECT {N(f)} AS v FROM {table}) t HAVING count(v) > 0"
+            for stat, value in (
+                ("count", "count(v)"), ("min", "min(v)"), ("p25", R4("quantile_cont(v, 0.25)")), ("median", R4("quantile_cont(v, 0.5)")),
+                ("p75", R4("quantile_cont(v, 0.75)")), ("max", "max(v)"), ("mean", R4("avg(v)")), ("std", R4("stddev_samp(v)")),
+            ):
+                add(f"numeric_{stat}", f, "'INFO'", value, source=v)
+    for f, label, test in _CHECKED_OUTLIERS:
+        if f in cols:
+            hit = f"count(*) FILTER (WHERE {N(f)} {test})"
+            add("outlier", label, when(f"{hit} = 0"), hit)
+    for check, c, limit in (("subtype", "PropertySubType", ""), ("top", "City", "LIMIT 10"), ("top", "CountyOrParish", "LIMIT 10")):
+        if c in cols:
+            counts = f"(SELECT {c} AS value, count(*) AS n FROM {table} WHERE {c} IS NOT NULL GROUP BY 1 ORDER BY n DESC, value {limit}) c"
+            add(check, c, "'INFO'", "n", "value", counts)
+            add(f"{check}_pct", c, "'INFO'", PCT("n", f"(SELECT count(*) FROM {table})"), "value", counts)
+    return "\nUNION ALL ".join(f"SELECT * FROM ({r}) r{i}" for i, r in enumerate(rows))
 
 
 @register("validate_sold", sql(_validate_sql("sold_r", SOLD_COLUMNS, "CloseDate")))
