@@ -33,7 +33,9 @@ BANDS, BAND_ROWS = 24, 5
 ELEMENT_BYTES = 6
 BLOCK_NODES, BLOCK_BYTES = 512, 16 << 20
 #: Texts are signed in slices of about this many bytes.
-SIGN_BYTES = 8 << 20
+SIGN_BYTES = 2 << 20
+#: Darts of so many documents are in memory at a time.
+DART_SETS = 512
 #: Up to this many keys of 16 bytes are broadcast; more are joined by shuffle.
 BROADCAST_NODES = 500_000
 
@@ -82,6 +84,10 @@ def dart_minhash(bounds: np.ndarray, elements: np.ndarray, weights: np.ndarray,
     coordinate gets a bound four times as high.
     """
     n = len(bounds) - 1
+    if n > DART_SETS:
+        cuts = range(0, n, DART_SETS)
+        parts = [(bounds[a : a + DART_SETS + 1] - bounds[a], slice(bounds[a], bounds[min(n, a + DART_SETS)])) for a in cuts]
+        return np.concatenate([dart_minhash(b, elements[s], weights[s], k, seed) for b, s in parts])
     out = np.zeros((n, k), np.uint64)
     todo = np.flatnonzero(np.diff(bounds) > 0)
     mass = np.add.reduceat(weights, bounds[todo]) if len(todo) else np.empty(0)
@@ -185,7 +191,10 @@ def jaccard(a: np.ndarray, b: np.ndarray) -> float:
 
 
 def similarities(sets: list[np.ndarray]) -> np.ndarray:
-    """All similarities of some sets, by products of their incidence matrix a few columns at a time."""
+    """Similarities of all pairs of some sets, by products of their incidence matrix a few columns at a time.
+
+    Elements of a single set are left out of the products, so the diagonal has no meaning.
+    """
     n = len(sets)
     sizes = np.array([len(s) for s in sets])
     flat = np.concatenate(sets)
