@@ -20,7 +20,7 @@ SPACE_CHARS = "\x20\x09\x0a\x0b\x0c\x0d"
 WORD = r"[^\x20\x09-\x0D]+"
 
 #: Texts of one Arrow batch are worked on in slices of about this many bytes.
-SLICE_BYTES = 24 << 20
+SLICE_BYTES = 8 << 20
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:

@@ -25,9 +25,9 @@ from pyspark.sql import types as T
 from homestats.llm.common import cached, materialize, text_slices, word_codes
 
 #: Words whose ids a Python worker remembers; when there are more it starts again.
-REMEMBERED_WORDS = 400_000
+REMEMBERED_WORDS = 250_000
 #: Texts are encoded in slices of about this many bytes.
-ENCODE_BYTES = 12 << 20
+ENCODE_BYTES = 4 << 20
 
 
 class WordEncoder:

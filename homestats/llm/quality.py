@@ -27,6 +27,8 @@ MEASURES = (
     "n_lines", "n_upper", "n_letters", "n_bare_words", "n_marked_words", "n_loud_words", "n_echo_words",
 )
 WINDOW = 3
+#: Texts are measured in slices of about this many bytes.
+MEASURE_BYTES = 4 << 20
 
 
 @dataclass(frozen=True)
@@ -136,7 +138,7 @@ def measure_batch(texts: pa.Array) -> pa.StructArray:
 def measures(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
     """A struct of the measures of whole texts (null: as empty)."""
     for texts in batches:
-        parts = [measure_batch(texts[a:b]) for a, b in text_slices(texts)]
+        parts = [measure_batch(texts[a:b]) for a, b in text_slices(texts, MEASURE_BYTES)]
         yield pa.concat_arrays(parts) if parts else measure_batch(texts)
 
 
@@ -150,6 +152,14 @@ def votes(m) -> list[Column]:
     return [vote(r) for r in RULES]
 
 
+def votes_of(m: dict[str, np.ndarray]) -> list[np.ndarray]:
+    """Each rule's vote on some texts, as ``votes`` has it."""
+    return [
+        np.where(m[r.base] <= 0, 0, np.where(m[r.count] <= m[r.base] * r.good, 1, np.where(m[r.count] > m[r.base] * r.bad, -1, 0)))
+        for r in RULES
+    ]
+
+
 #: So many votes against a text make it an example of a bad one.
 ANCHOR = 2
 #: How reliable a single vote against a text is held to be before any is estimated.
@@ -165,19 +175,24 @@ class LabelModel:
     #: ``votes[class][rule][vote + 1]``: log of P(vote | class)
     votes: tuple[tuple[tuple[float, float, float], ...], ...]
 
+    def p_good(self, ballots: list[np.ndarray]) -> np.ndarray:
+        """Probability that a text is good, from the rules' votes on texts."""
+        log_votes = np.array(self.votes)
+        joint = np.repeat(np.array(self.shares)[None, :], len(ballots[0]), 0)
+        for rule, vote in enumerate(ballots):
+            joint += log_votes[:, rule, vote.astype(np.int64) + 1].T
+        odds = np.exp(joint - joint.max(1, keepdims=True))
+        return odds[:, 0] / odds.sum(1)
+
     def posterior(self, ballots: list[Column]) -> Column:
-        """Probability that a text is good."""
-        shares, log_votes = np.array(self.shares), np.array(self.votes)
+        """The same of columns."""
+        p_good = self.p_good
 
         @F.arrow_udf(T.DoubleType())
-        def p_good(cast: pa.Array) -> pa.Array:
-            joint = np.repeat(shares[None, :], len(cast), 0)
-            for rule, vote in enumerate(cast.flatten()):
-                joint += log_votes[:, rule, vote.to_numpy(zero_copy_only=False) + 1].T
-            odds = np.exp(joint - joint.max(1, keepdims=True))
-            return pa.array(odds[:, 0] / odds.sum(1), pa.float64())
+        def evaluate(cast: pa.Array) -> pa.Array:
+            return pa.array(p_good([v.to_numpy(zero_copy_only=False) for v in cast.flatten()]), pa.float64())
 
-        return p_good(F.struct(*[b.alias(f"v{i}") for i, b in enumerate(ballots)]))
+        return evaluate(F.struct(*[b.alias(f"v{i}") for i, b in enumerate(ballots)]))
 
 
 def fit_label_model(patterns: np.ndarray, counts: np.ndarray, rounds: int = 200, smoothing: float = 0.5) -> LabelModel:
@@ -257,7 +272,16 @@ def assess(docs: DataFrame, threshold: float = 0.5, doc_id: str = "doc_id", text
 def keep_good(docs: DataFrame, threshold: float = 0.5, text: str = "text") -> DataFrame:
     """The rows of ``docs`` that ``assess`` keeps, with their own columns."""
     model = estimate(materialize(docs.select(measures(F.col(text)).alias("m")).select("m.*"), "quality-measures"))
-    s = fresh("measures")
-    m = lambda x: F.col(f"{s}.{x}")
-    measured = docs.withColumn(s, measures.asNondeterministic()(F.col(text)))
-    return measured.filter(~base_failed(m) & (model.posterior(votes(m)) >= threshold)).drop(s)
+    p_good = model.p_good
+
+    @F.arrow_udf(T.BooleanType())
+    def good(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
+        for texts in batches:
+            parts = [np.empty(0, bool)]
+            for a, b in text_slices(texts, MEASURE_BYTES):
+                measured = measure_batch(texts[a:b])
+                m = dict(zip(MEASURES, (c.to_numpy(zero_copy_only=False) for c in measured.flatten()), strict=True))
+                parts.append(~base_failed(m.__getitem__) & (p_good(votes_of(m)) >= threshold))
+            yield pa.array(np.concatenate(parts))
+
+    return docs.filter(good(F.col(text)))
