@@ -26,24 +26,31 @@ from homestats.operators.profile import _rule_predicate
 
 def null_fractions(df: DataFrame) -> dict[str, float]:
     """Null fraction per column from one aggregate (collects one row: a number per column)."""
+    return _null_fractions(df)[0]
+
+
+def _null_fractions(df: DataFrame) -> tuple[dict[str, float], int]:
+    """The fractions and the number of rows: one job."""
     cols = df.columns
     row = df.agg(
         F.count(F.lit(1)).alias("_rows"),
         *[F.count(F.col(f"`{c}`")).alias(f"_c{i}") for i, c in enumerate(cols)],
     ).first()
     rows = row["_rows"]
-    return {c: ((rows - row[f"_c{i}"]) / rows if rows else 0.0) for i, c in enumerate(cols)}
+    return {c: ((rows - row[f"_c{i}"]) / rows if rows else 0.0) for i, c in enumerate(cols)}, rows
 
 
 def drop_high_null(df: DataFrame, threshold: float = FD.HIGH_NULL_FRACTION) -> tuple[DataFrame, DataFrame]:
     """``(kept, dropped)``: ``df`` without columns whose null fraction exceeds
-    ``threshold`` (column order kept), and ``(column_name, null_pct)`` of the dropped ones."""
-    kept, dropped_df, _names = _drop_high_null(df, threshold)
+    ``threshold`` (column order kept), and ``(column_name, null_pct)`` of the dropped ones.
+
+    Which columns remain depends on the data, so this runs a job: one aggregate."""
+    kept, dropped_df, _names, _rows = _drop_high_null(df, threshold)
     return kept, dropped_df
 
 
 def _drop_high_null(df: DataFrame, threshold: float):
-    fr = null_fractions(df)
+    fr, rows = _null_fractions(df)
     dropped = [c for c in df.columns if fr[c] > threshold]
     kept = df.select(*[F.col(f"`{c}`") for c in df.columns if c not in dropped])
     # a handful of literals: built as a one-row plan, no RDD or job behind it
@@ -51,7 +58,7 @@ def _drop_high_null(df: DataFrame, threshold: float):
                         for c in dropped]).cast("array<struct<column_name:string,null_pct:double>>")
     dropped_df = df.sparkSession.range(1).select(F.inline(entries)).select(
         "column_name", round_half_even(F.col("null_pct"), 2).alias("null_pct"))
-    return kept, dropped_df, dropped
+    return kept, dropped_df, dropped, rows
 
 
 # -- dates -------------------------------------------------------------------
@@ -225,6 +232,8 @@ class Cleaned:
     date_flags: list[str]
     dropped_names: list[str]
     rules: list
+    #: rows of ``raw``, counted by the pruning job
+    raw_rows: int
 
 
 SOLD_PROFILE = dict(dataset="SOLD", date_fields=FD.SOLD_DATE_FIELDS, rules=FD.SOLD_FLAG_RULES, date_flags=True)
@@ -241,8 +250,12 @@ def clean(
     combine: str = "any",
     formats: Sequence[str] = (),
 ) -> Cleaned:
-    """prune -> parse dates -> date flags -> numeric flags -> any flag -> geo flags."""
-    kept, dropped, dropped_names = _drop_high_null(df, threshold)
+    """prune -> parse dates -> date flags -> numeric flags -> any flag -> geo flags.
+
+    One job runs here, the pruning's null counts (see ``drop_high_null``); it counts
+    the raw rows as well. All else is lazy.
+    """
+    kept, dropped, dropped_names, raw_rows = _drop_high_null(df, threshold)
     report = date_parse_report(kept, date_fields, formats)
     out = parse_dates(kept, date_fields, formats)
     dflags: list[str] = []
@@ -255,7 +268,7 @@ def clean(
     out = any_flag(out, list(ncols) + dflags)
     out = out.withColumns(geo_flag_columns(out))
     return Cleaned(dataset, df, out, dropped, report, flag_log(kept, rules, dataset), list(ncols), dflags,
-                   dropped_names, list(rules))
+                   dropped_names, list(rules), raw_rows)
 
 
 def clean_sold(df: DataFrame, **kw) -> Cleaned:
@@ -306,7 +319,7 @@ def cleaning_summary(sold: Cleaned, listed: Cleaned, geo: DataFrame | None = Non
         sums = [F.sum(F.col(f)).cast("long").alias(f) for f in c.date_flags]
         agg = c.data.agg(F.count(F.lit(1)).alias("clean_rows"),
                          F.sum("any_invalid_flag").cast("long").alias("any_invalid_flag"), *sums)
-        raw_rows = c.raw.agg(F.count(F.lit(1))).scalar()
+        raw_rows = F.lit(c.raw_rows).cast("long")
         dropped = F.array(*[F.lit(n) for n in c.dropped_names]).cast("array<string>")
         parse = c.parse_report.agg(F.map_from_entries(F.collect_list(F.struct(
             "column_name", F.struct("before_null", "after_null"))))).scalar()

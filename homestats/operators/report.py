@@ -17,7 +17,7 @@ def _totals(c: Cleaned) -> DataFrame:
     raw / clean shape, composite and date-flag sums, rows with any date flag.
 
     Cleaning never drops rows, yet raw rows are counted on the raw input
-    (a separate scan) rather than assumed.
+    (by the pruning job) rather than assumed.
     """
     date_sums = {f: F.sum(F.col(f)).cast("long") for f in FD.DATE_ORDER_FLAG_NAMES if f in c.date_flags}
     if c.date_flags:
@@ -31,7 +31,7 @@ def _totals(c: Cleaned) -> DataFrame:
         with_date.alias("rows_with_date_flag"),
         *[e.alias(f) for f, e in date_sums.items()],
     )
-    raw_rows = c.raw.agg(F.count(F.lit(1))).scalar()
+    raw_rows = F.lit(c.raw_rows).cast("long")
     return agg.select(
         F.lit(c.dataset).alias("dataset"), raw_rows.alias("raw_rows"),
         F.lit(len(c.raw.columns)).cast("long").alias("raw_cols"),
@@ -145,36 +145,34 @@ def date_consistency(sold: Cleaned) -> DataFrame:
     )
 
 
-# Flag dictionary (flag, datasets, meaning).
-FLAG_MEANINGS = [
-    ("listing_after_close_flag", "Sold", "1 if ListingContractDate > CloseDate"),
-    ("purchase_after_close_flag", "Sold", "1 if PurchaseContractDate > CloseDate"),
-    ("negative_timeline_flag", "Sold", "1 if ListingContractDate > PurchaseContractDate"),
-    ("ClosePrice_invalid_flag", "Sold", "1 if ClosePrice <= 0 OR > $50M"),
-    ("OriginalListPrice_invalid_flag", "Sold", "1 if OLP <= 0 OR > $50M"),
-    ("LivingArea_invalid_flag", "Sold + Listed", "1 if LivingArea <= 0"),
-    ("DaysOnMarket_invalid_flag", "Sold", "1 if DaysOnMarket < 0"),
-    ("ListPrice_invalid_flag", "Listed", "1 if ListPrice <= 0 OR > $50M"),
-    ("geo_null_flag", "Both", "1 if Latitude or Longitude is null"),
-    ("geo_sentinel_flag", "Both", "1 if Latitude == 0 or Longitude == 0"),
-    ("geo_invalid_flag", "Both", "1 if Longitude > 0 (wrong sign for CA)"),
-    ("any_invalid_flag", "Both", "1 if any numeric or date flag fires"),
-]
+# Meanings of the flags that no rule list defines.
+GEO_MEANINGS = {
+    "geo_null_flag": "1 if Latitude or Longitude is null",
+    "geo_sentinel_flag": "1 if Latitude = 0 or Longitude = 0",
+    "geo_invalid_flag": "1 if Longitude > 0",
+    "any_invalid_flag": "1 if any numeric or date flag is 1",
+}
+
+
+def flag_meanings(c: Cleaned) -> dict[str, str]:
+    """Each flag of a cleaning run and what its rules say, in the dataset's own terms."""
+    said = {name: f"1 if {earlier} > {later}" for name, earlier, later in FD.DATE_ORDER_FLAGS}
+    for column, label, _kind, _bound in c.rules:
+        flag = f"{column}_invalid_flag"
+        said[flag] = f"{said[flag]} OR {label}" if flag in said else f"1 if {label}"
+    said |= GEO_MEANINGS
+    return {f: m for f, m in said.items() if f in c.data.columns}
 
 
 def flag_dictionary(sold: Cleaned, listed: Cleaned) -> DataFrame:
-    """``(flag, datasets, meaning, dataset, flagged)``: each flag's meaning and its hits per dataset."""
-    spark = sold.data.sparkSession
-    meanings = spark.createDataFrame(FLAG_MEANINGS, "flag string, datasets string, meaning string")
+    """``(dataset, flag, meaning, flagged)``: each dataset's flags, what sets them and how many rows they hit."""
     parts = []
     for c in (sold, listed):
-        flags = [f for f, _d, _m in FLAG_MEANINGS if f in c.data.columns]
-        agg = c.data.agg(*[F.sum(F.col(f)).cast("long").alias(f) for f in flags])
-        entries = F.array(*[F.struct(F.lit(f).alias("flag"), F.col(f).alias("flagged")) for f in flags])
+        said = flag_meanings(c)
+        agg = c.data.agg(*[F.sum(F.col(f)).cast("long").alias(f) for f in said])
+        entries = F.array(*[F.struct(F.lit(f).alias("flag"), F.lit(m).alias("meaning"), F.col(f).alias("flagged")) for f, m in said.items()])
         parts.append(agg.select(F.lit(c.dataset).alias("dataset"), F.inline(entries)))
-    hits = parts[0].unionByName(parts[1])
-    # meanings: a fixed dozen rows -> broadcast
-    return hits.join(F.broadcast(meanings), "flag").select("flag", "datasets", "meaning", "dataset", "flagged")
+    return parts[0].unionByName(parts[1])
 
 
 def output_catalogue(outputs: dict[str, DataFrame]) -> DataFrame:

@@ -821,16 +821,34 @@ def q_date_consistency(r):
     return RP.date_consistency(r.clean_sold)
 
 
+# What the flags of each dataset mean.
+_MEANINGS = {
+    "SOLD": {
+        "listing_after_close_flag": "1 if ListingContractDate > CloseDate",
+        "purchase_after_close_flag": "1 if PurchaseContractDate > CloseDate",
+        "negative_timeline_flag": "1 if ListingContractDate > PurchaseContractDate",
+        "ClosePrice_invalid_flag": "1 if ClosePrice <= 0 OR ClosePrice > $50M",
+        "ListPrice_invalid_flag": "1 if ListPrice <= 0",
+        "OriginalListPrice_invalid_flag": "1 if OriginalListPrice <= 0 OR OriginalListPrice > $50M",
+        "LivingArea_invalid_flag": "1 if LivingArea <= 0",
+        "DaysOnMarket_invalid_flag": "1 if DaysOnMarket < 0",
+    },
+    "LISTED": {
+        "ListPrice_invalid_flag": "1 if ListPrice <= 0 OR ListPrice > $50M",
+        "LivingArea_invalid_flag": "1 if LivingArea <= 0",
+    },
+}
+for _flags in _MEANINGS.values():
+    _flags |= {
+        "geo_null_flag": "1 if Latitude or Longitude is null", "geo_sentinel_flag": "1 if Latitude = 0 or Longitude = 0",
+        "geo_invalid_flag": "1 if Longitude > 0", "any_invalid_flag": "1 if any numeric or date flag is 1",
+    }
+
+
 def _dictionary_sql() -> str:
-    vals = ", ".join(f"('{f}', '{d}', '{m}')" for f, d, m in RP.FLAG_MEANINGS)
-    s_flags = [f for f, _d, _m in RP.FLAG_MEANINGS if f in _ALL_SOLD_FLAGS]
-    l_flags = [f for f, _d, _m in RP.FLAG_MEANINGS if f in _ALL_LISTED_FLAGS]
-    hits = "\nUNION ALL ".join(
-        [f"SELECT 'SOLD' AS dataset, '{f}' AS flag, CAST(sum({f}) AS BIGINT) AS flagged FROM clean_s" for f in s_flags]
-        + [f"SELECT 'LISTED', '{f}', CAST(sum({f}) AS BIGINT) FROM clean_l" for f in l_flags])
-    return sql(f""", meanings(flag, datasets, meaning) AS (VALUES {vals}),
-hits AS ({hits})
-SELECT h.flag, m.datasets, m.meaning, h.dataset, h.flagged FROM hits h JOIN meanings m ON h.flag = m.flag""")
+    return sql("\nUNION ALL ".join(
+        f"SELECT '{name}' AS dataset, '{flag}' AS flag, '{meaning}' AS meaning, CAST(sum({flag}) AS BIGINT) AS flagged FROM {table}"
+        for name, table in (("SOLD", "clean_s"), ("LISTED", "clean_l")) for flag, meaning in _MEANINGS[name].items()))
 
 
 @register("flag_dictionary", _dictionary_sql())
