@@ -256,12 +256,14 @@ def per_source_type_mix(df: DataFrame, source_col: str, col: str = FD.PROPERTY_T
 def dataset_summary(df: DataFrame, source_col: str, date_col: str) -> DataFrame:
     """One row: sources, rows, columns, date range and distinct months of the union."""
     d = as_date(df, date_col)
-    return df.agg(
-        F.count_distinct(F.col(source_col)).alias("sources"),
-        F.count(F.lit(1)).alias("rows"),
+    # one row per source and month first: the distinct counts then run over that small table
+    small = df.groupBy(F.col(source_col).alias("_source"), month_key(d).alias("_month")).agg(
+        F.count(F.lit(1)).alias("_n"), F.min(d).alias("_first"), F.max(d).alias("_last"))
+    return small.agg(
+        F.count_distinct("_source").alias("sources"),
+        F.coalesce(F.sum("_n"), F.lit(0)).cast("long").alias("rows"),
         F.lit(len(df.columns)).alias("columns"),
-        F.min(d).alias("min_date"),
-        F.max(d).alias("max_date"),
-        F.count_distinct(month_key(d)).alias("months"),
+        F.min("_first").alias("min_date"),
+        F.max("_last").alias("max_date"),
+        F.count_distinct("_month").alias("months"),
     )
-

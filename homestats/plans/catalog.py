@@ -432,6 +432,71 @@ def q_dataset_summary(r):
     return VA.dataset_summary(r.sold_by_source(), "source", "CloseDate")
 
 
+# ---------------------------------------------------------------- the listed dataset's profiles
+
+_NP_LISTED = f"({null_counts_sql('listed_r', LISTED_COLUMNS)}) np"
+_SRC_LISTED = "(SELECT *, substr(ListingContractDate, 1, 7) AS source FROM listed)"
+
+
+@register("null_profile_listed", sql(f"""SELECT column_name, position, null_count, {PCT('null_count', 'rows', 2)} AS null_pct,
+       CAST(null_count AS DOUBLE) / rows > 0.9 AS drop_candidate FROM {_NP_LISTED}"""))
+def q_null_profile_listed(r):
+    return PR.null_profile(r.listed_r)
+
+
+@register("high_null_columns_listed", sql(f"""SELECT column_name, null_count, {PCT('null_count', 'rows', 2)} AS null_pct FROM {_NP_LISTED}
+WHERE CAST(null_count AS DOUBLE) / rows > 0.9"""))
+def q_high_null_columns_listed(r):
+    return PR.high_null_columns(r.listed_r)
+
+
+@register("complete_columns_listed", sql(f"""
+SELECT count(*) FILTER (WHERE null_count = 0) AS complete_columns, count(*) AS total_columns FROM {_NP_LISTED}"""))
+def q_complete_columns_listed(r):
+    return PR.complete_columns(r.listed_r)
+
+
+@register("compact_stats_listed", sql("\nUNION ALL ".join(f"""SELECT source, '{f}' AS field, min(v) AS min, {R4('quantile_cont(v, 0.5)')} AS median,
+       max(v) AS max, count(*) - count(v) AS nulls FROM (SELECT source, {N(f)} AS v FROM {_SRC_LISTED} s) t GROUP BY source HAVING count(v) > 0"""
+                                                          for f in ("ListPrice", "LivingArea"))))
+def q_compact_stats_listed(r):
+    return PR.compact_stats(r.listed_by_source(), "source")
+
+
+@register("per_source_profile_listed", sql(f"""
+SELECT source, count(*) AS rows, count({D('ListingContractDate')}) AS valid_dates, {DSTR(f"min({D('ListingContractDate')})")} AS min_date,
+       {DSTR(f"max({D('ListingContractDate')})")} AS max_date,
+       {' + '.join(f"(CASE WHEN CAST(count(*) FILTER (WHERE {c} IS NULL) AS DOUBLE) * 100.0E0 / count(*) > 5.0 THEN 1 ELSE 0 END)" for c in ("PropertyType", "City", "CountyOrParish"))} AS high_null_fields
+FROM {_SRC_LISTED} s GROUP BY source"""))
+def q_per_source_profile_listed(r):
+    return VA.per_source_profile(r.listed_by_source(), "source", "ListingContractDate")
+
+
+@register("per_source_type_mix_listed", sql(f"""
+SELECT source, PropertyType AS value, count(*) AS n, {PCT('count(*)', 'max(t.rows)')} AS pct
+FROM {_SRC_LISTED} s JOIN (SELECT source AS src, count(*) AS rows FROM {_SRC_LISTED} x GROUP BY source) t ON s.source IS NOT DISTINCT FROM t.src
+WHERE PropertyType IS NOT NULL GROUP BY source, PropertyType"""))
+def q_per_source_type_mix_listed(r):
+    return VA.per_source_type_mix(r.listed_by_source(), "source")
+
+
+@register("dataset_summary_listed", sql(f"""
+SELECT count(DISTINCT source) AS sources, count(*) AS rows, {len(LISTED_COLUMNS) + 1} AS columns,
+       {DSTR(f"min({D('ListingContractDate')})")} AS min_date, {DSTR(f"max({D('ListingContractDate')})")} AS max_date,
+       count(DISTINCT {YM(D('ListingContractDate'))}) AS months FROM {_SRC_LISTED} s"""))
+def q_dataset_summary_listed(r):
+    return VA.dataset_summary(r.listed_by_source(), "source", "ListingContractDate")
+
+
+@register("dataset_monthly", sql(f"""
+SELECT 'SOLD' AS dataset, {YM(D('CloseDate'))} AS year_month, count(*) AS n FROM sold WHERE {D('CloseDate')} IS NOT NULL GROUP BY 2
+UNION ALL SELECT 'LISTED', {YM(D('ListingContractDate'))}, count(*) FROM listed WHERE {D('ListingContractDate')} IS NOT NULL GROUP BY 2"""))
+def q_dataset_monthly(r):
+    """Monthly counts of both whole datasets."""
+    return CAL.monthly_counts(r.sold, "CloseDate").select(F.lit("SOLD").alias("dataset"), "year_month", "n").unionByName(
+        CAL.monthly_counts(r.listed, "ListingContractDate").select(F.lit("LISTED").alias("dataset"), "year_month", "n"))
+
+
 # ---------------------------------------------------------------- rates and the join
 
 @register("rates_clean", sql(f"SELECT {DSTR('date')} AS date, rate_30yr_fixed FROM rates_c"))

@@ -79,3 +79,7 @@ class Relations:
     def sold_by_source(self) -> DataFrame:
         """Raw sold rows tagged with their monthly source (month of the listing date)."""
         return self.sold.withColumn("source", F.substring("ListingContractDate", 1, 7))
+
+    def listed_by_source(self) -> DataFrame:
+        """Raw listed rows tagged with their monthly source (month of the listing date)."""
+        return self.listed.withColumn("source", F.substring("ListingContractDate", 1, 7))
