@@ -9,7 +9,7 @@ task's memory grows with the data. This operator keeps every step bounded:
    pair, so a hot group is spread over many reducers.
 2. ``repartitionByRange`` on ``(group, value)`` — equal-sized, ordered chunks;
    a hot group simply spans many chunks.
-3. A running row count inside each chunk (an Arrow-batched ``mapInPandas``
+3. A running row count inside each chunk (a vectorised ``mapInArrow``
    helper, no per-row Python), and the chunk id. The result is written to the
    shared checkpoint folder, which cuts lineage and pins chunk ids.
 4. Chunk totals per group (at most ``chunks + groups`` rows) give each chunk's
@@ -64,15 +64,19 @@ def _running_count():
     n_col, pid_col, pcum_col = _N, _PID, _PCUM
 
     def run_chunk(batches):
+        import pyarrow as pa
+        import pyarrow.compute as pc
         from pyspark import TaskContext
 
-        pid = TaskContext.get().partitionId()
-        carry = 0
-        for pdf in batches:
-            run = pdf[n_col].cumsum() + carry
-            if len(run):
-                carry = int(run.iloc[-1])
-            yield pdf.assign(**{pid_col: pid, pcum_col: run.astype("int64")})
+        pid, carry = TaskContext.get().partitionId(), 0
+        for batch in batches:
+            if not batch.num_rows:
+                continue
+            counts = batch.column(n_col).cast(pa.int64())
+            run = pc.add(pc.cumulative_sum(counts), carry)
+            carry = run[-1].as_py()
+            pids = pa.array([pid], pa.int32()).take(pa.array([0] * batch.num_rows))
+            yield pa.RecordBatch.from_arrays([*batch.columns, pids, run], names=[*batch.schema.names, pid_col, pcum_col])
 
     return run_chunk
 
@@ -106,7 +110,7 @@ def chunk_table(df: DataFrame, value: str, by: Sequence[str], chunks: int | None
         + [T.StructField(_PID, T.IntegerType(), False), T.StructField(_PCUM, T.LongType(), False)]
     )
     path = scratch_path(spark, "quantile")
-    ordered.mapInPandas(_running_count(), out_schema).write.parquet(path)
+    ordered.mapInArrow(_running_count(), out_schema).write.parquet(path)
     return spark.read.schema(out_schema).parquet(path)
 
 
