@@ -192,11 +192,13 @@ def _matrix(column) -> np.ndarray:
     return flat.reshape(len(column), -1) if len(column) else np.empty((0, 0))
 
 
-def probes(probabilities: np.ndarray, mass: float, least: int) -> list[np.ndarray]:
-    """Each row's partitions, most probable first, until they hold ``mass`` (at least ``least`` of them)."""
+def probes(probabilities: np.ndarray, mass: float, least: int, sizes: np.ndarray | None = None, rows: int = 0) -> list[np.ndarray]:
+    """Each row's partitions, most probable first, until they hold ``mass`` (at least ``least`` of them) and ``rows`` vectors."""
     order = np.argsort(-probabilities, axis=1, kind="stable")
     reached = np.cumsum(np.take_along_axis(probabilities, order, 1), 1)
     number = np.maximum((reached < mass).sum(1) + 1, least)
+    if sizes is not None:
+        number = np.maximum(number, (np.cumsum(sizes[order], 1) < rows).sum(1) + 1)
     return [row[:k] for row, k in zip(order, number, strict=True)]
 
 
@@ -261,27 +263,38 @@ def search(
     spark = rows.sparkSession
     schema = "query_id long, rank int, vec_id long, score double"
     valid = usable(rows, vec_id, embedding)
-    sizes = valid.groupBy(F.size("vector").alias("dim")).count().orderBy(F.desc("count"), "dim").limit(1).collect()
-    if not sizes:
+    dims = valid.groupBy(F.size("vector").alias("dim")).count().orderBy(F.desc("count"), "dim").limit(1).collect()
+    if not dims:
         return spark.createDataFrame([], schema)
-    valid = valid.filter(F.size("vector") == sizes[0]["dim"])
+    valid = valid.filter(F.size("vector") == dims[0]["dim"])
     # the smallest hashes: the same bounded sample for any partitioning
     sample = valid.orderBy(F.xxhash64("vec_id"), "vec_id", "vector").limit(settings.sample_rows).select("vector").collect()
     router = learn(np.array([r["vector"] for r in sample]), settings)
 
+    @F.arrow_udf(T.IntegerType())
+    def home(vectors: pa.Array) -> pa.Array:
+        if not len(vectors):
+            return pa.array([], pa.int32())
+        return pa.array(router.probabilities(_matrix(vectors)).argmax(1).astype(np.int32))
+
+    index = materialize(valid.withColumn("part", home(F.col("vector"))), "ann-index")
+    sizes = np.zeros(router.second.shape[1], np.int64)
+    for r in index.groupBy("part").count().collect():  # at most settings.parts rows
+        sizes[r["part"]] = r["count"]
+
     @F.arrow_udf(T.ArrayType(T.IntegerType()))
     def route(vectors: pa.Array) -> pa.Array:
         if not len(vectors):
             return pa.array([], pa.list_(pa.int32()))
-        found = probes(router.probabilities(_matrix(vectors)), settings.mass, settings.least_probes)
+        # ten times the results wanted are looked at, so k are found wherever there are as many
+        found = probes(router.probabilities(_matrix(vectors)), settings.mass, settings.least_probes, sizes, 10 * k + 1)
         return pa.array([f.astype(np.int32) for f in found], pa.list_(pa.int32()))
 
-    routed = materialize(valid.withColumn("parts", route(F.col("vector"))), "ann-index")
-    index = routed.select(F.get("parts", F.lit(0)).alias("part"), "vec_id", "vector")
-    asked = routed.filter(is_query(F.col("vec_id"))).dropDuplicates(["vec_id", "vector"])
-    asked = asked.select(
-        F.col("vec_id").alias("query_id"), F.col("vector").alias("query"), F.xxhash64("vector").alias("tag"), F.explode("parts").alias("part")
-    )
+    asked = index.filter(is_query(F.col("vec_id"))).dropDuplicates(["vec_id", "vector"])
+    asked = materialize(asked.select(
+        F.col("vec_id").alias("query_id"), F.col("vector").alias("query"), F.xxhash64("vector").alias("tag"),
+        F.explode(route(F.col("vector"))).alias("part"),
+    ), "ann-queries")
     # a partition of any size is searched block by block: at most settings.parts rows here
     counts = index.groupBy("part").agg(F.count(F.lit(1)).alias("rows")).join(
         asked.groupBy("part").agg(F.count(F.lit(1)).alias("queries")), "part"

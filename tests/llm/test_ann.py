@@ -63,6 +63,13 @@ def test_fewer_candidates_than_asked(spark):
     assert [x[1] for x in got[0]] == [3, 2, 1]
 
 
+def test_probing_goes_on_until_there_are_enough_rows():
+    p = np.array([[0.9, 0.06, 0.04], [0.3, 0.3, 0.4]])
+    assert [x.tolist() for x in ann.probes(p, 0.5, 1)] == [[0], [2, 0]]
+    assert [x.tolist() for x in ann.probes(p, 0.5, 1, np.array([1, 2, 50]), 10)] == [[0, 1, 2], [2, 0]]
+    assert [x.tolist() for x in ann.probes(p, 0.5, 1, np.array([1, 2, 3]), 10)] == [[0, 1, 2], [2, 0, 1]]
+
+
 def test_block_search_equals_brute_force():
     r = np.random.default_rng(2)
     v = np.round(r.normal(size=(500, 6)), 1)
