@@ -14,6 +14,7 @@ import os
 import zlib
 from collections.abc import Iterator
 from dataclasses import dataclass, field
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -24,10 +25,12 @@ from pyspark.sql import types as T
 
 from homestats.llm.common import cached, materialize, text_slices, word_codes
 
-#: Words whose ids a Python worker remembers; when there are more it starts again.
-REMEMBERED_WORDS = 250_000
+#: Marks that a tokenizer may part from the letters before them.
+CLOSING = ".,;:!?)"
+#: Words whose ids a Python worker remembers; when there are more, only those of the texts at hand are kept.
+REMEMBERED_WORDS = 500_000
 #: Texts are encoded in slices of about this many bytes.
-ENCODE_BYTES = 4 << 20
+ENCODE_BYTES = 8 << 20
 
 
 class WordEncoder:
@@ -42,9 +45,13 @@ class WordEncoder:
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
+        self.model = self.tokenizer.model
         probe = "Ab\n c,d  e's"
         if self._ids([probe])[0] != [i for ids in self._ids(probe.split()) for i in ids]:
             raise ValueError("the tokenizer doesn't drop white space")
+        self.tails: dict[str, list[int]] = {}
+        samples = [w + t for w in ("a", "The", "straightforward", "zzQxv", "don") for t in ("", ".", ",)", "!?")]
+        self.direct = [self._simple(w) for w in samples] == self._ids(samples)
         self._forget()
 
     def _ids(self, texts: list[str]) -> list[list[int]]:
@@ -54,29 +61,62 @@ class WordEncoder:
         self.place: dict[str, int] = {}
         self.starts, self.sizes, self.ids = np.empty(0, np.int64), np.empty(0, np.int64), np.empty(0, np.uint32)
 
+    def _keep(self, words: list[str]) -> None:
+        """Forget all words but these: the frequent ones are among those of any texts."""
+        known = [w for w in words if w in self.place]
+        sizes, flat = self._take(np.array([self.place[w] for w in known], np.int64))
+        self._forget()
+        self._add(known, sizes, flat)
+
+    def _add(self, words: list[str], sizes: np.ndarray, flat: np.ndarray) -> None:
+        self.place.update(zip(words, range(len(self.starts), len(self.starts) + len(words)), strict=True))
+        self.starts = np.concatenate([self.starts, len(self.ids) + np.cumsum(sizes) - sizes])
+        self.sizes = np.concatenate([self.sizes, sizes])
+        self.ids = np.concatenate([self.ids, flat])
+
+    def _take(self, which: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Sizes and ids, one after the other, of the words at these places."""
+        starts, sizes = self.starts[which], self.sizes[which]
+        first = np.cumsum(sizes) - sizes
+        return sizes, self.ids[np.repeat(starts - first, sizes) + np.arange(int(sizes.sum()))]
+
+    def _simple(self, word: str) -> list[int] | None:
+        """Ids of ASCII letters with or without closing marks, straight from the tokenizer's model; None for other words.
+
+        Such a word is normalized to lower case and parted before its marks, no more.
+        """
+        low = word.lower()
+        base = low.rstrip(CLOSING)
+        if not (word.isascii() and base.isalpha()):
+            return None
+        ids = [t.id for t in self.model.tokenize(base)]
+        if tail := low[len(base) :]:
+            if tail not in self.tails:
+                self.tails[tail] = self._ids([tail])[0]
+            ids += self.tails[tail]
+        return ids
+
     def _learn(self, words: list[str]) -> None:
         for i in range(0, len(words), 20_000):
             part = words[i : i + 20_000]
-            found = self._ids(part)
+            found = [self._simple(w) for w in part] if self.direct else [None] * len(part)
+            rest = [k for k, ids in enumerate(found) if ids is None]
+            for k, ids in zip(rest, self._ids([part[k] for k in rest]), strict=True):
+                found[k] = ids
             sizes = np.fromiter(map(len, found), np.int64, len(found))
-            flat = np.fromiter((x for ids in found for x in ids), np.uint32, int(sizes.sum()))
-            self.place.update(zip(part, range(len(self.starts), len(self.starts) + len(part)), strict=True))
-            self.starts = np.concatenate([self.starts, len(self.ids) + np.cumsum(sizes) - sizes])
-            self.sizes = np.concatenate([self.sizes, sizes])
-            self.ids = np.concatenate([self.ids, flat])
+            self._add(part, sizes, np.fromiter(chain.from_iterable(found), np.uint32, int(sizes.sum())))
 
     def encode(self, texts: pa.Array, end_id: int) -> tuple[np.ndarray, np.ndarray]:
         """``(bounds, ids)``; each text's ids end with ``end_id``."""
         bounds, codes, words = word_codes(texts)
-        if len(self.place) > REMEMBERED_WORDS:
-            self._forget()
         listed = words.to_pylist()
+        if len(self.place) > REMEMBERED_WORDS:
+            self._keep(listed)
         self._learn([w for w in listed if w not in self.place])
         where = np.fromiter((self.place[w] for w in listed), np.int64, len(listed))
-        starts, sizes = self.starts[where][codes], self.sizes[where][codes]
+        sizes, flat = self._take(where[codes])
         total = np.concatenate(([0], np.cumsum(sizes)))
         out_bounds = total[bounds] + np.arange(len(bounds))  # one end id per text before
-        flat = self.ids[np.repeat(starts - total[:-1], sizes) + np.arange(total[-1])]
         out = np.full(int(out_bounds[-1]), end_id, np.uint32)
         inside = np.ones(len(out), bool)
         inside[out_bounds[1:] - 1] = False

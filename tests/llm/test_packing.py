@@ -20,11 +20,17 @@ def ids_of(text):
     return [*LIBRARY.encode(text or "", add_special_tokens=False).ids, 1]
 
 
-def test_ids_equal_the_library():
+@pytest.mark.parametrize("remembered", [0, 500_000])
+def test_ids_equal_the_library(monkeypatch, remembered):
+    monkeypatch.setattr(packing, "REMEMBERED_WORDS", remembered)
     r = random.Random(3)
     parts = list("abÉİΣσ  \n\té́'st,.0 <s>") + ["the", "'ll", "<|endoftext|>", "　", "\U0001f600", "\x00", "  ", "\x1c", "\x85", "ﬁ"]
+    parts += ["ΑΣ", "ς", "É.", "ß", "ẞ", "Dž", "K", "ſ", "Word,", "WORD!?", "(x)", "don't", "don't."]
     texts = ["".join(r.choices(parts, k=r.randint(0, 30))) for _ in range(3000)] + ["", " ", None]
-    bounds, ids = packing.WordEncoder(PATH).encode(pa.array(texts), 1)
+    encoder = packing.WordEncoder(PATH)
+    assert encoder.direct
+    encoder.encode(pa.array(texts[1000:2000]), 1)
+    bounds, ids = encoder.encode(pa.array(texts), 1)
     assert [ids[a:b].tolist() for a, b in zip(bounds[:-1], bounds[1:], strict=True)] == [ids_of(t) for t in texts]
 
 
