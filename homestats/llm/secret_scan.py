@@ -41,6 +41,17 @@ KNOWN = re.compile(
     r"|(.)\1*)"
 )
 
+#: Names and paths are joined to a secret by these.
+PIECE = re.compile(r"[^=/_-]+")
+# Fixed value: known strings inside a run: UUIDs, and named digests of their whole length in hexadecimal or base 64.
+KNOWN_PART = re.compile(
+    r"[0-9a-fA-F]{8}-[0-9a-fA-F]{4}-[0-9a-fA-F]{4}-[0-9a-fA-F]{4}-[0-9a-fA-F]{12}(?![0-9a-fA-F])|"
+    + "|".join(
+        rf"sha{n}[-_=](?:[0-9a-fA-F]{{{n_hex}}}|[A-Za-z0-9+/_-]{{{n_64}}}={{0,2}})(?![A-Za-z0-9+])"
+        for n, n_hex, n_64 in ((1, 40, 27), (224, 56, 38), (256, 64, 43), (384, 96, 64), (512, 128, 86))
+    )
+)
+
 SPAN_TYPE = "array<struct<kind:string,start:bigint,end:bigint>>"
 
 _HEX_TABLE = bytes(49 if chr(b) in "0123456789abcdef" else 48 for b in range(256))
@@ -69,8 +80,56 @@ def is_known(run: str) -> bool:
     return bool(len(run) in DIGEST_CHARS and DIGEST.fullmatch(run) or KNOWN.fullmatch(run))
 
 
+def _looks_random(run: str, encode, ratio: float) -> bool:
+    mixed = any(c.isdigit() for c in run) + any(c.islower() for c in run) + any(c.isupper() for c in run)
+    return mixed >= 2 and not is_known(run) and len(run) <= ratio * len(encode(run))
+
+
+def random_parts(run: str, encode, ratio: float) -> list[tuple[int, int]]:
+    """Parts of a run that look random though the run doesn't, as names and paths are joined to them.
+
+    Pieces between ``=``, ``/``, ``_`` and ``-`` score what they have in tokens beyond the ratio; a
+    separator loses a character. Parts are the maximal-scoring sequences of pieces, so a
+    secret that holds separators stays whole. Known strings belong to no part.
+    """
+    known = [m.span() for m in KNOWN_PART.finditer(run)]
+    groups: list[list[tuple[int, int]]] = [[]]
+    for m in PIECE.finditer(run):
+        if any(a < m.end() and m.start() < b for a, b in known) or is_known(m[0]) and len(m[0]) in DIGEST_CHARS:
+            groups.append([])
+        else:
+            groups[-1].append(m.span())
+    out = []
+    for pieces in groups:
+        found: list[tuple[int, int, float, float]] = []  # from, to, sum before, sum at the end
+        total, at = 0.0, pieces[0][0] if pieces else 0
+        for a, b in pieces:
+            total -= a - at
+            before, start, at = total, a, b
+            total += ratio * len(encode(run[a:b])) - (b - a)
+            if total <= before:
+                continue
+            while True:
+                j = len(found) - 1
+                while j >= 0 and found[j][2] >= before:
+                    j -= 1
+                if j < 0 or found[j][3] >= total:
+                    found.append((start, b, before, total))
+                    break
+                start, before = found[j][0], found[j][2]
+                del found[j:]
+        for a, b, _, _ in found:
+            while b < len(run) and run[b] == "=":  # padding
+                b += 1
+            if b - a >= RUN_CHARS and _looks_random(run[a:b], encode, ratio):
+                out.append((a, b))
+            else:  # a piece alone, if its neighbours hide it
+                out += [(c, d) for c, d in pieces if a <= c and d <= b and d - c >= RUN_CHARS and _looks_random(run[c:d], encode, ratio)]
+    return out
+
+
 def random_spans(text: str, raw: bytes, encode, ratio: float) -> list[tuple[int, int]]:
-    """Runs of key characters of at most ``ratio`` characters per token, known ones left out.
+    """Runs of key characters of at most ``ratio`` characters per token, or such parts of other runs; known ones left out.
 
     Words and paths of words tokenize well. A run is judged with its digits and
     letters; one of letters in a single case is a word, however rare.
@@ -80,9 +139,10 @@ def random_spans(text: str, raw: bytes, encode, ratio: float) -> list[tuple[int,
     out = []
     for m in RUN.finditer(text):
         run = m[0]
-        mixed = any(c.isdigit() for c in run) + any(c.islower() for c in run) + any(c.isupper() for c in run)
-        if mixed >= 2 and not is_known(run) and len(run) <= ratio * len(encode(run)):
+        if _looks_random(run, encode, ratio):
             out.append((m.start(), m.end()))
+        elif not is_known(run):
+            out += [(m.start() + a, m.start() + b) for a, b in random_parts(run, encode, ratio)]
     return out
 
 
@@ -112,7 +172,7 @@ def secret_spans(text: Column, rank_path: str, pattern: str, ratio: float = 2.0)
 
     Base kinds are leftmost non-overlapping matches of each pattern (``assign``,
     ``access``, ``hex``), those too short dropped; ``random`` ones have at most
-    ``ratio`` characters per token. Null and empty texts have no spans.
+    ``ratio`` characters per token, as whole runs or as parts that names and paths are joined to. Null and empty texts have no spans.
     """
 
     @F.arrow_udf(SPAN_TYPE)

@@ -74,3 +74,33 @@ def test_query(spark, sf):
         assert r["base_sha256"] == hashlib.sha256(listed.encode()).hexdigest()
         assert (r["n_assign"], r["n_access"], r["n_hex"]) == tuple(sum(k == i for _, k, _ in want) for i in range(3))
         assert set(listed.split(",")) <= set(r["spans"].split(",")) or not want
+
+
+@pytest.mark.parametrize("prefix", [
+    "private_signing_key=", "/api/integrations/webhooks/incoming/", "https://example.org/callback?session=", "service-account-credential-",
+    "https://example.org/download/archive/signature=",
+])
+@pytest.mark.parametrize("n", [20, 24, 32])
+def test_secrets_joined_to_names_and_paths(prefix, n):
+    r = random.Random(n)
+    tried = 0
+    for _ in range(100):
+        s = token(r, n)
+        if len(s) > 2.0 * len(ENCODE(s)):
+            continue  # not below the ratio by itself
+        tried += 1
+        for after in ("", "/settings/overview"):
+            text = f"see {prefix}{s}{after} here"
+            at = text.index(s)
+            spans = S.scan_text(text, ENCODE, 2.0)
+            assert any(x["kind"] == "random" and x["start"] <= at and at + n <= x["end"] for x in spans), text
+    assert tried > 50
+
+
+def test_known_strings_in_paths_are_left():
+    for s in (
+        "/application/users/profile/settings/3F2504E0-4F89-41D3-9A0C-0305E82C3301/organization/department/overview",
+        "/articles/2024/01/31/the-state-of-the-union-address",
+        "src/v1/components/button_group/index-2024-01-02", "application_settings=production_environment_2",
+    ):
+        assert S.scan_text(f"see {s} here", ENCODE, 2.0) == [], s
