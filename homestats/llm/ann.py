@@ -205,7 +205,8 @@ def probes(probabilities: np.ndarray, mass: float, least: int, sizes: np.ndarray
 def nearest_in_block(q_ids, queries, v_ids, vectors, k: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """``(row of the query, vec_id, score)`` of each query's ``k`` nearest in a block of vectors.
 
-    Equal vectors beyond the ``k + 1`` with the smallest ids can't be among them. A
+    Equal vectors beyond those of the ``k + 1`` smallest ids, or beyond ``k`` rows of an id,
+    can't be among them: a query's own rows, however many, are those of one id. A
     matrix product finds all rows within rounding of the k-th score; those are
     scored again in a fixed order of summation, so equal vectors score equally.
     """
@@ -213,8 +214,11 @@ def nearest_in_block(q_ids, queries, v_ids, vectors, k: int) -> tuple[np.ndarray
     _, same = np.unique(bytewise, return_inverse=True)
     order = np.lexsort((v_ids, same))
     first = np.concatenate(([True], same[order][1:] != same[order][:-1]))
-    place = np.arange(len(order)) - np.maximum.accumulate(np.where(first, np.arange(len(order)), 0))
-    keep = order[place <= k]
+    start = np.maximum.accumulate(np.where(first, np.arange(len(order)), 0))
+    new = first | np.concatenate(([True], v_ids[order][1:] != v_ids[order][:-1]))
+    number = np.cumsum(new)  # of the id, over all vectors
+    row = np.arange(len(order)) - np.maximum.accumulate(np.where(new, np.arange(len(order)), 0))
+    keep = order[(number - number[start] <= k) & (row < k)]
     v_ids, vectors = v_ids[keep], vectors[keep]
     longest = np.linalg.norm(vectors, axis=1).max()
     found: list[tuple[np.ndarray, np.ndarray, np.ndarray]] = []

@@ -100,3 +100,12 @@ def test_recall_of_the_query(spark):
     assert set(got) == set(want) and all(len(got[q]) == len(want[q]) for q in want)
     hits = sum(len({x[1] for x in got[q]} & {j for j, _ in want[q]}) for q in want)
     assert hits >= 0.9 * sum(map(len, want.values()))
+
+
+def test_many_own_rows_hide_no_equal_vectors_of_other_ids():
+    k = 5
+    v_ids = np.array([1] * 30 + [2] * 8 + list(range(3, 20)))
+    vectors = np.ones((len(v_ids), 4))
+    for q in (1, 2, 7):
+        _, ids, score = ann.nearest_in_block(np.array([q]), np.ones((1, 4)), v_ids, vectors, k)
+        assert ids.tolist() == [i for i in v_ids.tolist() if i != q][:k] and set(score) == {4.0}
