@@ -13,7 +13,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from homestats.llm import ann, linededup, mixing, neardup, packing, passages, quality, secret_scan, tokencount, warc
+from homestats.llm import ann, centroids, linededup, mixing, neardup, packing, passages, quality, secret_scan, tokencount, warc
 from homestats.llm.common import scratch_path, table
 
 #: Bytes of a batch that goes to a Python worker: texts can be long.
@@ -191,3 +191,35 @@ def op9_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op10_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The near-duplicate class of all documents, at a similarity of 0.8 or more."""
     return neardup.near_duplicate_classes(table(spark, sf_dir, "documents"), 0.8)
+
+def _centroids_sql(k: int = 16, rounds: int = 3) -> str:
+    """Rounds of assignment and update written out as tables of a WITH clause."""
+    parts = [f"""WITH kept AS (
+  SELECT row_number() OVER () AS rid, vec_id, list_transform(embedding, lambda x: floor(64 * x::DOUBLE)::BIGINT) AS v FROM embeddings
+  WHERE len(embedding) = 64 AND len(list_filter(embedding, lambda x: x IS NOT NULL AND isfinite(x))) = 64
+), c0 AS (
+  SELECT row_number() OVER (ORDER BY h, v) - 1 AS c, v FROM (SELECT sha256('1:' || coalesce(vec_id::VARCHAR, '')) AS h, v FROM kept ORDER BY h, v LIMIT {k})
+)"""]
+    for i in range(rounds + 1):
+        parts.append(f"""a{i} AS (
+  SELECT rid, min({{'d': list_sum(list_transform(list_zip(kept.v, c{i}.v), lambda p: (p[1] - p[2]) * (p[1] - p[2])))::BIGINT, 'c': c}}) AS m
+  FROM kept, c{i} GROUP BY rid
+)""")
+        if i < rounds:
+            parts.append(f"""s{i} AS (
+  SELECT m.c AS c, at, sum(v[at])::HUGEINT AS s, count(*) AS n FROM a{i} JOIN kept USING (rid), range(1, 65) r(at) GROUP BY m.c, at
+), c{i + 1} AS (
+  SELECT c, coalesce(moved, v) AS v FROM c{i}
+  LEFT JOIN (SELECT c, list(((s - ((s % n) + n) % n) // n)::BIGINT ORDER BY at) AS moved FROM s{i} GROUP BY c) USING (c)
+)""")
+    return ",\n".join(parts) + f"""
+SELECT vec_id, m.c::INT AS cluster, m.d AS distance, (sum(m.d) OVER (PARTITION BY m.c))::BIGINT AS cluster_inertia,
+  (sum(m.d) OVER ())::BIGINT AS inertia, sha256(array_to_string(c{rounds}.v, ',')) AS centroid_sha256
+FROM a{rounds} JOIN kept USING (rid) JOIN c{rounds} ON c{rounds}.c = m.c
+"""
+
+
+@query("op11_centroid_clusters", _centroids_sql())
+def op11_centroid_clusters(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Clusters of all vectors after three rounds from 16 first centroids."""
+    return centroids.cluster_vectors(table(spark, sf_dir, "embeddings"))

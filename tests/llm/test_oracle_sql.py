@@ -18,7 +18,7 @@ def _norm(v):
 def test_all_are_registered():
     names = set(E.queries())
     assert set(QUERIES) | {"pipeline"} <= names and set(ORACLES) <= set(E.oracle_sql())
-    assert sorted(int(n[2:].split("_")[0]) for n in QUERIES) == list(range(1, 11))
+    assert sorted(int(n[2:].split("_")[0]) for n in QUERIES) == list(range(1, 14))
 
 
 @pytest.mark.parametrize("name", sorted(ORACLES))
