@@ -207,10 +207,10 @@ def _centroids_sql(k: int = 16, rounds: int = 3) -> str:
 )""")
         if i < rounds:
             parts.append(f"""s{i} AS (
-  SELECT m.c AS c, at, sum(v[at])::HUGEINT AS s, count(*) AS n FROM a{i} JOIN kept USING (rid), range(1, 65) r(at) GROUP BY m.c, at
+  SELECT m.c AS c, pos, sum(v[pos])::HUGEINT AS s, count(*) AS n FROM a{i} JOIN kept USING (rid), range(1, 65) r(pos) GROUP BY m.c, pos
 ), c{i + 1} AS (
   SELECT c, coalesce(moved, v) AS v FROM c{i}
-  LEFT JOIN (SELECT c, list(((s - ((s % n) + n) % n) // n)::BIGINT ORDER BY at) AS moved FROM s{i} GROUP BY c) USING (c)
+  LEFT JOIN (SELECT c, list(((s - ((s % n) + n) % n) // n)::BIGINT ORDER BY pos) AS moved FROM s{i} GROUP BY c) USING (c)
 )""")
     return ",\n".join(parts) + f"""
 SELECT vec_id, m.c::INT AS cluster, m.d AS distance, (sum(m.d) OVER (PARTITION BY m.c))::BIGINT AS cluster_inertia,
