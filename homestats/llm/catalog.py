@@ -13,7 +13,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from homestats.llm import ann, centroids, linededup, mixing, neardup, packing, passages, quality, secret_scan, tokencount, warc
+from homestats.llm import ann, centroids, linededup, mixing, neardup, packing, passages, quality, secret_scan, sequencefile, tokencount, warc
 from homestats.llm.common import scratch_path, table
 
 #: Bytes of a batch that goes to a Python worker: texts can be long.
@@ -223,3 +223,11 @@ FROM a{rounds} JOIN kept USING (rid) JOIN c{rounds} ON c{rounds}.c = m.c
 def op11_centroid_clusters(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Clusters of all vectors after three rounds from 16 first centroids."""
     return centroids.cluster_vectors(table(spark, sf_dir, "embeddings"))
+
+
+@query("op12_sequence_files")
+def op12_sequence_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Encode all documents, write their ids to sequence files and read the files back."""
+    path = scratch_path(spark, "sequences")
+    sequencefile.write_sequences(table(spark, sf_dir, "documents"), path, public_tokenizers.path("byte_bpe_50k.json"))
+    return sequencefile.read_documents(spark, path)
