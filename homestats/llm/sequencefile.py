@@ -2,7 +2,7 @@
 
 Documents are put in order of their ids by a range shuffle; each task encodes its
 range and writes files as it goes. A file ``*.sequences.arrow`` is an Arrow stream whose
-batches hold ``ids`` and ``mask``, fixed-size lists of one length without nulls, so
+batches hold ``ids`` and ``mask`` (a bit each), fixed-size lists of one length without nulls, so
 all batches but the last take the same number of bytes: a reader finds any sequence of a
 memory-mapped file by arithmetic and gets views of the map, no copies. Beside it,
 ``*.documents.arrow`` has a row per document with its place in the file. The documents
@@ -35,8 +35,8 @@ FILE_IDS = 1 << 26
 MANIFEST = "_manifest"
 #: White space of any kind at a piece's end, or an empty piece: what follows is not parted from it.
 OPEN_END = r"^$|[\s\x{0b}\x{1c}-\x{1f}\x{85}\p{Z}]$"
-#: Units whose ids a Python worker remembers; when there are more, only those of the texts at hand are kept.
-REMEMBERED_UNITS = 400_000
+#: Units whose ids a Python worker remembers; when there are more, only those used twice and those of the texts at hand are kept.
+REMEMBERED_UNITS = 800_000
 
 
 # ---- encoding ----
@@ -70,6 +70,14 @@ class PieceEncoder(WordEncoder):
     def _ids(self, texts: list[str]) -> list[list[int]]:
         return [e.ids for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]  # without offsets
 
+    def _forget(self) -> None:
+        super()._forget()
+        self.uses = np.empty(0, np.int64)
+
+    def _add(self, words: list[str], sizes: np.ndarray, flat: np.ndarray) -> None:
+        super()._add(words, sizes, flat)
+        self.uses = np.concatenate([self.uses, np.zeros(len(words), np.int64)])
+
     def _units(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray, list[str]]:
         """``(bounds, codes, units)``: text i has the units ``codes[bounds[i]:bounds[i + 1]]``."""
         lists = pc.split_pattern(texts, " ")
@@ -106,9 +114,12 @@ class PieceEncoder(WordEncoder):
         else:
             bounds, codes, listed = np.arange(len(texts) + 1), np.arange(len(texts)), texts.to_pylist()
         if len(self.place) > REMEMBERED_UNITS:
-            self._keep(listed)
+            often = self.uses > 1
+            often = [u for u, i in self.place.items() if often[i]] if 2 * int(often.sum()) < REMEMBERED_UNITS else []
+            self._keep(list(dict.fromkeys([*often, *listed])))
         self._learn([u for u in dict.fromkeys(listed) if u not in self.place])
         where = np.fromiter((self.place[u] for u in listed), np.int64, len(listed))
+        self.uses[where] += 1
         sizes, flat = self._take(where[codes])
         total = np.concatenate(([0], np.cumsum(sizes)))
         out_bounds = total[bounds] + np.arange(len(bounds))  # one end id per text before
@@ -138,7 +149,7 @@ def file_system(path: str):
 def sequence_schema(length: int, id_type: str, per_batch: int) -> pa.Schema:
     """Schema of a sequence file; its metadata has what a reader needs to find a sequence."""
     return pa.schema(
-        [pa.field(n, pa.list_(pa.field("item", pa.type_for_alias(t), nullable=False), length), nullable=False) for n, t in (("ids", id_type), ("mask", "uint8"))],
+        [pa.field(n, pa.list_(pa.field("item", pa.type_for_alias(t), nullable=False), length), nullable=False) for n, t in (("ids", id_type), ("mask", "bool"))],
         {"sequence_length": str(length), "sequences_per_batch": str(per_batch)},
     )
 
@@ -165,10 +176,10 @@ class SequenceWriter:
 
     def _flush(self) -> None:
         flat = np.concatenate(self.held)
-        mask = np.ones(len(flat), np.uint8)
+        mask = np.ones(len(flat), bool)
         if rest := -len(flat) % self.length:
             flat = np.concatenate([flat, np.full(rest, self.pad_id, self.dtype)])
-            mask = np.concatenate([mask, np.zeros(rest, np.uint8)])
+            mask = np.concatenate([mask, np.zeros(rest, bool)])
         columns = [pa.FixedSizeListArray.from_arrays(pa.array(x), type=f.type) for x, f in zip((flat, mask), self.schema, strict=True)]
         self.out.write_batch(pa.RecordBatch.from_arrays(columns, schema=self.schema))
         self.n_sequences += len(flat) // self.length
@@ -181,9 +192,9 @@ class SequenceWriter:
 
 
 class SequenceFile:
-    """Random access to a sequence file: ``file[i]`` is ``(ids, mask)``.
+    """Random access to a sequence file: ``file[i]`` is ``(ids, mask)``, a numpy array and an Arrow one of a bit per id.
 
-    The arrays of a local file are views of its memory map. Only the file's schema, its first and
+    Both are views of the memory map of a local file. Only the file's schema, its first and
     last batches' headers and the batches asked for are read.
     """
 
@@ -213,11 +224,12 @@ class SequenceFile:
     def __len__(self) -> int:
         return self.n
 
-    def __getitem__(self, i: int) -> tuple[np.ndarray, np.ndarray]:
+    def __getitem__(self, i: int) -> tuple[np.ndarray, pa.BooleanArray]:
         if not 0 <= i < self.n:
             raise IndexError(i)
         batch, at = self._batch(i // self.per_batch), i % self.per_batch * self.length
-        return tuple(batch.column(c).values.slice(at, self.length).to_numpy() for c in range(2))
+        ids, mask = (batch.column(c).values.slice(at, self.length) for c in range(2))
+        return ids.to_numpy(), mask
 
     def runs(self, start: int, n: int) -> Iterator[np.ndarray]:
         """The ``n`` ids from place ``start`` of the file on, as views, one per batch."""
@@ -344,7 +356,7 @@ def read_documents(spark: SparkSession, path: str, id_type: T.DataType | None =
 
 def read_sequences(spark: SparkSession, path: str) -> DataFrame:
     """``(sequence_id, ids, mask)`` of every sequence of a folder, in numbers of the files' order."""
-    schema = "sequence_id long, ids array<int>, mask array<tinyint>"
+    schema = "sequence_id long, ids array<int>, mask array<boolean>"
 
     def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -353,7 +365,7 @@ def read_sequences(spark: SparkSession, path: str) -> DataFrame:
                 for first in range(0, len(file), file.per_batch):
                     some = file._batch(first // file.per_batch)
                     number = pa.array(np.arange(base + first, base + first + some.num_rows))
-                    ids, mask = (some.column(c).cast(pa.list_(t)) for c, t in ((0, pa.int32()), (1, pa.int8())))
+                    ids, mask = (some.column(c).cast(pa.list_(t)) for c, t in ((0, pa.int32()), (1, pa.bool_())))
                     yield pa.RecordBatch.from_arrays([number, ids, mask], names=["sequence_id", "ids", "mask"])
 
     return manifest(spark, path).mapInArrow(read, schema)
