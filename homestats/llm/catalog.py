@@ -13,7 +13,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from homestats.llm import ann, centroids, linededup, mixing, neardup, packing, passages, quality, secret_scan, sequencefile, tokencount, warc
+from homestats.llm import ann, centroids, collocations, linededup, mixing, neardup, packing, passages, quality, secret_scan, sequencefile, tokencount, warc
 from homestats.llm.common import scratch_path, table
 
 #: Bytes of a batch that goes to a Python worker: texts can be long.
@@ -231,3 +231,43 @@ def op12_sequence_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = scratch_path(spark, "sequences")
     sequencefile.write_sequences(table(spark, sf_dir, "documents"), path, public_tokenizers.path("byte_bpe_50k.json"))
     return sequencefile.read_documents(spark, path)
+
+
+_PHRASES_SQL = r"""
+WITH pieces AS (
+  SELECT row_number() OVER () AS pid, lang, regexp_extract_all(piece, '[^\x20\x09]+') AS w FROM (
+    SELECT coalesce(lang, 'und') AS lang, unnest(string_split_regex(
+      translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[.,;:!?\x0A-\x0D]')) AS piece
+    FROM documents)
+), totals AS (
+  SELECT lang, sum(len(w))::HUGEINT AS n FROM pieces GROUP BY lang
+), grams AS (
+  SELECT lang, m, unnest(list_transform(range(1, len(w) - m + 2), lambda i: w[i:i + m - 1])) AS p
+  FROM pieces, range(1, 6) sizes(m) WHERE len(w) >= m
+), counts AS (
+  SELECT lang, m, p, count(*)::HUGEINT AS f FROM grams GROUP BY lang, m, p HAVING count(*) >= 100
+), longer AS (
+  SELECT lang, p, max(f) AS f FROM (
+    SELECT lang, p[1:m - 1] AS p, f FROM counts WHERE m > 2 UNION ALL SELECT lang, p[2:m] AS p, f FROM counts WHERE m > 2
+  ) GROUP BY lang, p
+), cuts AS (
+  SELECT c.lang, c.p, c.m, c.f AS a, k, t.n, x.f AS l, y.f AS r, (1000 * c.f * t.n) // (x.f * y.f) AS score
+  FROM counts c JOIN totals t ON t.lang = c.lang JOIN range(1, 5) cut(k) ON k < c.m
+  JOIN counts x ON x.lang = c.lang AND x.p = c.p[1:k] JOIN counts y ON y.lang = c.lang AND y.p = c.p[k + 1:c.m]
+), best AS (
+  SELECT lang, p, a, n, min({'score': score, 'k': k, 'l': l, 'r': r}) AS c FROM cuts GROUP BY lang, p, a, n
+), kept AS (
+  SELECT best.lang, array_to_string(best.p, ' ') AS phrase, a, c.l AS l, c.r AS r, n, c.score AS score
+  FROM best LEFT JOIN longer ON longer.lang = best.lang AND longer.p = best.p WHERE longer.f IS NULL OR 100 * longer.f < 100 * a
+), ranked AS (
+  SELECT *, row_number() OVER (PARTITION BY lang ORDER BY score DESC, a DESC, phrase) AS rank FROM kept
+)
+SELECT lang, rank::INT AS rank, phrase, a::BIGINT AS a, l::BIGINT AS l, r::BIGINT AS r, n::BIGINT AS n, score::BIGINT AS score
+FROM ranked WHERE rank <= 2000
+"""
+
+
+@query("op13_collocations", _PHRASES_SQL)
+def op13_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The 2000 best phrases of two to five words of each language, over all documents."""
+    return collocations.collocations(table(spark, sf_dir, "documents"))
