@@ -5,12 +5,14 @@ A phrase's score is its least ``1000 * a * n / (l * r)`` over all cuts. As ``a``
 last word: a prefix's count bounds all that grows from it. So rare first words are
 the best, and the search goes in waves:
 
-1. each wave expands, per language, the unexpanded first words of the highest bounds: their
+1. a wave expands, per language, the unexpanded first words of the highest bounds: their
    frequent extensions are counted a word at a time up to the longest phrase;
 2. phrases whose last word is expanded, too, are scored; the counts of their other parts, and
    of the phrases one word longer, come from one more pass;
 3. a language is settled when its ``top``-th surviving score is above the bound of all words
-   left, so that no phrase not yet seen can reach it or tie with it.
+   left, so that no phrase not yet seen can reach it or tie with it. Otherwise the
+   next wave expands just the words whose bound isn't below that score, or all words if there
+   are fewer survivors yet.
 
 Counts are aggregates over the whole corpus, partly summed in each task. Which
 phrases a pass looks at is told by bit filters of bounded size; what they let through by
@@ -29,14 +31,14 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from homestats.llm.common import materialize, mix64, text_slices, word_hashes
+from homestats.llm.common import materialize, mix64, release_memory, text_slices
 
 #: Texts are split and counted in slices of about this many bytes.
-COUNT_BYTES = 4 << 20
+COUNT_BYTES = 3 << 20
 #: A filter has so many bits per phrase, within these bounds.
 BITS_PER_PHRASE, LEAST_BITS, MOST_BITS = 16, 1 << 16, 1 << 27
-#: The first wave expands words of up to so many times the least count; each wave then goes so much further.
-STEP = 4
+#: The first wave expands words of up to so many times the least count.
+FIRST = 4
 
 _COUNTS = "lang string, phrase string, n long"
 _SEEDS = np.uint64(0x9E3779B97F4A7C15)
@@ -49,6 +51,18 @@ _KIND[list(b" \t")] = 1
 _KIND[list(b".,;:!?\n\x0b\x0c\r")] = 2
 
 
+def text_hashes(words: pa.Array) -> np.ndarray:
+    """A 64-bit hash of each word, from its bytes by numpy. Equal words have equal hashes; no more is needed."""
+    words = words.cast(pa.large_string())
+    offsets = np.frombuffer(words.buffers()[1], np.int64)[words.offset : words.offset + len(words) + 1]
+    data = np.frombuffer(words.buffers()[2] or b"", np.uint8)[offsets[0] : offsets[-1]].astype(np.uint64)
+    offsets = offsets - offsets[0]
+    sizes = np.diff(offsets)
+    place = (np.arange(len(data)) - np.repeat(offsets[:-1], sizes)).astype(np.uint64)
+    sums = np.concatenate(([np.uint64(0)], np.cumsum(mix64(data + (place << np.uint64(8)) + np.uint64(1)), dtype=np.uint64)))
+    return mix64(sums[offsets[1:]] - sums[offsets[:-1]] + sizes.astype(np.uint64) * _SEEDS)
+
+
 class Words:
     """The words of some texts: a code each, the piece it is in, and of each code the language, word and hash."""
 
@@ -81,7 +95,7 @@ class Words:
         self.code = (np.cumsum(present) - 1)[both]
         self.langs, self.words = known.dictionary, encoded.dictionary
         self.lang_of, self.word_of = kinds // n_words, kinds % n_words
-        lang_hash, word_hash = word_hashes(self.langs), word_hashes(self.words)
+        lang_hash, word_hash = text_hashes(self.langs), text_hashes(self.words)
         hashes = mix64(word_hash[self.word_of] ^ mix64(lang_hash[self.lang_of] + _SEEDS)) if len(kinds) else np.empty(0, np.uint64)
         self.hash = {1: hashes[self.code]}
 
@@ -127,9 +141,9 @@ def phrase_hashes(langs: pa.Array, phrases: pa.Array) -> np.ndarray:
     bounds = lists.offsets.to_numpy().astype(np.int64)
     words = lists.values[bounds[0] : bounds[-1]].dictionary_encode()
     bounds = bounds - bounds[0]
-    hashes = word_hashes(words.dictionary)[words.indices.to_numpy(zero_copy_only=False)]
+    hashes = text_hashes(words.dictionary)[words.indices.to_numpy(zero_copy_only=False)]
     known = langs.dictionary_encode()
-    lang = mix64(word_hashes(known.dictionary)[known.indices.to_numpy(zero_copy_only=False)] + _SEEDS)
+    lang = mix64(text_hashes(known.dictionary)[known.indices.to_numpy(zero_copy_only=False)] + _SEEDS)
     sizes = np.diff(bounds)
     hashes = mix64(hashes ^ np.repeat(lang, sizes))
     out = hashes[bounds[:-1]]
@@ -187,6 +201,8 @@ def _pass(texts: DataFrame, least: int, choose) -> DataFrame:
                 for m, at in choose(words):
                     if (rows := words.counted(m, at)) is not None:
                         yield rows
+                del words
+        release_memory()
 
     counted = texts.mapInArrow(count, _COUNTS).groupBy("lang", "phrase").agg(F.sum("n").alias("n"))
     return materialize(counted.filter(F.col("n") >= least) if least > 1 else counted, "phrase-counts")
@@ -293,12 +309,12 @@ def collocations(
 
     about = {r["lang"]: (r["n"], r["most"]) for r in totals.collect()}  # a row per language
     reach = dict.fromkeys((x for x, (_, most) in about.items() if most >= least), least - 1)
-    goal = first if first is not None else STEP * least
+    goal = dict.fromkeys(reach, first if first is not None else FIRST * least)
     grown, done, known = [], [], []  # phrases found; those scored; counts of other phrases
     total = totals.select("lang", F.col("n").alias("total"))
     while reach:
         # languages not settled go on from where they are
-        limits = spark.createDataFrame([(x, before, goal) for x, before in reach.items()], "lang string, low long, high long")
+        limits = spark.createDataFrame([(x, before, goal[x]) for x, before in reach.items()], "lang string, low long, high long")
         limits = F.broadcast(limits)
         level = words.join(limits, "lang").filter((F.col("n") > F.col("low")) & (F.col("n") <= F.col("high"))).select("lang", "phrase", "n")
         for m in range(2, longest + 1):
@@ -324,11 +340,14 @@ def collocations(
         order = Window.partitionBy("lang").orderBy(F.desc("score"), F.desc("a"), "phrase")
         ranked = reduce(DataFrame.unionByName, done).withColumn("rank", F.row_number().over(order))
         worst = {r["lang"]: r["score"] for r in ranked.filter(F.col("rank") == top).select("lang", "score").collect()}  # a row per language
-        reach = {
-            x: goal for x in reach
-            if goal < about[x][1] and not (x in worst and worst[x] > 1000 * about[x][0] // (goal + 1))
-        }
-        goal *= STEP
+        unsettled = {}
+        for x in reach:
+            n, most = about[x]
+            if goal[x] < most and not (x in worst and worst[x] > 1000 * n // (goal[x] + 1)):
+                unsettled[x] = goal[x]
+                # the score can only rise: words beyond this have bounds below it
+                goal[x] = min(most, 1000 * n // worst[x]) if x in worst and worst[x] else most
+        reach = unsettled
     if not done:
         return spark.createDataFrame([], "lang string, rank int, phrase string, a long, l long, r long, n long, score long")
     best = ranked.filter(F.col("rank") <= top).select("lang", "rank", "phrase", "a", "l", "r", "n", "score")

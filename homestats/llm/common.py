@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import ctypes
 import sys
 import types
 import uuid
@@ -75,6 +76,14 @@ def cached(key, make: Callable):
     return state[key]
 
 
+def release_memory() -> None:
+    """Give memory that Arrow and the C library hold back for later to the system: a worker may stay idle for long."""
+    pa.default_memory_pool().release_unused()
+    trim = cached("malloc_trim", lambda: getattr(ctypes.CDLL(None), "malloc_trim", None))
+    if trim is not None:
+        trim(0)
+
+
 def text_slices(texts: pa.Array, most: int = SLICE_BYTES):
     """Consecutive slices ``(from, to)`` of about ``most`` bytes of text; a longer text is a slice alone."""
     sizes = pc.fill_null(pc.binary_length(texts), 0).to_numpy(zero_copy_only=False).astype(np.int64)
@@ -154,6 +163,7 @@ __all__ = [
     "fresh",
     "materialize",
     "mix64",
+    "release_memory",
     "scratch_path",
     "shingle_hashes",
     "table",

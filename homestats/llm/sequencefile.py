@@ -26,8 +26,8 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from homestats.llm.common import cached, text_slices
-from homestats.llm.packing import ENCODE_BYTES, WordEncoder
+from homestats.llm.common import cached, release_memory, text_slices
+from homestats.llm.packing import WordEncoder
 
 #: Sequences of a batch, and ids after which a task begins a new file (at a document's end).
 BATCH_SEQUENCES = 64
@@ -35,8 +35,10 @@ FILE_IDS = 1 << 26
 MANIFEST = "_manifest"
 #: White space of any kind at a piece's end, or an empty piece: what follows is not parted from it.
 OPEN_END = r"^$|[\s\x{0b}\x{1c}-\x{1f}\x{85}\p{Z}]$"
-#: Units whose ids a Python worker remembers; when there are more, only those used twice and those of the texts at hand are kept.
-REMEMBERED_UNITS = 800_000
+#: Units whose ids a Python worker remembers; when there are more, only those of the texts at hand are kept.
+REMEMBERED_UNITS = 500_000
+#: Texts are encoded in slices of about this many bytes.
+ENCODE_BYTES = 16 << 20
 
 
 # ---- encoding ----
@@ -70,14 +72,6 @@ class PieceEncoder(WordEncoder):
     def _ids(self, texts: list[str]) -> list[list[int]]:
         return [e.ids for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]  # without offsets
 
-    def _forget(self) -> None:
-        super()._forget()
-        self.uses = np.empty(0, np.int64)
-
-    def _add(self, words: list[str], sizes: np.ndarray, flat: np.ndarray) -> None:
-        super()._add(words, sizes, flat)
-        self.uses = np.concatenate([self.uses, np.zeros(len(words), np.int64)])
-
     def _units(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray, list[str]]:
         """``(bounds, codes, units)``: text i has the units ``codes[bounds[i]:bounds[i + 1]]``."""
         lists = pc.split_pattern(texts, " ")
@@ -114,12 +108,9 @@ class PieceEncoder(WordEncoder):
         else:
             bounds, codes, listed = np.arange(len(texts) + 1), np.arange(len(texts)), texts.to_pylist()
         if len(self.place) > REMEMBERED_UNITS:
-            often = self.uses > 1
-            often = [u for u, i in self.place.items() if often[i]] if 2 * int(often.sum()) < REMEMBERED_UNITS else []
-            self._keep(list(dict.fromkeys([*often, *listed])))
+            self._keep(listed if self.by_units else [])
         self._learn([u for u in dict.fromkeys(listed) if u not in self.place])
         where = np.fromiter((self.place[u] for u in listed), np.int64, len(listed))
-        self.uses[where] += 1
         sizes, flat = self._take(where[codes])
         total = np.concatenate(([0], np.cumsum(sizes)))
         out_bounds = total[bounds] + np.arange(len(bounds))  # one end id per text before
@@ -310,6 +301,7 @@ def write_sequences(
                         close()
         if out is not None:
             close()
+        release_memory()
         yield pa.RecordBatch.from_pylist([dict(zip(_FILES.names, row, strict=True)) for row in listed], _FILES)
 
     ordered.mapInArrow(write, _MANIFEST).write.parquet(f"{path}/{MANIFEST}")
