@@ -31,7 +31,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from homestats.llm.common import materialize, mix64, release_memory, text_slices
+from homestats.llm.common import materialize, mix64, text_slices, tidy
 
 #: Texts are split and counted in slices of about this many bytes.
 COUNT_BYTES = 3 << 20
@@ -193,6 +193,7 @@ def bit_filter(phrases: DataFrame) -> BitFilter:
 def _pass(texts: DataFrame, least: int, choose) -> DataFrame:
     """Counts of the phrases that ``choose(words)`` names, ``(m, places)`` each; those of ``least`` and more, written."""
 
+    @tidy
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             langs, values = batch.column(0), batch.column(1)
@@ -201,8 +202,6 @@ def _pass(texts: DataFrame, least: int, choose) -> DataFrame:
                 for m, at in choose(words):
                     if (rows := words.counted(m, at)) is not None:
                         yield rows
-                del words
-        release_memory()
 
     counted = texts.mapInArrow(count, _COUNTS).groupBy("lang", "phrase").agg(F.sum("n").alias("n"))
     return materialize(counted.filter(F.col("n") >= least) if least > 1 else counted, "phrase-counts")

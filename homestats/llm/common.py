@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import ctypes
+import functools
 import sys
 import types
 import uuid
@@ -84,6 +85,17 @@ def release_memory() -> None:
         trim(0)
 
 
+def tidy(work: Callable) -> Callable:
+    """A generator function of a task that ends with ``release_memory``, when its own values are gone."""
+
+    @functools.wraps(work)
+    def run(batches):
+        yield from work(batches)
+        release_memory()
+
+    return run
+
+
 def text_slices(texts: pa.Array, most: int = SLICE_BYTES):
     """Consecutive slices ``(from, to)`` of about ``most`` bytes of text; a longer text is a slice alone."""
     sizes = pc.fill_null(pc.binary_length(texts), 0).to_numpy(zero_copy_only=False).astype(np.int64)
@@ -168,6 +180,7 @@ __all__ = [
     "shingle_hashes",
     "table",
     "text_slices",
+    "tidy",
     "word_codes",
     "word_hashes",
     "worker_state",

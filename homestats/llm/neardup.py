@@ -23,7 +23,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from homestats.llm.common import fresh, materialize, mix64, shingle_hashes, text_slices, word_codes, word_hashes
+from homestats.llm.common import fresh, materialize, mix64, release_memory, shingle_hashes, text_slices, tidy, word_codes, word_hashes
 from homestats.llm.components import connected_components
 
 WIDTH = 5
@@ -31,7 +31,7 @@ WIDTH = 5
 BANDS, BAND_ROWS = 24, 5
 #: A node's elements are kept as 48 bits each.
 ELEMENT_BYTES = 6
-BLOCK_NODES, BLOCK_BYTES = 512, 16 << 20
+BLOCK_NODES, BLOCK_BYTES = 512, 4 << 20
 #: Texts are signed in slices of about this many bytes.
 SIGN_BYTES = 2 << 20
 #: Darts of so many documents are in memory at a time.
@@ -145,6 +145,7 @@ def band_keys(signatures: np.ndarray) -> np.ndarray:
 
 
 @F.arrow_udf(T.ArrayType(T.LongType()))
+@tidy
 def bands_of(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
     """Band keys of whole texts; null for a text without words."""
     for texts in batches:
@@ -159,6 +160,7 @@ def bands_of(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
 
 
 @F.arrow_udf(T.BinaryType())
+@tidy
 def elements_of(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
     """The weighted set of whole texts as sorted distinct elements: a shingle's i-th occurrence is one."""
     for texts in batches:
@@ -198,13 +200,15 @@ def similarities(sets: list[np.ndarray]) -> np.ndarray:
     n = len(sets)
     sizes = np.array([len(s) for s in sets])
     flat = np.concatenate(sets)
-    owner = np.repeat(np.arange(n), sizes)
+    owner = np.repeat(np.arange(n, dtype=np.int32), sizes)
     order = np.argsort(flat, kind="stable")
     flat, owner = flat[order], owner[order]
+    del order
     new = np.concatenate(([True], flat[1:] != flat[:-1])) if len(flat) else np.zeros(0, bool)
-    element = np.cumsum(new) - 1
-    shared = np.bincount(element) > 1 if len(flat) else np.zeros(0, bool)
-    keep = shared[element] if len(flat) else shared
+    element = np.cumsum(new, dtype=np.int32) - 1
+    del flat, new
+    shared = np.bincount(element) > 1 if len(element) else np.zeros(0, bool)
+    keep = shared[element] if len(element) else shared
     owner, element = owner[keep], (np.cumsum(shared) - 1)[element[keep]]
     common = np.zeros((n, n), np.float32)
     step = 4096
@@ -341,6 +345,8 @@ def near_duplicate_links(docs: DataFrame, least: float, text: str) -> tuple[Data
         node = table["node"].to_pylist()
         sets = [unpack(e) for e in table["elements"].to_pylist()]
         found = links_in_blocks(table["root"].to_pylist(), table["side"].to_numpy(), sets, least)
+        del sets
+        release_memory()
         return pa.table({"a": pa.array([node[i] for i, _ in found], pa.binary()), "b": pa.array([node[j] for _, j in found], pa.binary())})
 
     block_links = tasks.join(elements, "node").groupBy("key", "p", "q").applyInArrow(compare, link)

@@ -23,7 +23,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from homestats.llm.common import cached, materialize, text_slices, word_codes
+from homestats.llm.common import cached, materialize, text_slices, tidy, word_codes
 
 #: Marks that a tokenizer may part from the letters before them.
 CLOSING = ".,;:!?)"
@@ -140,6 +140,7 @@ def cut_pieces(docs: DataFrame, tokenizer_path: str, max_len: int, end_id: int,
     if ids:
         schema.add("ids", T.ArrayType(T.LongType()))
 
+    @tidy
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encoder = cached(("words", tokenizer_path), lambda: WordEncoder(tokenizer_path))
         part, seen = TaskContext.get().partitionId(), np.zeros(max_len + 1, np.int64)

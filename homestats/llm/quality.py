@@ -20,7 +20,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from homestats.llm.common import fresh, materialize, text_slices, word_codes
+from homestats.llm.common import fresh, materialize, text_slices, tidy, word_codes
 
 MEASURES = (
     "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words",
@@ -135,6 +135,7 @@ def measure_batch(texts: pa.Array) -> pa.StructArray:
 
 
 @F.arrow_udf(T.StructType([T.StructField(m, T.LongType()) for m in MEASURES]))
+@tidy
 def measures(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
     """A struct of the measures of whole texts (null: as empty)."""
     for texts in batches:
@@ -275,6 +276,7 @@ def keep_good(docs: DataFrame, threshold: float = 0.5, text: str = "text") -> Da
     p_good = model.p_good
 
     @F.arrow_udf(T.BooleanType())
+    @tidy
     def good(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
         for texts in batches:
             parts = [np.empty(0, bool)]

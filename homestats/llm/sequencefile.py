@@ -26,7 +26,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from homestats.llm.common import cached, release_memory, text_slices
+from homestats.llm.common import cached, text_slices, tidy
 from homestats.llm.packing import WordEncoder
 
 #: Sequences of a batch, and ids after which a task begins a new file (at a document's end).
@@ -261,6 +261,7 @@ def write_sequences(
     # rows of one id may be many: they are dealt over several ranges by hash, equal ones by their place
     ordered = rows.repartitionByRange("doc_id", "digest", "row").sortWithinPartitions("doc_id", "digest", "row").select("doc_id", "text")
 
+    @tidy
     def write(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encoder = cached(("units", tokenizer_path), lambda: PieceEncoder(tokenizer_path))
         id_type = "uint16" if max(encoder.tokenizer.get_vocab_size(), end_id + 1) <= 1 << 16 else "uint32"
@@ -301,7 +302,6 @@ def write_sequences(
                         close()
         if out is not None:
             close()
-        release_memory()
         yield pa.RecordBatch.from_pylist([dict(zip(_FILES.names, row, strict=True)) for row in listed], _FILES)
 
     ordered.mapInArrow(write, _MANIFEST).write.parquet(f"{path}/{MANIFEST}")
