@@ -10,6 +10,8 @@ from __future__ import annotations
 
 import re
 from collections.abc import Iterator
+from dataclasses import dataclass
+from functools import cached_property
 
 import pyarrow as pa
 from pyspark.sql import Column
@@ -27,9 +29,11 @@ HEX = re.compile(r"[0-9a-f]{24,}")
 KINDS = ("assign", "access", "hex", "random")
 ASSIGN_CHARS, ACCESS_CHARS, HEX_CHARS = 6, 20, 24
 
-#: What the token-efficiency test looks at: runs of key characters.
-RUN = re.compile(r"[A-Za-z0-9+/_=-]{20,}")
-RUN_CHARS = 20
+#: What the token-efficiency test looks at: runs of key characters, and of these with punctuation.
+KEY_CHARS = "A-Za-z0-9+/_=-"
+MARKS = "!@#$%^&*()~"
+#: The test's least length, and the most characters per token of strings with letters of one case or digits alone, and of others.
+RUN_CHARS, ONE_CASE_RATIO, RATIO = 16, 1.9, 2.0
 # Digests by their hexadecimal length (MD5, SHA-1, SHA-224, SHA-256, SHA-384, SHA-512),
 # Subresource Integrity strings, and identifiers that are random by design.
 DIGEST = re.compile(r"(?:[0-9a-f]+|[0-9A-F]+)")
@@ -55,8 +59,46 @@ KNOWN_PART = re.compile(
 SPAN_TYPE = "array<struct<kind:string,start:bigint,end:bigint>>"
 
 _HEX_TABLE = bytes(49 if chr(b) in "0123456789abcdef" else 48 for b in range(256))
-_RUN_TABLE = bytes(49 if RUN.fullmatch(chr(b) * RUN_CHARS) else 48 for b in range(256))
-_HEX_RUN, _KEY_RUN = b"1" * HEX_CHARS, b"1" * RUN_CHARS
+_HEX_RUN = b"1" * HEX_CHARS
+
+
+@dataclass(frozen=True)
+class RunTest:
+    """What counts as a random string: the parameters of the token-efficiency test.
+
+    ``min_chars`` is the least length. Strings of at most ``ratio`` characters per token are random if they mix
+    at least two of digits, upper-case and lower-case letters; of others at most ``one_case_ratio`` are asked, as rare
+    words come close to ``ratio``. Strings with one of ``marks`` must mix all three, since code
+    and rules of marks tokenize badly, too; without ``marks`` such strings aren't looked at.
+    """
+
+    ratio: float = RATIO
+    one_case_ratio: float = ONE_CASE_RATIO
+    min_chars: int = RUN_CHARS
+    marks: str = MARKS
+
+    @cached_property
+    def keys(self) -> re.Pattern:
+        return re.compile(f"[{KEY_CHARS}]{{{self.min_chars},}}")
+
+    @cached_property
+    def wide(self) -> re.Pattern:
+        return re.compile(f"[{re.escape(self.marks)}{KEY_CHARS}]{{{self.min_chars},}}")
+
+    @cached_property
+    def table(self) -> bytes:
+        return bytes(49 if self.wide.fullmatch(chr(b) * self.min_chars) else 48 for b in range(256))
+
+    def may_match(self, raw: bytes) -> bool:
+        return b"1" * self.min_chars in raw.translate(self.table)
+
+    def looks_random(self, run: str, encode) -> bool:
+        """Few characters per token, and no known string."""
+        if len(run) < self.min_chars or is_known(run):
+            return False
+        mixed = any(c.isdigit() for c in run) + any(c.islower() for c in run) + any(c.isupper() for c in run[1:])
+        ratio = self.ratio if mixed >= 2 else self.one_case_ratio
+        return len(run) <= ratio * len(encode(run))
 
 
 def base_spans(text: str, raw: bytes) -> list[tuple[int, int, int]]:
@@ -80,12 +122,7 @@ def is_known(run: str) -> bool:
     return bool(len(run) in DIGEST_CHARS and DIGEST.fullmatch(run) or KNOWN.fullmatch(run))
 
 
-def _looks_random(run: str, encode, ratio: float) -> bool:
-    mixed = any(c.isdigit() for c in run) + any(c.islower() for c in run) + any(c.isupper() for c in run)
-    return mixed >= 2 and not is_known(run) and len(run) <= ratio * len(encode(run))
-
-
-def random_parts(run: str, encode, ratio: float) -> list[tuple[int, int]]:
+def random_parts(run: str, encode, test: RunTest) -> list[tuple[int, int]]:
     """Parts of a run that look random though the run doesn't, as names and paths are joined to them.
 
     Pieces between ``=``, ``/``, ``_`` and ``-`` score what they have in tokens beyond the ratio; a
@@ -106,7 +143,7 @@ def random_parts(run: str, encode, ratio: float) -> list[tuple[int, int]]:
         for a, b in pieces:
             total -= a - at
             before, start, at = total, a, b
-            total += ratio * len(encode(run[a:b])) - (b - a)
+            total += test.ratio * len(encode(run[a:b])) - (b - a)
             if total <= before:
                 continue
             while True:
@@ -121,38 +158,67 @@ def random_parts(run: str, encode, ratio: float) -> list[tuple[int, int]]:
         for a, b, _, _ in found:
             while b < len(run) and run[b] == "=":  # padding
                 b += 1
-            if b - a >= RUN_CHARS and _looks_random(run[a:b], encode, ratio):
+            if test.looks_random(run[a:b], encode):
                 out.append((a, b))
             else:  # a piece alone, if its neighbours hide it
-                out += [(c, d) for c, d in pieces if a <= c and d <= b and d - c >= RUN_CHARS and _looks_random(run[c:d], encode, ratio)]
+                out += [(c, d) for c, d in pieces if a <= c and d <= b and test.looks_random(run[c:d], encode)]
     return out
 
 
-def random_spans(text: str, raw: bytes, encode, ratio: float) -> list[tuple[int, int]]:
-    """Runs of key characters of at most ``ratio`` characters per token, or such parts of other runs; known ones left out.
+def _without(start: int, end: int, spans: list[tuple[int, int]]) -> Iterator[tuple[int, int]]:
+    """What is left of ``start..end`` beside some spans, by start."""
+    for a, b in spans:
+        if a < end and start < b:
+            yield start, a
+            start = max(start, b)
+    yield start, end
+
+
+def random_spans(text: str, raw: bytes, taken: list[tuple[int, int]], encode, test: RunTest) -> list[tuple[int, int]]:
+    """Runs of key characters that look random, or such parts of other runs; known ones left out.
 
-    Words and paths of words tokenize well. A run is judged with its digits and
-    letters; one of letters in a single case is a word, however rare.
+    Words and paths of words tokenize well. What overlaps ``taken`` spans (by start) is cut off a run, and
+    what is left is judged by itself, without the separators that joined it. Runs with punctuation are
+    judged whole, if no span of theirs has been found.
     """
-    if _KEY_RUN not in raw.translate(_RUN_TABLE):
+    if not test.may_match(raw):
         return []
     out = []
-    for m in RUN.finditer(text):
-        run = m[0]
-        if _looks_random(run, encode, ratio):
-            out.append((m.start(), m.end()))
-        elif not is_known(run):
-            out += [(m.start() + a, m.start() + b) for a, b in random_parts(run, encode, ratio)]
+    for m in test.keys.finditer(text):
+        for a, b in _without(m.start(), m.end(), taken):
+            if (a, b) != m.span():
+                part = text[a:b]
+                a, b = b - len(part.lstrip("=/_-")), a + len(part.rstrip("/_-"))
+            if b - a < test.min_chars:
+                continue
+            run = text[a:b]
+            if test.looks_random(run, encode):
+                out.append((a, b))
+            elif not is_known(run):
+                out += [(a + c, a + d) for c, d in random_parts(run, encode, test)]
+    if test.marks:
+        found = sorted([*taken, *out])
+        at = 0
+        for m in test.wide.finditer(text):
+            run = m[0]
+            if not any(c in test.marks for c in run):
+                continue
+            while at < len(found) and found[at][1] <= m.start():
+                at += 1
+            if at < len(found) and found[at][0] < m.end():
+                continue
+            if any(c.isdigit() for c in run) and any(c.islower() for c in run) and any(c.isupper() for c in run) and test.looks_random(run, encode):
+                out.append(m.span())
     return out
 
 
-def scan_text(text: str | None, encode, ratio: float) -> list[dict]:
-    """All spans of a text by start, then kind; a random run that overlaps a base span is that span's."""
+def scan_text(text: str | None, encode, test: RunTest) -> list[dict]:
+    """All spans of a text by start, then kind; random ones overlap no base span."""
     if not text:
         return []
     raw = text.encode("utf-8", "surrogatepass")
     base = base_spans(text, raw)
-    spans = base + [(a, 3, b) for a, b in random_spans(text, raw, encode, ratio) if not any(s < b and a < e for s, _, e in base)]
+    spans = base + [(a, 3, b) for a, b in random_spans(text, raw, [(s, e) for s, _, e in base], encode, test)]
     return [{"kind": KINDS[k], "start": a, "end": b} for a, k, b in sorted(spans)]
 
 
@@ -167,20 +233,23 @@ def load_encoding(rank_path: str, pattern: str):
     return tiktoken.Encoding("ranks", pat_str=pattern, mergeable_ranks=ranks, special_tokens={})
 
 
-def secret_spans(text: Column, rank_path: str, pattern: str, ratio: float = 2.0) -> Column:
+def secret_spans(text: Column, rank_path: str, pattern: str, test: RunTest | None = None) -> Column:
     """Spans ``array<struct<kind, start, end>>`` of whole texts, by start and then kind.
 
     Base kinds are leftmost non-overlapping matches of each pattern (``assign``,
-    ``access``, ``hex``), those too short dropped; ``random`` ones have at most
-    ``ratio`` characters per token, as whole runs or as parts that names and paths are joined to. Null and empty texts have no spans.
+    ``access``, ``hex``), those too short dropped; ``random`` ones are strings that ``test`` (a
+    ``RunTest``) takes for random, as whole runs or as parts that names, paths and base spans are joined
+    to. Null and empty texts have no spans; repeated rows have equal ones. The result depends on
+    the text alone, so other columns, whatever their names, and an empty table need no care.
     """
+    test = test or RunTest()
 
     @F.arrow_udf(SPAN_TYPE)
     def scan(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
         encode = cached(("ranks", rank_path), lambda: load_encoding(rank_path, pattern)).encode_ordinary
         kind = pa.list_(pa.struct([("kind", pa.string()), ("start", pa.int64()), ("end", pa.int64())]))
         for texts in batches:
-            yield pa.array([scan_text(t.as_py(), encode, ratio) for t in texts], kind)
+            yield pa.array([scan_text(t.as_py(), encode, test) for t in texts], kind)
 
     return scan(text)
 

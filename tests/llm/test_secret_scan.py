@@ -40,18 +40,18 @@ def test_random_strings_are_found_and_known_ones_left(make_docs):
     r = random.Random(4)
     for _ in range(200):
         s = token(r, 40)
-        spans = S.scan_text(f"see {s} here", ENCODE, 2.0)
+        spans = S.scan_text(f"see {s} here", ENCODE, S.RunTest())
         assert spans == [{"kind": "random", "start": 4, "end": 44}], s
     for s in (
         "3F2504E0-4F89-41D3-9A0C-0305E82C3301", "D41D8CD98F00B204E9800998ECF8427E", "=" * 40, "2024-01-01-2024-12-31-0001",
         "src/main/python/operators/aggregate_functions", "InternationalStandardOrganizationName2", "antidisestablishmentarianism",
     ):
-        assert S.scan_text(f"see {s} here", ENCODE, 2.0) == [], s
+        assert S.scan_text(f"see {s} here", ENCODE, S.RunTest()) == [], s
 
 
 def test_a_random_run_inside_a_base_span_is_that_span():
     s = token(random.Random(9), 40)
-    assert [x["kind"] for x in S.scan_text(f"password = {s} and {s}", ENCODE, 2.0)] == ["assign", "random"]
+    assert [x["kind"] for x in S.scan_text(f"password = {s} and {s}", ENCODE, S.RunTest())] == ["assign", "random"]
 
 
 def test_awkward_documents(make_docs, awkward, empty_docs):
@@ -92,7 +92,7 @@ def test_secrets_joined_to_names_and_paths(prefix, n):
         for after in ("", "/settings/overview"):
             text = f"see {prefix}{s}{after} here"
             at = text.index(s)
-            spans = S.scan_text(text, ENCODE, 2.0)
+            spans = S.scan_text(text, ENCODE, S.RunTest())
             assert any(x["kind"] == "random" and x["start"] <= at and at + n <= x["end"] for x in spans), text
     assert tried > 50
 
@@ -103,4 +103,45 @@ def test_known_strings_in_paths_are_left():
         "/articles/2024/01/31/the-state-of-the-union-address",
         "src/v1/components/button_group/index-2024-01-02", "application_settings=production_environment_2",
     ):
-        assert S.scan_text(f"see {s} here", ENCODE, 2.0) == [], s
+        assert S.scan_text(f"see {s} here", ENCODE, S.RunTest()) == [], s
+
+
+def _random(r, n, letters):
+    return "".join(r.choices(letters, k=n))
+
+
+LETTERS = "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789"
+
+
+@pytest.mark.parametrize("before", ["AKIA{caps}/", "{hex}/", "{hex}_", "password={word}/+//"])
+def test_secrets_joined_to_a_base_span_are_found_whole(before):
+    r = random.Random(before)
+    for _ in range(60):
+        joined = before.format(caps=_random(r, 16, LETTERS[:26]), hex=_random(r, 40, "0123456789abcdef"), word=_random(r, 8, LETTERS))
+        secret = _random(r, 40, LETTERS)
+        text = f"see {joined}{secret} here"
+        spans = S.scan_text(text, ENCODE, S.RunTest())
+        if before.startswith("password"):  # the base pattern takes the whole run
+            assert [s["kind"] for s in spans] == ["assign"]
+            continue
+        assert [text[s["start"] : s["end"]] for s in spans if s["kind"] == "random"] == [secret]
+        assert len(spans) == 2
+
+
+@pytest.mark.parametrize(("letters", "n", "least"), [(LETTERS, 16, 0.97), (LETTERS[26:52], 40, 0.85), (LETTERS[:26], 40, 0.85), (LETTERS + "!@#$%^&*()", 32, 0.9)])
+def test_short_one_case_and_punctuated_secrets(letters, n, least):
+    r = random.Random(n)
+    texts = [f"see {_random(r, n, letters)} here" for _ in range(200)]
+    assert sum(len(S.scan_text(t, ENCODE, S.RunTest())) == 1 for t in texts) >= least * 200
+
+
+def test_parameters_set_length_marks_and_the_ratio_of_one_case():
+    text = "see q7Zx9Kd2mP4vT1 and jqzxkvwpmbtgfrdhcnlsyq and aB3$xY9!kL2#mN7%pQ here"
+    kinds = {t: len(S.scan_text(text, ENCODE, t)) for t in (S.RunTest(), S.RunTest(min_chars=14), S.RunTest(one_case_ratio=0.5), S.RunTest(marks=""))}
+    assert list(kinds.values()) == [2, 3, 1, 1]
+
+
+def test_few_false_alarms_on_prose(spark):
+    texts = [r["text"] for r in spark.read.parquet("/root/testdata/sf0.01/documents.parquet").select("text").collect()]
+    spans = [(t, s) for t in texts for s in S.scan_text(t, ENCODE, S.RunTest()) if s["kind"] == "random"]
+    assert len(spans) <= 2
