@@ -82,17 +82,73 @@ def _clean_header(line):
     cells = F.regexp_extract_all(F.concat(F.rtrim(line, F.lit("\r")), F.lit(",")), F.lit(_CELL), 1)
     cells = F.slice(cells, F.lit(1), F.size(cells) - 1)
     quoted = lambda c: F.replace(F.substring(c, F.lit(2), F.length(c) - 2), F.lit('""'), F.lit('"'))
-    return F.transform(cells, lambda c: F.trim(F.when(c.rlike('^".*"$'), quoted(c)).otherwise(c)))
+    return F.transform(cells, lambda c: F.trim(F.when(c.rlike('(?s)^".*"$'), quoted(c)).otherwise(c)))
 
 
-def file_headers(spark: SparkSession, path, pattern: str = "*.csv", recursive: bool = False, encoding: str = "UTF-8") -> DataFrame:
-    """``(path, header)``: the first line of every file as column names.
+#: Bytes of a file that are read at a time until its first record ends.
+HEAD_BYTES = 1 << 16
 
-    The first line is the lowest row id within the split starting at byte 0;
-    each file's rows are contiguous and ordered inside its partition.
+
+def _arrow_opens(path: str) -> bool:
+    """Whether Arrow's file systems reach a store (Spark may read from others, too)."""
+    from pyarrow import fs
+
+    if path.startswith("file:"):
+        return True
+    try:
+        system, place = fs.FileSystem.from_uri(path)
+        return system.get_file_info(place).type == fs.FileType.File
+    except Exception:  # noqa: BLE001 - an unknown scheme, or a missing client library
+        return False
+
+
+def _first_records(files: DataFrame, head_bytes: int) -> DataFrame:
+    """``(path, line)``: the bytes of every file's first record; a task opens its files and reads no further."""
+    import pyarrow as pa
+
+    def read(batches):  # a closure: executors need no copy of this package
+        from pyarrow import fs
+
+        for batch in batches:
+            out = []
+            for path in batch.column(0).to_pylist():
+                local = path.startswith("file:")
+                system, place = (fs.LocalFileSystem(), "/" + path[5:].lstrip("/")) if local else fs.FileSystem.from_uri(path)
+                held, end, at, quoted = b"", -1, 0, False
+                with system.open_input_stream(place, buffer_size=None) as f:
+                    while end < 0 and (more := f.read(head_bytes)):
+                        held += more
+                        # a line break between an odd and an even quote is part of the record
+                        while end < 0 and (stop := held.find(b"\n", at)) >= 0:
+                            quoted ^= held.count(b'"', at, stop) % 2 == 1
+                            end, at = (-1 if quoted else stop), stop + 1
+                        if end < 0:
+                            quoted ^= held.count(b'"', at) % 2 == 1
+                            at = len(held)
+                out.append(held if end < 0 else held[:end])
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(out, pa.binary())], names=["path", "line"])
+
+    # paths are few and short, and opening a file takes its time: they are dealt over all tasks
+    n = int(files.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    return files.select("path").repartition(n).mapInArrow(read, "path string, line binary")
+
+
+def file_headers(spark: SparkSession, path, pattern: str = "*.csv", recursive: bool = False, encoding: str = "UTF-8",
+                 head_bytes: int = HEAD_BYTES) -> DataFrame:
+    """``(path, header)``: the first record of every file as column names; an empty file has none.
+
+    Files are opened by the tasks and read up to the first record's end, whatever their
+    size; a quoted name may hold line breaks. In a store that only Spark's readers open, the
+    first lines come from a scan: the lowest row id within the split starting at byte 0.
     """
-    lines = _lines(spark, path, pattern, recursive, encoding)
-    first = lines.where(F.col("_start") == 0).groupBy("path").agg(F.min_by("value", "_seq").alias("line"))
+    files = list_sources(spark, path, pattern, recursive)
+    some = files.select("path").first()
+    if some is not None and not _arrow_opens(some["path"]):
+        lines = _lines(spark, path, pattern, recursive, encoding)
+        first = lines.where(F.col("_start") == 0).groupBy("path").agg(F.min_by("value", "_seq").alias("line"))
+    else:
+        found = _first_records(files, head_bytes).filter(F.octet_length("line") > 0)
+        first = found.select("path", F.decode("line", encoding).alias("line"))
     return first.select("path", _clean_header(F.col("line")).alias("header"))
 
 

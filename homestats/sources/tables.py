@@ -3,6 +3,7 @@ by name, and the writers for datasets and run summaries."""
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Sequence
 from functools import reduce
 
@@ -71,7 +72,7 @@ def read_table(
 
     Files are grouped by their *ordered* header, each group is read on its own and
     the groups are unioned by name: a positional multi-file read would scramble
-    reordered headers. One job scans the headers; its result, a path per file, is
+    reordered headers. One job reads the headers (first bytes only); its result, a path per file, is
     what Spark's own reader keeps on the driver as well.
 
     ``multi_line`` (default): a quoted line break stays inside its record, and a file
@@ -90,19 +91,60 @@ def read_table(
 
 
 def write_table(df: DataFrame, path: str, fmt: str = "csv", mode: str = "overwrite", partition_by: Sequence[str] = ()) -> str:
-    """Write a dataset (CSV with header, quotes doubled, or Parquet); returns the path."""
-    w = df.write.mode(mode)
+    """Write a dataset (CSV with header, quotes doubled, or Parquet); returns the path.
+
+    ``overwrite`` publishes in stages: the new data set is written aside, and only when it is whole does
+    it take the old one's place by renames. A write that fails leaves the old data set as it was.
+    """
+    if fmt not in ("csv", "parquet"):
+        raise ValueError(f"unsupported format {fmt!r}")
+    staged = f"{path.rstrip('/')}.staged-{uuid.uuid4().hex}" if mode == "overwrite" else path
+    w = df.write.mode("error" if mode == "overwrite" else mode)
     if partition_by:
         w = w.partitionBy(*partition_by)
-    if fmt == "csv":
-        w.option("header", True).option("quote", '"').option("escape", '"').csv(path)
-    elif fmt == "parquet":
-        w.parquet(path)
-    else:
-        raise ValueError(f"unsupported format {fmt!r}")
+    try:
+        if fmt == "csv":
+            w.option("header", True).option("quote", '"').option("escape", '"').csv(staged)
+        else:
+            w.parquet(staged)
+    except Exception:
+        if staged != path:
+            _discard(df.sparkSession, staged)
+        raise
+    if staged != path:
+        _publish(df.sparkSession, staged, path)
     return path
 
 
+def _hadoop(spark: SparkSession, path: str):
+    """The Hadoop file system of a path, and the path."""
+    place = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    return place.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), place
+
+
+def _discard(spark: SparkSession, path: str) -> None:
+    system, place = _hadoop(spark, path)
+    system.delete(place, True)
+
+
+def _publish(spark: SparkSession, staged: str, path: str) -> None:
+    """Let a staged folder take the place of ``path``; the old one is deleted last, and put back if the switch fails."""
+    system, place = _hadoop(spark, path)
+    _, new = _hadoop(spark, staged)
+    old = None
+    if system.exists(place):
+        _, old = _hadoop(spark, f"{path.rstrip('/')}.old-{uuid.uuid4().hex}")
+        if not system.rename(place, old):
+            raise OSError(f"{path} could not be moved aside; the new data set is at {staged}")
+    if not system.rename(new, place):
+        if old is not None:
+            system.rename(old, place)
+        raise OSError(f"{staged} could not be moved to {path}")
+    if old is not None:
+        system.delete(old, True)
+    spark.catalog.refreshByPath(path)
+
+
 def write_summary(summary: DataFrame, path: str, mode: str = "overwrite") -> str:
     """Write a one-row nested summary as JSON (a single small file)."""
     summary.coalesce(1).write.mode(mode).json(path)

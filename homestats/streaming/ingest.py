@@ -51,7 +51,7 @@ def ingest_once(
     sink_dir: str,
     checkpoint_dir: str,
     pattern: str = "*.csv",
-    max_files_per_trigger: int | None = None,
+    max_files_per_trigger: int = 1000,
     encoding: str = "UTF-8",
     null_tokens: Sequence[str] = FD.NULL_TOKENS,
     multi_line: bool = True,
@@ -64,7 +64,8 @@ def ingest_once(
     by name, with the given encoding, byte-order marks and null tokens handled. Of a
     file's columns the declared ``columns`` are kept, absent ones are null. A batch is
     written to its own ``batch_id=`` folder and overwrites it when it is run again, so a
-    restart neither loses nor repeats rows.
+    restart neither loses nor repeats rows. A batch admits ``max_files_per_trigger`` files at most,
+    so neither the paths that reach the driver nor a batch grow with the folder.
     """
     reader = (
         spark.readStream.format("binaryFile")
@@ -72,8 +73,7 @@ def ingest_once(
         .option("pathGlobFilter", pattern)
         .option("recursiveFileLookup", "true")
     )
-    if max_files_per_trigger:
-        reader = reader.option("maxFilesPerTrigger", max_files_per_trigger)
+    reader = reader.option("maxFilesPerTrigger", max_files_per_trigger)
 
     def write_batch(batch: DataFrame, batch_id: int) -> None:
         paths = [r["path"] for r in batch.toLocalIterator()]  # new file names, bounded by max_files_per_trigger

@@ -3,6 +3,7 @@ quoted newlines, null tokens, classification, empty and missing folders."""
 
 import os
 import tempfile
+import time
 
 import pytest
 
@@ -120,3 +121,57 @@ def test_write_and_summary_roundtrip(spark):
     TB.write_summary(s, d + "/s")
     r = TB.read_summary(spark, d + "/s").first()
     assert r["sold"]["raw_rows"] == 3 and r["sold"]["dropped"] == ["x"]
+
+
+@pytest.mark.parametrize("head_bytes", [1, 7, 1 << 16])
+def test_headers_read_the_first_record_only(spark, head_bytes):
+    d = tempfile.mkdtemp(prefix="homestats-heads-")
+    files = {
+        "a.csv": b'ListingKey,"City\nor ""town""",x\r\n1,"2\n",3\n', "b.csv": b"\xef\xbb\xbfk,v", "c.csv": b"", "d e.csv": b"p,q\n",
+        "f.csv": b'"a","b"\n', "big.csv": b"one,two\n" + b"1,2\n" * 300_000,
+    }
+    for name, data in files.items():
+        with open(os.path.join(d, name), "wb") as f:
+            f.write(data)
+    heads = FI.file_headers(spark, d, head_bytes=head_bytes)
+    got = {os.path.basename(r["path"]): r["header"] for r in heads.collect()}
+    assert got == {"a.csv": ["ListingKey", 'City\nor "town"', "x"], "b.csv": ["k", "v"], "d e.csv": ["p", "q"], "f.csv": ["a", "b"], "big.csv": ["one", "two"]}
+    plan = heads._jdf.queryExecution().executedPlan().toString()
+    assert "FileScan text" not in plan and "content" not in plan  # no file is scanned for its header
+    rows = TB.read_table(spark, d, pattern="*e.csv").columns
+    assert rows[:2] == ["p", "q"]
+
+
+def test_a_header_costs_the_same_however_large_the_file(spark):
+    d = tempfile.mkdtemp(prefix="homestats-bytes-")
+    with open(os.path.join(d, "huge.csv"), "wb") as f:
+        f.write(b"k,v\n")
+        f.truncate(200 << 30)  # sparse: 200 GB that nobody could read in time
+    began = time.time()
+    assert FI.file_headers(spark, d).first()["header"] == ["k", "v"]
+    assert time.time() - began < 60
+
+
+def test_stores_that_only_spark_reads_are_scanned(spark, export_dir, monkeypatch):
+    want = {r["path"]: r["header"] for r in FI.file_headers(spark, export_dir).collect()}
+    monkeypatch.setattr(FI, "_arrow_opens", lambda path: False)
+    got = {r["path"]: r["header"] for r in FI.file_headers(spark, export_dir).collect()}
+    assert [sorted(x.values()) for x in (got, want)] == [sorted(want.values())] * 2
+
+
+def test_a_failed_overwrite_leaves_the_old_table(spark):
+    from pyspark.sql import functions as F
+
+    path = tempfile.mkdtemp(prefix="homestats-stage-") + "/t"
+    for fmt in ("csv", "parquet"):
+        TB.write_table(spark.range(5), path, fmt)
+        bad = spark.range(100, 200).select(F.when(F.col("id") < 150, F.col("id")).otherwise(F.raise_error(F.lit("lost"))).alias("id"))
+        with pytest.raises(Exception, match="lost"):
+            TB.write_table(bad, path, fmt)
+        reader = spark.read.option("header", True) if fmt == "csv" else spark.read
+        assert sorted(int(r["id"]) for r in reader.format(fmt).load(path).collect()) == list(range(5))
+        TB.write_table(spark.range(7), path, fmt)
+        assert reader.format(fmt).load(path).count() == 7
+        assert os.listdir(os.path.dirname(path)) == ["t"]
+    TB.write_table(spark.range(3), path, "parquet", mode="append")
+    assert spark.read.parquet(path).count() == 10

@@ -53,3 +53,18 @@ def test_headers_are_aligned_by_name(spark):
     assert (rows["1"]["ClosePrice"], rows["1"]["ListPrice"]) == ("100", "90")
     assert (rows["2"]["ClosePrice"], rows["2"]["ListPrice"]) == (None, "91")  # NA is a null token
     assert rows["2"]["ListingContractDate"] is None
+
+
+def test_batches_admit_few_files_and_a_restart_goes_on(spark):
+    base = tempfile.mkdtemp(prefix="homestats-stream-bound-")
+    src, sink, ckpt = (os.path.join(base, x) for x in ("src", "sink", "ckpt"))
+    os.makedirs(src)
+    row = ("Residential", "100", "90", "2024-01-05", "2024-02-01", "34", "-118")
+    for i in range(5):
+        _write(src, f"ExportSold20240{i + 1}.csv", [(str(i), *row)])
+    ingest_once(spark, src, COLS, sink, ckpt, max_files_per_trigger=2)
+    assert sorted(os.listdir(sink)) == ["batch_id=0", "batch_id=1", "batch_id=2"]
+    _write(src, "ExportSold202406.csv", [("5", *row)])
+    ingest_once(spark, src, COLS, sink, ckpt, max_files_per_trigger=2)
+    assert sorted(r["ListingKey"] for r in spark.read.parquet(sink).collect()) == list("012345")
+    assert sorted(os.listdir(sink)) == [f"batch_id={i}" for i in range(4)]
