@@ -3,7 +3,9 @@
 ``STAGES`` lists the stages in order. Each takes ``(spark, docs, sf_dir)``, works on
 all rows that its predecessor kept, and returns a table with the columns of
 ``documents`` (the last one: a row per packed piece). ``run`` applies them to
-``documents``, each stage's result written to the shared folder and read again.
+``documents``, each stage's result written to the shared folder and read again. An empty
+table stays empty in every stage; columns besides those that a stage works on go through it
+unchanged, but for the last one, which drops them.
 """
 
 from __future__ import annotations
@@ -21,12 +23,12 @@ ORACLE_SQL = None
 
 
 def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Drop documents that fail the base limits or are probably bad by the weighed rules."""
+    """Drop documents that fail the base limits (null, empty and short texts do) or are probably bad by the weighed rules."""
     return quality.keep_good(docs)
 
 
 def line_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Drop lines found in at least 10 documents; ``n_chars`` follows the text."""
+    """Drop lines found in at least 10 documents; ``n_chars`` follows the text. A null text becomes an empty one."""
     columns = docs.columns
     out = linededup.drop_frequent_lines(docs, min_docs=10)
     if "n_chars" in columns:
@@ -35,7 +37,7 @@ def line_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Of documents of similarity 0.8 or more, keep the one with the smallest id."""
+    """Of documents of similarity 0.8 or more, keep the one with the smallest id; of equal rows, and of empty texts, one stays."""
     return neardup.keep_one_per_class(docs, 0.8)
 
 

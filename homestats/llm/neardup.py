@@ -364,7 +364,7 @@ def near_duplicate_classes(docs: DataFrame, least: float = 0.8, doc_id: str = "d
     ``class_id`` is the smallest id of the class (null if no row of it has an id).
     Null texts and texts without a word have no content to compare: each null, empty or
     blank text is a class by its text, so empty ones are together only with equal ones.
-    Repeated rows are rows of one class. An empty table gives no rows.
+    Repeated rows are rows of one class. An empty table gives no rows; other columns are ignored, whatever their names.
     """
     roots, _ = near_duplicate_links(docs, least, text)
     rows = docs.select(F.col(doc_id).alias("doc_id"), text_node(F.col(text)).alias("node"))
@@ -378,7 +378,7 @@ def keep_one_per_class(docs: DataFrame, least: float = 0.8, doc_id: str = "doc_i
 
     Of each class the row with the smallest id stays, of equal ids one with the
     smallest text digest; of rows with equal ids and texts a single one. Rows without an
-    id rank last.
+    id rank last. Columns keep their names, as helper columns have names of their own; an empty table stays empty.
     """
     roots, _ = near_duplicate_links(docs, least, text)
     node, cls, rank = fresh("node"), fresh("class"), fresh("rank")

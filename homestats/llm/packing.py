@@ -248,7 +248,8 @@ def pack(
     empty text has one id. Offsets in a sequence leave no gap; a sequence holds
     ``max_len`` ids at most. Repeated rows are documents of their own. Pieces of equal
     length are interchangeable, so which of them lies where may differ between runs over
-    other partitions; the lengths packed together do not. An empty table gives no rows.
+    other partitions; the lengths packed together do not. An empty table gives no rows; other
+    columns are ignored, whatever their names.
     """
     pieces = materialize(cut_pieces(docs, tokenizer_path, max_len, end_id, doc_id, text, ids), "pieces")
     per_part = materialize(pieces.groupBy("part", "length").agg(F.count(F.lit(1)).alias("n")), "piece-counts")

@@ -145,7 +145,8 @@ def token_count(text: Column, model_path: str) -> Column:
 
     Counts are those of the model's library without begin, end or special tokens:
     special strings in a text are ordinary text. Null and empty texts have 0 tokens.
-    A very long text, or one without white space, is merged in time n log n.
+    A very long text, or one without white space, is merged in time n log n. The count depends on the
+    text alone: an empty table and other columns need no care.
     """
 
     @F.arrow_udf("long")

@@ -329,7 +329,8 @@ def page_records(pages: DataFrame, min_bytes: int = 0, page_id: str = "page_id",
 
     The others are revisits that refer to it. Payloads of under ``min_bytes`` bytes are responses all.
     A null page is empty. Rows without an id rank below all others; repeated rows of the largest id
-    are responses all, and so are equal payloads without any id.
+    are responses all, and so are equal payloads without any id. Other columns are ignored, whatever their
+    names; an empty table gives no records.
     """
     payload = F.coalesce(F.col(html), F.lit("")).cast("binary")
     rows = pages.select(
