@@ -12,7 +12,8 @@ from pyspark.sql import functions as F
 from homestats.functions.coerce import round_half_even
 
 from homestats.functions import fields as FD
-from homestats.sources.tables import BOMS, csv_reader
+from homestats.sources.records import split_states
+from homestats.sources.tables import BOMS
 
 _FILES_SCHEMA = "path string, name string, source string, length long"
 
@@ -159,18 +160,16 @@ def file_overview(spark: SparkSession, path: str, pattern: str = "*.csv", recurs
     count reports them), parsed records (quoted newlines and blank lines handled),
     column count; plus one ``TOTAL`` row per class (a rollup).
 
-    Lines and header come from one scan of the files, records from one parse."""
+    Lines and records come from one scan of the files' splits, many tasks a file, and headers from
+    the files' first bytes. Without ``multi_line`` every line that isn't blank is a record."""
     listed = list_sources(spark, path, pattern, recursive)
     files = classify_sources(listed, rules, on)
-    lines = _lines(spark, path, pattern, recursive, encoding).groupBy("path").agg(
-        F.count(F.lit(1)).alias("lines"), F.min_by("value", F.struct("_start", "_seq")).alias("line")
-    ).select("path", "lines", F.size(_clean_header(F.col("line"))).alias("columns"))
-    parsed = (
-        csv_reader(spark, encoding, multi_line)
-        .option("pathGlobFilter", pattern).option("recursiveFileLookup", str(bool(recursive)).lower())
-        .csv(path).groupBy(F.col("_metadata.file_path").alias("path")).agg(F.count(F.lit(1)).alias("parsed"))
-    )
-    per = files.join(listed.select("path", "length"), "path").join(lines, "path", "left").join(parsed, "path", "left")
+    heads = file_headers(spark, path, pattern, recursive, encoding).select("path", F.size("header").alias("columns"))
+    splits = split_states(spark, path, pattern, recursive, multi_line)
+    # of the records of a file that has any, the first is its header
+    lines = splits.groupBy("path").agg(F.sum("lines").alias("lines"), F.greatest(F.sum("records") - 1, F.lit(0)).alias("parsed"))
+    lines = lines.join(heads, "path", "left")
+    per = files.join(listed.select("path", "length"), "path").join(lines, "path", "left")
     per = per.select(
         "class", "path", "source", F.col("length").alias("bytes"),
         (F.coalesce(F.col("lines"), F.lit(0)) - 1).alias("rows"),

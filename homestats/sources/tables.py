@@ -52,11 +52,31 @@ def csv_reader(spark: SparkSession, encoding: str, multi_line: bool):
     )
 
 
-def read_csv_group(spark: SparkSession, paths: Sequence[str], encoding: str = "UTF-8", multi_line: bool = True) -> DataFrame:
-    """All-text read of files sharing one header; the source file name is kept."""
-    df = csv_reader(spark, encoding, multi_line).csv(list(paths))
-    df = df.toDF(*[_strip_bom(c) for c in df.columns])
-    return df.withColumns({"source_file": F.col("_metadata.file_name"), "source_path": F.col("_metadata.file_path")})
+def read_csv_group(spark: SparkSession, paths: Sequence[str], encoding: str = "UTF-8", multi_line: bool = True,
+                   whole_files: bool = False) -> DataFrame:
+    """All-text read of files sharing one header; the source file name is kept.
+
+    With ``multi_line`` a file's splits are many tasks, and records cut by them are put together
+    (``records.csv_records``); with ``whole_files``, too, Spark's reader takes each file as one task.
+    """
+    from homestats.sources.records import csv_records, record_text
+
+    records = csv_records(spark, paths) if multi_line and not whole_files else None
+    if records is None:
+        df = csv_reader(spark, encoding, multi_line).csv(list(paths))
+        df = df.toDF(*[_strip_bom(c) for c in df.columns])
+        return df.withColumns({"source_file": F.col("_metadata.file_name"), "source_path": F.col("_metadata.file_path")})
+    names = [_strip_bom(c) for c in csv_reader(spark, encoding, True).csv(paths[0]).columns]
+    # cells are parsed under names of their own: headers may repeat names or hold any character
+    schema = ", ".join(f"c{i} string" for i in range(len(names)))
+    options = {"multiLine": "true", "quote": '"', "escape": '"', "mode": "PERMISSIVE"}
+    text = record_text(F.col("record"), encoding)
+    cells = records.where(~F.col("header")).select("path", F.from_csv(text, F.lit(schema), options).alias("cells"))
+    path = F.col("path")
+    return cells.select(
+        *[F.col(f"cells.c{i}").alias(n) for i, n in enumerate(names)],
+        F.element_at(F.split(path, "/"), -1).alias("source_file"), path.alias("source_path"),
+    )
 
 
 def read_table(
@@ -67,6 +87,7 @@ def read_table(
     encoding: str = "UTF-8",
     null_tokens: Sequence[str] = FD.NULL_TOKENS,
     multi_line: bool = True,
+    whole_files: bool = False,
 ) -> DataFrame:
     """Read a folder (or a list of files) of CSV exports as one text table.
 
@@ -75,9 +96,11 @@ def read_table(
     reordered headers. One job reads the headers (first bytes only); its result, a path per file, is
     what Spark's own reader keeps on the driver as well.
 
-    ``multi_line`` (default): a quoted line break stays inside its record, and a file
-    is one task. With ``False`` files are split by line, for exports known to hold no
-    quoted line break; the choice is the caller's and never follows from a file's size.
+    ``multi_line`` (default): a quoted line break stays inside its record. A file is read by as many tasks as
+    it has splits, after a scan that finds which of them begin inside a quoted cell; with ``whole_files`` a file
+    is one task of Spark's own reader (for encodings that aren't ASCII-compatible). With ``False`` files
+    are split by line, for exports known to hold no quoted line break; the choice is the
+    caller's and never follows from a file's size.
     """
     from homestats.sources.files import file_headers
 
@@ -86,7 +109,7 @@ def read_table(
         groups.setdefault(tuple(r["header"]), []).append(r["path"])
     if not groups:
         return spark.createDataFrame([], "source_file string")
-    parts = [read_csv_group(spark, paths, encoding, multi_line) for paths in groups.values()]
+    parts = [read_csv_group(spark, paths, encoding, multi_line, whole_files) for paths in groups.values()]
     return normalise_nulls(union_by_name(parts), null_tokens)
 
 
