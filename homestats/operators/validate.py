@@ -10,9 +10,11 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from homestats.functions import fields as FD
-from homestats.functions.coerce import as_date, has, month_key, pct, as_number
-from homestats.operators.calendar import monthly_counts, monthly_summary
-from homestats.operators.profile import _rule_predicate, numeric_stats, top_k, value_counts
+from homestats.functions.coerce import as_date, as_number, has, month_key, pct, round4
+from homestats.operators.calendar import monthly_summary
+from homestats.operators.profile import _rule_predicate, numeric_long
+from homestats.operators.quantiles import quantile_columns
+from homestats.session import scratch_path
 
 
 def duplicate_check(df: DataFrame, key: str = FD.KEY_COLUMN) -> DataFrame:
@@ -64,9 +66,29 @@ def _source_checks(files: DataFrame) -> DataFrame:
     return _rows(found, _check("source_files", None, status, F.col("n")), _check("source_bytes", None, "INFO", F.col("bytes")))
 
 
-def _monthly_checks(df: DataFrame, date_col: str) -> DataFrame:
+def _frequencies(df: DataFrame, date_col: str, key: str, cols: list[str]) -> DataFrame:
+    """``(kind, value, n, d)`` from one scan, written: rows per month, per value of each of ``cols``, and in all.
+
+    Of keys only their number of rows and of distinct values (``d``) is kept. Nulls aren't counted. Values
+    of a kind meet in their own rows of the shuffle, summed in each task before, so no kind is one task's.
+    """
+    kinds = [("rows", F.lit(""))]
+    if has(df, date_col):
+        kinds.append(("month", month_key(as_date(df, date_col))))
+    if has(df, key):
+        kinds.append(("key", F.col(key)))
+    kinds += [(f"value:{c}", F.col(c)) for c in cols]
+    each = F.array(*[F.struct(F.lit(kind).alias("kind"), v.cast("string").alias("value")) for kind, v in kinds])
+    counts = df.select(F.inline(each)).where("value IS NOT NULL").groupBy("kind", "value").agg(F.count(F.lit(1)).alias("n"))
+    value = F.when(F.col("kind") != "key", F.col("value")).alias("value")
+    counts = counts.groupBy("kind", value).agg(F.sum("n").alias("n"), F.count(F.lit(1)).alias("d"))
+    path = scratch_path(df.sparkSession, "frequencies")
+    counts.write.parquet(path)
+    return df.sparkSession.read.schema(counts.schema).parquet(path)
+
+
+def _monthly_checks(months: DataFrame, date_col: str) -> DataFrame:
     """Check 5: rows per month, their total, mean, and the months with fewest and most rows."""
-    months = monthly_counts(df, date_col)
     each = months.select(F.inline(F.array(_check("month_rows", None, "INFO", F.col("n"), F.col("year_month")))))
     m = monthly_summary(months).where(F.col("months") > 0)
     summary = _rows(
@@ -77,17 +99,17 @@ def _monthly_checks(df: DataFrame, date_col: str) -> DataFrame:
     return each.withColumn("field", F.lit(date_col)).unionByName(summary)
 
 
-def _numeric_checks(df: DataFrame) -> DataFrame:
-    """Check 7: statistics of each key numeric field, a row per statistic."""
-    stats = numeric_stats(df)
-    names = ["count", "min", "p25", "median", "p75", "max", "mean", "std"]
-    long = stats.select("field", F.inline(F.array(*[_check(f"numeric_{n}", None, "INFO", F.col(n)) for n in names])).alias("check", "f", "status", "value", "detail"))
-    return long.select("check", "field", "status", "value", "detail")
+def _quantile_checks(df: DataFrame) -> DataFrame:
+    """Check 7: quartiles of each key numeric field that has values, a row per quartile."""
+    named = {"p25": 0.25, "median": 0.5, "p75": 0.75}
+    wide = quantile_columns(numeric_long(df, FD.STATS_FIELDS), "v", named, ["field"])
+    return _rows(wide, *[_check(f"numeric_{n}", F.col("field"), "INFO", round4(F.col(n))) for n in named])
 
 
-def _count_checks(name: str, counts: DataFrame, col: str) -> DataFrame:
+def _count_checks(name: str, counts: DataFrame, col: str, total) -> DataFrame:
     """Counts of a column's values and their share of all rows; the value is the detail."""
-    return _rows(counts, _check(name, col, "INFO", F.col("n"), F.col("value")), _check(f"{name}_pct", col, "INFO", F.col("pct"), F.col("value")))
+    share = pct(F.col("n"), total)
+    return _rows(counts, _check(name, col, "INFO", F.col("n"), F.col("value")), _check(f"{name}_pct", col, "INFO", share, F.col("value")))
 
 
 def validate_dataset(
@@ -115,13 +137,15 @@ def validate_dataset(
     statistics and outliers, 8 subtype breakdown, 9 top values of ``top_cols``. ``detail``
     is what a check's number is about: a month, a category value, a date, a null count.
 
-    For checks 2 to 4 and 6 one aggregate pass computes every counter (row and column counts, category
-    mismatches, date range, the set of months present — at most one entry per
-    calendar month —, distinct keys, per-column non-null counts, outlier hits);
-    the check rows are then unpacked from that single row.
+    The input is read three times, whatever its checks. One aggregate computes every counter (row and column
+    counts, category mismatches, date range, the set of months present — at most one entry per
+    calendar month —, per-column non-null counts, numeric ranges and means, outlier hits); the
+    check rows are unpacked from that single row. One table of frequencies holds months,
+    subtypes, top values and the number of distinct keys. The quartiles have a pass of their own. The
+    frequencies and the quartiles' chunks are written when this is called.
     """
     cols = df.columns
-    d = as_date(df, date_col)
+    d = F.col("_v_date")
     aggs = [F.count(F.lit(1)).alias("_rows")]
     aggs += [F.count(F.col(f"`{c}`")).alias(f"_nn{i}") for i, c in enumerate(cols)]
     if has(df, category_col):
@@ -130,13 +154,22 @@ def validate_dataset(
         aggs += [F.count(d).alias("_valid"), F.min(d).alias("_first"), F.max(d).alias("_last"),
                  F.collect_set(month_key(d)).alias("_months")]
     present_rules = [r for r in rules if has(df, r[0])]
-    aggs += [F.count_if(_rule_predicate(as_number(df, f), k, b)).alias(f"_o{i}")
+    # each number and date is parsed once, below the aggregate
+    parsed = {f: f"_v_{i}" for i, f in enumerate(dict.fromkeys([*[r[0] for r in present_rules], *FD.STATS_FIELDS])) if has(df, f)}
+    aggs += [F.count_if(_rule_predicate(F.col(parsed[f]), k, b)).alias(f"_o{i}")
              for i, (f, _l, k, b) in enumerate(present_rules)]
-    one = df.agg(*aggs)
+    numeric = [f for f in FD.STATS_FIELDS if has(df, f)]
+    for i, f in enumerate(numeric):
+        v = F.col(parsed[f])
+        aggs += [F.count(v).alias(f"_s{i}_count"), F.min(v).alias(f"_s{i}_min"), F.max(v).alias(f"_s{i}_max"),
+                 F.avg(v).alias(f"_s{i}_mean"), F.stddev_samp(v).alias(f"_s{i}_std")]
+    numbers = {name: as_number(df, f) for f, name in parsed.items()}
+    one = df.withColumns(numbers | ({"_v_date": as_date(df, date_col)} if has(df, date_col) else {})).agg(*aggs)
+    counted = list(dict.fromkeys(c for c in (subtype_col, *top_cols) if has(df, c)))
+    freq = _frequencies(df, date_col, key, counted)
     if has(df, key):
-        # distinct keys in their own aggregate (a scalar subquery): mixed with the
-        # counters above, Spark would carry every counter's buffer per distinct key
-        one = one.withColumn("_uniq", df.agg(F.count_distinct(F.col(key))).scalar())
+        keys = freq.where("kind = 'key'").agg(F.coalesce(F.sum("d"), F.lit(0)))
+        one = one.withColumn("_uniq", keys.scalar())
 
     rows = F.col("_rows")
     checks = [_check("rows", None, "INFO", rows), _check("columns", None, "INFO", F.lit(len(cols)))]
@@ -181,14 +214,26 @@ def validate_dataset(
     for i, (_f, label, _k, _b) in enumerate(present_rules):
         o = F.col(f"_o{i}")
         checks.append(_check("outlier", label, F.when(o == 0, "PASS").otherwise("WARNING"), o))
-    parts = [one.select(F.inline(F.array(*checks))), _numeric_checks(df)]
+    stats = []
+    for i, f in enumerate(numeric):
+        of = [_check("numeric_count", f, "INFO", F.col(f"_s{i}_count")), _check("numeric_min", f, "INFO", F.col(f"_s{i}_min")),
+              _check("numeric_max", f, "INFO", F.col(f"_s{i}_max")), _check("numeric_mean", f, "INFO", round4(F.col(f"_s{i}_mean"))),
+              _check("numeric_std", f, "INFO", round4(F.col(f"_s{i}_std")))]
+        # a field without values has no statistics
+        stats.append(F.slice(F.array(*of), F.lit(1), F.when(F.col(f"_s{i}_count") > 0, len(of)).otherwise(0)))
+    parts = [one.select(F.inline(F.concat(F.array(*checks), *stats))), _quantile_checks(df)]
     if files is not None:
         parts.append(_source_checks(files))
     if has(df, date_col):
-        parts.append(_monthly_checks(df, date_col))
+        months = freq.where("kind = 'month'").select(F.col("value").alias("year_month"), "n")
+        parts.append(_monthly_checks(months, date_col))
+    total = freq.where("kind = 'rows'").agg(F.sum("n")).scalar()
     if has(df, subtype_col):
-        parts.append(_count_checks("subtype", value_counts(df, subtype_col), subtype_col))
-    parts += [_count_checks("top", top_k(df, c, k), c) for c in top_cols if has(df, c)]
+        parts.append(_count_checks("subtype", freq.where(F.col("kind") == f"value:{subtype_col}"), subtype_col, total))
+    for c in top_cols:
+        if has(df, c):
+            top = freq.where(F.col("kind") == f"value:{c}").orderBy(F.col("n").desc(), F.col("value")).limit(k)
+            parts.append(_count_checks("top", top, c, total))
     return reduce(DataFrame.unionByName, parts)
 
 
