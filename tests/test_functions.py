@@ -48,7 +48,7 @@ def test_half_even_rounding(spark):
     assert df.select(round_half_even(F.col("x"), 4)).collect()[4][0] == float(np.round(45.19875, 4))
 
 
-@pytest.mark.parametrize("method", ["distributed", "in_task"])
+@pytest.mark.parametrize("method", ["bracketed", "distributed", "in_task"])
 def test_quantile_goldens(spark, method):
     df = spark.createDataFrame([(1.0,), (2.0,), (3.0,), (4.0,), (10.0,), (None,)], "v double")
     probs = [0.05, 0.25, 0.5, 0.75, 0.95, 0.99]
@@ -58,7 +58,7 @@ def test_quantile_goldens(spark, method):
     assert std == pytest.approx(3.5355339059)
 
 
-@pytest.mark.parametrize("method", ["distributed", "in_task"])
+@pytest.mark.parametrize("method", ["bracketed", "distributed", "in_task"])
 def test_quantiles_match_numpy_with_hot_group(spark, method):
     rng = np.random.default_rng(7)
     # one group holds a third of the rows and spans many range chunks
@@ -75,7 +75,7 @@ def test_quantiles_match_numpy_with_hot_group(spark, method):
             assert got[(g, p)] == pytest.approx(float(sub["v"].quantile(p)), rel=1e-12), (g, p)
 
 
-@pytest.mark.parametrize("method", ["distributed", "in_task"])
+@pytest.mark.parametrize("method", ["bracketed", "distributed", "in_task"])
 def test_quantile_single_value_and_empty_group(spark, method):
     df = spark.createDataFrame([("a", 5.0), ("b", None)], "g string, v double")
     out = {r["g"]: r["med"] for r in quantile_columns(df, "v", {"med": 0.5}, ["g"], method=method).collect()}
@@ -187,3 +187,50 @@ def test_approx_quantiles_within_rank_error(spark):
     for p, q in got.items():
         rank = np.searchsorted(ordered, q) / len(vals)
         assert abs(rank - p) <= 0.002
+
+
+def test_bracketed_quantiles_of_large_groups(spark):
+    """Every way through the brackets equals numpy, with a hot group, ties, and groups of null and small size."""
+    rng = np.random.default_rng(3)
+    groups = np.concatenate([np.full(40000, "hot"), np.full(30000, "tied"), rng.choice(list("abcd"), 3000)])
+    values = rng.lognormal(10, 1, groups.size)
+    values[40000:70000] = rng.choice([1.0, 2.0, 3.0], 30000, p=[0.25, 0.25, 0.5])
+    pdf = pd.DataFrame({"g": groups, "v": values})
+    df = spark.createDataFrame(pdf).withColumn("g", F.when(F.col("g") != "d", F.col("g")))
+    probs = [0.99, 0.0, 0.25, 0.5, 0.75, 1.0]
+    want = {(None if g == "d" else g, p): float(x["v"].quantile(p)) for g, x in pdf.groupby("g") for p in probs}
+    for limits in ({}, {"small_group": 100}, {"gathered": 10}, {"large_groups": 1}, {"small_group": 0, "gathered": 0}):
+        out = exact_quantiles(df, "v", probs, ["g"], bounds=True, **limits).collect()
+        got = {(r["g"], r["p"]): r["q"] for r in out}
+        assert len(out) == len(want) and got == pytest.approx(want, rel=1e-12), limits
+        assert all(r["lo"] <= r["q"] <= r["hi"] for r in out)
+    hot = df.where("g = 'hot'").drop("g")
+    for limits in ({}, {"gathered": 10}):
+        got = {r["p"]: r["q"] for r in exact_quantiles(hot, "v", probs, **limits).collect()}
+        assert got == pytest.approx({p: want[("hot", p)] for p in probs}, rel=1e-12)
+
+
+def test_a_wrong_sketch_does_not_change_quantiles(spark, monkeypatch):
+    """Where a found value lies in no bracket, the group is ranged whole."""
+    import homestats.operators.quantiles as Q
+
+    monkeypatch.setattr(Q.F, "percentile_approx", lambda c, at, accuracy: F.array(*[F.lit(10.0 * p) for p in at]))
+    df = spark.range(3000).selectExpr("id % 2 AS g", "CAST(id AS DOUBLE) AS v")
+    got = {(r["g"], r["p"]): r["q"] for r in Q.exact_quantiles(df, "v", [0.5, 0.9], ["g"], small_group=100).collect()}
+    want = {(g, p): float(np.quantile(np.arange(g, 3000, 2), p)) for g in (0, 1) for p in (0.5, 0.9)}
+    assert got == pytest.approx(want)
+
+
+def test_brackets_keep_most_values_from_the_shuffle(spark):
+    """A large group shuffles counters and the values near its quantiles; no table is written for it."""
+    import homestats.operators.quantiles as Q
+
+    written = []
+    df = spark.range(200000).selectExpr("CAST(id * 7919 % 200003 AS DOUBLE) AS v")
+    original, Q.scratch_path = Q.scratch_path, lambda *a: written.append(a)
+    try:
+        got = {r["p"]: r["q"] for r in Q.exact_quantiles(df, "v", [0.25, 0.5]).collect()}
+    finally:
+        Q.scratch_path = original
+    ordered = np.sort(np.arange(200000) * 7919 % 200003)
+    assert got == {p: float(np.quantile(ordered, p)) for p in (0.25, 0.5)} and not written
