@@ -28,12 +28,16 @@ _CLASS = {"sold": "Sold", "listed": "Listing"}
 
 
 def export_monthly(r: Relations, which=("sold", "listed")) -> str:
-    """Write the relations as monthly CSV exports named like ``ExportSold199601``, a file each."""
+    """Write the relations as monthly CSV exports, a folder each, named like ``ExportSold199601``.
+
+    Rows are dealt by month; adaptive execution splits a month beyond the advisory partition size over
+    several tasks, each of which writes a file of its own, so no month is one task's work. What is
+    told per export is therefore grouped by folder."""
     root = scratch_path(r.spark, "exports")
     for name in which:
         month = F.regexp_replace(F.substring("ListingContractDate", 1, 7), "-", "")
         rows = getattr(r, name).withColumn("source", F.concat(F.lit(_PREFIX[name]), month))
-        TB.write_table(rows.repartition("source"), f"{root}/{name}", "csv", partition_by=["source"])
+        TB.write_table(rows.hint("rebalance", F.col("source")), f"{root}/{name}", "csv", partition_by=["source"])
     return root
 
 
@@ -51,15 +55,15 @@ _BOTH = " UNION ALL ".join(f"SELECT '{_CLASS[n]}' AS class, {_source_sql(n)} AS
 
 @register("source_files", sql(f"SELECT source, count(DISTINCT source) AS files FROM ({_BOTH}) t GROUP BY source"))
 def q_source_files(r: Relations) -> DataFrame:
-    """Files found per source."""
-    listed = FI.list_sources(r.spark, export_monthly(r), recursive=True)
+    """Exports found per source, however many files hold one."""
+    listed = FI.list_sources(r.spark, export_monthly(r), recursive=True).select("source").distinct()
     return listed.groupBy(_plain_name(F.col("source")).alias("source")).agg(F.count(F.lit(1)).alias("files"))
 
 
 @register("source_classes", sql(f"SELECT DISTINCT source, class FROM ({_BOTH}) t"))
 def q_source_classes(r: Relations) -> DataFrame:
     classes = FI.classify_sources(FI.list_sources(r.spark, export_monthly(r), recursive=True))
-    return classes.select(_plain_name(F.col("source")).alias("source"), "class")
+    return classes.select(_plain_name(F.col("source")).alias("source"), "class").distinct()
 
 
 _COLUMNS = f"CASE class WHEN 'Sold' THEN {len(SOLD_COLUMNS)} ELSE {len(LISTED_COLUMNS)} END"
@@ -69,22 +73,23 @@ _COLUMNS = f"CASE class WHEN 'Sold' THEN {len(SOLD_COLUMNS)} ELSE {len(LISTED_CO
 SELECT class, source, count(*) AS rows, count(*) AS parsed_rows, CAST(max({_COLUMNS}) AS INTEGER) AS columns FROM ({_BOTH}) t GROUP BY class, source
 UNION ALL SELECT class, 'TOTAL', count(*), count(*), CAST(NULL AS INTEGER) FROM ({_BOTH}) u GROUP BY class"""))
 def q_file_overview(r: Relations) -> DataFrame:
-    """Lines, parsed records and columns per file, and per class in all (sizes in bytes depend on the writer)."""
+    """Lines, parsed records and columns per export, and per class in all (sizes in bytes depend on the writer)."""
     out = FI.file_overview(r.spark, export_monthly(r), recursive=True)
-    return out.select("class", _plain_name(F.col("source")).alias("source"), "rows", "parsed_rows", F.col("columns").cast("int").alias("columns"))
+    return out.groupBy("class", _plain_name(F.col("source")).alias("source")).agg(
+        F.sum("rows").alias("rows"), F.sum("parsed_rows").alias("parsed_rows"), F.max("columns").cast("int").alias("columns"))
 
 
 @register("header_consistency", sql(f"""
 SELECT class, CAST(max({_COLUMNS}) AS INTEGER) AS n_columns, count(DISTINCT source) AS n_files, 0 AS n_extra, 0 AS n_missing, true AS is_base
 FROM ({_BOTH}) t GROUP BY class"""))
 def q_header_consistency(r: Relations) -> DataFrame:
-    out = FI.header_consistency(r.spark, export_monthly(r), recursive=True)
+    out = FI.header_consistency(r.spark, export_monthly(r), recursive=True, unit="source")
     return out.select("class", "n_columns", "n_files", F.size("extra").alias("n_extra"), F.size("missing").alias("n_missing"), "is_base")
 
 
 @register("source_check", sql(f"SELECT count(DISTINCT source) AS files, 'PASS' AS status FROM ({_BOTH}) t"))
 def q_source_check(r: Relations) -> DataFrame:
-    return FI.source_check(r.spark, export_monthly(r), recursive=True).select("files", "status")
+    return FI.source_check(r.spark, export_monthly(r), recursive=True, unit="source").select("files", "status")
 
 
 _READ_TEXT = ["PropertyType", "City", "CountyOrParish", "PostalCode", "UnparsedAddress", "CloseDate", "BusinessType"]

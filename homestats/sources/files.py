@@ -188,15 +188,17 @@ def file_overview(spark: SparkSession, path: str, pattern: str = "*.csv", recurs
 
 
 def header_consistency(spark: SparkSession, path: str, pattern: str = "*.csv", recursive: bool = False,
-                       encoding: str = "UTF-8", rules: Sequence[tuple[str, str]] = FD.SOURCE_CLASSES, on: str = "source") -> DataFrame:
+                       encoding: str = "UTF-8", rules: Sequence[tuple[str, str]] = FD.SOURCE_CLASSES, on: str = "source",
+                       unit: str = "path") -> DataFrame:
     """Per class: distinct column *sets*, files per set, the set's first file, extra /
     missing columns versus the set of the class's first file (by path).
 
-    Files are counted, not listed: a row stays small however many files share a set."""
+    Files are counted, not listed: a row stays small however many files share a set. With
+    ``unit="source"`` the part files of an export's folder count once."""
     heads = file_headers(spark, path, pattern, recursive, encoding)
     files = classify_sources(list_sources(spark, path, pattern, recursive), rules, on)
-    per = files.join(heads, "path").select("class", "path", F.array_sort(F.array_distinct("header")).alias("cols"))
-    sets = per.groupBy("class", "cols").agg(F.count(F.lit(1)).alias("n_files"), F.min("path").alias("first_file"))
+    per = files.join(heads, "path").select("class", "path", "source", F.array_sort(F.array_distinct("header")).alias("cols"))
+    sets = per.groupBy("class", "cols").agg(_units(unit).alias("n_files"), F.min("path").alias("first_file"))
     base = sets.groupBy("class").agg(F.min_by("cols", "first_file").alias("_base"))
     return sets.join(base, "class").select(
         "class", F.size("cols").alias("n_columns"), "n_files", "first_file",
@@ -205,11 +207,18 @@ def header_consistency(spark: SparkSession, path: str, pattern: str = "*.csv", r
     )
 
 
-def source_check(spark: SparkSession, path: str, pattern: str = "*.csv", recursive: bool = False) -> DataFrame:
-    """One row: files found and total size; FAIL when nothing matches."""
+def _units(unit: str):
+    """Number of files, or of the sources that they belong to."""
+    if unit not in ("path", "source"):
+        raise ValueError("unit must be path or source")
+    return F.count(F.lit(1)) if unit == "path" else F.count_distinct(unit)
+
+
+def source_check(spark: SparkSession, path: str, pattern: str = "*.csv", recursive: bool = False, unit: str = "path") -> DataFrame:
+    """One row: files found (or, with ``unit="source"``, exports) and total size; FAIL when nothing matches."""
     files = list_sources(spark, path, pattern, recursive)
     return files.agg(
-        F.count(F.lit(1)).alias("files"),
+        _units(unit).alias("files"),
         round_half_even(F.coalesce(F.sum("length"), F.lit(0)) / (1024 * 1024), 3).alias("size_mb"),
     ).select(F.lit(path).alias("path"), "files", "size_mb",
              F.when(F.col("files") > 0, "PASS").otherwise("FAIL").alias("status"))
