@@ -261,3 +261,36 @@ def q_per_file_critical(r: Relations) -> DataFrame:
     return TB.union_by_name([
         per_source_critical(_by_file(r, n, root), "source").select(F.lit(_CLASS[n]).alias("class"), "*") for n in _PREFIX
     ])
+
+
+def _updated(r: Relations, name: str, root: str) -> DataFrame:
+    """States of a class's exports, read in batches: the first months, then what came later."""
+    from homestats.sources import filestate as FS
+
+    folder, at = f"{root}/{name}", scratch_path(r.spark, "file-states")
+    half = -(-FI.list_sources(r.spark, folder, recursive=True).count() // 2)
+    while FS.update_states(r.spark, folder, at, _FILE_DATE[name], _FILE_FIELDS[name], recursive=True, max_files=max(half, 1)):
+        pass
+    return FS.present_states(r.spark, folder, at, recursive=True).withColumn("path", F.regexp_replace("path", "/source=", "/"))
+
+
+@register("file_state_profile", sql("\nUNION ALL ".join(_profile_sql(n) for n in _PREFIX)))
+def q_file_state_profile(r: Relations) -> DataFrame:
+    """The per-file profile merged from states that were kept per file and updated in two batches."""
+    from homestats.sources.filestate import source_profile
+
+    root = export_monthly(r)
+    return TB.union_by_name([
+        source_profile(_updated(r, n, root), _FILE_FIELDS[n]).select(F.lit(_CLASS[n]).alias("class"), "*") for n in _PREFIX
+    ])
+
+
+@register("file_state_critical", sql("\nUNION ALL ".join(_critical_sql(n) for n in _PREFIX)))
+def q_file_state_critical(r: Relations) -> DataFrame:
+    """The critical fields over the null limit per file, from states updated in two batches."""
+    from homestats.sources.filestate import source_critical
+
+    root = export_monthly(r)
+    return TB.union_by_name([
+        source_critical(_updated(r, n, root), _FILE_FIELDS[n]).select(F.lit(_CLASS[n]).alias("class"), "*") for n in _PREFIX
+    ])

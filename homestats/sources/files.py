@@ -26,8 +26,11 @@ def source_name(path):
     return F.when(name.startswith("part-"), parent).otherwise(F.regexp_replace(name, r"\.[^.]*$", ""))
 
 
-def list_sources(spark: SparkSession, path: str, pattern: str = "*.csv", recursive: bool = False) -> DataFrame:
-    """``(path, name, length)`` of matching files; file contents are never read."""
+def list_sources(spark: SparkSession, path: str, pattern: str = "*.csv", recursive: bool = False, modified: bool = False) -> DataFrame:
+    """``(path, name, source, length)`` of matching files, on request with their times of
+    modification in microseconds (``modified``).
+
+    File contents are never read."""
     try:
         df = (
             spark.read.format("binaryFile")
@@ -37,10 +40,11 @@ def list_sources(spark: SparkSession, path: str, pattern: str = "*.csv", recursi
         )
     except Exception as exc:  # noqa: BLE001 - missing or empty folder
         if "PATH_NOT_FOUND" in str(exc) or "does not exist" in str(exc) or "UNABLE_TO_INFER" in str(exc):
-            return spark.createDataFrame([], _FILES_SCHEMA)
+            return spark.createDataFrame([], _FILES_SCHEMA + (", modified long" if modified else ""))
         raise
     return df.select(
-        "path", F.element_at(F.split("path", "/"), -1).alias("name"), source_name(F.col("path")).alias("source"), "length"
+        "path", F.element_at(F.split("path", "/"), -1).alias("name"), source_name(F.col("path")).alias("source"), "length",
+        *([F.unix_micros("modificationTime").alias("modified")] if modified else []),
     )
 
 
