@@ -14,13 +14,17 @@ from pyspark.sql import functions as F
 
 from homestats.functions import fields as FD
 from homestats.functions.coerce import as_number, has, round4
-from homestats.operators.profile import numeric_long
+from homestats.operators.profile import stored_numbers
 from homestats.operators.quantiles import exact_quantiles, quantile_columns
+from homestats.session import stored
 
 
 def clip_upper(df: DataFrame, col: str, q: float = FD.CLIP_QUANTILE) -> DataFrame:
-    """``df`` with ``col`` coerced and capped at its exact ``q`` quantile."""
-    v = df.select(as_number(df, col).alias("v"))
+    """``df`` with ``col`` coerced and capped at its exact ``q`` quantile.
+
+    The quantile's passes read the column's numbers from a table written first; ``df`` itself is read for
+    that table and for the result."""
+    v = stored(df.select(as_number(df, col).alias("v")), "numbers")
     bound = quantile_columns(v, "v", {"bound": q}).select("bound").scalar()
     v = as_number(df, col)
     return df.withColumn(col, F.when(v.isNotNull(), F.least(v, bound)))
@@ -63,7 +67,7 @@ def histograms(df: DataFrame, fields: Sequence[str] = FD.DISTRIBUTION_FIELDS, bi
     A constant field is widened by 0.5 on each side. Caps and ends of all fields come from
     one quantile run (the smallest and largest values are its quantiles 0 and 1).
     """
-    longf = numeric_long(df, fields).where(F.col("v").isNotNull())
+    longf = stored_numbers(df, fields).where(F.col("v").isNotNull())
     ends = _marks(longf, [0.0, 1.0], clip_q)
     same = F.col("p0") == F.col("p1")
     ends = ends.select(
@@ -94,7 +98,7 @@ def boxplot_stats(df: DataFrame, fields: Sequence[str] = FD.DISTRIBUTION_FIELDS,
 
     Cap and quartiles come from one quantile run; whiskers and outliers from one pass
     over the values."""
-    longf = numeric_long(df, fields).where(F.col("v").isNotNull())
+    longf = stored_numbers(df, fields).where(F.col("v").isNotNull())
     marks = _marks(longf, [0.25, 0.5, 0.75], clip_q).withColumnsRenamed({"p0": "q1", "p1": "median", "p2": "q3"})
     e = F.element_at(_per_field(marks, F.struct("cap", "q1", "median", "q3")), F.col("field"))
     j = longf.select("field", e.alias("e"), "v").select("field", F.least(F.col("v"), F.col("e.cap")).alias("v"), "e.q1", "e.median", "e.q3")

@@ -8,11 +8,12 @@ from pyspark.sql import functions as F
 from homestats.functions import fields as FD
 from homestats.functions.coerce import as_date, as_number, flag, has, pct, round4
 from homestats.operators.quantiles import quantile_columns
+from homestats.session import stored
 
 
 def close_price_summary(df: DataFrame, col: str = "ClosePrice") -> DataFrame:
     """One row: median and mean of the coerced price (nulls ignored)."""
-    v = df.select(as_number(df, col).alias("v"))
+    v = stored(df.select(as_number(df, col).alias("v")), "numbers")  # read by several passes
     plain = v.agg(F.count("v").alias("n"), round4(F.avg("v")).alias("mean_price"))
     return _one_row_stats(v, {"median_price": 0.5}, plain)
 
@@ -27,7 +28,7 @@ def _one_row_stats(v: DataFrame, named: dict[str, float], plain: DataFrame) -> D
 
 def dom_summary(df: DataFrame, col: str = "DaysOnMarket") -> DataFrame:
     """One row: median, mean, p75, p90 and max days on market."""
-    v = df.select(as_number(df, col).alias("v"))
+    v = stored(df.select(as_number(df, col).alias("v")), "numbers")  # read by several passes
     plain = v.agg(
         F.count("v").alias("n"), round4(F.avg("v")).alias("mean_days"), F.max("v").alias("max_days")
     )
@@ -74,6 +75,7 @@ def top_groups_by_median(
     median are broken by group name so the result is deterministic.
     """
     v = df.select(F.col(group).alias(group), as_number(df, value).alias("v")).where(F.col(group).isNotNull())
+    v = stored(v, "numbers")  # read by several passes
     counts = v.groupBy(group).agg(F.count("v").alias(count_col)).where(F.col(count_col) >= min_n)
     # Medians for every group, then HAVING on the (small, per-group) count table:
     # no join ever touches the row-level side, so a hot group cannot skew one task.

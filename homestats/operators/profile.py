@@ -2,7 +2,8 @@
 
 Every profile is one aggregate job over the data (one pass computing all
 columns' counters), reshaped into long form with ``inline`` — never one job
-per column. Denominators that are dataset totals come from scalar
+per column. Statistics with quantiles need several passes; they run over a narrow table
+of the numbers that is written first, so the input is derived once. Denominators that are dataset totals come from scalar
 subqueries, so no window runs over an unpartitioned frame.
 """
 
@@ -16,6 +17,7 @@ from pyspark.sql import functions as F
 from homestats.functions import fields as FD
 from homestats.functions.coerce import as_number, has, pct, round4
 from homestats.operators.quantiles import quantile_columns
+from homestats.session import stored
 
 
 def row_count(df: DataFrame) -> Column:
@@ -141,6 +143,25 @@ def numeric_long(df: DataFrame, fields: Sequence[str], extra: Sequence[str] = ()
     return df.select(*extra, _long([(f, as_number(df, f)) for f in present], "field", "v"))
 
 
+def stored_numbers(df: DataFrame, fields: Sequence[str], extra: Sequence[str] = ()) -> DataFrame:
+    """``numeric_long`` of a narrow table of the present fields' numbers that is written first, for callers that read it several times.
+
+    What ``df`` is derived from, joins and all, is computed once, whatever the number of reads. One job runs here."""
+    present = [f for f in fields if has(df, f)]
+    if not present:
+        return numeric_long(df, fields, extra)
+    numbers = stored(df.select(*extra, *[as_number(df, f).alias(f"_n{i}") for i, f in enumerate(present)]), "numbers")
+    return numbers.select(*extra, _long([(f, F.col(f"_n{i}")) for i, f in enumerate(present)], "field", "v"))
+
+
+def value_or_mark(df: DataFrame, valued: Sequence[str]) -> DataFrame:
+    """``df`` with all its columns; those not in ``valued`` only tell (by null or true) whether they hold a value.
+
+    Enough for counts of nulls, and narrow when it is stored."""
+    marks = {c: F.when(F.col(f"`{c}`").isNotNull(), F.lit(True)) for c in df.columns if c not in valued}
+    return df.withColumns(marks) if marks else df
+
+
 def _stats(longf: DataFrame, named_q: dict[str, float], by: Sequence[str], with_nulls: bool) -> DataFrame:
     by = list(by)
     plain = [
@@ -160,14 +181,14 @@ def _stats(longf: DataFrame, named_q: dict[str, float], by: Sequence[str], with_
 
 def numeric_stats(df: DataFrame, fields: Sequence[str] = FD.STATS_FIELDS) -> DataFrame:
     """count, min, p25, median, p75, max, mean, std per present, non-empty field."""
-    longf = numeric_long(df, fields)
+    longf = stored_numbers(df, fields)
     out = _stats(longf, {"p25": 0.25, "median": 0.5, "p75": 0.75}, ["field"], False)
     return out.select("field", "count", "min", "p25", "median", "p75", "max", "mean", "std")
 
 
 def numeric_distribution(df: DataFrame, fields: Sequence[str] = FD.DISTRIBUTION_FIELDS) -> DataFrame:
     """count, null, min, p5, p25, median, mean, p75, p95, max, std per field."""
-    longf = numeric_long(df, fields)
+    longf = stored_numbers(df, fields)
     named = {"p5": 0.05, "p25": 0.25, "median": 0.5, "p75": 0.75, "p95": 0.95}
     out = _stats(longf, named, ["field"], True)
     return out.select("field", "count", "null", "min", "p5", "p25", "median", "mean", "p75", "p95", "max", "std")
@@ -175,7 +196,7 @@ def numeric_distribution(df: DataFrame, fields: Sequence[str] = FD.DISTRIBUTION_
 
 def compact_stats(df: DataFrame, source_col: str, fields: Sequence[str] = FD.COMPACT_FIELDS) -> DataFrame:
     """Per source and field: min, median, max and null count (fields with values)."""
-    longf = numeric_long(df, fields, extra=[source_col])
+    longf = stored_numbers(df, fields, extra=[source_col])
     by = [source_col, "field"]
     base = longf.groupBy(*by).agg(
         F.min("v").alias("min"), F.max("v").alias("max"),

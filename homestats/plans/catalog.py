@@ -25,6 +25,7 @@ from homestats.operators import rates as RT
 from homestats.operators import report as RP
 from homestats.operators import validate as VA
 from homestats.plans.relations import Relations
+from homestats.session import stored
 from homestats.plans.sqlkit import (
     BASE, D, DSTR, FLAG, GEO_FLAGS_SQL, LISTED_COLUMNS, LISTED_FLAGS_SQL, N, PCT, R4, SOLD_COLUMNS,
     SOLD_FLAGS_LAST_SQL, SOLD_FLAGS_SQL, TS, TSTR, YM, null_counts_sql, sql,
@@ -617,7 +618,8 @@ SELECT ListingKey, CASE WHEN {N('ClosePrice')} IS NOT NULL
        THEN least({N('ClosePrice')}, (SELECT quantile_cont({N('ClosePrice')}, 0.99) FROM sold_r)) END AS ClosePrice
 FROM sold_r"""))
 def q_clip_p99(r):
-    return DI.clip_upper(r.sold_r, "ClosePrice").select("ListingKey", "ClosePrice")
+    # the two columns written once: the quantile and the result read them
+    return DI.clip_upper(stored(r.sold_r.select("ListingKey", "ClosePrice"), "prices"), "ClosePrice")
 
 
 # ---------------------------------------------------------------- coercion
