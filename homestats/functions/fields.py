@@ -59,6 +59,9 @@ OUTLIER_RULES = [
     ("LivingArea", "LivingArea <= 0", "le", 0),
 ]
 
+# Fixed value: the files of an export folder, plain or gzipped.
+CSV_FILES = "*.{csv,csv.gz}"
+
 # Numeric cleaning rules per dataset (column, label, kind, bound).
 SOLD_FLAG_RULES = [
     ("ClosePrice", "ClosePrice <= 0", "le", 0),

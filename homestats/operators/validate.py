@@ -12,9 +12,9 @@ from pyspark.sql import functions as F
 from homestats.functions import fields as FD
 from homestats.functions.coerce import as_date, as_number, has, month_key, pct, round4
 from homestats.operators.calendar import monthly_summary
-from homestats.operators.profile import _rule_predicate, numeric_long
+from homestats.operators.profile import _rule_predicate, numeric_long, value_or_mark
 from homestats.operators.quantiles import quantile_columns
-from homestats.session import scratch_path
+from homestats.session import scratch_path, stored
 
 
 def duplicate_check(df: DataFrame, key: str = FD.KEY_COLUMN) -> DataFrame:
@@ -102,7 +102,7 @@ def _monthly_checks(months: DataFrame, date_col: str) -> DataFrame:
 def _quantile_checks(df: DataFrame) -> DataFrame:
     """Check 7: quartiles of each key numeric field that has values, a row per quartile.
 
-    Ranged, which reads the input once; selection between bounds would read it twice."""
+    Ranged, which reads its input once; selection between bounds would read it twice."""
     named = {"p25": 0.25, "median": 0.5, "p75": 0.75}
     wide = quantile_columns(numeric_long(df, FD.STATS_FIELDS), "v", named, ["field"], method="distributed")
     return _rows(wide, *[_check(f"numeric_{n}", F.col("field"), "INFO", round4(F.col(n))) for n in named])
@@ -139,7 +139,8 @@ def validate_dataset(
     statistics and outliers, 8 subtype breakdown, 9 top values of ``top_cols``. ``detail``
     is what a check's number is about: a month, a category value, a date, a null count.
 
-    The input is read three times, whatever its checks. One aggregate computes every counter (row and column
+    The input is read once: the columns whose values the checks use, and null marks of the others, are
+    written and then read three times. One aggregate computes every counter (row and column
     counts, category mismatches, date range, the set of months present — at most one entry per
     calendar month —, per-column non-null counts, numeric ranges and means, outlier hits); the
     check rows are unpacked from that single row. One table of frequencies holds months,
@@ -147,6 +148,7 @@ def validate_dataset(
     frequencies and the quartiles' chunks are written when this is called.
     """
     cols = df.columns
+    df = stored(value_or_mark(df, [category_col, date_col, key, subtype_col, *top_cols, *[r[0] for r in rules], *FD.STATS_FIELDS]), "validated")
     d = F.col("_v_date")
     aggs = [F.count(F.lit(1)).alias("_rows")]
     aggs += [F.count(F.col(f"`{c}`")).alias(f"_nn{i}") for i, c in enumerate(cols)]

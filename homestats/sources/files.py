@@ -19,14 +19,14 @@ _FILES_SCHEMA = "path string, name string, source string, length long"
 
 
 def source_name(path):
-    """The monthly source a file stands for: its name without extension, or — for a
+    """The monthly source a file stands for: its name without extension (and ``.gz``), or — for a
     Spark part file — the folder holding it (e.g. ``source=ExportSold202401``)."""
-    name = F.element_at(F.split(path, "/"), -1)
-    parent = F.element_at(F.split(path, "/"), -2)
-    return F.when(name.startswith("part-"), parent).otherwise(F.regexp_replace(name, r"\.[^.]*$", ""))
+    name = F.substring_index(path, "/", -1)
+    parent = F.substring_index(F.substring_index(path, "/", -2), "/", 1)
+    return F.when(name.startswith("part-"), parent).otherwise(F.regexp_replace(name, r"\.[^.]*(\.gz)?$", ""))
 
 
-def list_sources(spark: SparkSession, path: str, pattern: str = "*.csv", recursive: bool = False, modified: bool = False) -> DataFrame:
+def list_sources(spark: SparkSession, path: str, pattern: str = FD.CSV_FILES, recursive: bool = False, modified: bool = False) -> DataFrame:
     """``(path, name, source, length)`` of matching files, on request with their times of
     modification in microseconds (``modified``).
 
@@ -138,7 +138,7 @@ def _first_records(files: DataFrame, head_bytes: int) -> DataFrame:
     return files.select("path").repartition(n).mapInArrow(read, "path string, line binary")
 
 
-def file_headers(spark: SparkSession, path, pattern: str = "*.csv", recursive: bool = False, encoding: str = "UTF-8",
+def file_headers(spark: SparkSession, path, pattern: str = FD.CSV_FILES, recursive: bool = False, encoding: str = "UTF-8",
                  head_bytes: int = HEAD_BYTES) -> DataFrame:
     """``(path, header)``: the first record of every file as column names; an empty file has none.
 
@@ -157,7 +157,7 @@ def file_headers(spark: SparkSession, path, pattern: str = "*.csv", recursive: b
     return first.select("path", _clean_header(F.col("line")).alias("header"))
 
 
-def file_overview(spark: SparkSession, path: str, pattern: str = "*.csv", recursive: bool = False,
+def file_overview(spark: SparkSession, path: str, pattern: str = FD.CSV_FILES, recursive: bool = False,
                   encoding: str = "UTF-8", rules: Sequence[tuple[str, str]] = FD.SOURCE_CLASSES, on: str = "source",
                   multi_line: bool = True) -> DataFrame:
     """Per file and class: size in MB, physical data lines (lines - 1, as a line
@@ -191,7 +191,7 @@ def file_overview(spark: SparkSession, path: str, pattern: str = "*.csv", recurs
     )
 
 
-def header_consistency(spark: SparkSession, path: str, pattern: str = "*.csv", recursive: bool = False,
+def header_consistency(spark: SparkSession, path: str, pattern: str = FD.CSV_FILES, recursive: bool = False,
                        encoding: str = "UTF-8", rules: Sequence[tuple[str, str]] = FD.SOURCE_CLASSES, on: str = "source",
                        unit: str = "path") -> DataFrame:
     """Per class: distinct column *sets*, files per set, the set's first file, extra /
@@ -218,7 +218,7 @@ def _units(unit: str):
     return F.count(F.lit(1)) if unit == "path" else F.count_distinct(unit)
 
 
-def source_check(spark: SparkSession, path: str, pattern: str = "*.csv", recursive: bool = False, unit: str = "path") -> DataFrame:
+def source_check(spark: SparkSession, path: str, pattern: str = FD.CSV_FILES, recursive: bool = False, unit: str = "path") -> DataFrame:
     """One row: files found (or, with ``unit="source"``, exports) and total size; FAIL when nothing matches."""
     files = list_sources(spark, path, pattern, recursive)
     return files.agg(

@@ -42,7 +42,7 @@ def states(spark: SparkSession, state_dir: str) -> DataFrame:
     return last.select("s.*")
 
 
-def present_states(spark: SparkSession, folder: str, state_dir: str, pattern: str = "*.csv", recursive: bool = False) -> DataFrame:
+def present_states(spark: SparkSession, folder: str, state_dir: str, pattern: str = FD.CSV_FILES, recursive: bool = False) -> DataFrame:
     """The states of files that the folder holds now, unchanged since they were read."""
     files = list_sources(spark, folder, pattern, recursive, modified=True)
     return states(spark, state_dir).join(files.select("path", "length", "modified"), ["path", "length", "modified"], "left_semi")
@@ -76,7 +76,7 @@ def update_states(
     fields: Sequence[str] = FD.FILE_CRITICAL_FIELDS,
     key: str = FD.KEY_COLUMN,
     numeric: Sequence[str] = (),
-    pattern: str = "*.csv",
+    pattern: str = FD.CSV_FILES,
     recursive: bool = False,
     encoding: str = "UTF-8",
     max_files: int = 1000,

@@ -36,7 +36,7 @@ def normalise_nulls(df: DataFrame, tokens: Sequence[str] = FD.NULL_TOKENS) -> Da
     for f in df.schema.fields:
         if f.dataType.simpleString() == "string":
             c = F.col(f"`{f.name}`")
-            conv[f.name] = F.when((F.trim(c) == "") | F.trim(c).isin(toks), F.lit(None)).otherwise(c)
+            conv[f.name] = F.when(F.trim(c).isin("", *toks), F.lit(None)).otherwise(c)  # each cell is trimmed once
     return df.withColumns(conv) if conv else df
 
 
@@ -82,7 +82,7 @@ def read_csv_group(spark: SparkSession, paths: Sequence[str], encoding: str = "U
 def read_table(
     spark: SparkSession,
     path: str | Sequence[str],
-    pattern: str = "*.csv",
+    pattern: str = FD.CSV_FILES,
     recursive: bool = False,
     encoding: str = "UTF-8",
     null_tokens: Sequence[str] = FD.NULL_TOKENS,
@@ -105,7 +105,8 @@ def read_table(
     from homestats.sources.files import file_headers
 
     groups: dict[tuple, list[str]] = {}
-    for r in file_headers(spark, path, pattern, recursive, encoding).orderBy("path").toLocalIterator():
+    # sorted here: a distributed sort would open every file once more, to find its ranges
+    for r in sorted(file_headers(spark, path, pattern, recursive, encoding).collect()):
         groups.setdefault(tuple(r["header"]), []).append(r["path"])
     if not groups:
         return spark.createDataFrame([], "source_file string")
@@ -113,9 +114,13 @@ def read_table(
     return normalise_nulls(union_by_name(parts), null_tokens)
 
 
-def write_table(df: DataFrame, path: str, fmt: str = "csv", mode: str = "overwrite", partition_by: Sequence[str] = ()) -> str:
+def write_table(df: DataFrame, path: str, fmt: str = "csv", mode: str = "overwrite", partition_by: Sequence[str] = (),
+                compression: str | None = None) -> str:
     """Write a dataset (CSV with header, quotes doubled, or Parquet); returns the path.
 
+    ``compression`` names one of Spark's codecs; CSV is plain text without it. A gzipped file is read by one
+    task, so each should be of moderate size.
+
     ``overwrite`` publishes in stages: the new data set is written aside, and only when it is whole does
     it take the old one's place by renames. A write that fails leaves the old data set as it was.
     """
@@ -125,6 +130,8 @@ def write_table(df: DataFrame, path: str, fmt: str = "csv", mode: str = "overwri
     w = df.write.mode("error" if mode == "overwrite" else mode)
     if partition_by:
         w = w.partitionBy(*partition_by)
+    if compression:
+        w = w.option("compression", compression).option("zlib.compress.level", "BEST_SPEED")
     try:
         if fmt == "csv":
             w.option("header", True).option("quote", '"').option("escape", '"').csv(staged)

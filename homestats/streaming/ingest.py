@@ -50,7 +50,7 @@ def ingest_once(
     columns: Sequence[str],
     sink_dir: str,
     checkpoint_dir: str,
-    pattern: str = "*.csv",
+    pattern: str = FD.CSV_FILES,
     max_files_per_trigger: int = 1000,
     encoding: str = "UTF-8",
     null_tokens: Sequence[str] = FD.NULL_TOKENS,
