@@ -11,12 +11,14 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from homestats.functions import fields as FD
 from homestats.functions.coerce import as_number
-from homestats.operators.clean import cleaning_summary, geo_stats
+from homestats.operators.clean import clean_listed, clean_sold, cleaning_summary, geo_stats
+from homestats.operators.profile import value_or_mark
 from homestats.plans.catalog import register
 from homestats.plans.relations import Relations
 from homestats.plans.sqlkit import D, DSTR, GEO_FLAGS_SQL, LISTED_COLUMNS, LISTED_FLAGS_SQL, N, PCT, SOLD_COLUMNS, SOLD_FLAGS_SQL, sql
-from homestats.session import scratch_path
+from homestats.session import scratch_path, stored
 from homestats.sources import files as FI
 from homestats.sources import tables as TB
 
@@ -32,12 +34,13 @@ def export_monthly(r: Relations, which=("sold", "listed")) -> str:
 
     Rows are dealt by month; adaptive execution splits a month beyond the advisory partition size over
     several tasks, each of which writes a file of its own, so no month is one task's work. What is
-    told per export is therefore grouped by folder."""
+    told per export is therefore grouped by folder. Files are gzipped: plain, they are most of what these
+    queries write; one holds at most about an advisory partition's rows, so none is too much for a task."""
     root = scratch_path(r.spark, "exports")
     for name in which:
         month = F.regexp_replace(F.substring("ListingContractDate", 1, 7), "-", "")
         rows = getattr(r, name).withColumn("source", F.concat(F.lit(_PREFIX[name]), month))
-        TB.write_table(rows.hint("rebalance", F.col("source")), f"{root}/{name}", "csv", partition_by=["source"])
+        TB.write_table(rows.hint("rebalance", F.col("source")), f"{root}/{name}", "csv", partition_by=["source"], compression="gzip")
     return root
 
 
@@ -115,7 +118,8 @@ _ROUNDTRIP = ["ListingKey", "City", "CloseDate", "any_invalid_flag", "geo_null_f
 def q_write_roundtrip(r: Relations) -> DataFrame:
     """The cleaned table written as CSV and as Parquet and read back."""
     back = []
-    data = r.clean_sold.data
+    # the joined table is written once; column pruning and both writers read it
+    data = clean_sold(stored(r.sold_e, "enriched")).data
     for fmt in ("csv", "parquet"):
         path = TB.write_table(data, scratch_path(r.spark, "roundtrip"), fmt)
         rows = TB.read_table(r.spark, path) if fmt == "csv" else r.spark.read.schema(data.schema).parquet(path)
@@ -164,16 +168,31 @@ def _summary_sql() -> str:
     return sql("\nUNION ALL ".join(sold + listed))
 
 
+_COORDINATES = ["Latitude", "Longitude"]
+#: The columns whose values the summary uses; of the others it counts nulls.
+_SUMMARISED = {
+    "sold": [*FD.SOLD_DATE_FIELDS, *[c for _, *pair in FD.DATE_ORDER_FLAGS for c in pair], *[rule[0] for rule in FD.SOLD_FLAG_RULES], *_COORDINATES],
+    "listed": [*FD.LISTED_DATE_FIELDS, *[rule[0] for rule in FD.LISTED_FLAG_RULES], *_COORDINATES],
+}
+
+
+def _run_summary(r: Relations) -> DataFrame:
+    """The nested summary of cleaning both tables; each is joined once and written narrow, and all aggregates read that."""
+    sold = clean_sold(stored(value_or_mark(r.sold_e, _SUMMARISED["sold"]), "summarised"))
+    listed = clean_listed(stored(value_or_mark(r.listed_e, _SUMMARISED["listed"]), "summarised"))
+    return cleaning_summary(sold, listed, geo_stats(sold, listed))
+
+
 @register("cleaning_summary", _summary_sql())
 def q_cleaning_summary(r: Relations) -> DataFrame:
     """The run summary's numbers, one per row."""
-    return _flat_summary(cleaning_summary(r.clean_sold, r.clean_listed, geo_stats(r.clean_sold, r.clean_listed)))
+    return _flat_summary(_run_summary(r))
 
 
 @register("summary_roundtrip", _summary_sql())
 def q_summary_roundtrip(r: Relations) -> DataFrame:
     """The run summary written as JSON and read back with its schema."""
-    summary = cleaning_summary(r.clean_sold, r.clean_listed, geo_stats(r.clean_sold, r.clean_listed))
+    summary = _run_summary(r)
     path = TB.write_summary(summary, scratch_path(r.spark, "summary"))
     return _flat_summary(TB.read_summary(r.spark, path, summary.schema))
 
