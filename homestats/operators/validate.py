@@ -114,6 +114,14 @@ def _count_checks(name: str, counts: DataFrame, col: str, total) -> DataFrame:
     return _rows(counts, _check(name, col, "INFO", F.col("n"), F.col("value")), _check(f"{name}_pct", col, "INFO", share, F.col("value")))
 
 
+def stored_input(df: DataFrame, date_col: str) -> DataFrame:
+    """What ``validate_dataset`` needs of ``df`` (with its default fields), written once: the values that checks use, null marks of
+    the other columns. Its three reads then don't derive ``df`` again. One job runs here."""
+    valued = [FD.PROPERTY_TYPE_COLUMN, date_col, FD.KEY_COLUMN, "PropertySubType", "City", "CountyOrParish",
+              *[r[0] for r in FD.OUTLIER_RULES], *FD.STATS_FIELDS]
+    return stored(value_or_mark(df, valued), "validated")
+
+
 def validate_dataset(
     df: DataFrame,
     date_col: str,
@@ -139,8 +147,7 @@ def validate_dataset(
     statistics and outliers, 8 subtype breakdown, 9 top values of ``top_cols``. ``detail``
     is what a check's number is about: a month, a category value, a date, a null count.
 
-    The input is read once: the columns whose values the checks use, and null marks of the others, are
-    written and then read three times. One aggregate computes every counter (row and column
+    The input is read three times, whatever its checks (see ``stored_input`` for one that is dear to derive). One aggregate computes every counter (row and column
     counts, category mismatches, date range, the set of months present — at most one entry per
     calendar month —, per-column non-null counts, numeric ranges and means, outlier hits); the
     check rows are unpacked from that single row. One table of frequencies holds months,
@@ -148,7 +155,6 @@ def validate_dataset(
     frequencies and the quartiles' chunks are written when this is called.
     """
     cols = df.columns
-    df = stored(value_or_mark(df, [category_col, date_col, key, subtype_col, *top_cols, *[r[0] for r in rules], *FD.STATS_FIELDS]), "validated")
     d = F.col("_v_date")
     aggs = [F.count(F.lit(1)).alias("_rows")]
     aggs += [F.count(F.col(f"`{c}`")).alias(f"_nn{i}") for i, c in enumerate(cols)]

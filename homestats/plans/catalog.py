@@ -396,12 +396,12 @@ def _validate_sql(table: str, cols: list[str], date_col: str) -> str:
 
 @register("validate_sold", sql(_validate_sql("sold_r", SOLD_COLUMNS, "CloseDate")))
 def q_validate_sold(r):
-    return VA.validate_dataset(r.sold_r, "CloseDate")
+    return VA.validate_dataset(VA.stored_input(r.sold_r, "CloseDate"), "CloseDate")
 
 
 @register("validate_listed", sql(_validate_sql("listed_r", LISTED_COLUMNS, "ListingContractDate")))
 def q_validate_listed(r):
-    return VA.validate_dataset(r.listed_r, "ListingContractDate")
+    return VA.validate_dataset(VA.stored_input(r.listed_r, "ListingContractDate"), "ListingContractDate")
 
 
 _SRC = "(SELECT *, substr(ListingContractDate, 1, 7) AS source FROM sold)"

@@ -30,7 +30,7 @@ def _counted(spark, df):
     ("numeric_stats", PR.numeric_stats), ("numeric_distribution", PR.numeric_distribution),
     ("compact_stats", lambda df: PR.compact_stats(df, "CountyOrParish")), ("histograms", DI.histograms), ("boxplot_stats", DI.boxplot_stats),
     ("close_price_summary", MK.close_price_summary), ("top_groups_by_median", lambda df: MK.top_groups_by_median(df, min_n=1)),
-    ("validate_dataset", lambda df: VA.validate_dataset(df, "CloseDate")),
+    ("validate_dataset", lambda df: VA.validate_dataset(VA.stored_input(df, "CloseDate"), "CloseDate")),
 ])
 def test_rows_are_derived_once(spark, golden, name, query):
     df, seen = _counted(spark, golden)
