@@ -11,13 +11,15 @@ that length.
 from __future__ import annotations
 
 import os
+import re
 import zlib
 from collections.abc import Iterator
 from dataclasses import dataclass, field
-from itertools import chain
+from itertools import chain, pairwise
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
@@ -25,21 +27,47 @@ from pyspark.sql import types as T
 
 from homestats.llm.common import cached, materialize, text_slices, tidy, word_codes
 
-#: Marks that a tokenizer may part from the letters before them.
-CLOSING = ".,;:!?)"
+#: Marks that a tokenizer parts from the letters before them: ASCII ones but ``'``, which it may take with letters, and ``<``.
+CLOSING = "!\"#$%&()*+,-./:;=>?@[\\]^_`{|}~"
+#: Letters that normalization leaves alone but for their case, and words of them.
+LETTERS = "A-Za-z\u00c0-\u00d6\u00d8-\u00f6\u00f8-\u00ff"
+SIMPLE = f"^ ?[{LETTERS}]+$"
+MARKED = f"^ ?[{LETTERS}]+[{re.escape(CLOSING)}]+$"
 #: Words whose ids a Python worker remembers; when there are more, only those of the texts at hand are kept.
 REMEMBERED_WORDS = 500_000
 #: Texts are encoded in slices of about this many bytes.
 ENCODE_BYTES = 8 << 20
+#: Words that are given to the tokenizer as one text.
+AT_ONCE = 500
+
+
+def without_marks(words: pa.Array) -> tuple[np.ndarray, pa.Array]:
+    """``(bounds, parts)``: letters and the closing marks after them are two parts, any other word is one."""
+    marked = np.flatnonzero(pc.match_substring_regex(words, MARKED).to_numpy(zero_copy_only=False))
+    some, n = words.take(pa.array(marked)), len(words)
+    sizes = np.ones(n, np.int64)
+    sizes[marked] = 2
+    bounds = np.concatenate(([0], np.cumsum(sizes)))
+    which = np.empty(int(bounds[-1]), np.int64)
+    which[bounds[:-1]] = np.arange(n)
+    which[bounds[marked]] = n + np.arange(len(marked))
+    which[bounds[marked] + 1] = n + len(marked) + np.arange(len(marked))
+    parts = [words, pc.ascii_rtrim(some, characters=CLOSING), pc.replace_substring_regex(some, f"^ ?[{LETTERS}]+", "")]
+    return bounds, pa.concat_arrays(parts).take(pa.array(which))
 
 
 class WordEncoder:
-    """Token ids of texts, each distinct word given to the tokenizer once.
+    """Token ids of texts, each distinct word given to the tokenizer once, without the marks at its end.
 
     For tokenizers that never merge across ASCII white space and drop it: then a
     text's ids are its words' ids one after the other.
     """
 
+    #: Put between words that are encoded at once; its id tells them apart.
+    between, mark = " \x00 ", "\x00"
+    #: Words of which many are encoded at once: they hold neither the mark nor added tokens.
+    joinable = r"^[^\x00<]+$"
+
     def __init__(self, path: str):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"  # a task has one core
         from tokenizers import Tokenizer
@@ -49,14 +77,40 @@ class WordEncoder:
         probe = "Ab\n c,d  e's"
         if self._ids([probe])[0] != [i for ids in self._ids(probe.split()) for i in ids]:
             raise ValueError("the tokenizer doesn't drop white space")
-        self.tails: dict[str, list[int]] = {}
-        samples = [w + t for w in ("a", "The", "straightforward", "zzQxv", "don") for t in ("", ".", ",)", "!?")]
-        self.direct = [self._simple(w) for w in samples] == self._ids(samples)
+        self.direct = self._foresee(["a", "The", "straightforward", "zzQxv", "don", "Émíñß", "àÿÞ"])
         self._forget()
 
+    def _foresee(self, words: list[str]) -> bool:
+        """Whether letters can go to the model straight, marks after them be parted and words be encoded at once."""
+        added = [t.content for t in self.tokenizer.get_added_tokens_decoder().values()]
+        if not all("<" in t for t in added):
+            return False
+        samples = [w + t for w in words for t in ("", ".", ",)", "!?")]
+        bounds, parts = without_marks(self._folded(pa.array(samples, pa.large_string())))
+        listed = parts.to_pylist()
+        ids = [self._letters(w) if w.strip(" ").isalpha() else self._ids([w])[0] for w in listed]
+        mark = self._ids([self.mark])[0]
+        self.mark_id = mark[0]
+        whole = self._ids(samples)
+        return len(mark) == 1 and [sum(ids[i:j], []) for i, j in zip(bounds[:-1], bounds[1:], strict=True)] == whole and self._at_once(samples) == whole
+
     def _ids(self, texts: list[str]) -> list[list[int]]:
         return [e.ids for e in self.tokenizer.encode_batch(texts, add_special_tokens=False)]
 
+    def _at_once(self, words: list[str]) -> list[list[int]]:
+        """Ids of words without added tokens and marks, many words in one text."""
+        out = []
+        for i in range(0, len(words), AT_ONCE):
+            part = words[i : i + AT_ONCE]
+            ids = self.tokenizer.encode_batch_fast([self.between.join(part)], add_special_tokens=False)[0].ids
+            flat = np.array(ids, np.uint32)
+            cuts = [-1, *np.flatnonzero(flat == self.mark_id).tolist(), len(ids)]
+            if len(cuts) != len(part) + 1:
+                out += self._ids(part)
+            else:
+                out += [ids[a + 1 : b] for a, b in pairwise(cuts)]
+        return out
+
     def _forget(self) -> None:
         self.place: dict[str, int] = {}
         self.starts, self.sizes, self.ids = np.empty(0, np.int64), np.empty(0, np.int64), np.empty(0, np.uint32)
@@ -76,45 +130,64 @@ class WordEncoder:
 
     def _take(self, which: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """Sizes and ids, one after the other, of the words at these places."""
-        starts, sizes = self.starts[which], self.sizes[which]
-        first = np.cumsum(sizes) - sizes
-        return sizes, self.ids[np.repeat(starts - first, sizes) + np.arange(int(sizes.sum()))]
-
-    def _simple(self, word: str) -> list[int] | None:
-        """Ids of ASCII letters with or without closing marks, straight from the tokenizer's model; None for other words.
-
-        Such a word is normalized to lower case and parted before its marks, no more.
-        """
-        low = word.lower()
-        base = low.rstrip(CLOSING)
-        if not (word.isascii() and base.isalpha()):
-            return None
-        ids = [t.id for t in self.model.tokenize(base)]
-        if tail := low[len(base) :]:
-            if tail not in self.tails:
-                self.tails[tail] = self._ids([tail])[0]
-            ids += self.tails[tail]
-        return ids
+        return taken(self.starts, self.sizes, self.ids, which)
+
+    def _folded(self, words: pa.Array) -> pa.Array:
+        """Words of letters and closing marks in lower case, as the tokenizer takes them."""
+        simple = pc.match_substring_regex(words, f"^[{LETTERS}]+[{re.escape(CLOSING)}]*$")
+        return pc.if_else(simple, pc.utf8_lower(words), words)
+
+    def _letters(self, word: str) -> list[int]:
+        """Ids of letters, straight from the tokenizer's model."""
+        return [t.id for t in self.model.tokenize(word if word.isascii() and word[0] != " " else byte_level(word))]
 
     def _learn(self, words: list[str]) -> None:
-        for i in range(0, len(words), 20_000):
-            part = words[i : i + 20_000]
-            found = [self._simple(w) for w in part] if self.direct else [None] * len(part)
+        for i in range(0, len(words), 50_000):
+            part = words[i : i + 50_000]
+            found: list = [None] * len(part)
+            if self.direct:
+                kinds = pa.array(part, pa.large_string())
+                simple = pc.match_substring_regex(kinds, SIMPLE).to_numpy(zero_copy_only=False)
+                many = ~simple & pc.match_substring_regex(kinds, self.joinable).to_numpy(zero_copy_only=False)
+                for k in np.flatnonzero(simple).tolist():
+                    found[k] = self._letters(part[k])
+                where = np.flatnonzero(many).tolist()
+                for k, ids in zip(where, self._at_once([part[k] for k in where]), strict=True):
+                    found[k] = ids
             rest = [k for k, ids in enumerate(found) if ids is None]
             for k, ids in zip(rest, self._ids([part[k] for k in rest]), strict=True):
                 found[k] = ids
             sizes = np.fromiter(map(len, found), np.int64, len(found))
             self._add(part, sizes, np.fromiter(chain.from_iterable(found), np.uint32, int(sizes.sum())))
 
+    def _most(self) -> int:
+        return REMEMBERED_WORDS
+
+    def _words(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray, pa.Array]:
+        """``(bounds, codes, words)``: text i has the words ``words[codes[bounds[i]:bounds[i + 1]]]``."""
+        return word_codes(texts)
+
+    def _parts(self, words: pa.Array) -> tuple[np.ndarray, pa.Array]:
+        """``(bounds, parts)`` of words, whose ids are their parts' ids one after the other."""
+        return without_marks(self._folded(words)) if self.direct else (np.arange(len(words) + 1), words)
+
     def encode(self, texts: pa.Array, end_id: int) -> tuple[np.ndarray, np.ndarray]:
         """``(bounds, ids)``; each text's ids end with ``end_id``."""
-        bounds, codes, words = word_codes(texts)
-        listed = words.to_pylist()
-        if len(self.place) > REMEMBERED_WORDS:
+        bounds, codes, words = self._words(texts)
+        part_bounds, parts = self._parts(words)
+        encoded = parts.dictionary_encode()
+        listed = encoded.dictionary.to_pylist()
+        if len(self.place) > self._most():
             self._keep(listed)
-        self._learn([w for w in listed if w not in self.place])
-        where = np.fromiter((self.place[w] for w in listed), np.int64, len(listed))
-        sizes, flat = self._take(where[codes])
+        found = list(map(self.place.get, listed))
+        new = [k for k, place in enumerate(found) if place is None]
+        self._learn([listed[k] for k in new])
+        for k in new:
+            found[k] = self.place[listed[k]]
+        where = np.array(found, np.int64)
+        sizes, ids = self._take(where[encoded.indices.to_numpy(zero_copy_only=False)])
+        edges = np.concatenate(([0], np.cumsum(sizes)))[part_bounds]
+        sizes, flat = taken(edges[:-1], np.diff(edges), ids, codes)
         total = np.concatenate(([0], np.cumsum(sizes)))
         out_bounds = total[bounds] + np.arange(len(bounds))  # one end id per text before
         out = np.full(int(out_bounds[-1]), end_id, np.uint32)
@@ -124,6 +197,22 @@ class WordEncoder:
         return out_bounds, out
 
 
+#: What byte-level tokenizers write for the bytes without a visible character of their own.
+_BYTES = {b: chr(256 + i) for i, b in enumerate(b for b in range(256) if not (33 <= b < 127 or 161 <= b < 173 or b > 173))}
+
+
+def byte_level(word: str) -> str:
+    """A word as a byte-level tokenizer's model sees it, a character per byte."""
+    return word.encode().decode("latin-1").translate(_BYTES)
+
+
+def taken(starts: np.ndarray, sizes: np.ndarray, ids: np.ndarray, which: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Sizes and ids, one after the other, of some of the runs of ``ids`` that ``starts`` and ``sizes`` tell."""
+    starts, sizes = starts[which], sizes[which]
+    first = np.cumsum(sizes) - sizes
+    return sizes, ids[np.repeat(starts - first, sizes) + np.arange(int(sizes.sum()))]
+
+
 PIECE = T.StructType([
     T.StructField("start", T.LongType()), T.StructField("length", T.LongType()), T.StructField("ids_crc32", T.LongType()),
     T.StructField("doc_tokens", T.LongType()), T.StructField("part", T.LongType()), T.StructField("nth", T.LongType()),

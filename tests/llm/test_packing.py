@@ -34,6 +34,15 @@ def test_ids_equal_the_library(monkeypatch, remembered):
     assert [ids[a:b].tolist() for a, b in zip(bounds[:-1], bounds[1:], strict=True)] == [ids_of(t) for t in texts]
 
 
+def test_words_are_learned_without_case_and_closing_marks():
+    texts = ["Word, word. WORD!? word Été, été### don't don't.", "<|endoftext|>word <|endoftext|>, a\x00b a\x00, 12. x1", "ÉTÉ. #été Word_"]
+    encoder = packing.WordEncoder(PATH)
+    bounds, ids = encoder.encode(pa.array(texts), 1)
+    assert [ids[a:b].tolist() for a, b in zip(bounds[:-1], bounds[1:], strict=True)] == [ids_of(t) for t in texts]
+    assert {w for w in encoder.place if "word" in w.lower() and "<" not in w} == {"word"}
+    assert {w for w in encoder.place if "t" in w and "<" not in w} == {"été", "#été", "don't", "don't."}
+
+
 def test_plan_places_every_length_once_and_never_overfills():
     r = np.random.default_rng(1)
     for trial in range(60):
