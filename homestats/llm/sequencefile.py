@@ -27,15 +27,18 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from homestats.llm.common import cached, text_slices, tidy
-from homestats.llm.packing import WordEncoder
+from homestats.llm.packing import WordEncoder, without_marks
 
 #: Sequences of a batch, and ids after which a task begins a new file (at a document's end).
 BATCH_SEQUENCES = 64
 FILE_IDS = 1 << 26
 MANIFEST = "_manifest"
 #: White space of any kind at a piece's end, or an empty piece: what follows is not parted from it.
-OPEN_END = r"^$|[\s\x{0b}\x{1c}-\x{1f}\x{85}\p{Z}]$"
-#: Units whose ids a Python worker remembers; when there are more, only those of the texts at hand are kept.
+SPACES = r"\s\x{0b}\x{1c}-\x{1f}\x{85}\p{Z}"
+OPEN_END = rf"^$|[{SPACES}]$"
+#: A unit of several lines, without other white space than a line end between two lines.
+LINES = rf"^ ?[^{SPACES}]+(\n[^{SPACES}]+)+$"
+#: Parts of units whose ids a Python worker remembers; when there are more, only those of the texts at hand are kept.
 REMEMBERED_UNITS = 500_000
 #: Texts are encoded in slices of about this many bytes.
 ENCODE_BYTES = 16 << 20
@@ -45,13 +48,17 @@ ENCODE_BYTES = 16 << 20
 
 
 class PieceEncoder(WordEncoder):
-    """Token ids of texts under a byte-level tokenizer, each distinct unit given to it once.
+    """Token ids of texts under a byte-level tokenizer, each distinct part of a unit given to it once.
 
     Byte-level pre-tokenization always parts a text before white space that follows
     a visible character, so a text's ids are those of its units: pieces between such spaces, with the
-    space before them. Tokenizers of another make get whole texts.
+    space before them. Single line ends between visible characters part units, and so do closing marks
+    after letters. Tokenizers of another make get whole texts.
     """
 
+    between = mark = "\n"
+    joinable = rf"^ ?[^<{SPACES}]+$"
+
     def __init__(self, path: str):
         import os
 
@@ -59,6 +66,7 @@ class PieceEncoder(WordEncoder):
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
+        self.model = self.tokenizer.model
         self.tokenizer.no_truncation()
         self.tokenizer.no_padding()
         made = json.loads(self.tokenizer.to_str())
@@ -66,14 +74,23 @@ class PieceEncoder(WordEncoder):
         simple = parts.get("type") == "ByteLevel" and parts.get("use_regex", True) and not parts["add_prefix_space"] and not made["normalizer"]
         plain = all(not (t["lstrip"] or t["rstrip"] or t["single_word"] or re.search(r"\s", t["content"])) for t in made["added_tokens"])
         self.by_units = bool(simple and plain)
-        self.direct = False
+        self.direct = self.by_units and self._foresee([" a", " The", "straightforward", " zzQxv", "don", " Émíñß", "àÿÞ"])
         self._forget()
 
     def _ids(self, texts: list[str]) -> list[list[int]]:
         return [e.ids for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]  # without offsets
 
-    def _units(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray, list[str]]:
-        """``(bounds, codes, units)``: text i has the units ``codes[bounds[i]:bounds[i + 1]]``."""
+    def _most(self) -> int:
+        return REMEMBERED_UNITS
+
+    def _folded(self, words: pa.Array) -> pa.Array:
+        return words
+
+    def _words(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray, pa.Array]:
+        """``(bounds, codes, units)``: text i has the units ``units[codes[bounds[i]:bounds[i + 1]]]``."""
+        texts = pc.fill_null(texts.cast(pa.large_string()), "")
+        if not self.by_units:
+            return np.arange(len(texts) + 1), np.arange(len(texts)), texts
         lists = pc.split_pattern(texts, " ")
         bounds = lists.offsets.to_numpy().astype(np.int64)
         encoded = lists.values[bounds[0] : bounds[-1]].dictionary_encode()
@@ -85,42 +102,45 @@ class PieceEncoder(WordEncoder):
         glued = np.concatenate(([False], is_open[codes[:-1]])) & ~first
         starts = np.flatnonzero(~glued)
         sizes = np.diff(np.append(starts, len(codes)))
-        key = codes[starts] * 2 + first[starts]
-        listed = pieces.to_pylist()
-        several = np.flatnonzero(sizes > 1)
+        # a piece after a space, one without, or several
+        n = len(pieces)
+        key = codes[starts] + n * first[starts]
         joined: dict[str, int] = {}
-        for i in several.tolist():
+        for i in np.flatnonzero(sizes > 1).tolist():
             a = starts[i]
-            text = " ".join(listed[c] for c in codes[a : a + sizes[i]])
-            key[i] = 2 * len(listed) + joined.setdefault(text if first[a] else " " + text, len(joined))
-        seen = np.zeros(2 * len(listed) + len(joined), bool)
+            text = " ".join(pieces.take(pa.array(codes[a : a + sizes[i]])).to_pylist())
+            key[i] = 2 * n + joined.setdefault(text if first[a] else " " + text, len(joined))
+        seen = np.zeros(2 * n + len(joined), bool)
         seen[key] = True
-        kinds, codes = np.flatnonzero(seen), (np.cumsum(seen) - 1)[key]
-        extra = list(joined)
-        units = [extra[k - 2 * len(listed)] if k >= 2 * len(listed) else listed[k // 2] if k & 1 else " " + listed[k // 2] for k in kinds.tolist()]
-        return np.searchsorted(starts, bounds), codes, units
+        spaced = pc.binary_join_element_wise(pa.scalar("", pieces.type), pieces, pa.scalar(" ", pieces.type))
+        units = pa.concat_arrays([spaced, pieces, pa.array(list(joined), pieces.type)])
+        return np.searchsorted(starts, bounds), (np.cumsum(seen) - 1)[key], units.take(pa.array(np.flatnonzero(seen)))
+
+    def _parts(self, words: pa.Array) -> tuple[np.ndarray, pa.Array]:
+        if not self.direct:
+            return super()._parts(words)
+        lines = np.flatnonzero(pc.match_substring_regex(words, LINES).to_numpy(zero_copy_only=False))
+        lists = pc.split_pattern(words.take(pa.array(lines)), "\n")
+        ends = lists.offsets.to_numpy().astype(np.int64)
+        n, sizes = len(words), np.ones(len(words), np.int64)
+        sizes[lines] = 2 * np.diff(ends) - 1
+        bounds = np.concatenate(([0], np.cumsum(sizes)))
+        which = np.full(int(bounds[-1]), n)  # a line end, unless told otherwise
+        alone = np.delete(np.arange(n), lines)
+        which[bounds[alone]] = alone
+        owner = np.repeat(np.arange(len(lines)), np.diff(ends))
+        nth = np.arange(int(ends[-1])) - ends[owner]
+        which[bounds[lines[owner]] + 2 * nth] = n + 1 + np.arange(len(owner))
+        every = pa.concat_arrays([words, pa.array(["\n"], words.type), lists.values])
+        part_bounds, parts = without_marks(every.take(pa.array(which)))
+        return part_bounds[bounds], parts
 
     def encode(self, texts: pa.Array, end_id: int) -> tuple[np.ndarray, np.ndarray]:
         """``(bounds, ids)``; each text's ids end with ``end_id``."""
-        texts = pc.fill_null(texts.cast(pa.large_string()), "")
-        if self.by_units:
-            bounds, codes, listed = self._units(texts)
-        else:
-            bounds, codes, listed = np.arange(len(texts) + 1), np.arange(len(texts)), texts.to_pylist()
-        if len(self.place) > REMEMBERED_UNITS:
-            self._keep(listed if self.by_units else [])
-        self._learn([u for u in dict.fromkeys(listed) if u not in self.place])
-        where = np.fromiter((self.place[u] for u in listed), np.int64, len(listed))
-        sizes, flat = self._take(where[codes])
-        total = np.concatenate(([0], np.cumsum(sizes)))
-        out_bounds = total[bounds] + np.arange(len(bounds))  # one end id per text before
-        out = np.full(int(out_bounds[-1]), end_id, np.uint32)
-        inside = np.ones(len(out), bool)
-        inside[out_bounds[1:] - 1] = False
-        out[inside] = flat
+        found = super().encode(texts, end_id)
         if not self.by_units:
             self._forget()
-        return out_bounds, out
+        return found
 
 
 # ---- files ----

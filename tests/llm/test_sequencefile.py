@@ -41,6 +41,15 @@ def test_encoder_equals_the_library(library, monkeypatch, remembered):
         assert [ids[a:b].tolist() for a, b in zip(bounds[:-1], bounds[1:], strict=True)] == want_ids(library, texts)
 
 
+def test_units_are_learned_by_parts(library):
+    texts = ["a word,\nword. word! word", "a\nword\n<|endoftext|>\nword-- ça,\nça", "word\n\nword \nword", "\nword's\n12", "word"]
+    encoder = S.PieceEncoder(PATH)
+    bounds, ids = encoder.encode(pa.array(texts), 2)
+    assert [ids[a:b].tolist() for a, b in zip(bounds[:-1], bounds[1:], strict=True)] == want_ids(library, texts)
+    assert {u for u in encoder.place if "word" in u} == {" word", "word", "word\n\nword", " \nword", "\nword's\n12"}
+    assert {" ça", "ça", "--", ","} <= set(encoder.place)
+
+
 def test_other_tokenizers_get_whole_texts():
     path = public_tokenizers.path("word_bpe_49k.json")
     encoder, library = S.PieceEncoder(path), Tokenizer.from_file(path)
