@@ -14,7 +14,10 @@ the best, and the search goes in waves:
    next wave expands just the words whose bound isn't below that score, or all words if there
    are fewer survivors yet.
 
-Counts are aggregates over the whole corpus, partly summed in each task. Which
+Texts are split twice: words are counted, then runs of two and more frequent words are written as the
+words' 64-bit hashes, which differ for different words (checked, with another salt if not). Passes read
+these. A pass first counts the hashes of its phrases, partly summed in each task; equal phrases
+have equal hashes, so only the few whose hash is frequent are counted as lists of words. Which
 phrases a pass looks at is told by bit filters of bounded size; what they let through by
 mistake is counted and dropped, so filters never change a result.
 """
@@ -35,6 +38,10 @@ from homestats.llm.common import materialize, mix64, text_slices, tidy
 
 #: Texts are split and counted in slices of about this many bytes.
 COUNT_BYTES = 3 << 20
+#: Hashes that a task holds before it sums them up.
+HELD_HASHES = 1 << 22
+#: About as many words are written a row, and so many rows are looked at at once.
+ROW_WORDS, ROWS = 512, 1024
 #: A filter has so many bits per phrase, within these bounds.
 BITS_PER_PHRASE, LEAST_BITS, MOST_BITS = 16, 1 << 16, 1 << 27
 #: The first wave expands words of up to so many times the least count.
@@ -51,22 +58,45 @@ _KIND[list(b" \t")] = 1
 _KIND[list(b".,;:!?\n\x0b\x0c\r")] = 2
 
 
-def text_hashes(words: pa.Array) -> np.ndarray:
-    """A 64-bit hash of each word, from its bytes by numpy. Equal words have equal hashes; no more is needed."""
+def text_hashes(words: pa.Array, salt: int = 0) -> np.ndarray:
+    """A 64-bit hash of each word, from its bytes by numpy."""
     words = words.cast(pa.large_string())
     offsets = np.frombuffer(words.buffers()[1], np.int64)[words.offset : words.offset + len(words) + 1]
     data = np.frombuffer(words.buffers()[2] or b"", np.uint8)[offsets[0] : offsets[-1]].astype(np.uint64)
     offsets = offsets - offsets[0]
     sizes = np.diff(offsets)
     place = (np.arange(len(data)) - np.repeat(offsets[:-1], sizes)).astype(np.uint64)
-    sums = np.concatenate(([np.uint64(0)], np.cumsum(mix64(data + (place << np.uint64(8)) + np.uint64(1)), dtype=np.uint64)))
+    sums = np.concatenate(([np.uint64(0)], np.cumsum(mix64(data + (place << np.uint64(8)) + np.uint64(1 + (salt << 48))), dtype=np.uint64)))
     return mix64(sums[offsets[1:]] - sums[offsets[:-1]] + sizes.astype(np.uint64) * _SEEDS)
 
 
-class Words:
+class Phrases:
+    """Phrases at the places of a sequence of words, from the words' hashes and pieces."""
+
+    piece: np.ndarray
+    hash: dict[int, np.ndarray]
+
+    def within(self, m: int) -> int:
+        """Number of places at which a phrase of ``m`` words may begin."""
+        return max(0, len(self.piece) - m + 1)
+
+    def whole(self, m: int) -> np.ndarray:
+        """Where ``m`` words lie in one piece."""
+        n = self.within(m)
+        return self.piece[:n] == self.piece[m - 1 : m - 1 + n]
+
+    def hashes(self, m: int) -> np.ndarray:
+        """Hash of the ``m`` words from each place on (across pieces, too)."""
+        if m not in self.hash:
+            n = self.within(m)
+            self.hash[m] = joined_hash(self.hashes(m - 1)[:n], self.hash[1][m - 1 : m - 1 + n])
+        return self.hash[m]
+
+
+class Words(Phrases):
     """The words of some texts: a code each, the piece it is in, and of each code the language, word and hash."""
 
-    def __init__(self, texts: pa.Array, langs: pa.Array):
+    def __init__(self, texts: pa.Array, langs: pa.Array, salt: int = 0):
         texts = pc.fill_null(texts.cast(pa.large_string()), "")
         offsets = np.frombuffer(texts.buffers()[1], np.int64)[texts.offset : texts.offset + len(texts) + 1]
         data = np.frombuffer(texts.buffers()[2] or b"", np.uint8)[offsets[0] : offsets[-1]]
@@ -95,25 +125,25 @@ class Words:
         self.code = (np.cumsum(present) - 1)[both]
         self.langs, self.words = known.dictionary, encoded.dictionary
         self.lang_of, self.word_of = kinds // n_words, kinds % n_words
-        lang_hash, word_hash = text_hashes(self.langs), text_hashes(self.words)
+        lang_hash, word_hash = text_hashes(self.langs, salt), text_hashes(self.words, salt)
         hashes = mix64(word_hash[self.word_of] ^ mix64(lang_hash[self.lang_of] + _SEEDS)) if len(kinds) else np.empty(0, np.uint64)
         self.hash = {1: hashes[self.code]}
 
-    def within(self, m: int) -> int:
-        """Number of places at which a phrase of ``m`` words may begin."""
-        return max(0, len(self.code) - m + 1)
-
-    def whole(self, m: int) -> np.ndarray:
-        """Where ``m`` words lie in one piece."""
-        n = self.within(m)
-        return self.piece[:n] == self.piece[m - 1 : m - 1 + n]
-
-    def hashes(self, m: int) -> np.ndarray:
-        """Hash of the ``m`` words from each place on (across pieces, too)."""
-        if m not in self.hash:
-            n = self.within(m)
-            self.hash[m] = joined_hash(self.hashes(m - 1)[:n], self.hash[1][m - 1 : m - 1 + n])
-        return self.hash[m]
+    def runs(self, frequent) -> pa.Array:
+        """Runs of two and more frequent words of a piece: their hashes, each run with a zero after it, many runs a row."""
+        hashes = self.hash[1]
+        keep = np.flatnonzero(frequent(hashes))
+        hashes, piece = hashes[keep], self.piece[keep]
+        if not len(keep):
+            return pa.array([], pa.list_(pa.int64()))
+        new = np.concatenate(([True], (np.diff(keep) > 1) | (piece[1:] != piece[:-1])))
+        sizes = np.diff(np.append(np.flatnonzero(new), len(keep)))
+        hashes, sizes = hashes[np.repeat(sizes > 1, sizes)], sizes[sizes > 1]
+        starts = np.cumsum(sizes + 1) - sizes - 1
+        out = np.zeros(int((sizes + 1).sum()), np.uint64)
+        out[np.arange(len(hashes)) + np.repeat(np.arange(len(sizes)), sizes)] = hashes
+        first = starts[np.flatnonzero(np.diff(starts // ROW_WORDS, prepend=-1))]
+        return pa.ListArray.from_arrays(pa.array(np.append(first, len(out)).astype(np.int32)), pa.array(out.view(np.int64)))
 
     def counted(self, m: int, at: np.ndarray) -> pa.RecordBatch | None:
         """The distinct phrases of ``m`` words at some places, and how many places each has."""
@@ -131,19 +161,46 @@ class Words:
         return pa.RecordBatch.from_arrays([lang, phrase.cast(pa.string()), pa.array(n, pa.int64())], names=["lang", "phrase", "n"])
 
 
+class Runs(Phrases):
+    """Runs of frequent words, as ``Words.runs`` gives them."""
+
+    def __init__(self, rows: pa.Array):
+        hashes = rows.flatten().to_numpy(zero_copy_only=False).view(np.uint64)
+        self.piece = np.cumsum(hashes == 0, dtype=np.int32)
+        self.hash = {1: hashes}
+
+    def whole(self, m: int) -> np.ndarray:
+        """Where ``m`` words lie in one run."""
+        return (self.hash[1][: self.within(m)] != 0) & super().whole(m)
+
+    def counted(self, m: int, at: np.ndarray) -> pa.RecordBatch | None:
+        """The distinct phrases of ``m`` words at some places as lists of hashes, and how many places each has."""
+        if not len(at):
+            return None
+        words = self.hash[1]
+        number = np.unique(words[at], return_inverse=True)[1]
+        for i in range(1, m):
+            last, which = np.unique(words[at + i], return_inverse=True)
+            number = np.unique(number * len(last) + which, return_inverse=True)[1]
+        _, first, n = np.unique(number, return_index=True, return_counts=True)
+        flat = words[at[first][:, None] + np.arange(m)].ravel()
+        codes = pa.ListArray.from_arrays(pa.array(np.arange(len(first) + 1, dtype=np.int32) * m, pa.int32()), pa.array(flat.view(np.int64)))
+        return pa.RecordBatch.from_arrays([codes, pa.array(n, pa.int64())], names=["codes", "n"])
+
+
 def joined_hash(phrase: np.ndarray, word: np.ndarray) -> np.ndarray:
     return mix64(phrase * _SEEDS + word)
 
 
-def phrase_hashes(langs: pa.Array, phrases: pa.Array) -> np.ndarray:
+def phrase_hashes(langs: pa.Array, phrases: pa.Array, salt: int = 0) -> np.ndarray:
     """The hash that ``Words`` gives each phrase of a language."""
     lists = pc.split_pattern(phrases.cast(pa.large_string()), " ")
     bounds = lists.offsets.to_numpy().astype(np.int64)
     words = lists.values[bounds[0] : bounds[-1]].dictionary_encode()
     bounds = bounds - bounds[0]
-    hashes = text_hashes(words.dictionary)[words.indices.to_numpy(zero_copy_only=False)]
+    hashes = text_hashes(words.dictionary, salt)[words.indices.to_numpy(zero_copy_only=False)]
     known = langs.dictionary_encode()
-    lang = mix64(text_hashes(known.dictionary)[known.indices.to_numpy(zero_copy_only=False)] + _SEEDS)
+    lang = mix64(text_hashes(known.dictionary, salt)[known.indices.to_numpy(zero_copy_only=False)] + _SEEDS)
     sizes = np.diff(bounds)
     hashes = mix64(hashes ^ np.repeat(lang, sizes))
     out = hashes[bounds[:-1]]
@@ -164,9 +221,20 @@ class BitFilter:
         return (self.bits[(at >> np.uint64(6)).astype(np.int64)] >> (at & np.uint64(63)) & np.uint64(1)).astype(bool)
 
 
-def bit_filter(phrases: DataFrame) -> BitFilter:
-    """A filter of ``(lang, phrase)``; only its bits reach the driver, at most ``MOST_BITS``."""
-    n = phrases.count()
+def hashed(phrases: DataFrame, salt: int) -> DataFrame:
+    """``(lang, phrase, hash)`` of phrases."""
+
+    def add(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            hashes = pa.array(phrase_hashes(batch.column(0), batch.column(1), salt).view(np.int64))
+            yield pa.RecordBatch.from_arrays([*batch.columns, hashes], names=["lang", "phrase", "hash"])
+
+    return phrases.select("lang", "phrase").mapInArrow(add, "lang string, phrase string, hash long")
+
+
+def bit_filter(hashes: DataFrame) -> BitFilter:
+    """A filter of a column ``hash``; only its bits reach the driver, at most ``MOST_BITS``."""
+    n = hashes.count()
     size = LEAST_BITS
     while size < min(MOST_BITS, n * BITS_PER_PHRASE):
         size *= 2
@@ -174,13 +242,13 @@ def bit_filter(phrases: DataFrame) -> BitFilter:
 
     def marks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            at = phrase_hashes(batch.column(0), batch.column(1)) >> shift
+            at = batch.column(0).to_numpy(zero_copy_only=False).view(np.uint64) >> shift
             slot, inverse = np.unique((at >> np.uint64(6)).astype(np.int64), return_inverse=True)
             mask = np.zeros(len(slot), np.uint64)
             np.bitwise_or.at(mask, inverse, np.uint64(1) << (at & np.uint64(63)))
             yield pa.RecordBatch.from_arrays([pa.array(slot), pa.array(mask.view(np.int64))], names=["slot", "mask"])
 
-    found = phrases.select("lang", "phrase").mapInArrow(marks, "slot long, mask long")
+    found = hashes.select("hash").mapInArrow(marks, "slot long, mask long")
     found = found.groupBy("slot").agg(F.bit_or("mask").alias("mask")).toArrow()
     bits = np.zeros(size // 64, np.uint64)
     bits[found["slot"].to_numpy()] = found["mask"].to_numpy().view(np.uint64)
@@ -190,8 +258,8 @@ def bit_filter(phrases: DataFrame) -> BitFilter:
 # ---- passes over the corpus ----
 
 
-def _pass(texts: DataFrame, least: int, choose) -> DataFrame:
-    """Counts of the phrases that ``choose(words)`` names, ``(m, places)`` each; those of ``least`` and more, written."""
+def _word_counts(texts: DataFrame) -> DataFrame:
+    """``(lang, phrase, n)`` of all words, written."""
 
     @tidy
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -199,54 +267,110 @@ def _pass(texts: DataFrame, least: int, choose) -> DataFrame:
             langs, values = batch.column(0), batch.column(1)
             for a, b in text_slices(values, COUNT_BYTES):
                 words = Words(values[a:b], langs[a:b])
-                for m, at in choose(words):
-                    if (rows := words.counted(m, at)) is not None:
-                        yield rows
+                if (rows := words.counted(1, np.arange(len(words.code)))) is not None:
+                    yield rows
 
-    counted = texts.mapInArrow(count, _COUNTS).groupBy("lang", "phrase").agg(F.sum("n").alias("n"))
-    return materialize(counted.filter(F.col("n") >= least) if least > 1 else counted, "phrase-counts")
+    return materialize(texts.mapInArrow(count, _COUNTS).groupBy("lang", "phrase").agg(F.sum("n").alias("n")), "phrase-counts")
 
 
-def _word_counts(texts: DataFrame) -> DataFrame:
-    return _pass(texts, 1, lambda words: [(1, np.arange(len(words.code)))])
+def _salt(every: DataFrame) -> int:
+    """A salt with which all words' hashes differ, from each other and from the zero between runs."""
+    salt = 0
+    while not hashed(every, salt).groupBy("hash").count().filter("`count` > 1 OR hash = 0").isEmpty():
+        salt += 1
+    return salt
+
+
+def _runs(texts: DataFrame, frequent, salt: int) -> DataFrame:
+    """The texts' runs of frequent words, written."""
+
+    @tidy
+    def write(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            langs, values = batch.column(0), batch.column(1)
+            for a, b in text_slices(values, COUNT_BYTES):
+                yield pa.RecordBatch.from_arrays([Words(values[a:b], langs[a:b], salt).runs(frequent.value)], names=["codes"])
+
+    return materialize(texts.mapInArrow(write, "codes array<long>"), "phrase-runs")
+
+
+def _some_runs(batches: Iterator[pa.RecordBatch]) -> Iterator[Runs]:
+    for batch in batches:
+        for i in range(0, batch.num_rows, ROWS):
+            yield Runs(batch.column(0).slice(i, ROWS))
+
+
+def _pass(runs: DataFrame, words: DataFrame, least: int, choose) -> DataFrame:
+    """``(lang, phrase, n)`` of the phrases that ``choose(runs)`` names, ``(m, places)`` each; those of ``least`` and more, written.
+
+    ``words`` are ``(lang, phrase, hash)`` of the frequent words.
+    """
+
+    @tidy
+    def sums(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held: list[np.ndarray] = []
+
+        def flush() -> pa.RecordBatch:
+            found, n = np.unique(np.concatenate(held), return_counts=True)
+            held.clear()
+            return pa.RecordBatch.from_arrays([pa.array(found.view(np.int64)), pa.array(n, pa.int64())], names=["hash", "n"])
+
+        for some in _some_runs(batches):
+            held += [some.hashes(m)[at] for m, at in choose(some)]
+            if sum(map(len, held)) >= HELD_HASHES:
+                yield flush()
+        if held:
+            yield flush()
+
+    often = runs.mapInArrow(sums, "hash long, n long").groupBy("hash").agg(F.sum("n").alias("n")).filter(F.col("n") >= least)
+    shared = runs.sparkSession.sparkContext.broadcast(bit_filter(materialize(often.select("hash"), "phrase-hashes")))
+
+    @tidy
+    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for some in _some_runs(batches):
+            for m, at in choose(some):
+                if (rows := some.counted(m, at[shared.value(some.hashes(m)[at])])) is not None:
+                    yield rows
+
+    counted = runs.mapInArrow(count, "codes array<long>, n long").groupBy("codes").agg(F.sum("n").alias("n")).filter(F.col("n") >= least)
+    counted = materialize(counted, "phrase-codes")
+    shared.unpersist()
+    each = counted.select("codes", "n", F.posexplode("codes").alias("at", "hash")).join(words.select("lang", F.col("phrase").alias("word"), "hash"), "hash")
+    named = each.groupBy("codes", "n").agg(F.min("lang").alias("lang"), F.array_sort(F.collect_list(F.struct("at", "word"))).alias("w"))
+    named = named.filter(F.size("w") == F.size("codes"))  # all words are frequent
+    return materialize(named.select("lang", F.array_join("w.word", " ").alias("phrase"), "n"), "phrase-counts")
 
 
-def _extensions(texts: DataFrame, prefixes: DataFrame, m: int, frequent, least: int) -> DataFrame:
+def _extensions(runs: DataFrame, words: DataFrame, prefixes: DataFrame, m: int, least: int, salt: int) -> DataFrame:
     """Phrases of ``m`` words that extend ``prefixes`` by a frequent word."""
-    spark = texts.sparkSession
-    shared = spark.sparkContext.broadcast(bit_filter(prefixes))
+    shared = runs.sparkSession.sparkContext.broadcast(bit_filter(hashed(prefixes, salt)))
 
-    def choose(words: Words):
-        n = words.within(m)
-        keep = words.whole(m) & frequent.value(words.hashes(1)[m - 1 : m - 1 + n])
-        at = np.flatnonzero(keep)
-        return [(m, at[shared.value(words.hashes(m - 1)[at])])]
+    def choose(some: Runs):
+        at = np.flatnonzero(some.whole(m))
+        return [(m, at[shared.value(some.hashes(m - 1)[at])])]
 
-    grown = _pass(texts, least, choose)
+    grown = _pass(runs, words, least, choose)
     shared.unpersist()
     return grown.join(prefixes.select("lang", F.col("phrase").alias("prefix")), (F.substring_index("phrase", " ", m - 1) == F.col("prefix")) & grown["lang"].eqNullSafe(prefixes["lang"]), "left_semi")
 
 
-def _around(texts: DataFrame, wanted: DataFrame, parts: DataFrame, longest: int, frequent, least: int) -> DataFrame:
+def _around(runs: DataFrame, words: DataFrame, wanted: DataFrame, parts: DataFrame, longest: int, least: int, salt: int) -> DataFrame:
     """Counts of ``parts``, and of the phrases that extend ``wanted`` by a frequent word before them."""
-    spark = texts.sparkSession
-    shared = spark.sparkContext.broadcast((bit_filter(parts), bit_filter(wanted)))
+    shared = runs.sparkSession.sparkContext.broadcast((bit_filter(hashed(parts, salt)), bit_filter(hashed(wanted, salt))))
 
-    def choose(words: Words):
+    def choose(some: Runs):
         is_part, is_wanted = shared.value
         out = []
         for m in range(2, longest + 1):
-            n = words.within(m)
-            at = np.flatnonzero(words.whole(m))
-            hit = is_part(words.hashes(m)[at]) if m < longest else np.zeros(len(at), bool)
+            n = some.within(m)
+            at = np.flatnonzero(some.whole(m))
+            hit = is_part(some.hashes(m)[at]) if m < longest else np.zeros(len(at), bool)
             if m > 2:
-                longer = is_wanted(words.hashes(m - 1)[1 : 1 + n][at])
-                longer[longer] = frequent.value(words.hashes(1)[at[longer]])
-                hit |= longer
+                hit |= is_wanted(some.hashes(m - 1)[1 : 1 + n][at])
             out.append((m, at[hit]))
         return out
 
-    found = _pass(texts, least, choose)
+    found = _pass(runs, words, least, choose)
     shared.unpersist()
     return found
 
@@ -304,7 +428,11 @@ def collocations(
     every = _word_counts(texts)
     totals = materialize(every.groupBy("lang").agg(F.sum("n").alias("n"), F.max("n").alias("most")), "phrase-langs")
     words = materialize(every.filter(F.col("n") >= least), "phrase-words")
-    frequent = spark.sparkContext.broadcast(bit_filter(words))
+    salt = _salt(every)
+    coded = materialize(hashed(words, salt), "phrase-words")
+    frequent = spark.sparkContext.broadcast(bit_filter(coded))
+    runs = _runs(texts, frequent, salt)
+    frequent.unpersist()
 
     about = {r["lang"]: (r["n"], r["most"]) for r in totals.collect()}  # a row per language
     reach = dict.fromkeys((x for x, (_, most) in about.items() if most >= least), least - 1)
@@ -317,7 +445,7 @@ def collocations(
         limits = F.broadcast(limits)
         level = words.join(limits, "lang").filter((F.col("n") > F.col("low")) & (F.col("n") <= F.col("high"))).select("lang", "phrase", "n")
         for m in range(2, longest + 1):
-            level = materialize(_extensions(texts, materialize(level, "phrase-prefixes"), m, frequent, least), "phrase-grown")
+            level = materialize(_extensions(runs, coded, materialize(level, "phrase-prefixes"), m, least, salt), "phrase-grown")
             grown.append(level)
             if level.isEmpty():
                 break
@@ -333,7 +461,7 @@ def collocations(
         suffixes = short.select("lang", F.explode(F.transform(F.sequence(F.lit(2), F.size("w")), lambda k: F.array_join(F.slice("w", k, F.size("w")), " "))).alias("phrase"))
         parts = materialize(suffixes.filter(F.instr("phrase", " ") > 0).distinct(), "phrase-parts")
         extended = ripe.filter(F.size(_words(F.col("phrase"))) < longest).select("lang", "phrase")
-        known.append(_around(texts, extended, parts, longest, frequent, least))
+        known.append(_around(runs, coded, extended, parts, longest, least, salt))
         counts = reduce(DataFrame.unionByName, [words, found, *known]).distinct()
         done.append(materialize(_scored(ripe, counts, share), "phrase-scored"))
         order = Window.partitionBy("lang").orderBy(F.desc("score"), F.desc("a"), "phrase")

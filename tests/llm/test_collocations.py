@@ -129,3 +129,21 @@ def test_bounds_hold_for_every_phrase():
 
 def test_query_has_sql():
     assert "op13_collocations" in ORACLES and F is not None
+
+
+def test_runs_hold_frequent_words_that_have_a_neighbour():
+    words = C.Words(pa.array(["a b rare c d. a. b c", None, "a rare b", "d e f"]), pa.array(["en", "en", None, "en"]))
+    rare = C.phrase_hashes(pa.array(["en", "und"]), pa.array(["rare", "rare"]))
+    rows = words.runs(lambda hashes: ~np.isin(hashes, rare))
+    want = [C.phrase_hashes(pa.array(["en"] * len(r)), pa.array(r)).tolist() + [0] for r in (["a", "b"], ["c", "d"], ["b", "c"], ["d", "e", "f"])]
+    assert rows.flatten().to_numpy().view(np.uint64).tolist() == sum(want, [])
+    runs = C.Runs(rows)
+    pairs = C.phrase_hashes(pa.array(["en"] * 5), pa.array(["a b", "c d", "b c", "d e", "e f"]))
+    assert runs.hashes(2)[runs.whole(2)].tolist() == pairs.tolist()
+
+
+def test_words_of_equal_hash_get_another_salt(spark, monkeypatch):
+    whole = C.text_hashes
+    monkeypatch.setattr(C, "text_hashes", lambda words, salt=0: whole(words, salt) if salt else np.full(len(words), 5, np.uint64))
+    rows = [("en", "one two three")] * 4 + [("en", "two one")] * 3 + [("fr", "one two")] * 4
+    assert found(C.collocations(spark.createDataFrame(rows, "lang string, text string"), 9, 3)) == brute(rows, 9, 3)
