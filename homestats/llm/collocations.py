@@ -40,6 +40,8 @@ from homestats.llm.common import materialize, mix64, text_slices, tidy
 COUNT_BYTES = 3 << 20
 #: Hashes that a task holds before it sums them up.
 HELD_HASHES = 1 << 22
+#: Counts of phrases that a task holds before it sums them up.
+HELD_PHRASES = 1 << 20
 #: About as many words are written a row, and so many rows are looked at at once.
 ROW_WORDS, ROWS = 512, 1024
 #: A filter has so many bits per phrase, within these bounds.
@@ -188,6 +190,18 @@ class Runs(Phrases):
         return pa.RecordBatch.from_arrays([codes, pa.array(n, pa.int64())], names=["codes", "n"])
 
 
+def summed(counts: list[pa.RecordBatch]) -> pa.RecordBatch:
+    """``(codes, n)`` of phrases of one length, each once."""
+    m = len(counts[0]["codes"][0])
+    flat = np.concatenate([x["codes"].flatten().to_numpy() for x in counts]).reshape(-1, m)
+    n = np.concatenate([x["n"].to_numpy() for x in counts])
+    order = np.lexsort(flat.T)
+    flat, n = flat[order], n[order]
+    first = np.flatnonzero(np.concatenate(([True], (flat[1:] != flat[:-1]).any(axis=1))))
+    codes = pa.ListArray.from_arrays(pa.array(np.arange(len(first) + 1, dtype=np.int32) * m), pa.array(flat[first].ravel()))
+    return pa.RecordBatch.from_arrays([codes, pa.array(np.add.reduceat(n, first))], names=["codes", "n"])
+
+
 def joined_hash(phrase: np.ndarray, word: np.ndarray) -> np.ndarray:
     return mix64(phrase * _SEEDS + word)
 
@@ -327,10 +341,17 @@ def _pass(runs: DataFrame, words: DataFrame, least: int, choose) -> DataFrame:
 
     @tidy
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held: dict[int, list[pa.RecordBatch]] = {}  # by length of phrases
+        size = 0
         for some in _some_runs(batches):
             for m, at in choose(some):
                 if (rows := some.counted(m, at[shared.value(some.hashes(m)[at])])) is not None:
-                    yield rows
+                    held.setdefault(m, []).append(rows)
+                    size += rows.num_rows
+            if size >= HELD_PHRASES:
+                yield from map(summed, held.values())
+                held, size = {}, 0
+        yield from map(summed, held.values())
 
     counted = runs.mapInArrow(count, "codes array<long>, n long").groupBy("codes").agg(F.sum("n").alias("n")).filter(F.col("n") >= least)
     counted = materialize(counted, "phrase-codes")

@@ -147,3 +147,15 @@ def test_words_of_equal_hash_get_another_salt(spark, monkeypatch):
     monkeypatch.setattr(C, "text_hashes", lambda words, salt=0: whole(words, salt) if salt else np.full(len(words), 5, np.uint64))
     rows = [("en", "one two three")] * 4 + [("en", "two one")] * 3 + [("fr", "one two")] * 4
     assert found(C.collocations(spark.createDataFrame(rows, "lang string, text string"), 9, 3)) == brute(rows, 9, 3)
+
+
+def test_a_task_sums_its_counts(spark, monkeypatch):
+    """Phrases are counted a block of rows at a time; the blocks' counts of a task are one row a phrase."""
+    monkeypatch.setattr(C, "ROWS", 1)
+    rows = C.Words(pa.array(["a b c. " * 200, "b c d. " * 200]), pa.array(["en", "en"])).runs(lambda hashes: np.ones(len(hashes), bool))
+    counts = [some.counted(2, np.flatnonzero(some.whole(2))) for some in C._some_runs([pa.RecordBatch.from_arrays([rows], names=["codes"])])]
+    assert len(counts) > 2
+    got = C.summed(counts)
+    pairs = C.phrase_hashes(pa.array(["en"] * 4), pa.array(list("abcd")))
+    want = {(int(pairs[i].view(np.int64)), int(pairs[i + 1].view(np.int64))): n for i, n in ((0, 200), (1, 400), (2, 200))}
+    assert got.num_rows == 3 and {tuple(c): n for c, n in zip(got["codes"].to_pylist(), got["n"].to_pylist(), strict=True)} == want
