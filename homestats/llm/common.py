@@ -7,7 +7,7 @@ import functools
 import sys
 import types
 import uuid
-from collections.abc import Callable
+from collections.abc import Callable, Iterable
 
 import numpy as np
 import pyarrow as pa
@@ -15,7 +15,7 @@ import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from homestats.session import ensure_checkpoint_dir, scratch_path
+from homestats.session import ensure_checkpoint_dir, release, scratch_path, shuffles_removed
 
 #: Fixed value: a word is a maximal run of characters outside these (ASCII white space).
 SPACE_CHARS = "\x20\x09\x0a\x0b\x0c\x0d"
@@ -34,12 +34,22 @@ def materialize(df: DataFrame, name: str) -> DataFrame:
     """Write ``df`` to the shared folder and read it back: lineage ends there.
 
     The written table outlives lost executors, and what a plan reads twice is
-    computed once.
+    computed once. The shuffle files of the job go when it ends.
     """
-    spark = df.sparkSession
-    path = scratch_path(spark, name)
-    df.write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+    return materialize_parts([df], name)
+
+
+def materialize_parts(parts: Iterable[DataFrame], name: str) -> DataFrame:
+    """The union of ``parts`` (of one schema) written to the shared folder by a job each, one after the other."""
+    path = None
+    for df in parts:
+        spark, schema = df.sparkSession, df.schema
+        path = path or scratch_path(spark, name)
+        with shuffles_removed(spark):
+            df.write.mode("append").parquet(path)
+    out = spark.read.schema(schema).parquet(path)
+    out._scratch = path  # for ``release``
+    return out
 
 
 def fresh(name: str) -> str:
@@ -174,7 +184,9 @@ __all__ = [
     "ensure_checkpoint_dir",
     "fresh",
     "materialize",
+    "materialize_parts",
     "mix64",
+    "release",
     "release_memory",
     "scratch_path",
     "shingle_hashes",

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from homestats.llm.common import materialize
+from homestats.llm.common import materialize, release
 
 
 def connected_components(edges: DataFrame, name: str = "components") -> DataFrame:
@@ -14,7 +14,7 @@ def connected_components(edges: DataFrame, name: str = "components") -> DataFram
     Each round points every node's larger neighbours to its smallest one, then its
     smaller neighbours; a component becomes a star in few rounds. A node's neighbours
     are never collected: rounds are aggregates by node and joins with them, written
-    to the shared folder. Loops and repeated edges do no harm; no edges, no rows.
+    to the shared folder, where one round's take the place of the last one's. Loops and repeated edges do no harm; no edges, no rows.
     """
     current = materialize(
         edges.filter("a <> b").select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).distinct(), name
@@ -28,7 +28,9 @@ def connected_components(edges: DataFrame, name: str = "components") -> DataFram
         # every edge now points down; small star: all smaller neighbours of a node to the smallest
         smallest = large.groupBy("a").agg(F.min("b").alias("m"))
         moved = large.join(smallest, "a").filter("b <> m").select(F.col("b").alias("a"), F.col("m").alias("b"))
+        last = current
         current = materialize(moved.unionByName(smallest.select("a", F.col("m").alias("b"))).filter("a <> b").distinct(), name)
+        release(last)
         after = current.select(print_of.alias("p")).first()["p"]
         if after == before:
             break

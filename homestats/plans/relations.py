@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+from contextlib import contextmanager
 from functools import cached_property
 
 from pyspark.sql import DataFrame, SparkSession
@@ -11,7 +13,11 @@ from homestats.functions import fields as FD
 from homestats.operators.clean import Cleaned, clean_listed, clean_sold
 from homestats.operators.profile import filter_category
 from homestats.operators.rates import enrich_with_rates, rates_clean, rates_monthly
-from homestats.sources.testrel import relation
+from homestats.session import release
+from homestats.sources.testrel import joined_rows, relation, relation_of
+
+#: Rows are dealt by month in up to so many parts, of so many rows at least.
+DEALT_PARTS, DEALT_ROWS = 4, 800_000
 
 
 class Relations:
@@ -38,6 +44,26 @@ class Relations:
             return self._tables["listed"]
         return relation(self.spark, self.sf_dir, "listed")
 
+    @contextmanager
+    def by_month(self, name: str) -> Iterator[list[DataFrame]]:
+        """``sold`` or ``listed`` in parts of whole months, each dealt by the month of the listing date, a hot month over several tasks.
+
+        Only the base columns move; the relation's own are computed where they arrive. Many rows are parted in up to
+        ``DEALT_PARTS``, to be written one after the other: only one part's shuffle lies on the disks at a time.
+        What is kept on the way goes at the end."""
+        if name in self._tables:
+            rows = self._tables[name].withColumn("_month", F.substring("ListingContractDate", 1, 7))
+            yield [rows.hint("rebalance", F.col("_month")).drop("_month")]
+            return
+        rows = joined_rows(self.spark, self.sf_dir, name)
+        n = max(1, min(DEALT_PARTS, rows.count() // DEALT_ROWS))
+        date = F.col("o_orderdate").cast("date")
+        months = rows.withColumn("_month", F.year(date) * 12 + F.month(date))
+        part = F.coalesce(F.pmod("_month", F.lit(n)), F.lit(0))  # without a date: in the first
+        dealt = [months.filter(part == i).hint("rebalance", F.col("_month")).drop("_month") for i in range(n)]
+        yield [relation_of(d, name) for d in dealt]
+        release(rows)
+
     @cached_property
     def rates_raw(self) -> DataFrame:
         if "rates" in self._tables:

@@ -4,6 +4,8 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -80,14 +82,51 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     return path
 
 
+#: Spark removes the shuffle files of an execution at its end where this is on.
+_CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+
+
+@contextmanager
+def shuffles_removed(spark: SparkSession) -> Iterator[None]:
+    """Writes within leave no shuffle files behind: a table that is whole is never made again from them.
+
+    Else they stay until the driver happens to collect its garbage, and many steps' files lie on the disks at once."""
+    before = spark.conf.get(_CLEANUP, None)
+    spark.conf.set(_CLEANUP, "true")
+    try:
+        yield
+    finally:
+        if before is None:
+            spark.conf.unset(_CLEANUP)
+        else:
+            spark.conf.set(_CLEANUP, before)
+
+
 def stored(df: DataFrame, name: str) -> DataFrame:
     """``df`` written under the shared checkpoint folder and read back: what several passes read is derived once.
 
     Columns of no type (``void``) become text. One job runs here."""
     df = df.withColumns({c: F.col(f"`{c}`").cast("string") for c, kind in df.dtypes if kind == "void"})
     path = scratch_path(df.sparkSession, name)
-    df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    with shuffles_removed(df.sparkSession):
+        df.write.parquet(path)
+    out = df.sparkSession.read.schema(df.schema).parquet(path)
+    out._scratch = path  # for ``release``
+    return out
+
+
+def release(*tables: DataFrame) -> None:
+    """Delete tables that ``stored`` or ``materialize`` wrote and that no later job reads."""
+    for t in tables:
+        path = t._scratch
+        try:
+            sc = t.sparkSession.sparkContext
+        except Exception:  # noqa: BLE001 - Spark Connect: files can't be reached from here, the tables stay
+            return
+        place = sc._jvm.org.apache.hadoop.fs.Path(path)
+        place.getFileSystem(sc._jsc.hadoopConfiguration()).delete(place, True)
+        if path in _SCRATCH:
+            _SCRATCH.remove(path)
 
 
 def release_scratch(spark: SparkSession) -> None:

@@ -21,6 +21,7 @@ from pyspark.sql import functions as F
 
 from homestats.functions import fields as FD
 from homestats.functions.coerce import as_date, as_number, has, month_key, pct
+from homestats.session import shuffles_removed
 from homestats.sources.files import file_headers, list_sources, source_name
 from homestats.sources.tables import _hadoop, read_table
 
@@ -101,7 +102,8 @@ def update_states(
         "rows": F.coalesce("rows", F.lit(0)), "valid_dates": F.coalesce("valid_dates", F.lit(0)),
     })
     schema = spark.createDataFrame([], _SCHEMA).schema
-    whole.select(*[F.col(f.name).cast(f.dataType) for f in schema]).coalesce(1).write.mode("append").parquet(state_dir)
+    with shuffles_removed(spark):
+        whole.select(*[F.col(f.name).cast(f.dataType) for f in schema]).coalesce(1).write.mode("append").parquet(state_dir)
     return len(todo)
 
 

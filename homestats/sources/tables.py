@@ -11,6 +11,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from homestats.functions import fields as FD
+from homestats.session import shuffles_removed
 
 # Byte-order marks as they appear in a first header cell
 # (UTF-8 decoded, and UTF-8 bytes decoded as Latin-1).
@@ -115,11 +116,11 @@ def read_table(
 
 
 def write_table(df: DataFrame, path: str, fmt: str = "csv", mode: str = "overwrite", partition_by: Sequence[str] = (),
-                compression: str | None = None) -> str:
+                compression: str | None = None, most_rows: int | None = None) -> str:
     """Write a dataset (CSV with header, quotes doubled, or Parquet); returns the path.
 
     ``compression`` names one of Spark's codecs; CSV is plain text without it. A gzipped file is read by one
-    task, so each should be of moderate size.
+    task, so each should be of moderate size: ``most_rows`` limits the rows of a file.
 
     ``overwrite`` publishes in stages: the new data set is written aside, and only when it is whole does
     it take the old one's place by renames. A write that fails leaves the old data set as it was.
@@ -131,12 +132,15 @@ def write_table(df: DataFrame, path: str, fmt: str = "csv", mode: str = "overwri
     if partition_by:
         w = w.partitionBy(*partition_by)
     if compression:
-        w = w.option("compression", compression).option("zlib.compress.level", "BEST_SPEED")
+        w = w.option("compression", compression)
+    if most_rows:
+        w = w.option("maxRecordsPerFile", most_rows)
     try:
-        if fmt == "csv":
-            w.option("header", True).option("quote", '"').option("escape", '"').csv(staged)
-        else:
-            w.parquet(staged)
+        with shuffles_removed(df.sparkSession):
+            if fmt == "csv":
+                w.option("header", True).option("quote", '"').option("escape", '"').csv(staged)
+            else:
+                w.parquet(staged)
     except Exception:
         if staged != path:
             _discard(df.sparkSession, staged)
